@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontamination import decontaminate
 from .simhash import near_duplicates
 from .token_counts import count_tokens
 
@@ -21,9 +22,28 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_simhash)}
+    return {f.__name__: f for f in (op1_token_counts, op2_simhash, op4_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    words = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return {
+        "op4_decontamination": f"""
+            with d as (select doc_id, coalesce({words}, []) as w from documents),
+            b as (select cast(item_id as varchar) as item_id, {words} as w from benchmark where text is not null),
+            iw as (select distinct item_id, least(len(w), 10) as n, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) as words from b where len(w) > 0),
+            sizes as (select distinct n from iw),
+            dw as (select doc_id, n, unnest(range(1, len(w) - n + 2)) as i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) as words from d, sizes where len(w) >= n),
+            hit as (select doc_id, i, dw.n, item_id from dw join iw on dw.words = iw.words and dw.n = iw.n),
+            places as (select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(i, i + n)) as p from (select distinct doc_id, i, n from hit)) group by doc_id),
+            items as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids from (select distinct doc_id, item_id from hit) group by doc_id)
+            select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+                   sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+            from d left join places using (doc_id) left join items using (doc_id)""",
+    }
