@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontamination import decontaminate
 from .simhash import near_duplicates
+from . import toxicity
 from .token_counts import count_tokens
 
 
@@ -27,8 +28,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_simhash, op4_decontamination)}
+    return {f.__name__: f for f in (op1_token_counts, op2_simhash, op4_decontamination, op8_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
