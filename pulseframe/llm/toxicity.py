@@ -22,7 +22,7 @@ from .common import LOWER, staged
 #: Labelled rows that the fit uses at most; its result does not depend on the size of the corpus beyond it.
 SAMPLE = 20_000
 NGRAMS = range(3, 7)
-BUCKETS, FEATURES = 1 << 20, 1 << 15
+BUCKETS, FEATURES = 1 << 20, 1 << 12
 SMOOTHING, DECAY, STEPS = 1.0, 2e-4, 300
 THRESHOLD = 0.3
 KEPT_WORDS = 300_000
