@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontamination import decontaminate
+from .packing import pack
 from .simhash import near_duplicates
 from . import toxicity
 from .token_counts import count_tokens
@@ -23,6 +24,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
@@ -35,7 +40,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_simhash, op4_decontamination, op8_toxicity)}
+    return {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_packing, op4_decontamination, op8_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
