@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontamination import decontaminate
+from .licenses import scan
+from .line_dedup import dedup_lines
 from .packing import pack
+from .quality import BOILERPLATE, SENTENCE_END, SPACE, quality
 from .simhash import near_duplicates
 from . import toxicity
 from .token_counts import count_tokens
@@ -33,6 +36,18 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("source")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -40,7 +55,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_packing, op4_decontamination, op8_toxicity)}
+    return {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_packing, op4_decontamination, op5_license_scan, op6_line_dedup, op7_quality_rules, op8_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -58,4 +73,39 @@ def oracle_sql() -> dict[str, str]:
             select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
                    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
             from d left join places using (doc_id) left join items using (doc_id)""",
+        "op6_line_dedup": r"""
+            with l as (select doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) as pos, unnest(string_split(text, chr(10))) as line from documents where text is not null),
+            b as (select doc_id, coalesce(source, '') as site, pos, trim(regexp_replace(line, '[\x09-\x0D]', ' ', 'g')) as s from l),
+            k as (select *, md5(s) as key, length(s) - length(replace(s, ' ', '')) + 1 as words from b where s <> ''),
+            least2 as (select doc_id, list_sort(list_distinct(list(key)))[1:2] as least from k group by doc_id),
+            spots as (select key, pos, doc_id, site, case when least[1] = key then least[2] else least[1] end as around from k join least2 using (doc_id) where words >= 3),
+            once as (select key, around, min(site) as site from spots group by key, around),
+            common as (select key from once group by key having count(distinct site) >= 5),
+            firsts as (select key, min({'d': doc_id, 'p': pos}) as f from spots where key in (select key from common) group by key),
+            gone as (select distinct s.doc_id, s.pos from spots s join firsts f on s.key = f.key where s.doc_id <> f.f.d or s.pos <> f.f.p),
+            kept as (select l.doc_id, string_agg(l.line, chr(10) order by l.pos) filter (g.pos is null) as text, count(g.pos) as n_removed,
+                            count(*) filter (regexp_matches(l.line, '[^\x20\x09-\x0D]')) as n_lines
+                     from l left join gone g on l.doc_id = g.doc_id and l.pos = g.pos group by l.doc_id)
+            select d.doc_id, case when d.text is not null then coalesce(k.text, '') end as text, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed
+            from documents d left join kept k using (doc_id)""",
+        "op7_quality_rules": rf"""
+            with d as (select doc_id, coalesce(text, '') as t, list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), lambda w: w <> '') as w,
+                              list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from documents),
+            g as (select doc_id, unnest(range(1, len(w) - 6)) as i, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) as s from d where len(w) >= 8),
+            twice as (select doc_id, s from g group by doc_id, s having count(*) > 1),
+            spots as (select doc_id, count(*) as n from (select distinct doc_id, unnest(range(i, i + 8)) as p from g semi join twice using (doc_id, s)) group by doc_id),
+            good as (select doc_id, list_filter(lines, lambda x: regexp_matches(x, '{SENTENCE_END.replace("'", "''")}')
+                         and (length(x) - length(replace(x, '!', ''))) * 2 <= len(regexp_split_to_array(trim(x), '{SPACE}'))
+                         and (length(x) - length(regexp_replace(x, '[|>]', '', 'g'))) * 4 <= len(regexp_split_to_array(trim(x), '{SPACE}'))
+                         and (length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g'))) * 10 <= length(regexp_replace(x, '{SPACE}', '', 'g'))
+                         and not regexp_matches(lower(x), '{BOILERPLATE}')) as lines from d),
+            m as (select d.doc_id, cast(len(w) as bigint) as n_words, cast(length(regexp_replace(t, '{SPACE}', '', 'g')) as bigint) as word_chars,
+                         cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+                         cast(len(d.lines) - len(list_distinct(d.lines)) as bigint) as n_dup_lines, coalesce(n, 0) as n_repeat_words,
+                         length(regexp_replace(array_to_string(good.lines, ' '), '{SPACE}', '', 'g')) as left_chars
+                  from d join good on d.doc_id = good.doc_id left join spots on d.doc_id = spots.doc_id)
+            select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+                   n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+                   not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and 100 * left_chars >= 50 * word_chars as kept
+            from m""",
     }
