@@ -18,6 +18,7 @@ KEEP_PERCENT = 50
 
 #: The ends of a sentence, and what sites say everywhere (lower case).
 SENTENCE_END = r"[.!?:;,\"'\)\]\x{2026}\x{201D}\x{2019}\x{BB}\x{3002}\x{FF01}\x{FF1F}][\x20\x09-\x0D]*$"
+SENTENCE_WITHIN = r"[.!?][\x20\x09]"
 BOILERPLATE = r"all rights reserved|terms of (use|service)|privacy policy|cookie|javascript|click here|sign (in|up)|log ?in|subscribe|newsletter|lorem ipsum"
 
 
@@ -34,7 +35,7 @@ def line_passes(line: Column) -> Column:
     """The rules for a line that has a word."""
     chars = F.length(removed(line, SPACES))
     words = F.size(F.split(F.trim(line), SPACE))
-    sentence = line.rlike(SENTENCE_END)
+    sentence = line.rlike(SENTENCE_END) | line.rlike(SENTENCE_WITHIN)
     shouted = count_of(line, "!") * 2 > words
     menu = (count_of(line, "|>") * 4 > words) | (count_of(line, SYMBOLS) * 10 > chars)
     said_everywhere = F.lower(line).rlike(BOILERPLATE)
