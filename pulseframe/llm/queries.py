@@ -15,7 +15,7 @@ from .line_dedup import dedup_lines
 from .packing import pack
 from .quality import BOILERPLATE, SENTENCE_END, SENTENCE_WITHIN, SPACE, quality
 from .simhash import near_duplicates
-from . import toxicity
+from . import lm_scoring, toxicity
 from .token_counts import count_tokens
 
 
@@ -65,8 +65,12 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.col("formatted_chars").cast("bigint").alias("formatted_chars"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_packing, op4_decontamination, op5_license_scan, op6_line_dedup, op7_quality_rules, op8_toxicity, op9_chat_format)}
+    return {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_packing, op4_decontamination, op5_license_scan, op6_line_dedup, op7_quality_rules, op8_toxicity, op9_chat_format, op10_lm_score)}
 
 
 def oracle_sql() -> dict[str, str]:
