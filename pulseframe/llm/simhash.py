@@ -22,7 +22,7 @@ from .common import LOWER, staged
 RADIUS = 3
 SHINGLE = 3
 #: Fingerprints a shard should hold, and visitors that one task compares with them.
-SHARD, VISITORS = 16_384, 65_536
+SHARD, VISITORS = 32_768, 262_144
 #: Levels of the shared tree at most (larger inputs get larger shards), and sample rows per shard that fit it.
 LEVELS, SAMPLE_PER_SHARD = 12, 16
 
