@@ -170,7 +170,7 @@ def prj10_frame_meta(spark: SparkSession, d: str) -> DataFrame:
     return fx.packets(spark, d).withColumn("bunchid", F.col("pulse_id") + F.lit(0.75)).select("seq", *sc.packet_to_frame_meta())
 
 
-@query("select run_id, i_image, (512 * 1024 * bits_per_pixel) // 8 as n_bytes, 'uint' || bits_per_pixel::varchar as pixel_type from runs", "runs")
+@query("select run_id, i_image, ((512 * 1024 * bits_per_pixel) // 8)::bigint as n_bytes, 'uint' || bits_per_pixel::varchar as pixel_type from runs", "runs")
 def prj11_12_image_bytes(spark: SparkSession, d: str) -> DataFrame:
     return fx.runs(spark, d).select("run_id", "i_image", sc.image_n_bytes("image_y_size", "image_x_size", "bits_per_pixel").alias("n_bytes"), sc.pixel_type("bits_per_pixel").alias("pixel_type"))
 
@@ -211,7 +211,7 @@ def prj17_18_line_protocol(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """select module_id, frame_no, i as pos, coalesce(max(v), 0)::int as value from
+    """select module_id, frame_no::bigint as frame_no, i as pos, coalesce(max(v), 0)::int as value from
        (select module_id, frame_no, unnest(range(0, 16)) as i, packetnum, seq from bounded where seq % 5 < 3) b
        left join lateral (select case when i // 2 = packetnum then seq % 1000 + i % 2 end as v) on true group by module_id, frame_no, i""",
     "bounded",
@@ -221,7 +221,7 @@ def prj19_payload(spark: SparkSession, d: str) -> DataFrame:
     packets = fr.frame_boundaries(fx.packets(spark, d), P).where("seq % 5 < 3")
     data = F.array((F.col("seq") % 1000).cast("int"), (F.col("seq") % 1000 + 1).cast("int"))
     held = packets.groupBy("module_id", "frame_no").agg(F.array_sort(F.collect_list(F.struct("seq", "packetnum", data.alias("data")))).alias("p"))
-    return held.select("module_id", "frame_no", F.posexplode(px.payload_array("p", P, 2)).alias("pos", "value"))
+    return held.select("module_id", "frame_no", F.posexplode(px.payload_array("p", P, 2)).alias("pos", "value")).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query(
@@ -474,7 +474,7 @@ def snk3_export_range(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """select run_id, i_image, pulse_id, 'uint' || bits_per_pixel::varchar as pixel_type, (512 * 1024 * bits_per_pixel) // 8 as image_bytes from runs""",
+    """select run_id, i_image, pulse_id, 'uint' || bits_per_pixel::varchar as pixel_type, ((512 * 1024 * bits_per_pixel) // 8)::bigint as image_bytes from runs""",
     "runs",
 )
 def snk4_run_rows(spark: SparkSession, d: str) -> DataFrame:
