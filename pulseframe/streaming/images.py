@@ -51,6 +51,7 @@ def stream_attach_pixels(images: DataFrame, payload: DataFrame, delay: str = RIN
 def stream_frame_stats(frames: DataFrame, interval: str = STATS_WINDOW, interval_ms: int = 10_000, expected: int = PACKETS[1], delay: str = STATS_WINDOW) -> DataFrame:
     """Statistics of aligned windows over recv_ts. (A receiver's own windows start at its last report; these start on the
     clock, so that modules and restarts agree.)"""
+    frames = frames.withColumn("recv_ts", F.col("recv_ts").cast("timestamp"))
     out = frames.withWatermark("recv_ts", delay).groupBy("module_id", F.window("recv_ts", interval).alias("w")).agg(
         F.count("*").alias("n_frames"),
         F.sum(F.greatest(F.lit(expected) - F.col("n_recv_packets"), F.lit(0))).cast("bigint").alias("n_missed_packets"),
