@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +21,12 @@ from .common import LOWER, staged
 #: Labelled rows that the fit uses at most; its result does not depend on the size of the corpus beyond it.
 SAMPLE = 20_000
 NGRAMS = range(3, 7)
-BUCKETS, FEATURES = 1 << 20, 1 << 12
+BUCKET_BITS, FEATURES = 20, 1 << 12
+BUCKETS = 1 << BUCKET_BITS
 SMOOTHING, DECAY, STEPS = 1.0, 2e-4, 300
 THRESHOLD = 0.3
-KEPT_WORDS = 300_000
+#: Words a worker keeps (beyond it the table starts anew), and distinct words of texts it handles at once.
+KEPT_WORDS, GROUP_WORDS = 400_000, 50_000
 
 
 @dataclass
@@ -37,31 +38,68 @@ class Model:
     bias: float
 
 
-class _Grams(dict):
-    """From a word to its features: the buckets of its n-grams, or what `index` makes of them."""
+class _Grams:
+    """From a word to its features: the buckets of its n-grams, or what `index` makes of them. Words are hashed in bulk."""
 
     def __init__(self, index: np.ndarray | None = None):
-        super().__init__()
+        self.kept: dict[bytes, np.ndarray | None] = {}
         self.index = index
 
-    def __missing__(self, word: bytes) -> np.ndarray:
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        s = f"\x02{word.decode().lower()}\x03"
-        found = {crc32(s[i : i + n].encode()) & (BUCKETS - 1) for n in NGRAMS for i in range(max(1, len(s) - n + 1))}
-        out = np.fromiter(found, np.int32, len(found))
-        if self.index is not None:
-            out = self.index[out]
-            out = out[out >= 0]
-        self[word] = out
-        return out
-
-
-def features(text: bytes | None, grams: _Grams) -> np.ndarray:
-    """Distinct features of a whole text."""
-    words = set((text or b"").translate(LOWER).split())
-    parts = [x for w in words if len(x := grams[w])]
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int32)
+    def learn(self, words: set[bytes]) -> None:
+        new = list(words - self.kept.keys())
+        if len(self.kept) + len(new) > KEPT_WORDS:
+            self.kept.clear()
+            new = list(words)
+        for at in range(0, len(new), 50_000):
+            self._hash(new[at : at + 50_000])
+
+    def _hash(self, words: list[bytes]) -> None:
+        self.kept.update(dict.fromkeys(words))
+        text = " " + b" ".join(words).decode().lower() + " "
+        c = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+        spaces = np.cumsum(c == 32)
+        owner, found = [], []
+        for n in NGRAMS:
+            size = len(c) - n + 1
+            if size < 1:
+                continue
+            # an n-gram may begin and end with the space that marks a word's end, but hold none
+            at = np.nonzero(spaces[n - 2 : n - 2 + size] == spaces[:size])[0]
+            h = np.full(len(at), n, np.uint64)
+            for k in range(n):
+                h = h * np.uint64(0x9E3779B97F4A7C15) + c[at + k]
+            h ^= h >> np.uint64(31)
+            bucket = ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+            word = spaces[at] - 1
+            if self.index is not None:
+                bucket = self.index[bucket]
+                word, bucket = word[bucket >= 0], bucket[bucket >= 0]
+            owner.append(word)
+            found.append(bucket)
+        if not owner:
+            return
+        owner, found = np.concatenate(owner), np.concatenate(found)
+        order = np.argsort(owner, kind="stable")
+        owner, found = owner[order], found[order]
+        starts = np.nonzero(np.diff(owner, prepend=-1))[0]
+        for w, x in zip(owner[starts].tolist(), np.split(found, starts[1:]), strict=True):
+            self.kept[words[w]] = x
+
+
+def features(texts: list[bytes | None], grams: _Grams) -> Iterator[np.ndarray]:
+    """Distinct features of each whole text."""
+    at = 0
+    while at < len(texts):
+        words, size = [], 0
+        while at < len(texts) and size < GROUP_WORDS:
+            words.append(set((texts[at] or b"").translate(LOWER).split()))
+            size += len(words[-1])
+            at += 1
+        grams.learn(set().union(*words))
+        get = grams.kept.get
+        for own in words:
+            parts = [x for w in own if (x := get(w)) is not None]
+            yield np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int32)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int) -> DataFrame:
@@ -82,8 +120,8 @@ def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, n = _Grams(), np.zeros((2, BUCKETS + 1), np.int64)
         for b in batches:
-            for text, y in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist(), strict=True):
-                n[y, features(text, grams)] += 1
+            for found, y in zip(features(b.column(0).cast(pa.binary()).to_pylist(), grams), b.column(1).to_pylist(), strict=True):
+                n[y, found] += 1
                 n[y, BUCKETS] += 1
         at = np.nonzero(n.any(axis=0))[0]
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[1, at]), pa.array(n[0, at])], ["bucket", "toxic", "clean"])
@@ -116,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = _Grams(index)
         for b in batches:
-            found = [features(t, grams).astype("<i4").tobytes() for t in b.column(0).cast(pa.binary()).to_pylist()]
+            found = [x.astype("<i4").tobytes() for x in features(b.column(0).cast(pa.binary()).to_pylist(), grams)]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.binary())], ["y", "found"])
 
     got = rows.mapInArrow(run, "y int, found binary").orderBy("y", "found").toArrow()
@@ -153,7 +191,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         grams = _Grams(m.index)
         for b in batches:
             texts = b.column(b.schema.names.index(text_col)).cast(pa.binary()).to_pylist()
-            z = np.array([m.weight[features(t, grams)].sum() + m.bias for t in texts], float)
+            z = np.array([m.weight[x].sum() + m.bias for x in features(texts, grams)], float)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], [*b.schema.names, "_score"])
 
     kept = docs.drop("score", "predicted", "held_out")
