@@ -8,8 +8,10 @@ documents of a run of rows that hold it.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,11 @@ from pyspark.sql import functions as F
 from .common import LOWER, with_row_id
 from .tokens import load, tokenizer_path
 
-#: Words that a task gathers before it hands out postings.
-RUN_WORDS = 3_000_000
+#: Postings that a task gathers before it hands them out; bits of a posting for its row in the run, the rest for its count.
+RUN_POSTINGS, ROW_BITS = 3_000_000, 15
+MOST_TIMES = (1 << (31 - ROW_BITS)) - 1
+#: A pre-token with so many postings in a run is dealt by run over so many keys.
+HOT, SALTS = 256, 512
 
 #: The tokenizer's own split, for words of ASCII and Latin-1 letters, on which Python's classes agree with the library's.
 _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
@@ -41,89 +46,93 @@ class _Run:
     def __init__(self) -> None:
         self.names: defaultdict = defaultdict()
         self.names.default_factory = self.names.__len__
-        self.words: list[np.ndarray] = []
         self.rows: list[int] = []
+        self.word: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
         self.size = 0
 
+    def takes(self, row: int) -> bool:
+        return not self.rows or (self.size < RUN_POSTINGS and 0 <= row - self.rows[0] < 1 << ROW_BITS)
+
     def add(self, row: int, text: bytes) -> None:
         # upper and lower case share pre-tokens, but a special string counts only as it is written
         words = text.split() if b"<|" in text else text.translate(LOWER).split()
         if words:
-            self.words.append(np.fromiter(map(self.names.__getitem__, words), np.int64, len(words)))
+            word, times = np.unique(np.fromiter(map(self.names.__getitem__, words), np.int32, len(words)), return_counts=True)
             self.rows.append(row)
-            self.size += len(words)
+            self.word.append(word)
+            self.times.append(times.astype(np.int32))
+            self.size += len(word)
 
     def units(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """Distinct pre-tokens; for each word, where its pre-tokens stand in the second array."""
         names: defaultdict = defaultdict()
         names.default_factory = names.__len__
-        parts = [[names[u] for u in pre_tokens(w)] for w in self.names]
-        ends = np.cumsum([0, *map(len, parts)])
-        return list(names), ends, np.fromiter((u for p in parts for u in p), np.int64, int(ends[-1]))
+        ends, flat = array("i", [0]), array("i")
+        for w in self.names:
+            flat.extend([names[u] for u in pre_tokens(w)])
+            ends.append(len(flat))
+        self.names.clear()
+        return list(names), np.frombuffer(ends, np.int32), np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32)
 
     def postings(self) -> Iterator[pa.RecordBatch]:
         if not self.rows:
             return
         units, ends, flat = self.units()
-        doc = np.repeat(np.arange(len(self.words)), [len(w) for w in self.words])
-        key, times = np.unique((doc << 32) | np.concatenate(self.words), return_counts=True)
-        doc, word = key >> 32, key & 0xFFFFFFFF
-        n = (ends[1:] - ends[:-1])[word]
-        first = np.repeat(ends[word] - (np.cumsum(n) - n), n)
-        unit = flat[first + np.arange(int(n.sum()))]
-        key, back = np.unique((unit << 32) | np.repeat(doc, n), return_inverse=True)
-        times = np.bincount(back, np.repeat(times, n), len(key)).astype(np.int32)
-        unit, doc = key >> 32, key & 0xFFFFFFFF
-        starts = np.searchsorted(unit, np.arange(len(units) + 1))
-        at = (np.array(self.rows)[doc] - self.rows[0]).astype(np.int32)
+        base = self.rows[0]
+        row = np.repeat((np.array(self.rows) - base).astype(np.int32), [len(w) for w in self.word])
+        word, times = np.concatenate(self.word), np.concatenate(self.times)
+        self.word, self.times = [], []
+        n = np.diff(ends)[word]
+        spot = np.arange(int(n.sum()), dtype=np.int32)
+        spot += np.repeat(ends[word] - (np.cumsum(n, dtype=np.int32) - n), n)
+        key, times = flat[spot].astype(np.int64), np.repeat(times, n)
+        del spot, word
+        key <<= ROW_BITS
+        key |= np.repeat(row, n)
+        del row, n
+        order = np.argsort(key)
+        key, times = key[order], times[order]
+        del order
+        first = np.nonzero(np.diff(key, prepend=-1))[0]
+        key, times = key[first], np.add.reduceat(times, first)
+        del first
+        # what does not fit beside a row goes into further entries
+        if times.max() > MOST_TIMES:
+            more = -(-times // MOST_TIMES)
+            times = np.repeat(times, more) - MOST_TIMES * (np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more))
+            key, times = np.repeat(key, more), np.minimum(times, MOST_TIMES)
+        packed = (times.astype(np.int32) << ROW_BITS) | (key & ((1 << ROW_BITS) - 1)).astype(np.int32)
+        starts = np.searchsorted(key >> ROW_BITS, np.arange(len(units) + 1))
+        salt = np.where(np.diff(starts) >= HOT, crc32(str(base).encode()) % SALTS, 0).astype(np.int32)
         for a in range(0, len(units), 20_000):
             b = min(len(units), a + 20_000)
-            cut = pa.array((starts[a : b + 1] - starts[a]).astype(np.int32))
-            part = slice(starts[a], starts[b])
-            yield pa.RecordBatch.from_arrays([pa.array(units[a:b], pa.binary()).cast(pa.string()), pa.array(np.full(b - a, self.rows[0])), pa.ListArray.from_arrays(cut, pa.array(at[part])), pa.ListArray.from_arrays(cut, pa.array(times[part]))], ["unit", "base", "at", "times"])
+            lists = pa.ListArray.from_arrays(pa.array((starts[a : b + 1] - starts[a]).astype(np.int32)), pa.array(packed[starts[a] : starts[b]]))
+            yield pa.RecordBatch.from_arrays([pa.array(units[a:b], pa.binary()).cast(pa.string()), pa.array(salt[a:b]), pa.array(np.full(b - a, base)), lists], ["unit", "salt", "base", "posted"])
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     run = _Run()
     for b in batches:
         for row, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
-            if run.rows and (run.size >= RUN_WORDS or not 0 <= row - run.rows[0] < 1 << 31):
+            if not run.takes(row):
                 yield from run.postings()
                 run = _Run()
             run.add(row, text or b"")
     yield from run.postings()
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct pre-tokens of a run of rows."""
-    words: set[bytes] = set()
-
-    def out() -> Iterator[pa.RecordBatch]:
-        units = list({u for w in words for u in pre_tokens(w)})
-        for a in range(0, len(units), 20_000):
-            yield pa.RecordBatch.from_arrays([pa.array(units[a : a + 20_000], pa.binary()).cast(pa.string())], ["unit"])
-
-    for b in batches:
-        for text in b.column(0).cast(pa.binary()).to_pylist():
-            text = text or b""
-            words.update(text.split() if b"<|" in text else text.translate(LOWER).split())
-            if len(words) > 500_000:
-                yield from out()
-                words.clear()
-    yield from out()
-
-
 def piece_counts(units: DataFrame, path: str) -> DataFrame:
-    """(unit, n_pieces) for distinct pre-tokens."""
+    """(unit, salt, n_pieces): each row's pre-token is given to the tokenizer once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load(path)
         for b in batches:
             names = b.column(0).to_pylist()
             n = [len(e.ids) for at in range(0, len(names), 5000) for e in tok.encode_batch_fast(names[at : at + 5000], add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32())], ["unit", "n_pieces"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int32())], ["unit", "salt", "n_pieces"])
 
-    return units.mapInArrow(run, "unit string, n_pieces int")
+    return units.mapInArrow(run, "unit string, salt int, n_pieces int")
 
 
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, limit: int = 2048) -> DataFrame:
@@ -134,10 +143,15 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     must be a scan or a staged table (see with_row_id)."""
     path = tokenizer or tokenizer_path()
     rows = with_row_id(docs.select(F.col(id_col), F.col(text_col).alias("text")))
-    sizes = piece_counts(docs.select(text_col).mapInArrow(_units, "unit string").distinct(), path)
-    posted = rows.select("_row", "text").mapInArrow(_postings, "unit string, base bigint, at array<int>, times array<int>")
-    each = posted.join(sizes, "unit").select("base", "n_pieces", F.explode(F.arrays_zip("at", "times")).alias("p"))
-    sums = each.groupBy((F.col("base") + F.col("p.at")).alias("_row")).agg(F.sum(F.col("n_pieces").cast("bigint") * F.col("p.times")).alias("n"))
+    posted = rows.select("_row", "text").mapInArrow(_postings, "unit string, salt int, base bigint, posted array<int>")
+    # One exchange serves both sides: the distinct pre-tokens are drawn from it, and the join finds it as it needs it. The
+    # sums keep every column in use, and what the join and the explode filter out is filtered before, so that both sides
+    # read the same exchange.
+    posted = posted.where("unit is not null and salt is not null and posted is not null and size(posted) > 0").repartition("unit", "salt")
+    distinct = posted.groupBy("unit", "salt").agg(F.sum(F.size("posted")).alias("n_docs"), F.max("base").alias("last"))
+    each = posted.join(piece_counts(distinct, path), ["unit", "salt"]).select("base", "n_pieces", F.explode("posted").alias("p"))
+    row, times = F.col("base") + F.col("p").bitwiseAND(F.lit((1 << ROW_BITS) - 1)), F.shiftright("p", ROW_BITS)
+    sums = each.groupBy(row.alias("_row")).agg(F.sum(F.col("n_pieces").cast("bigint") * times).alias("n"))
     n = F.coalesce("n", F.lit(0).cast("bigint"))
     out = rows.select("_row", id_col, F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")).join(sums, "_row", "left")
     return out.select(id_col, "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))
