@@ -17,7 +17,7 @@ from .common import ascii_lower
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words of a template that the index holds, words of a text that are looked up, postings that must agree.
-ANCHORS, LOOKED_UP, AGREE = 5, 12, 2
+ANCHORS, LOOKED_UP, AGREE = 12, 12, 2
 
 #: Phrases whose places are counted, with their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}

@@ -1,7 +1,7 @@
 """Cross-site boilerplate lines by distinct-site spread, in DataFrame operations only.
 
-A line's spread is the number of sites it stands on. Copies of a page say nothing about its lines, so occurrences count once
-for each neighbourhood, the least line (by hash) of the rest of their document. HyperLogLog sketches of the sites merge line
+A line's spread is the number of sites it stands on. Copies of a page say nothing about its lines, so a page counts once, at
+the first of its sites. HyperLogLog sketches of the sites merge line
 by line; lines whose estimate lies near the threshold get an exact distinct count. A line that reaches the threshold stays
 where it stands first and goes everywhere else.
 """
@@ -20,21 +20,20 @@ SPACES = " \t\n\x0b\x0c\r"
 
 
 def line_keys(rows: DataFrame, site_col: str) -> DataFrame:
-    """(_row, site, key, pos, around): each line of MIN_WORDS words or more; key is the MD5 of the trimmed line, around
-    the least key of the document's other lines with a word."""
+    """(id, _row, site, key, pos, page): each line of MIN_WORDS words or more; key and page are the MD5 of the trimmed line and
+    of the whole text."""
     bare = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(F.trim(F.translate(x, SPACES[1:], "     ")).alias("s"), i.alias("pos"))), lambda x: x["s"] != "")
-    rows = rows.select("_row", F.coalesce(F.col(site_col).cast("string"), F.lit("")).alias("site"), bare.alias("lines"))
-    keyed = F.transform("lines", lambda x: F.struct(F.unhex(F.md5(x["s"].cast("binary"))).alias("key"), x["pos"].alias("pos"), (F.length(x["s"]) - F.length(F.translate(x["s"], " ", "")) + 1).alias("gaps")))
-    rows = rows.select("_row", "site", keyed.alias("lines"))
-    rows = rows.withColumn("least", F.slice(F.array_sort(F.array_distinct(F.col("lines")["key"])), 1, 2))
-    each = rows.select("_row", "site", "least", F.explode("lines").alias("x")).where(F.col("x.gaps") >= MIN_WORDS)
-    around = F.when(F.get("least", F.lit(0)) == F.col("x.key"), F.get("least", F.lit(1))).otherwise(F.get("least", F.lit(0)))
-    return each.select("_row", "site", "x.key", "x.pos", around.alias("around"))
+    digest = lambda s: F.unhex(F.md5(s.cast("binary")))
+    rows = rows.select("id", "_row", F.coalesce(F.col(site_col).cast("string"), F.lit("")).alias("site"), digest(F.col("text")).alias("page"), bare.alias("lines"))
+    words = lambda s: F.length(s) - F.length(F.translate(s, " ", "")) + 1
+    long_ = F.filter("lines", lambda x: words(x["s"]) >= MIN_WORDS)
+    keyed = F.transform(long_, lambda x: F.struct(digest(x["s"]).alias("key"), x["pos"].alias("pos")))
+    return rows.select("id", "_row", "site", "page", F.explode(keyed).alias("x")).select("id", "_row", "site", "x.key", "x.pos", "page")
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """(key, first): the lines on min_sites sites or more, and where each stands first."""
-    spots = staged(lines.groupBy("key", "around").agg(F.min("site").alias("site"), F.min(F.struct("_row", "pos")).alias("first")), "spots")
+    spots = staged(lines.groupBy("key", "page").agg(F.min("site").alias("site"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row", "pos")).alias("first")), "spots")
     sketch = spots.groupBy("key").agg(F.hll_sketch_agg("site", SKETCH).alias("sketch"), F.min("first").alias("first"))
     guess = staged(sketch.select("key", "first", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= int(min_sites * NEAR[0])), "spread")
     sure = guess.where(F.col("sites") > min_sites * NEAR[1]).select("key", "first")
@@ -43,15 +42,15 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return sure.unionByName(near.join(exact.select("key"), "key", "left_semi").select("key", "first"))
 
 
-def dedup_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """docs with text_col cleaned, n_lines (lines with a word before) and n_removed.
 
-    Lines are compared without white space around them; those of fewer than MIN_WORDS words stay, being no evidence.
+    The first place is that in the document with the smallest id. Lines are compared without white space around them; those of fewer than MIN_WORDS words stay, being no evidence.
     Documents are never dropped: one whose lines all go keeps an empty text. Null texts stay null, null sites are one site;
     repeated rows are documents of their own; an empty table gives no rows; other columns stay as they are. docs must be a
     scan or a staged table (see with_row_id)."""
     rows = with_row_id(docs.drop("n_lines", "n_removed"))
-    lines = line_keys(rows.select("_row", F.col(text_col).alias("text"), F.col(site_col).alias("source")), "source")
+    lines = line_keys(rows.select(F.col(id_col).alias("id"), "_row", F.col(text_col).alias("text"), F.col(site_col).alias("source")), "source")
     found = staged(boilerplate(lines, min_sites), "boilerplate")
     gone = lines.join(found, "key").where((F.col("first._row") != F.col("_row")) | (F.col("first.pos") != F.col("pos")))
     gone = gone.groupBy("_row").agg(F.collect_list("pos").alias("_gone"))

@@ -92,9 +92,8 @@ def oracle_sql() -> dict[str, str]:
             with l as (select doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) as pos, unnest(string_split(text, chr(10))) as line from documents where text is not null),
             b as (select doc_id, coalesce(source, '') as site, pos, trim(regexp_replace(line, '[\x09-\x0D]', ' ', 'g')) as s from l),
             k as (select *, md5(s) as key, length(s) - length(replace(s, ' ', '')) + 1 as words from b where s <> ''),
-            least2 as (select doc_id, list_sort(list_distinct(list(key)))[1:2] as least from k group by doc_id),
-            spots as (select key, pos, doc_id, site, case when least[1] = key then least[2] else least[1] end as around from k join least2 using (doc_id) where words >= 3),
-            once as (select key, around, min(site) as site from spots group by key, around),
+            spots as (select key, pos, k.doc_id, site, md5(text) as page from k join documents using (doc_id) where words >= 3),
+            once as (select key, page, min(site) as site from spots group by key, page),
             common as (select key from once group by key having count(distinct site) >= 5),
             firsts as (select key, min({'d': doc_id, 'p': pos}) as f from spots where key in (select key from common) group by key),
             gone as (select distinct s.doc_id, s.pos from spots s join firsts f on s.key = f.key where s.doc_id <> f.f.d or s.pos <> f.f.p),

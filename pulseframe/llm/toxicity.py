@@ -46,7 +46,7 @@ class _Grams:
         self.index = index
 
     def learn(self, words: set[bytes]) -> None:
-        new = list(words - self.kept.keys())
+        new = list(words.difference(self.kept))
         if len(self.kept) + len(new) > KEPT_WORDS:
             self.kept.clear()
             new = list(words)
@@ -70,15 +70,15 @@ class _Grams:
                 h = h * np.uint64(0x9E3779B97F4A7C15) + c[at + k]
             h ^= h >> np.uint64(31)
             bucket = ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
-            word = spaces[at] - 1
+            word = spaces[at].astype(np.int64) - 1
             if self.index is not None:
                 bucket = self.index[bucket]
                 word, bucket = word[bucket >= 0], bucket[bucket >= 0]
             owner.append(word)
             found.append(bucket)
-        if not owner:
+        owner, found = np.concatenate([np.zeros(0, np.int64), *owner]), np.concatenate([np.zeros(0, np.int32), *found])
+        if not len(owner):
             return
-        owner, found = np.concatenate(owner), np.concatenate(found)
         order = np.argsort(owner, kind="stable")
         owner, found = owner[order], found[order]
         starts = np.nonzero(np.diff(owner, prepend=-1))[0]
