@@ -85,6 +85,12 @@ def frame_boundaries(packets: DataFrame, expected: int = PACKETS[1], keys: tuple
     return packets.withColumn("frame_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_new")
 
 
+def split_modules(packets: DataFrame, per_module: int = PACKETS[1]) -> DataFrame:
+    """The second dialect's packets as those of its modules: packet numbers run on over the modules."""
+    n = F.col("packetnum")
+    return packets.withColumns({"module_id": F.floor(n / per_module).cast("int"), "packetnum": n % per_module})
+
+
 def packets_to_frames(packets: DataFrame, expected: int = PACKETS[1], dialect: int = 1, emit_open: bool = False, keys: tuple[str, ...] = ("module_id",)) -> DataFrame:
     """(keys, frame_no, pulse_id, frame_index, daq_rec, n_recv_packets, n_distinct_packets, seq): packets with pulse_id,
     framenum, debug, packetnum and seq, put together frame by frame. Metadata is that of the first packet seen, in the

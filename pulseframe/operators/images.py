@@ -12,9 +12,10 @@ from ..schemas import PACKETS, SYNC_OFFSET, SYNC_ROUNDS
 from .frames import complete
 
 
-def assemble_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1], check_daq_rec: bool = True, keys: tuple[str, ...] = ("pulse_id",)) -> DataFrame:
+def assemble_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1], check_daq_rec: bool = True, keys: tuple[str, ...] = ("pulse_id",), trust_source: bool = False) -> DataFrame:
     """(keys, frame_index, daq_rec, is_good_image, n_good_modules): frames folded by pulse. Metadata is that of the lowest
-    complete module, zeros without one; an image is good if all n_modules are complete and agree. One shuffle."""
+    complete module, zeros without one; an image is good if all n_modules are complete and agree. trust_source takes every image for good, as the second
+    dialect's receiver does. One shuffle."""
     ok = complete(expected)
     index, rec, module = (F.when(ok, F.col(c)) for c in ("frame_index", "daq_rec", "module_id"))
     agreed = F.min(index) == F.max(index)
@@ -25,7 +26,7 @@ def assemble_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1
     return frames.groupBy(*keys).agg(
         F.coalesce(F.min_by(index, module), zero).cast("bigint").alias("frame_index"),
         F.coalesce(F.min_by(rec, module), zero).cast("bigint").alias("daq_rec"),
-        F.coalesce((good == n_modules) & agreed, F.lit(False)).alias("is_good_image"),
+        (F.lit(True) if trust_source else F.coalesce((good == n_modules) & agreed, F.lit(False))).alias("is_good_image"),
         good.alias("n_good_modules"),
     )
 
@@ -35,10 +36,15 @@ def align_modules(frames: DataFrame, n_modules: int, keys: tuple[str, ...] = ("p
     return frames.select(*keys, "module_id").distinct().groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") == n_modules).drop("_n")
 
 
-def frames_for_notices(notices: DataFrame, frames: DataFrame) -> DataFrame:
+def frames_for_notices(notices: DataFrame, frames: DataFrame, strict: bool = False) -> DataFrame:
     """The frames that notices of (module_id, pulse_id) point at; a slot written again since then has another pulse and
-    is skipped."""
-    return notices.select("module_id", "pulse_id").join(frames, ["module_id", "pulse_id"])
+    is skipped, or in strict mode an error."""
+    keys = ["module_id", "pulse_id"]
+    if not strict:
+        return notices.select(*keys).join(frames, keys)
+    met = notices.select(*keys).join(frames.withColumn("_there", F.lit(True)), keys, "left")
+    said = F.concat(F.lit("no frame for the notice of pulse "), F.col("pulse_id").cast("string"))
+    return met.withColumn("pulse_id", F.when(F.col("_there"), F.col("pulse_id")).otherwise(F.raise_error(said).cast("bigint"))).drop("_there")
 
 
 def attach_pixels(images: DataFrame, payload: DataFrame, how: str = "inner") -> DataFrame:

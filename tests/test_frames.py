@@ -85,3 +85,8 @@ def test_shards_and_run_guard(spark) -> None:
     with pytest.raises(Exception, match="row of another run"):
         fr.run_id_guard(df, 2, strict=True).collect()
     assert fr.run_id_guard(df, 2).count() == 0
+
+
+def test_modules_of_the_second_dialect(spark) -> None:
+    df = spark.createDataFrame([(0, 0), (0, 127), (0, 128), (0, 4095)], "module_id int, packetnum int")
+    assert sorted(tuple(r) for r in fr.split_modules(df).collect()) == [(0, 0), (0, 127), (1, 0), (31, 127)]

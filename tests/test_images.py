@@ -122,3 +122,13 @@ def test_empty_run_has_no_throughput(spark) -> None:
     rows = [(1, 0, 512, 1024, 16)]
     r = st.run_write_stats(spark.createDataFrame(rows, "run_id long, write_us long, image_y_size int, image_x_size int, bits_per_pixel int")).first()
     assert r.n_bytes == 1 << 20 and r.mib_per_s is None
+
+
+def test_trusted_sources_and_strict_notices(spark) -> None:
+    rows = [(0, 1, 5, 7, 3), (1, 1, 5, 6, 128)]
+    frames = spark.createDataFrame(rows, SCHEMA)
+    assert im.assemble_images(frames, 4, trust_source=True).first().is_good_image
+    notices = spark.createDataFrame([(0, 1), (1, 2)], "module_id int, pulse_id long")
+    assert [r.module_id for r in im.frames_for_notices(notices, frames).collect()] == [0]
+    with pytest.raises(Exception, match="no frame for the notice of pulse 2"):
+        im.frames_for_notices(notices, frames, strict=True).collect()
