@@ -16,6 +16,10 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ALNUM = bytes((LOWER[c] if c >= 128 or chr(c).isalnum() else 32) for c in range(256))
 
 
+#: Folders made for local sessions without spark.checkpoint.dir, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset, a local folder for
     a local master and the warehouse for any other."""
@@ -23,9 +27,10 @@ def shared_dir(spark: SparkSession) -> str:
     if found:
         return found.rstrip("/")
     if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-        found = tempfile.mkdtemp(prefix="pulseframe-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        return found
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="pulseframe-")
+        return _LOCAL[app]
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
