@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
-SPACES = " \t\n\x0b\x0c\r"
+SPACES = r"\x20\x09-\x0D"
+HAS_WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 REPEAT, LEAST_WORDS, REPEAT_PERCENT = 8, 20, 30
 #: A document that keeps less than this share (in percent) of its words' characters is rejected.
@@ -22,18 +23,15 @@ SENTENCE_WITHIN = r"[.!?][\x20\x09]"
 BOILERPLATE = r"all rights reserved|terms of (use|service)|privacy policy|cookie|javascript|click here|sign (in|up)|log ?in|subscribe|newsletter|lorem ipsum"
 
 
-def removed(text: Column, dropped: str) -> Column:
-    """text without the characters of `dropped`."""
-    return F.translate(text, dropped, "")
-
-
 def count_of(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(removed(text, chars))
+    """Characters of text that are in the class `chars`. (A regular expression: translate() handles each character as a
+    string of its own.)"""
+    return F.regexp_count(text, F.lit(f"[{chars}]"))
 
 
 def line_passes(line: Column) -> Column:
     """The rules for a line that has a word."""
-    chars = F.length(removed(line, SPACES))
+    chars = F.length(line) - count_of(line, SPACES)
     words = F.size(F.split(F.trim(line), SPACE))
     sentence = line.rlike(SENTENCE_END) | line.rlike(SENTENCE_WITHIN)
     shouted = count_of(line, "!") * 2 > words
@@ -44,11 +42,17 @@ def line_passes(line: Column) -> Column:
 
 def repeated_words(df: DataFrame, words: str, out: str, window: int = REPEAT) -> DataFrame:
     """df with the number of words inside windows of `window` words that stand twice or more in the text. Windows are
-    compared by hash first; texts where two hashes agree are compared word by word."""
+    compared by hash first; texts where two hashes agree are compared word by word. window is a power of two."""
     df = df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
     # (each array below is used twice or more, so that no lambda computes it anew for each element)
     some = F.size("_h") >= window
-    df = df.withColumn("_g", F.when(some, F.transform(F.sequence(F.lit(1), F.size("_h") - (window - 1)), lambda i: F.xxhash64(F.slice(F.col("_h"), i, window)))))
+    # hashes of 2, 4 and 8 words, each from two of half the length
+    held, step = "_h", 1
+    while step < window:
+        both = F.zip_with(held, F.slice(held, step + 1, F.size(held)), lambda a, b: F.xxhash64(a, b))
+        df = df.withColumn(f"_h{2 * step}", F.when(some, both))
+        held, step = f"_h{2 * step}", 2 * step
+    df = df.withColumn("_g", F.when(some, F.slice(held, 1, F.size(held) - (window - 1))))
     df = df.withColumn("_twice", F.coalesce(F.size(F.array_distinct("_g")) < F.size("_g"), F.lit(False)))
     spots = F.transform(F.sequence(F.lit(1), F.size(words) - (window - 1)), lambda i: F.struct(F.array_join(F.slice(F.col(words), i, window), " ").alias("s"), i.alias("i")))
     df = df.withColumn("_z", F.when(F.col("_twice"), F.array_sort(spots)))
@@ -62,7 +66,7 @@ def repeated_words(df: DataFrame, words: str, out: str, window: int = REPEAT) ->
         lambda a, i: F.struct((a["n"] + i + window - F.greatest(i, a["to"])).alias("n"), (i + window).alias("to")),
         lambda a: a["n"],
     )
-    return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("bigint")).drop("_h", "_g", "_twice", "_z", "_at")
+    return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("bigint")).drop("_h", "_h2", "_h4", "_h8", "_g", "_twice", "_z", "_at")
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -73,7 +77,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Null and wordless texts have no words, fail the base rules and are not kept (clean_text null for null). Texts are
     judged whole; repeated rows and null ids stay; an empty table gives no rows; other columns are not looked at."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.array_remove(F.split(text, SPACE), "").alias("_words"), F.filter(F.split(text, "\n"), lambda x: F.length(removed(x, SPACES)) > 0).alias("_lines"))
+    df = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.array_remove(F.split(text, SPACE), "").alias("_words"), F.filter(F.split(text, "\n"), lambda x: x.rlike(HAS_WORD)).alias("_lines"))
     df = repeated_words(df, "_words", "n_repeat_words")
     df = df.withColumn("_good", F.array_join(F.filter("_lines", line_passes), "\n"))
     text = F.coalesce("_text", F.lit(""))
@@ -81,13 +85,14 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     df = df.select(
         id_col,
         long_(F.size("_words")).alias("n_words"),
-        long_(F.length(removed(text, SPACES))).alias("word_chars"),
+        long_(F.length(F.array_join("_words", ""))).alias("word_chars"),
         long_(count_of(text, SYMBOLS)).alias("n_symbols"),
         long_(F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("n_dup_lines"),
         "n_repeat_words",
         F.when(F.col("_text").isNotNull(), F.col("_good")).alias("clean_text"),
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    left = F.length(removed(F.coalesce("clean_text", F.lit("")), SPACES))
+    good = F.coalesce("clean_text", F.lit(""))
+    left = F.length(good) - count_of(good, SPACES)
     df = df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (100 * left >= KEEP_PERCENT * F.col("word_chars")))
     return df.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text")
