@@ -183,7 +183,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """docs with held_out, score (0 to 1) and predicted (1 from the threshold on).
 
     Null and wordless texts get the score of a text without features; repeated rows, null ids and other columns stay as
-    they are; an empty table gives no rows."""
+    they are, but for columns with the names of the three, which are replaced; an empty table gives no rows."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
