@@ -16,16 +16,15 @@ from .common import staged, with_row_id
 MIN_SITES, MIN_WORDS = 5, 3
 #: log2 of a sketch's registers (3 % error); estimates within these factors of the threshold are counted exactly.
 SKETCH, NEAR = 10, (0.5, 2.0)
-SPACES = " \t\n\x0b\x0c\r"
 
 
 def line_keys(rows: DataFrame, site_col: str) -> DataFrame:
     """(id, _row, site, key, pos, page): each line of MIN_WORDS words or more; key and page are the MD5 of the trimmed line and
     of the whole text."""
-    bare = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(F.trim(F.translate(x, SPACES[1:], "     ")).alias("s"), i.alias("pos"))), lambda x: x["s"] != "")
+    bare = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(F.trim(F.regexp_replace(x, r"[\x09-\x0D]", " ")).alias("s"), i.alias("pos"))), lambda x: x["s"] != "")
     digest = lambda s: F.unhex(F.md5(s.cast("binary")))
     rows = rows.select("id", "_row", F.coalesce(F.col(site_col).cast("string"), F.lit("")).alias("site"), digest(F.col("text")).alias("page"), bare.alias("lines"))
-    words = lambda s: F.length(s) - F.length(F.translate(s, " ", "")) + 1
+    words = lambda s: F.regexp_count(s, F.lit(" ")) + 1
     long_ = F.filter("lines", lambda x: words(x["s"]) >= MIN_WORDS)
     keyed = F.transform(long_, lambda x: F.struct(digest(x["s"]).alias("key"), x["pos"].alias("pos")))
     return rows.select("id", "_row", "site", "page", F.explode(keyed).alias("x")).select("id", "_row", "site", "x.key", "x.pos", "page")
@@ -56,6 +55,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = gone.groupBy("_row").agg(F.collect_list("pos").alias("_gone"))
     out = rows.join(gone, "_row", "left")
     parts = F.split(text_col, "\n")
-    bare = F.filter(parts, lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    bare = F.filter(parts, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     left = F.filter(parts, lambda x, i: ~F.array_contains("_gone", i))
     return out.select(*[F.when(F.col("_gone").isNull(), F.col(c)).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")], F.when(F.col(text_col).isNull(), 0).otherwise(F.size(bare)).cast("bigint").alias("n_lines"), F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("bigint").alias("n_removed"))
