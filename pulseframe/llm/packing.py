@@ -21,19 +21,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged, with_row_id
-from .tokens import WordPieces, tokenizer_path
+from .tokens import tokenizer_path, word_pieces
 
 WINDOW, STEPS, DEPTH = 4096, 64, 3
 END_ID = 2
 #: Rows that a running sum handles in one task.
-RUN = 50_000
+RUN = 10_000
 
 
 def token_ids(rows: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """(_row, id, n, ids): a text's ids and the end id, little-endian in the tokenizer's smallest unsigned type."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = WordPieces(tokenizer)
+        pieces = word_pieces(tokenizer)
         end, size = np.array([end_id], pieces.dtype).tobytes(), pieces.dtype.itemsize
         for b in batches:
             texts, at = b.column(2).cast(pa.binary()).to_pylist(), 0
@@ -178,7 +178,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     ids = staged(token_ids(rows, path, end_id), "ids")
     put = places(ids.select("_row", "n"), window)
     each = put.groupBy("_row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("put"))
-    size = WordPieces(path).dtype.itemsize
+    size = word_pieces(path).dtype.itemsize
     kind = rows.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

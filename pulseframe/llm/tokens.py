@@ -8,13 +8,19 @@ space stays inside a word and is left to the library. Special strings hold no wh
 from __future__ import annotations
 
 import os
+import re
+from functools import lru_cache
 
 import numpy as np
 
+from .common import LOWER
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words kept by a worker; beyond it the table starts anew, which costs time only.
-KEPT_WORDS = 600_000
+#: Words kept by a worker; beyond it a new table is begun, into which words of the one before are taken when they come up.
+KEPT_WORDS = 400_000
+_ENDED = re.compile(rb"(?:[0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,]$")
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -33,26 +39,60 @@ def load(path: str):
 
 
 class WordPieces:
-    """ids of texts as little-endian arrays of the smallest unsigned type that holds the vocabulary."""
+    """For a vocabulary that lower-cases, splits letters from marks and marks the last piece of a word. ids of texts as
+    little-endian arrays of the smallest unsigned type that holds the vocabulary."""
 
     def __init__(self, path: str):
         self.tok = load(path)
-        self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 65536 else "<u4")
+        n = self.tok.get_vocab_size()
+        self.dtype = np.dtype("<u2" if n <= 65536 else "<u4")
+        self.last = np.zeros(n, bool)
+        for piece, i in self.tok.get_vocab().items():
+            self.last[i] = piece.endswith("</w>")
         self.kept: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        names = list(words)
-        for at in range(0, len(names), 20_000):
-            part = names[at : at + 20_000]
+        self.older: dict[bytes, bytes] = {}
+
+    def _encode(self, words: list[bytes]) -> None:
+        """Words one by one; those of letters alone, which are one pre-token each, by the line."""
+        plain = [w for w in words if _LETTERS.fullmatch(w)]
+        for at in range(0, len(plain), 1000):
+            part = plain[at : at + 1000]
+            ids = np.array(self.tok.encode(b" ".join(part).decode(), add_special_tokens=False).ids, self.dtype)
+            ends = np.nonzero(self.last[ids])[0] + 1
+            if len(ends) != len(part):
+                continue
+            data, size = ids.tobytes(), self.dtype.itemsize
+            to = (ends * size).tolist()
+            self.kept.update(zip(part, [data[a:b] for a, b in zip([0, *to], to, strict=False)], strict=True))
+        rest = [w for w in words if w not in self.kept]
+        for at in range(0, len(rest), 20_000):
+            part = rest[at : at + 20_000]
             found = self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             self.kept.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, found, strict=True))
 
+    def _learn(self, words: set[bytes]) -> None:
+        met = [w for w in words if w in self.older]
+        self.kept.update((w, self.older[w]) for w in met)
+        words = words.difference(met)
+        # a sentence's end or a comma after a letter or digit is a pre-token of its own
+        ends = [w for w in words if _ENDED.search(w)]
+        self._encode(list(words.difference(ends).union(x for w in ends for x in (w[:-1], w[-1:])).difference(self.kept)))
+        get = self.kept.__getitem__
+        self.kept.update((w, get(w[:-1]) + get(w[-1:])) for w in ends)
+
     def ids(self, text: bytes) -> bytes:
-        words = text.split()
-        new = set(words) - self.kept.keys()
+        # the vocabulary is lower-case; a special string counts only as it is written
+        words = (text if b"<|" in text else text.translate(LOWER)).split()
+        new = set(words).difference(self.kept)
         if new:
             if len(self.kept) + len(new) > KEPT_WORDS:
-                self.kept.clear()
+                self.older, self.kept = self.kept, {}
                 new = set(words)
             self._learn(new)
         return b"".join(map(self.kept.__getitem__, words))
+
+
+@lru_cache(maxsize=1)
+def word_pieces(path: str) -> WordPieces:
+    """One table for all tasks of a Python worker."""
+    return WordPieces(path)

@@ -29,6 +29,13 @@ def test_word_by_word_is_exact(library) -> None:
         assert np.frombuffer(pieces.ids(t.encode()), pieces.dtype).tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_full_tables_change_nothing(library, monkeypatch) -> None:
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 4)
+    pieces = tokens.WordPieces(tokens.tokenizer_path())
+    for t in ["a b c d e f", "cat, cat. réeau. réeau a", *TEXTS, "a. b, c", "f e d c b a " * 3]:
+        assert np.frombuffer(pieces.ids(t.encode()), pieces.dtype).tolist() == library.encode(t, add_special_tokens=False).ids, t
+
+
 @settings(max_examples=300, deadline=None)
 @given(hs.text(alphabet=hs.one_of(hs.characters(exclude_categories=["Cs"]), hs.sampled_from(list(" '.,ABCstremvlldéÉ<|>\n_1"))), max_size=40))
 def test_pre_tokens_are_exact(text: str) -> None:
