@@ -37,7 +37,8 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     guess = staged(sketch.select("key", "first", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= int(min_sites * NEAR[0])), "spread")
     sure = guess.where(F.col("sites") > min_sites * NEAR[1]).select("key", "first")
     near = guess.where(F.col("sites") <= min_sites * NEAR[1])
-    exact = spots.join(near.select("key"), "key", "left_semi").select("key", "site").distinct().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites)
+    # pairs are made distinct before they meet, so that a line of many pages on few sites is a few rows
+    exact = spots.select("key", "site").distinct().join(near.select("key"), "key", "left_semi").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites)
     return sure.unionByName(near.join(exact.select("key"), "key", "left_semi").select("key", "first"))
 
 
