@@ -27,6 +27,8 @@ WINDOW, STEPS, DEPTH = 4096, 64, 3
 END_ID = 2
 #: Rows that a running sum handles in one task.
 RUN = 10_000
+#: Bytes of text whose words are looked up together.
+GROUP_BYTES = 1 << 20
 
 
 def token_ids(rows: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
@@ -38,11 +40,11 @@ def token_ids(rows: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
         for b in batches:
             texts, at = b.column(2).cast(pa.binary()).to_pylist(), 0
             while at < len(texts):
-                ids, to, held = [], at, 0
-                while to < len(texts) and held < 1 << 23:
-                    ids.append(pieces.ids(texts[to] or b"") + end)
-                    held += len(ids[-1])
+                to, held = at, 0
+                while to < len(texts) and held < GROUP_BYTES:
+                    held += len(texts[to] or b"") + 1
                     to += 1
+                ids = [x + end for x in pieces.many([t or b"" for t in texts[at:to]])]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), b.column(1).slice(at, to - at), pa.array([len(x) // size for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["_row", "id", "n", "ids"])
                 at = to
 

@@ -18,7 +18,7 @@ from .common import LOWER
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words kept by a worker; beyond it a new table is begun, into which words of the one before are taken when they come up.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 550_000
 _ENDED = re.compile(rb"(?:[0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,]$")
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
@@ -54,7 +54,7 @@ class WordPieces:
 
     def _encode(self, words: list[bytes]) -> None:
         """Words one by one; those of letters alone, which are one pre-token each, by the line."""
-        plain = [w for w in words if _LETTERS.fullmatch(w)]
+        plain = [w for w in words if w.isalpha() or _LETTERS.fullmatch(w)]
         for at in range(0, len(plain), 1000):
             part = plain[at : at + 1000]
             ids = np.array(self.tok.encode(b" ".join(part).decode(), add_special_tokens=False).ids, self.dtype)
@@ -75,21 +75,27 @@ class WordPieces:
         self.kept.update((w, self.older[w]) for w in met)
         words = words.difference(met)
         # a sentence's end or a comma after a letter or digit is a pre-token of its own
-        ends = [w for w in words if _ENDED.search(w)]
+        ends = [w for w in words if w[-1] in b".," and _ENDED.search(w)]
         self._encode(list(words.difference(ends).union(x for w in ends for x in (w[:-1], w[-1:])).difference(self.kept)))
         get = self.kept.__getitem__
         self.kept.update((w, get(w[:-1]) + get(w[-1:])) for w in ends)
 
-    def ids(self, text: bytes) -> bytes:
+    def many(self, texts: list[bytes]) -> list[bytes]:
+        """ids of a few texts, whose words are looked for together."""
         # the vocabulary is lower-case; a special string counts only as it is written
-        words = (text if b"<|" in text else text.translate(LOWER)).split()
-        new = set(words).difference(self.kept)
+        words = [(t if b"<|" in t else t.translate(LOWER)).split() for t in texts]
+        all_ = set().union(*words)
+        new = all_.difference(self.kept)
         if new:
             if len(self.kept) + len(new) > KEPT_WORDS:
                 self.older, self.kept = self.kept, {}
-                new = set(words)
+                new = all_
             self._learn(new)
-        return b"".join(map(self.kept.__getitem__, words))
+        get = self.kept.__getitem__
+        return [b"".join(map(get, w)) for w in words]
+
+    def ids(self, text: bytes) -> bytes:
+        return self.many([text])[0]
 
 
 @lru_cache(maxsize=1)
