@@ -1,8 +1,8 @@
 """Licence scan by a positional index of rare words, in column expressions only.
 
-The index holds, for each licence template, the postings of its words that are rarest in the whole corpus. A text's words
-are looked up from the rarest on; the postings of those found propose a template wherever two or more agree on its start;
-a proposal stands if one of the licence's key phrases is in the text.
+The index holds, for each licence template, the postings of its words that are rarest in the whole corpus. All words of a
+text are looked up; the postings of those found propose a template wherever two or more agree on its start; a proposal
+stands if one of the licence's key phrases is in the text, so texts without any key phrase are not looked up.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from .common import ascii_lower
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Words of a template that the index holds, words of a text that are looked up, postings that must agree.
-ANCHORS, LOOKED_UP, AGREE = 12, 12, 2
+#: Words of a template that the index holds, postings that must agree.
+ANCHORS, AGREE = 12, 2
 
 #: Phrases whose places are counted, with their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -91,8 +91,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     index = F.create_map(*[x for w in rarest for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(i).alias("i")) for t, i in postings[w]]))])
 
     df = docs.select(F.col(id_col), words_of(F.col(text_col)).alias("_w"))
-    df = df.withColumn("_top", F.slice(F.array_intersect(F.array(*map(F.lit, rarest)), "_w"), 1, LOOKED_UP))
-    df = df.withColumn("_has", F.array_contains("_w", "license")).withColumn("_any", F.size("_top") > 0)
+    df = df.withColumn("_has", F.array_contains("_w", "license"))
+    df = df.withColumn("_text", F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" ")))
+    phrases = {label: keys for label, keys, _ in TEMPLATES}
+    stands = F.array(*[F.when(_any(F.col("_text"), phrases[label]), F.lit(label)) for label in phrases])
+    df = df.withColumn("_stands", F.filter(stands, lambda x: x.isNotNull()))
+    df = df.withColumn("_top", F.when(F.size("_stands") > 0, F.array_intersect(F.array(*map(F.lit, rarest)), "_w")))
 
     # base: places where a phrase's words stand consecutively; all phrases end in the same word
     ends = F.filter(F.transform("_w", lambda w, i: F.when(w == "license", i)), lambda i: i.isNotNull())
@@ -110,9 +114,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     df = df.withColumn("_base", F.when(F.col("_has"), F.filter(F.transform("_ends", place), lambda b: b.isNotNull())))
 
-    # method: relative positions of the rarest words
+    # method: relative positions of the index's words
     spots = F.filter(F.transform("_w", lambda w, i: F.when(F.array_contains("_top", w), F.struct(w.alias("w"), i.alias("at")))), lambda s: s.isNotNull())
-    df = df.withColumn("_spots", F.when(F.col("_any"), spots))
+    df = df.withColumn("_spots", F.when(F.size("_top") > 0, spots))
     votes = F.flatten(F.transform("_spots", lambda s: F.transform(F.element_at(index, s["w"]), lambda p: F.struct(p["t"].alias("t"), (s["at"] - p["i"]).alias("off")))))
     df = df.withColumn("_z", F.when(F.size("_spots") >= AGREE, F.array_sort(votes)))
     z = F.col("_z")
@@ -120,13 +124,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     df = df.withColumn("_runs", F.when(F.size("_z") >= AGREE, firsts))
     runs = F.zip_with("_runs", F.concat(F.slice("_runs", 2, F.size("_runs")), F.array(F.size(z))), lambda a, b: F.struct(F.get(z, a)["t"].alias("t"), (b - a).alias("n")))
     df = df.withColumn("_met", F.when(F.col("_runs").isNotNull(), F.array_distinct(F.filter(runs, lambda r: r["n"] >= AGREE))))
-    df = df.withColumn("_text", F.when(F.size("_met") > 0, F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" "))))
-    phrases = {label: keys for label, keys, _ in TEMPLATES}
-    stands = F.array(*[F.when(_any(F.col("_text"), phrases[label]), F.lit(label)) for label in phrases])
-    df = df.withColumn("_stands", F.when(F.col("_text").isNotNull(), F.filter(stands, lambda x: x.isNotNull())))
     name = lambda m: F.element_at(F.array(*map(F.lit, labels)), m["t"] + 1)
     whole = lambda m: F.element_at(F.array(*map(F.lit, held)), m["t"] + 1)
-    df = df.withColumn("_kept", F.when(F.size("_stands") > 0, F.filter("_met", lambda m: F.array_contains("_stands", name(m)))))
+    df = df.withColumn("_kept", F.when(F.size("_met") > 0, F.filter("_met", lambda m: F.array_contains("_stands", name(m)))))
     none = F.array().cast("array<string>")
     base = F.coalesce(F.array_distinct(F.transform("_base", lambda b: b["label"])), none)
     found = F.coalesce(F.array_distinct(F.transform("_kept", name)), none)

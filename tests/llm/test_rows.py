@@ -31,6 +31,18 @@ def test_licences(spark, odd) -> None:
     assert licenses.scan(odd).count() == odd.count() and licenses.scan(odd.limit(0)).count() == 0
 
 
+def test_licences_of_a_file_with_several(spark) -> None:
+    """No index word of a text is left out, however many it holds."""
+    whole = {label: " ".join(texts) for label, _, texts in licenses.TEMPLATES}
+    texts = [" xyzzy ".join(whole.values()), whole["mit"] + " All rights reserved.", whole["apache"] + " All rights reserved.", whole["gpl"] + " All rights reserved."]
+    plain = [f"plain text number {i}" for i in range(40)] + ["all rights reserved"] * 20
+    df = spark.createDataFrame(list(enumerate(texts + plain)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert got[0].labels == ",".join(sorted(whole))
+    assert [got[i].labels for i in (1, 2, 3)] == ["mit,rights-reserved", "apache,rights-reserved", "gpl,rights-reserved"]
+    assert all(got[i].score == 1 for i in range(4))
+
+
 def test_quality(spark, odd) -> None:
     prose = "\n".join(f"Here {i} comes word{i} and word{i + 50} with a{i} new{i} end." for i in range(9))
     texts = [None, "", prose, "a b c d e f g h " * 9, prose + "\n" + prose, "Home | About | News | Contact\n" * 3 + "One sentence of a few words stands here.", "WORD!! " * 30, "x " * 19, "#tag " * 40, prose + "\nAll rights reserved."]
