@@ -2,8 +2,9 @@
 
 A window network predicts every token from the tokens on both sides of it; the sum of the conditional log-probabilities is
 the text's score. Words are counted over the whole corpus; frequent ones are tokens of their own, all others are told apart
-by their ending. Tokens are dealt to classes by frequency and spelling, the network predicts the class, and a token has its
-share of the class's count. The network is trained in numpy: each task starts from the same weights, descends along all its texts,
+by their ending. Tokens are dealt to classes by frequency and spelling, the network predicts the class, and a word has its
+own share of the class's count: frequent words by a table that tasks hold, all others by a join with the counts of all
+words, so that only the network's input has a fixed size. The network is trained in numpy: each task starts from the same weights, descends along all its texts,
 and the weights are averaged by the number of tokens seen.
 """
 
@@ -57,8 +58,8 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
 
 @dataclass
 class Tokens:
-    """token: of frequent words; of_class and log_share: of each token, its class and its log share of the class; log_class: of
-    each class, its log share of all words."""
+    """token: of frequent words; of_class and log_share: of each token, its class and its log share of the class, for an
+    ending that of a word seen once; log_class: of each class, its log share of all words."""
 
     token: dict[bytes, int]
     of_class: np.ndarray
@@ -75,15 +76,14 @@ def tokens(counts: DataFrame) -> Tokens:
     """The vocabulary from the counts of all words. The driver sees VOCABULARY words and ENDINGS sums."""
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     token = {r["word"].encode(): i for i, r in enumerate(top)}
-    # the mass of all other words by their ending, with the mean log share of a word within its ending
+    # the mass of all other words by their ending
     ending = F.crc32(F.substring(F.encode("word", "UTF-8"), -3, 3)) % ENDINGS
     rest = counts.join(F.broadcast(counts.sparkSession.createDataFrame([(r["word"],) for r in top], "word string")), "word", "left_anti")
-    sums = rest.groupBy(ending.cast("int").alias("e")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
+    sums = rest.groupBy(ending.cast("int").alias("e")).agg(F.sum("n").alias("n")).collect()
     mass = np.full(len(token) + ENDINGS, 0.5)
     mass[: len(token)] = [r["n"] for r in top]
-    kinds = np.ones(len(mass))
     for r in sums:
-        mass[len(token) + r["e"]], kinds[len(token) + r["e"]] = r["n"], r["words"]
+        mass[len(token) + r["e"]] = r["n"]
     # the most frequent words are classes of their own; the others share classes of about equal mass, words from the end
     # backwards in alphabetical order, so that words of one language and kind come together
     of_class = np.empty(len(mass), np.int64)
@@ -94,7 +94,8 @@ def tokens(counts: DataFrame) -> Tokens:
     of_class[spelt] = OWN + np.minimum(SPELT - 1, (SPELT * (upto - mass[spelt]) / max(1.0, mass[spelt].sum())).astype(np.int64))
     of_class[len(token) :] = OWN + SPELT + np.arange(ENDINGS) % RARE
     total = np.bincount(of_class, mass, CLASSES)
-    return Tokens(token, of_class, np.log(mass / total[of_class]) - np.log(kinds), np.log((total + 0.5) / (total + 0.5).sum()))
+    own = np.where(np.arange(len(mass)) < len(token), mass, 1.0)
+    return Tokens(token, of_class, np.log(own / total[of_class]), np.log((total + 0.5) / (total + 0.5).sum()))
 
 
 def start(vocabulary: Tokens, seed: int = 7) -> list[np.ndarray]:
@@ -146,8 +147,8 @@ def step(net: list[np.ndarray], sums: list[np.ndarray], near: np.ndarray, want:
         net[i][rows] -= RATE * g / np.sqrt(sums[i][rows] + 1e-8)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: int, vocabulary: Tokens, size: int) -> Iterator[tuple[pa.RecordBatch, list[int], np.ndarray, np.ndarray]]:
-    """Runs of rows with their numbers of tokens, their tokens and, for each token, where its text ends."""
+def _texts(batches: Iterator[pa.RecordBatch], column: int, vocabulary: Tokens, size: int) -> Iterator[tuple[pa.RecordBatch, list[int], list[bytes], np.ndarray, np.ndarray]]:
+    """Runs of rows with their numbers of tokens, their words, their tokens and, for each token, where its text ends."""
     for b in batches:
         texts, at = b.column(column).cast(pa.binary()).to_pylist(), 0
         while at < len(texts):
@@ -158,7 +159,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, vocabulary: Tokens, s
                 lens.append(len(own))
                 to += 1
             n = np.array(lens, np.int64)
-            yield b.slice(at, to - at), lens, vocabulary.ids(words), np.repeat(np.cumsum(n), n)
+            yield b.slice(at, to - at), lens, words, vocabulary.ids(words), np.repeat(np.cumsum(n), n)
             at = to
 
 
@@ -171,7 +172,7 @@ def train(docs: DataFrame, text_col: str, vocabulary: Tokens) -> list[np.ndarray
         v = sent.value
         net, seen = start(v), 0
         sums = [np.zeros_like(w) for w in net]
-        for _, _, ids, ends in _texts(batches, 0, v, 1 << 17):
+        for _, _, _, ids, ends in _texts(batches, 0, v, 1 << 17):
             near = windows(ids, ends, len(v.of_class))
             masked = np.random.default_rng(len(ids)).permutation(len(ids))[: -(-len(ids) // MASKED)]
             for at in range(0, len(masked), BATCH):
@@ -218,13 +219,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     Null and wordless texts have no tokens, log_prob 0 and mean_log_prob null. Repeated rows and null ids stay; texts are
     scored whole; an empty table gives no rows; other columns are not looked at."""
-    vocabulary = tokens(staged(word_counts(docs, text_col), "words"))
+    counts = staged(word_counts(docs, text_col), "words")
+    vocabulary = tokens(counts)
     net = train(docs, text_col, vocabulary)
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, net = sent.value
-        for b, lens, ids, ends in _texts(batches, 1, v, 1 << 15):
+        for b, lens, words, ids, ends in _texts(batches, 2, v, 1 << 15):
             near, got = windows(ids, ends, len(v.of_class)), np.zeros(len(ids))
             for at in range(0, len(ids), 1 << 14):
                 own = ids[at : at + (1 << 14)]
@@ -232,8 +234,25 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             stops = np.unique(ends)
             n, sums = np.array(lens, np.int64), np.zeros(len(lens))
             sums[n > 0] = np.bincount(np.searchsorted(stops, ends), got)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(sums)], ["id", "n_tokens", "log_prob"])
+            rest = np.nonzero(ids >= len(v.token))[0]
+            cuts = np.searchsorted(rest, np.concatenate(([0], np.cumsum(n))))
+            rare: list[bytes] = []
+            times: list[int] = []
+            upto = [0]
+            for k in range(len(n)):
+                held = Counter([words[i] for i in rest[cuts[k] : cuts[k + 1]].tolist()])
+                rare += held.keys()
+                times += held.values()
+                upto.append(len(rare))
+            pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())], ["word", "times"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(sums), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pairs)], ["_row", "id", "n_tokens", "log_prob", "rare"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens bigint, log_prob double")
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # the numbers of the rows are made once, in what is written here
+    scored = staged(rows.mapInArrow(run, f"_row bigint, id {kind}, n_tokens bigint, log_prob double, rare array<struct<word: string, times: bigint>>"), "scored")
+    pairs = scored.select("_row", F.explode("rare").alias("x")).select("_row", "x.word", "x.times")
+    own = pairs.join(counts, "word", "left").select("_row", (F.col("times") * F.log(F.coalesce(F.col("n").cast("double"), F.lit(0.5)))).alias("own"))
+    own = own.groupBy("_row").agg(F.sum("own").alias("own"))
+    out = scored.drop("rare").join(own, "_row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("own", F.lit(0.0)))
     return out.select(F.col("id").alias(id_col), "n_tokens", "log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob"))

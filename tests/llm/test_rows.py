@@ -156,6 +156,15 @@ def test_language_model(spark, odd) -> None:
     assert lm_scoring.score(odd.limit(0)).count() == 0
 
 
+def test_words_beyond_the_vocabulary_have_their_own_share(spark, monkeypatch) -> None:
+    """Of two such words with one ending, in the same place, the more common one scores above the other by the log of its count."""
+    monkeypatch.setattr(lm_scoring, "VOCABULARY", 3)
+    texts = ["aa bb cc"] * 40 + ["firstxyz"] * 20 + ["secondxyz", "firstxyz secondxyz firstxyz", ""]
+    got = {r.doc_id: r for r in lm_scoring.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)).collect()}
+    assert len(got) == len(texts) and got[61].n_tokens == 3 and got[62].log_prob == 0
+    assert abs(got[40].log_prob - got[60].log_prob - np.log(22 / 2)) < 1e-4
+
+
 def test_score_is_the_sum_of_conditionals() -> None:
     """Pseudo-likelihood token by token, against windows made one by one."""
     v = lm_scoring.Tokens({b"a": 0, b"b": 1}, np.arange(2 + lm_scoring.ENDINGS) % lm_scoring.CLASSES, np.full(2 + lm_scoring.ENDINGS, -1.0), np.full(lm_scoring.CLASSES, -np.log(lm_scoring.CLASSES)))
