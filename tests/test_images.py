@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulseframe.operators import images as im
 from pulseframe.operators import stats as st
@@ -82,6 +83,25 @@ def test_sync_exact_equals_simulation(spark, seed) -> None:
     assert all(n >= sets[p] for p, n in got)
 
 
+@pytest.mark.parametrize("share", [7, 1000])
+def test_sync_exact_is_dealt_by_segment(spark, share) -> None:
+    """One detector's segments go to several tasks; detectors, null and unknown modules and long gaps do not mix."""
+    rng = random.Random(share)
+    notices = {d: {m: [p for p in range(1, 3000) if rng.random() > lost and not (m == 2 and 500 < p < 1700)] for m in range(4)} for d, lost in (("JF", 0.05), (None, 0.5))}
+    rows = [(d, m, p) for d in notices for m in notices[d] for p in notices[d][m]]
+    rows += [("JF", 4, p) for p in range(1, 3000)] + [("JF", None, 5), *rows[:50]]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "detector_name string, module_id int, pulse_id long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        synced = im.sync_pulses(df, 4, share=share).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for d in notices:
+        assert sorted((r.pulse_id, r.n_lost_pulses) for r in synced if r.detector_name == d) == simulated(notices[d])
+        assert len({r.task for r in synced if r.detector_name == d}) > 1
+
+
 def test_forms_differ_where_rounds_add_up(spark) -> None:
     """Two rounds that each discard one notice of another module: the exact form counts both."""
     rows = [("JF", 0, p) for p in (1, 4)] + [("JF", 1, p) for p in (2, 4)] + [("JF", 2, p) for p in (2, 3, 4)]
