@@ -17,18 +17,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from .common import staged, with_row_id
 from .tokens import tokenizer_path, word_pieces
 
 WINDOW, STEPS, DEPTH = 4096, 64, 3
 END_ID = 2
-#: Rows that a running sum handles in one task.
-RUN = 10_000
+#: Rows of a share of a running sum, and shares that are summed in one window.
+RUN, SHARES = 256, 100_000
 #: Bytes of text whose words are looked up together.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 3 << 20
 
 
 def token_ids(rows: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
@@ -36,16 +38,17 @@ def token_ids(rows: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = word_pieces(tokenizer)
-        end, size = np.array([end_id], pieces.dtype).tobytes(), pieces.dtype.itemsize
+        size = pieces.dtype.itemsize
         for b in batches:
-            texts, at = b.column(2).cast(pa.binary()).to_pylist(), 0
-            while at < len(texts):
-                to, held = at, 0
-                while to < len(texts) and held < GROUP_BYTES:
-                    held += len(texts[to] or b"") + 1
-                    to += 1
-                ids = [x + end for x in pieces.many([t or b"" for t in texts[at:to]])]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), b.column(1).slice(at, to - at), pa.array([len(x) // size for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["_row", "id", "n", "ids"])
+            held = np.cumsum(pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            at = 0
+            while at < b.num_rows:
+                to = max(at + 1, int(np.searchsorted(held, (held[at - 1] if at else 0) + GROUP_BYTES, side="right")))
+                ids, n = pieces.many(b.column(2).slice(at, to - at))
+                ids = np.insert(ids, np.cumsum(n), end_id).astype(pieces.dtype, copy=False)
+                ends = np.concatenate(([0], np.cumsum(n + 1) * size)).astype(np.int32)
+                data = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), b.column(1).slice(at, to - at), pa.array(n + 1), data], ["_row", "id", "n", "ids"])
                 at = to
 
     kind = rows.schema["id"].dataType.simpleString()
@@ -108,26 +111,44 @@ def plan(counts: np.ndarray, steps: int = STEPS, depth: int = DEPTH) -> list[tup
 
 def running(df: DataFrame, value: str, out: str, rows: int, group: str | None = None, order: tuple[str, ...] = ("_row",)) -> DataFrame:
     """df with the sum of `value` over all rows before, of the group if given. The order is by a hash of the first key, so
-    no task holds more than a share of a group, then by `order`."""
-    df = df.withColumn("_share", F.pmod(F.xxhash64(order[0]), F.lit(max(1, math.ceil(rows / RUN)))))
-    by = [group, "_share"] if group else ["_share"]
-    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    no task holds more than a share of a group, then by `order`. `rows` says how many rows there are, about."""
+    n = max(1, math.ceil(rows / RUN))
+    df = df.withColumn("_share", F.pmod(F.xxhash64(order[0]), F.lit(n)))
+    by = [group] if group else []
+    own = F.coalesce(F.sum(value).over(_before(by, "_share").orderBy(*order)), F.lit(0).cast("bigint"))
+    ahead = _sums_ahead(df.groupBy(*by, "_share").agg(F.sum(value).alias("_sum")), by, n)
+    return df.withColumn("_own", own).join(ahead, [*by, "_share"]).withColumn(out, F.col("_own") + F.col("_ahead")).drop("_own", "_ahead", "_share")
+
+
+def _before(*keys: list[str] | str) -> WindowSpec:
+    flat = [k for x in keys for k in (x if isinstance(x, list) else [x])]
+    return Window.partitionBy(*flat).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _sums_ahead(shares: DataFrame, by: list[str], n: int) -> DataFrame:
+    """(by, _share, _ahead) from (by, _share, _sum): what the shares before hold. More shares than one window should have
+    are summed by shares of shares."""
     zero = F.lit(0).cast("bigint")
-    shares = df.groupBy(*by).agg(F.sum(value).alias("_sum"))
-    ahead = Window.partitionBy(*([group] if group else [])).orderBy("_share")
-    shares = shares.select(*by, F.coalesce(F.sum("_sum").over(before(ahead)), zero).alias("_ahead"))
-    own = F.coalesce(F.sum(value).over(before(Window.partitionBy(*by).orderBy(*order))), zero)
-    return df.withColumn("_own", own).join(shares, by).withColumn(out, F.col("_own") + F.col("_ahead")).drop("_own", "_ahead", "_share")
+    if n <= SHARES:
+        return shares.select(*by, "_share", F.coalesce(F.sum("_sum").over(_before(by).orderBy("_share")), zero).alias("_ahead"))
+    shares = shares.withColumn("_top", F.expr(f"_share div {RUN}"))
+    tops = shares.groupBy(*by, F.col("_top").alias("_share")).agg(F.sum("_sum").alias("_sum"))
+    tops = _sums_ahead(tops, by, math.ceil(n / RUN)).select(*by, F.col("_share").alias("_top"), F.col("_ahead").alias("_above"))
+    own = F.coalesce(F.sum("_sum").over(_before(by, "_top").orderBy("_share")), zero)
+    return shares.withColumn("_own", own).join(tops, [*by, "_top"]).select(*by, "_share", (F.col("_own") + F.col("_above")).alias("_ahead"))
 
 
 def places(lengths: DataFrame, window: int = WINDOW, steps: int = STEPS) -> DataFrame:
     """(_row, start, length, sequence_id, offset) for (_row, n): where each piece of each document goes."""
     spark, unit = lengths.sparkSession, window // steps
-    rest = lengths.select("_row", (F.col("n") - F.col("n") % window).alias("start"), (F.col("n") % window).alias("length")).where("length > 0").withColumn("step", (F.col("length") / unit).cast("int"))
-    counts = np.zeros(steps, np.int64)
-    for r in rest.groupBy("step").count().collect():  # `steps` rows at most
-        counts[r["step"]] = r["count"]
-    n = int(counts.sum())
+    rest = lengths.select("_row", "n", (F.col("n") - F.col("n") % window).alias("start"), (F.col("n") % window).alias("length"))
+    rest = rest.withColumn("step", F.when(F.col("length") > 0, (F.col("length") / unit).cast("int")))
+    counts, n_whole = np.zeros(steps, np.int64), 0
+    for r in rest.groupBy("step").agg(F.count("*").alias("n"), F.count_if(F.col("n") >= window).alias("whole")).collect():  # steps + 1 rows at most
+        n_whole += r["whole"]
+        if r["step"] is not None:
+            counts[r["step"]] = r["n"]
+    n, rest = int(counts.sum()), rest.where("length > 0").drop("n")
 
     slots, used, first = [], np.zeros(steps, np.int64), 0
     for way, times in plan(counts, steps):
@@ -164,7 +185,7 @@ def places(lengths: DataFrame, window: int = WINDOW, steps: int = STEPS) -> Data
     end = end.select("_row", (F.col("start") + low - F.col("offset")).alias("start"), (high - low).alias("length"), "sequence_id", (low - F.col("t_low")).alias("offset"))
 
     whole = lengths.select("_row", F.expr(f"n div {window}").alias("windows")).where("windows > 0")
-    whole = running(whole, "windows", "before", n, order=("_row",)).withColumn("i", F.explode(F.expr("sequence(0L, windows - 1)")))
+    whole = running(whole, "windows", "before", n_whole).withColumn("i", F.explode(F.expr("sequence(0L, windows - 1)")))
     full = whole.select("_row", (F.col("i") * window).alias("start"), F.lit(window).cast("bigint").alias("length"), (F.col("before") + F.col("i") + first + last + len(sizes)).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     return planned.unionByName(greedy).unionByName(end).unionByName(full)
 

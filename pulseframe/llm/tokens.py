@@ -10,10 +10,11 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
-
-from .common import LOWER
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -39,63 +40,110 @@ def load(path: str):
 
 
 class WordPieces:
-    """For a vocabulary that lower-cases, splits letters from marks and marks the last piece of a word. ids of texts as
-    little-endian arrays of the smallest unsigned type that holds the vocabulary."""
+    """For a vocabulary that lower-cases, splits letters from marks and marks the last piece of a word. Words have numbers,
+    by which their ids are found in one array; texts are split and their distinct words found in Arrow, so that Python
+    sees each distinct word of a group of texts once."""
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.tok = load(path)
+        # words of plain letters need no more than the merges
+        self.merges = Tokenizer(self.tok.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         n = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2" if n <= 65536 else "<u4")
         self.last = np.zeros(n, bool)
         for piece, i in self.tok.get_vocab().items():
             self.last[i] = piece.endswith("</w>")
-        self.kept: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.number: dict[bytes, int] = {}
+        self.flat, self.ends = np.zeros(1 << 16, self.dtype), np.zeros(1 << 14, np.int64)
+        self.older: tuple[dict[bytes, int], np.ndarray, np.ndarray] | None = None
+
+    def _add(self, words: list[bytes], ids: np.ndarray, lens: np.ndarray) -> None:
+        n, at = len(self.number), int(self.ends[len(self.number) - 1]) if self.number else 0
+        if at + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat[:at], np.zeros(max(at, len(ids)) + len(ids), self.dtype)))
+        if n + len(words) > len(self.ends):
+            self.ends = np.concatenate((self.ends[:n], np.zeros(max(n, len(words)) + len(words), np.int64)))
+        self.flat[at : at + len(ids)] = ids
+        self.ends[n : n + len(words)] = at + np.cumsum(lens)
+        self.number.update(zip(words, range(n, n + len(words)), strict=True))
 
     def _encode(self, words: list[bytes]) -> None:
-        """Words one by one; those of letters alone, which are one pre-token each, by the line."""
-        plain = [w for w in words if w.isalpha() or _LETTERS.fullmatch(w)]
-        for at in range(0, len(plain), 1000):
-            part = plain[at : at + 1000]
-            ids = np.array(self.tok.encode(b" ".join(part).decode(), add_special_tokens=False).ids, self.dtype)
-            ends = np.nonzero(self.last[ids])[0] + 1
-            if len(ends) != len(part):
-                continue
-            data, size = ids.tobytes(), self.dtype.itemsize
-            to = (ends * size).tolist()
-            self.kept.update(zip(part, [data[a:b] for a, b in zip([0, *to], to, strict=False)], strict=True))
-        rest = [w for w in words if w not in self.kept]
+        """Words of ASCII and Latin-1 letters alone, which are one pre-token each, by the line; others one by one."""
+        plain = [w for w in words if _LETTERS.fullmatch(w)]
+        lines = [plain[at : at + 100] for at in range(0, len(plain), 100)]
+        for at in range(0, len(lines), 200):
+            part = lines[at : at + 200]
+            for own, e in zip(part, self.merges.encode_batch_fast([b" ".join(x).decode().lower() for x in part], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, self.dtype)
+                ends = np.nonzero(self.last[ids])[0] + 1
+                if len(ends) == len(own):
+                    self._add(own, ids, np.diff(ends, prepend=0))
+        rest = [w for w in words if w not in self.number]
         for at in range(0, len(rest), 20_000):
             part = rest[at : at + 20_000]
-            found = self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.kept.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, found, strict=True))
-
-    def _learn(self, words: set[bytes]) -> None:
-        met = [w for w in words if w in self.older]
-        self.kept.update((w, self.older[w]) for w in met)
-        words = words.difference(met)
+            found = [e.ids for e in self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
+            lens = np.fromiter(map(len, found), np.int64, len(found))
+            self._add(part, np.fromiter(chain.from_iterable(found), self.dtype, int(lens.sum())), lens)
+
+    def _learn(self, words: list[bytes]) -> None:
+        if self.older:
+            number, flat, ends = self.older
+            met = [w for w in words if w in number]
+            self._add(met, *_gather(flat, ends, np.fromiter(map(number.__getitem__, met), np.int64, len(met))))
+            words = [w for w in words if w not in self.number]
         # a sentence's end or a comma after a letter or digit is a pre-token of its own
-        ends = [w for w in words if w[-1] in b".," and _ENDED.search(w)]
-        self._encode(list(words.difference(ends).union(x for w in ends for x in (w[:-1], w[-1:])).difference(self.kept)))
-        get = self.kept.__getitem__
-        self.kept.update((w, get(w[:-1]) + get(w[-1:])) for w in ends)
-
-    def many(self, texts: list[bytes]) -> list[bytes]:
-        """ids of a few texts, whose words are looked for together."""
+        ended = [w for w in words if w[-1:] in (b".", b",") and _ENDED.search(w)]
+        parts = {x for w in ended for x in (w[:-1], w[-1:])}
+        self._encode(list(parts.union(words).difference(ended).difference(self.number)))
+        ended = [w for w in ended if w not in self.number]
+        get = self.number.__getitem__
+        both = np.fromiter((x for w in ended for x in (get(w[:-1]), get(w[-1:]))), np.int64, 2 * len(ended))
+        ids, lens = _gather(self.flat, self.ends, both)
+        self._add(ended, ids, lens[::2] + lens[1::2])
+
+    def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a few texts, one after the other, and how many each has. Nulls count as empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
         # the vocabulary is lower-case; a special string counts only as it is written
-        words = [(t if b"<|" in t else t.translate(LOWER)).split() for t in texts]
-        all_ = set().union(*words)
-        new = all_.difference(self.kept)
+        words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+        held = words.flatten().dictionary_encode()
+        names = _names(held.dictionary)
+        if b"" not in self.number:
+            self._add([b""], np.zeros(0, self.dtype), np.zeros(1, np.int64))
+        number = np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
+        new = np.nonzero(number < 0)[0].tolist()
+        if len(self.number) + len(new) > KEPT_WORDS:
+            self.older = (self.number, self.flat, self.ends)
+            self.number, self.flat, self.ends = {}, np.zeros_like(self.flat), np.zeros_like(self.ends)
+            new = range(len(names))
         if new:
-            if len(self.kept) + len(new) > KEPT_WORDS:
-                self.older, self.kept = self.kept, {}
-                new = all_
-            self._learn(new)
-        get = self.kept.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+            self._learn([names[i] for i in new])
+            number[new] = np.fromiter(map(self.number.__getitem__, map(names.__getitem__, new)), np.int64, len(new))
+        number = number[held.indices.to_numpy()]
+        ids, lens = _gather(self.flat, self.ends, number)
+        upto = np.concatenate(([0], np.cumsum(lens)))
+        return ids, np.diff(upto[words.offsets.to_numpy() - words.offsets[0].as_py()])
 
     def ids(self, text: bytes) -> bytes:
-        return self.many([text])[0]
+        return self.many(pa.array([text], pa.binary()))[0].tobytes()
+
+
+def _gather(flat: np.ndarray, ends: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of the words with these numbers in turn, how many each has)."""
+    starts = np.where(number > 0, ends[number - 1], 0)
+    lens = ends[number] - starts
+    upto = np.cumsum(lens)
+    return flat[np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(starts - (upto - lens), lens)], lens
+
+
+def _names(words: pa.Array) -> list[bytes]:
+    """Words without white space as Python has them, by one split rather than one by one."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_py().encode()
+    found = joined.split(b" ")
+    return found if len(found) == len(words) else words.cast(pa.binary()).to_pylist()
 
 
 @lru_cache(maxsize=1)
