@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,11 +19,13 @@ ALNUM = bytes((LOWER[c] if c >= 128 or chr(c).isalnum() else 32) for c in range(
 
 #: Folders made for local sessions without spark.checkpoint.dir, by application.
 _LOCAL: dict[str, str] = {}
+#: Tables staged and not removed yet.
+_STAGED: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset, a local folder for
-    a local master and the warehouse for any other."""
+    a local master, whose driver and executor are one process, and the warehouse for any other."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
@@ -35,20 +38,49 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it again. Cuts the lineage; lost executors cost nothing."""
+    """Writes df as Parquet into the shared folder and reads it again. Cuts the lineage; lost executors cost nothing. The
+    result's staged_at says where, for clear()."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _STAGED.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def staged_now() -> list[str]:
+    """The tables staged so far and still there."""
+    return list(_STAGED)
+
+
+def clear(spark: SparkSession, paths: list[str]) -> None:
+    """Removes staged tables that nothing reads any more."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        if path in _STAGED:
+            _STAGED.remove(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Plans that give the same rows in the same partitions and order each time they are read.
+_FIXED = re.compile(r"^[\s:+|\-]*(Project|Filter|Relation|LogicalRelation|LocalRelation|Union|LocalLimit 0)\b")
+
+
+def _is_fixed(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return all(_FIXED.match(line) for line in plan.splitlines() if line.strip())
+
+
 def with_row_id(df: DataFrame, name: str = "_row") -> DataFrame:
-    """A key for each row, so that null and repeated ids stay apart. The input must be a scan or a staged table, whose
-    partitions hold the same rows in the same order each time they are read."""
+    """A key for each row, so that null and repeated ids stay apart. It holds as long as each reading gives the same rows in
+    the same partitions and order, as columns of a scan or of a staged table do; any other input is staged first."""
+    if not _is_fixed(df):
+        df = staged(df, "rows")
     return df.withColumn(name, F.monotonically_increasing_id())
 
 

@@ -28,7 +28,7 @@ TEMPLATES = [
         "released under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
     ]),
-    ("apache", ["apache license"], [
+    ("apache", ["apache license", "apache org licenses license 2 0"], [
         "Licensed under the Apache License, Version 2.0",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     ]),

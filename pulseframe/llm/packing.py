@@ -17,20 +17,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from .common import staged, with_row_id
 from .tokens import tokenizer_path, word_pieces
+from .words import groups
 
 WINDOW, STEPS, DEPTH = 4096, 64, 3
 END_ID = 2
 #: Rows of a share of a running sum, and shares that are summed in one window.
 RUN, SHARES = 256, 100_000
-#: Bytes of text whose words are looked up together.
-GROUP_BYTES = 3 << 20
 
 
 def token_ids(rows: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
@@ -40,16 +38,12 @@ def token_ids(rows: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
         pieces = word_pieces(tokenizer)
         size = pieces.dtype.itemsize
         for b in batches:
-            held = np.cumsum(pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
-            at = 0
-            while at < b.num_rows:
-                to = max(at + 1, int(np.searchsorted(held, (held[at - 1] if at else 0) + GROUP_BYTES, side="right")))
-                ids, n = pieces.many(b.column(2).slice(at, to - at))
+            for part in groups(b, 2):
+                ids, n = pieces.many(part.column(2))
                 ids = np.insert(ids, np.cumsum(n), end_id).astype(pieces.dtype, copy=False)
                 ends = np.concatenate(([0], np.cumsum(n + 1) * size)).astype(np.int32)
                 data = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), b.column(1).slice(at, to - at), pa.array(n + 1), data], ["_row", "id", "n", "ids"])
-                at = to
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n + 1), data], ["_row", "id", "n", "ids"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.select("_row", "id", "text").mapInArrow(run, f"_row bigint, id {kind}, n bigint, ids binary")

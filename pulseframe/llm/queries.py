@@ -93,8 +93,7 @@ def oracle_sql() -> dict[str, str]:
             b as (select doc_id, coalesce(source, '') as site, pos, trim(regexp_replace(line, '[\x09-\x0D]', ' ', 'g')) as s from l),
             k as (select *, md5(s) as key, length(s) - length(replace(s, ' ', '')) + 1 as words from b where s <> ''),
             spots as (select key, pos, k.doc_id, site, md5(text) as page from k join documents using (doc_id) where words >= 3),
-            once as (select key, page, min(site) as site from spots group by key, page),
-            common as (select key from once group by key having count(distinct site) >= 5),
+            common as (select key from spots group by key having count(distinct site) >= 5 and count(distinct page) >= 5),
             firsts as (select key, min({'d': doc_id, 'p': pos}) as f from spots where key in (select key from common) group by key),
             gone as (select distinct s.doc_id, s.pos from spots s join firsts f on s.key = f.key where s.doc_id <> f.f.d or s.pos <> f.f.p),
             kept as (select l.doc_id, string_agg(l.line, chr(10) order by l.pos) filter (g.pos is null) as text, count(g.pos) as n_removed,

@@ -5,6 +5,10 @@ its upper levels, fitted on a bounded sample, cut the fingerprint space into sha
 that holds it and to every later shard that the triangle bounds cannot rule out. Inside a shard the search goes on with
 a tree of its own and compares what is left bit by bit, so all pairs within the radius are found and no other. A shard
 returns links to the smallest member of each of its clusters, not all pairs; connected components join the shards.
+
+Edited copies differ in more bits than a vantage-point tree can prune by (at a Jaccard similarity of 0.8 about ten of 64).
+Where a similarity is asked for, texts that agree in a band of MinHash values are candidates too, each with the text of the
+band that agrees with the most others, and the exact similarity of their shingle sets decides.
 """
 
 from __future__ import annotations
@@ -17,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, staged
+from .common import LOWER, clear, staged, with_row_id
+from .words import groups, words_of
 
 RADIUS = 3
 SHINGLE = 3
@@ -25,6 +30,8 @@ SHINGLE = 3
 SHARD, VISITORS = 32_768, 262_144
 #: Levels of the shared tree at most (larger inputs get larger shards), and sample rows per shard that fit it.
 LEVELS, SAMPLE_PER_SHARD = 12, 16
+#: MinHash bands and the values of each: two texts of similarity 0.8 agree in a band with probability 0.998.
+BANDS, VALUES = 20, 6
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -177,6 +184,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> Data
 def components(edges: DataFrame) -> DataFrame:
     """(a, b): each linked node with the smallest node of its component, by large and small stars in turn."""
     edges = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    at = edges.staged_at
     mark = lambda e: e.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
     last = mark(edges)
     while last[0]:
@@ -186,7 +194,9 @@ def components(edges: DataFrame) -> DataFrame:
         low = edges.groupBy("a").agg(F.min("b").alias("m"))
         joined = edges.join(low, "a")
         edges = joined.select("a", F.col("m").alias("b")).unionByName(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
-        edges = staged(edges, "edges")
+        before, edges = at, staged(edges, "edges")
+        at = edges.staged_at
+        clear(edges.sparkSession, [before])
         now = mark(edges)
         if now == last:
             break
@@ -194,16 +204,112 @@ def components(edges: DataFrame) -> DataFrame:
     return edges
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+def shingle_hashes(h: np.ndarray, shingle: int) -> np.ndarray:
+    """Hashes of all runs of `shingle` words from the hashes of the words; of all words, if they are fewer."""
+    n = max(1, len(h) - shingle + 1) if len(h) else 0
+    g = np.zeros(n, np.uint64)
+    for i in range(min(shingle, len(h))):
+        g = (g ^ (g >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n]
+    g ^= g >> np.uint64(32)
+    g *= np.uint64(0xD6E8FEB86659FD93)
+    return g ^ (g >> np.uint64(32))
+
+
+def _word_hashes(texts: pa.Array) -> list[np.ndarray]:
+    from xxhash import xxh64_intdigest
+
+    names, number, n = words_of(texts)
+    h = np.fromiter(map(xxh64_intdigest, names), np.uint64, len(names))[number]
+    return np.split(h, np.cumsum(n)[:-1])
+
+
+def band_keys(g: np.ndarray) -> np.ndarray:
+    """A key for each band of MinHash values of the shingle hashes g."""
+    rng = np.random.default_rng(11)
+    factor, mask = (rng.integers(0, 1 << 32, BANDS * VALUES, np.uint32) for _ in range(2))
+    factor |= np.uint32(1)
+    low, least = (g >> np.uint64(32)).astype(np.uint32), np.full(BANDS * VALUES, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(low), 2048):
+        least = np.minimum(least, ((low[at : at + 2048, None] ^ mask) * factor).min(axis=0))
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for v in least.reshape(BANDS, VALUES).T:
+        keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + v
+    return keys ^ (keys >> np.uint64(32))
+
+
+def _prints_and_keys(rows: DataFrame, shingle: int) -> DataFrame:
+    """(_row, fp, keys) of (_row, text): the SimHash fingerprint and the band keys of a text's word shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in groups(batch, 1):
+                fps, keys, upto = [], [], [0]
+                for h in _word_hashes(b.column(1)):
+                    g = shingle_hashes(h, shingle)
+                    fps.append(_from_counts(sum(_bits(g[at : at + 65536]) for at in range(0, len(g), 65536)), len(g)) if len(g) else 0)
+                    if len(g):
+                        keys.append(band_keys(g))
+                    upto.append(upto[-1] + BANDS * (len(g) > 0))
+                flat = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(flat))], ["_row", "fp", "keys"])
+
+    return rows.select("_row", "text").mapInArrow(run, "_row bigint, fp bigint, keys array<bigint>")
+
+
+def similar_links(rows: DataFrame, prints: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """(a bigint, b bigint): fingerprints whose texts have a Jaccard similarity of `similarity` or more. Candidates are, band
+    by band, a fingerprint and the one of those with the same key that agrees with the most others in all bands."""
+    each = prints.select("fp", F.explode("keys").alias("key")).distinct()
+    sizes = each.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    each = staged(each.join(sizes, "key"), "bands")
+    liked = each.groupBy("fp").agg(F.sum("size").alias("liked"))
+    middle = each.join(liked, "fp").groupBy("key").agg(F.max_by("fp", F.struct("liked", "fp")).alias("middle"))
+    pairs = staged(each.join(middle, "key").where("fp <> middle").select(F.col("fp").alias("a"), F.col("middle").alias("b")).distinct(), "pairs")
+    # of several texts with one fingerprint the first stands for all: they are linked anyway
+    first = prints.groupBy("fp").agg(F.min("_row").alias("_row"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in groups(batch, 1):
+                held = [np.unique(shingle_hashes(h, shingle)).tobytes() for h in _word_hashes(b.column(1))]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(held, pa.binary())], ["fp", "held"])
+
+    texts = rows.join(first.join(wanted, "fp"), "_row").select("fp", "text")
+    held = staged(texts.mapInArrow(sets, "fp bigint, held binary"), "sets")
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                kept.append(both >= similarity * (len(x) + len(y) - both))
+            yield b.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
+    both = pairs.join(held.select(F.col("fp").alias("a"), F.col("held").alias("x")), "a").join(held.select(F.col("fp").alias("b"), F.col("held").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(close, "a bigint, b bigint")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """(id_col, fp, component_id): a row for each row of docs. component_id is the smallest id reachable over links of
-    `radius` or fewer differing bits, the row's own included.
+    `radius` or fewer differing bits, the row's own included. With a similarity, texts whose shingle sets have that
+    Jaccard similarity are linked too; shingles are then hashed from their words' hashes.
 
     Null or wordless texts have fingerprint zero and are linked like any other; texts are read whole; repeated rows stay,
     each with its component; null ids stay and never name a component unless it has no other (then null); an empty table
     gives no rows; other columns are not looked at."""
-    prints = staged(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    least = staged(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct")
-    roots = components(links(least, radius))
+    if similarity is None:
+        prints = staged(fingerprints(docs, id_col, text_col, shingle).withColumnRenamed(id_col, "id"), "fingerprints")
+    else:
+        rows = with_row_id(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+        keyed = staged(_prints_and_keys(rows, shingle), "fingerprints")
+        prints = rows.select("_row", "id").join(keyed.select("_row", "fp"), "_row").select("id", "fp")
+    least = staged(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    found = links(least, radius)
+    if similarity is not None:
+        found = found.unionByName(similar_links(rows, keyed, similarity, shingle))
+    roots = components(found)
     of = least.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(of.join(names, "root").select("fp", "component_id"), "fp", "left").select(id_col, "fp", "component_id")
+    return prints.join(of.join(names, "root").select("fp", "component_id"), "fp", "left").select(F.col("id").alias(id_col), "fp", "component_id")

@@ -14,7 +14,8 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+
+from .words import words_of
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -106,13 +107,8 @@ class WordPieces:
 
     def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a few texts, one after the other, and how many each has. Nulls count as empty."""
-        texts = pc.fill_null(texts.cast(pa.string()), "")
         # the vocabulary is lower-case; a special string counts only as it is written
-        words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
-        held = words.flatten().dictionary_encode()
-        names = _names(held.dictionary)
-        if b"" not in self.number:
-            self._add([b""], np.zeros(0, self.dtype), np.zeros(1, np.int64))
+        names, held, n = words_of(texts, keep_special=True)
         number = np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
         new = np.nonzero(number < 0)[0].tolist()
         if len(self.number) + len(new) > KEPT_WORDS:
@@ -122,10 +118,9 @@ class WordPieces:
         if new:
             self._learn([names[i] for i in new])
             number[new] = np.fromiter(map(self.number.__getitem__, map(names.__getitem__, new)), np.int64, len(new))
-        number = number[held.indices.to_numpy()]
-        ids, lens = _gather(self.flat, self.ends, number)
+        ids, lens = _gather(self.flat, self.ends, number[held])
         upto = np.concatenate(([0], np.cumsum(lens)))
-        return ids, np.diff(upto[words.offsets.to_numpy() - words.offsets[0].as_py()])
+        return ids, np.diff(upto[np.concatenate(([0], np.cumsum(n)))])
 
     def ids(self, text: bytes) -> bytes:
         return self.many(pa.array([text], pa.binary()))[0].tobytes()
@@ -139,13 +134,6 @@ def _gather(flat: np.ndarray, ends: np.ndarray, number: np.ndarray) -> tuple[np.
     return flat[np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(starts - (upto - lens), lens)], lens
 
 
-def _names(words: pa.Array) -> list[bytes]:
-    """Words without white space as Python has them, by one split rather than one by one."""
-    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_py().encode()
-    found = joined.split(b" ")
-    return found if len(found) == len(words) else words.cast(pa.binary()).to_pylist()
-
-
 @lru_cache(maxsize=1)
 def word_pieces(path: str) -> WordPieces:
     """One table for all tasks of a Python worker."""

@@ -103,10 +103,12 @@ def features(texts: list[bytes | None], grams: _Grams) -> Iterator[np.ndarray]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int) -> DataFrame:
-    """(text, y) of the sampled labelled rows that are not held out."""
+    """(text, y) of at most `sample` labelled ids that are not held out, one row for each: of several texts with one id the
+    one that hashes lowest, of several labels the highest."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
     ids = known.groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("y")).orderBy(F.xxhash64(id_col), id_col).limit(sample)
-    return docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(staged(ids, "labelled")), id_col).select("text", "y")
+    met = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(staged(ids.withColumnRenamed(id_col, "id"), "labelled")), "id")
+    return met.groupBy("id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.max("y").alias("y")).select("text", "y")
 
 
 def held_out(id_col: str) -> Column:
@@ -134,7 +136,12 @@ def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
-    """Fits on labelled rows that are not held out. Without rows of both kinds the model knows only their share."""
+    """Fits on at most `sample` labelled ids that are not held out, one text for each; the driver holds the features of
+    these. Without rows of both kinds the model knows only their share.
+
+    Null ids and null labels teach nothing; null and empty texts are texts without features; repeated rows and labels of an
+    id count once; ids without a text, and an empty table, give no rows to learn from; the order of the rows plays no part;
+    other columns are not looked at."""
     rows = staged(training_rows(docs, labels, id_col, text_col, label_col, sample), "training")
     toxic, clean, n1, n0 = bucket_counts(rows)
     bias = float(np.log((n1 + 1.0) / (n0 + 1.0)))
@@ -157,9 +164,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             found = [x.astype("<i4").tobytes() for x in features(b.column(0).cast(pa.binary()).to_pylist(), grams)]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.binary())], ["y", "found"])
 
-    got = rows.mapInArrow(run, "y int, found binary").orderBy("y", "found").toArrow()
-    y = got["y"].to_numpy().astype(float)
-    each = [np.frombuffer(x, "<i4") for x in got["found"].to_pylist()]
+    got = rows.mapInArrow(run, "y int, found binary").toArrow()  # `sample` rows at most, put in order here
+    got = sorted(zip(got["y"].to_pylist(), got["found"].to_pylist(), strict=True))
+    y, each = np.array([x for x, _ in got], float), [np.frombuffer(x, "<i4") for _, x in got]
     weight, bias = logistic(each, y, ratio, bias)
     return Model(index, weight * ratio, bias)
 
@@ -179,12 +186,15 @@ def logistic(each: list[np.ndarray], y: np.ndarray, scale: np.ndarray, bias: flo
     return w[:-1], float(w[-1])
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs with held_out, score (0 to 1) and predicted (1 from the threshold on).
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, names: tuple[str, str, str] = ("score", "predicted", "held_out")) -> DataFrame:
+    """docs with held_out, score (0 to 1) and predicted (1 from the threshold on), under these names or others.
 
     Null and wordless texts get the score of a text without features; repeated rows, null ids and other columns stay as
     they are, but for columns with the names of the three, which are replaced; an empty table gives no rows."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    score_col, predicted, held = names
+    if {id_col, text_col} & set(names):
+        raise ValueError("a column that is read cannot be replaced")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
@@ -192,8 +202,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for b in batches:
             texts = b.column(b.schema.names.index(text_col)).cast(pa.binary()).to_pylist()
             z = np.array([m.weight[x].sum() + m.bias for x in features(texts, grams)], float)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], [*b.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], [*b.schema.names, score_col])
 
-    kept = docs.drop("score", "predicted", "held_out")
-    out = kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("_score", T.DoubleType())]))
-    return out.withColumnRenamed("_score", "score").withColumn("held_out", held_out(id_col)).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    kept = docs.drop(*names)
+    out = kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    return out.withColumn(held, held_out(id_col)).withColumn(predicted, (F.col(score_col) >= threshold).cast("int"))

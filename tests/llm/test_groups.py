@@ -123,6 +123,28 @@ def test_line_dedup(spark, stored) -> None:
     assert all(got[40 + i].n_removed == 0 for i in range(12))
 
 
+def test_spread_is_over_all_sites_of_a_line(stored, spark) -> None:
+    """Pages that are each on a site of their own and copied to one more: nine sites and the common one, nine pages."""
+    rows = [(2 * i + k, f"shared line of pages\nOwn text of page {i}.", site) for i in range(9) for k, site in enumerate(("a", f"s{i}"))]
+    rows += [(100 + i, "one page on many sites", f"s{i}") for i in range(9)] + [(200 + i, f"many pages of one site\nbody {i}", "a") for i in range(9)]
+    df = stored(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(df).collect()}
+    assert [got[i] for i in range(18)] == [0] + [1] * 17
+    assert not any(got[i] for i in range(100, 109)) and not any(got[i] for i in range(200, 209))
+    again = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(df, min_pages=1).collect()}
+    assert [again[i] for i in range(100, 109)] == [0] + [1] * 8
+    short = stored(spark.createDataFrame([(i, f"Home\nBody {i}", f"s{i}") for i in range(6)], "doc_id long, text string, source string"))
+    assert [sum(r.n_removed for r in line_dedup.dedup_lines(short, min_words=n).collect()) for n in (1, 3)] == [5, 0]
+
+
+def test_shuffled_join_of_lines_gives_the_same(stored, spark, monkeypatch) -> None:
+    rows = [(i, f"said on every site there is\nOwn text {i}.", f"s{i % 7}") for i in range(40)]
+    df = stored(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    few = sorted(map(tuple, line_dedup.dedup_lines(df).collect()))
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", -1)
+    assert sorted(map(tuple, line_dedup.dedup_lines(df).collect())) == few and sum(r[-1] for r in few) == 39
+
+
 def test_threshold_is_exact(spark, stored) -> None:
     rows = [(n * 100 + i, f"line of {n} sites\nown {n} {i} text", f"s{i}") for n in range(1, 12) for i in range(n)]
     df = stored(spark.createDataFrame(rows, "doc_id long, text string, source string"))

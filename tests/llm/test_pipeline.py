@@ -6,31 +6,47 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import xxhash
 
 import corpus_pipeline as cp
-from pulseframe.llm import toxicity, tokens
+from pulseframe.llm import simhash, tokens, toxicity
 from pulseframe.llm.common import staged
 
-from .test_groups import brute, fingerprint, hits
+from .test_groups import brute, hits, lower
 from .test_tokens import check_packed
 
 SF = "/root/testdata/sf0.001"
 
 
 def lines_left(docs: list) -> dict[int, str]:
-    places, sites, seen = defaultdict(list), defaultdict(dict), {}
+    places, sites, pages = defaultdict(list), defaultdict(set), defaultdict(set)
     key = lambda x: re.sub(r"[\x09-\x0D]", " ", x).strip(" ")
-    for d in sorted(docs, key=lambda d: d.source):
-        seen.setdefault(d.text, d.source)
     for d in sorted(docs, key=lambda d: d.doc_id):
         for i, x in enumerate(d.text.split("\n")):
             if key(x) and key(x).count(" ") + 1 >= 3:
                 places[key(x)].append((d.doc_id, i))
-                sites[key(x)][d.text] = seen[d.text]
-    gone = {p for k, at in places.items() if len(set(sites[k].values())) >= 5 for p in at[1:]}
+                sites[key(x)].add(d.source)
+                pages[key(x)].add(d.text)
+    gone = {p for k, at in places.items() if len(sites[k]) >= 5 and len(pages[k]) >= 5 for p in at[1:]}
     return {d.doc_id: "\n".join(x for i, x in enumerate(d.text.split("\n")) if (d.doc_id, i) not in gone) for d in docs}
 
 
+def near_groups(texts: list[str]) -> list[int]:
+    """Groups over links of Jaccard similarity 0.8 of five-word shingles, or of SimHash fingerprints within three bits."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", lower(t)) for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    linked = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and (b := len(sets[i] & sets[j])) >= 0.8 * (len(sets[i]) + len(sets[j]) - b)]
+    prints = np.zeros(len(texts), np.uint64)
+    for i, w in enumerate(words):
+        g = simhash.shingle_hashes(np.array([xxhash.xxh64_intdigest(x.encode()) for x in w], np.uint64), 5)
+        prints[i] = sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in g) > len(g))
+    root = brute(prints, 3)
+    for i, j in linked:
+        a, b = root[i], root[j]
+        root = [min(a, b) if r in (a, b) else r for r in root]
+    return root
+
+
 def test_stages(spark) -> None:
     raw = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
@@ -46,7 +62,7 @@ def test_stages(spark) -> None:
     assert all(r.n_chars == len(r.text) for r in rows)
 
     few = staged(cp.near_dedup(spark, clean, SF), "t")
-    groups = brute(np.array([fingerprint(r.text) for r in rows], np.uint64), 3)
+    groups = near_groups([r.text for r in rows])
     of = {r.doc_id: g for r, g in zip(rows, groups, strict=True)}
     kept = [r.doc_id for r in few.collect()]
     assert sorted(of[k] for k in kept) == sorted(set(groups)) and few.columns == raw.columns
@@ -63,3 +79,59 @@ def test_stages(spark) -> None:
 def test_run_is_the_stages_in_turn(spark) -> None:
     assert [name for name, _ in cp.STAGES] == ["toxicity", "line dedup", "near dedup", "decontamination", "packing"]
     assert cp.run(spark, SF).count() > 0
+
+
+ODD = "doc_id long, text string, source string, n_chars int, _row int, _score double, _gone string, score double, n_lines int, predicted int, c0 string, fp long"
+
+
+def odd_documents(spark):  # noqa: ANN001, ANN201
+    long_ = " ".join(f"word{i % 977}" for i in range(20_000))
+    one = "one text that is here twice, and once more with another last word of it all in the end yes"
+    texts = ["plain text", "plain text", None, "", " \n", long_, one, one[:-3] + "no", "naïve Ünïcode \U0001f600"]
+    rows = [(None if i in (3, 8) else i // 2, t, None if i == 2 else "s", i, i + 100, 0.5, "g", 1.5, 7, 1, f"x{i}", 9) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, ODD)
+
+
+def test_stages_keep_columns_of_any_name(spark) -> None:
+    """Null ids, null and empty texts, repeated rows, and the names that operators use themselves."""
+    raw = odd_documents(spark)
+    given = {r.c0: r for r in raw.collect()}
+    docs = staged(raw, "t")
+    for name, stage in cp.STAGES[:4]:
+        docs = staged(stage(spark, docs, SF), "t")
+        assert docs.schema == raw.schema, name
+        for r in docs.collect():
+            want = given[r.c0].asDict() | {"n_chars": None if r.text is None else len(r.text)}
+            assert r.asDict() == (want if name != "toxicity" else given[r.c0].asDict()), name
+    # of "plain text" twice (with one id), the three wordless texts and the two near copies one each
+    left = sorted(r.c0 for r in docs.collect())
+    assert left[0] in ("x0", "x1") and left[1:] == ["x2", "x5", "x6", "x8"]
+    assert cp.packing(spark, docs, SF).select("doc_id").distinct().count() == 5
+    bare = staged(docs.drop("n_chars"), "t")
+    assert cp.line_dedup(spark, bare, SF).columns == bare.columns
+
+
+def test_stages_of_an_empty_table(spark) -> None:
+    docs = staged(odd_documents(spark).limit(0), "t")
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.count() == 0 and (name == "packing" or out.schema == docs.schema), name
+
+
+def test_near_copies_are_found(spark) -> None:
+    """Texts with edits here and there, and a large group of copies of one text, against brute force."""
+    rng = np.random.default_rng(2)
+    texts = []
+    for i in range(150):
+        base = [f"w{x}" for x in rng.integers(0, 5000, int(rng.integers(3, 150)))]
+        for _ in range(int(rng.integers(1, 4)) if i else 120):
+            own = list(base)
+            for at in rng.integers(0, len(own), int(rng.integers(0, 1 + len(own) // 25))):
+                own[at] = f"e{rng.integers(0, 10**9)}"
+            texts.append(" ".join(own))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(staged(df, "t"), shingle=5, similarity=0.8).collect()}
+    want = near_groups(texts)
+    pairs = lambda of: {(i, j) for i in range(len(texts)) for j in range(i) if of[i] == of[j]}
+    got, want = pairs(got), pairs(want)
+    assert got <= want and len(got) > 0.99 * len(want) > 5000

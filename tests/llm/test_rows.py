@@ -43,6 +43,53 @@ def test_licences_of_a_file_with_several(spark) -> None:
     assert all(got[i].score == 1 for i in range(4))
 
 
+def licence_words(text: str) -> list[str]:
+    return [x for x in re.split(licenses.NOT_WORD, re.sub("[A-Z]", lambda m: m.group().lower(), text)) if x]
+
+
+def labelled(text: str, idf: dict[str, float]) -> tuple[str, float]:
+    """Labels and score of a text by brute force: for each template, all places where it may start."""
+    w = licence_words(text)
+    said, labels, score = f" {' '.join(w)} ", set(), 0.0
+    for phrase, label in licenses.BASE.items():
+        labels |= {label} if f" {phrase} " in said else set()
+    for label, keys, texts in licenses.TEMPLATES:
+        if not any(f" {k} " in said for k in keys):
+            continue
+        for t in texts:
+            words = licence_words(t)
+            best = sorted(set(words), key=lambda x: (-idf[x], x))[: licenses.ANCHORS]
+            spots = [(i, x) for i, x in enumerate(words) if x in best]
+            for start in range(-len(words), len(w)):
+                n = sum(0 <= start + i < len(w) and w[start + i] == x for i, x in spots)
+                if n >= licenses.AGREE:
+                    labels.add(label)
+                    score = max(score, min(1.0, n / len(spots)))
+    return ",".join(sorted(labels)), score
+
+
+def test_licence_labels_and_scores(spark) -> None:
+    """Every template by itself, all pairs, parts of templates, and texts that mix their words, against brute force."""
+    rng = random.Random(9)
+    each = [t for _, _, texts in licenses.TEMPLATES for t in texts]
+    texts = [*each, *[f"{a} {b}" for a in each for b in each], " / ".join(each)]
+    bag = [x for t in each for x in licence_words(t)]
+    for _ in range(150):
+        t = rng.choice(each).split()
+        texts.append(" ".join(t[rng.randrange(len(t)) :] + rng.sample(bag, 5) + t[: rng.randrange(1, len(t) + 1)]))
+    texts += ["plain words of no licence"] * 300
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    known = {x for t in each for x in licence_words(t)}
+    held = [known.intersection(licence_words(t)) for t in texts]
+    idf = {x: np.log((1 + len(texts)) / (1 + sum(x in h for h in held))) for x in known}
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    for i, t in enumerate(texts):
+        labels, score = labelled(t, idf)
+        assert got[i].labels == labels and abs(got[i].score - score) < 1e-12, (t, got[i].labels, labels)
+    of = [label for label, _, ts in licenses.TEMPLATES for _ in ts]
+    assert all(of[i] in got[i].labels.split(",") for i in range(len(each)))
+
+
 def test_quality(spark, odd) -> None:
     prose = "\n".join(f"Here {i} comes word{i} and word{i + 50} with a{i} new{i} end." for i in range(9))
     texts = [None, "", prose, "a b c d e f g h " * 9, prose + "\n" + prose, "Home | About | News | Contact\n" * 3 + "One sentence of a few words stands here.", "WORD!! " * 30, "x " * 19, "#tag " * 40, prose + "\nAll rights reserved."]
