@@ -51,6 +51,19 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FRAMES, events=_table(spark, sf_dir, "events"))
 
 
+#: Frames of which one in 41 came again: with another module's slot left empty in its stead, or with a packet less.
+REPEATED = """
+    select seq, module_id, pulse_id, frame_index, daq_rec, n_recv_packets from {frames}
+    where seq % 43 <> 1
+    union all
+    select seq + 1000000000, module_id, pulse_id, frame_index, daq_rec, case when seq % 3 = 0 then 127 else 128 end
+    from {frames} where seq % 41 = 0 or seq % 43 = 0"""
+
+
+def repeated_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(REPEATED, frames=frames(spark, sf_dir))
+
+
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cross join with eight constants is an explode here."""
     f = frames(spark, sf_dir).withColumn("packetnum", F.explode(F.sequence(F.lit(0), F.lit(PACKETS - 1))))

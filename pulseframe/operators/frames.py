@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DATAGRAM_BYTES, MARKER, MAX_PULSE_GAP, PACKETS, RING_PULSES
+from .ordering import row_before, running_sum
 
 
 def valid_datagram(df: DataFrame, raw_col: str = "raw", size: int = DATAGRAM_BYTES) -> DataFrame:
@@ -60,15 +61,24 @@ def thin(df: DataFrame, factor: int, data_cols: list[str], seed: int | None = No
     return df.withColumns({c: F.when(F.col(flag), F.col(c)) for c in data_cols})
 
 
-def flag_sequence(frames: DataFrame, max_gap: int = MAX_PULSE_GAP, allow_repeat: bool = False, keys: tuple[str, ...] = ("module_id",)) -> DataFrame:
+#: Rows of a module's arrival order that one task puts in order, about.
+SHARE_ROWS = 200_000
+
+
+def _share(rows: int = SHARE_ROWS) -> Column:
+    return F.floor(F.col("seq") / rows)
+
+
+def flag_sequence(frames: DataFrame, max_gap: int = MAX_PULSE_GAP, allow_repeat: bool = False, keys: tuple[str, ...] = ("module_id",), share: int = SHARE_ROWS) -> DataFrame:
     """frames with `bad`: the frame index does not follow the one before, or the pulse goes back or jumps by more than
     max_gap; a repeated pulse is bad unless allowed. What goes before the first frame is 0, and a bad frame counts as the
-    one before like any other."""
-    w = Window.partitionBy(*keys).orderBy("seq")
-    index, pulse = F.lag("frame_index", 1, 0).over(w), F.lag("pulse_id", 1, 0).over(w)
+    one before like any other. Arrival order is cut into shares, so a module is no task of its own."""
+    df = row_before(frames, ["frame_index", "pulse_id"], "_before", _share(share), keys=list(keys))
+    index, pulse = F.coalesce("_before.frame_index", F.lit(0)), F.coalesce("_before.pulse_id", F.lit(0))
     step = F.col("pulse_id") - pulse
     low = step < 0 if allow_repeat else step <= 0
-    return frames.withColumn("bad", (F.col("frame_index") != index + 1) | low | (step > max_gap))
+    bad = (F.col("frame_index") != index + 1) | low | (step > max_gap)
+    return df.withColumn("bad", bad).select(*frames.columns, "bad")
 
 
 def accepted(frames: DataFrame, **guard: object) -> DataFrame:
@@ -76,13 +86,27 @@ def accepted(frames: DataFrame, **guard: object) -> DataFrame:
     return flag_sequence(frames, **guard).where(~F.col("bad")).drop("bad")
 
 
-def frame_boundaries(packets: DataFrame, expected: int = PACKETS[1], keys: tuple[str, ...] = ("module_id",)) -> DataFrame:
-    """packets with frame_no: a frame starts where framenum changes or after a frame's last packet."""
-    w = Window.partitionBy(*keys).orderBy("seq")
-    num, last = F.lag("framenum").over(w), F.lag("packetnum").over(w)
+def accepted_in_range(frames: DataFrame, start: int, stop: int, max_gap: int = MAX_PULSE_GAP, **guard: object) -> DataFrame:
+    """accepted(frames) between two pulses, without reading the whole table. The row before an accepted frame is at most
+    max_gap pulses older, so it arrived no earlier than the first frame of the range widened by that; whatever arrived from
+    there to the range's last frame is looked at, of any pulse, and nothing else. Its two ends come from a scan that the
+    pulse range prunes."""
+    low = start - max_gap
+    ends = frames.where(F.col("pulse_id").between(low, stop)).agg(F.min("seq"), F.max("seq")).first()
+    part = frames.where(F.col("seq") <= F.lit(ends[1]).cast("bigint"))
+    if low > 0:  # else the frame that starts the count may be in it
+        part = part.where(F.col("seq") >= F.lit(ends[0]).cast("bigint"))
+    return pulse_range(accepted(part, max_gap=max_gap, **guard), start, stop)
+
+
+def frame_boundaries(packets: DataFrame, expected: int = PACKETS[1], keys: tuple[str, ...] = ("module_id",), share: int = SHARE_ROWS) -> DataFrame:
+    """packets with frame_no: a frame starts where framenum changes or after a frame's last packet. Arrival order is cut
+    into shares, as in flag_sequence."""
+    df = row_before(packets, ["framenum", "packetnum"], "_before", _share(share), keys=list(keys))
+    num, last = F.col("_before.framenum"), F.col("_before.packetnum")
     new = num.isNull() | (num != F.col("framenum")) | (last == expected - 1)
-    packets = packets.withColumn("_new", F.coalesce(new, F.lit(True)).cast("bigint"))
-    return packets.withColumn("frame_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_new")
+    df = df.withColumn("_new", F.coalesce(new, F.lit(True)).cast("bigint"))
+    return running_sum(df, "_new", "frame_no", keys=list(keys)).select(*packets.columns, "frame_no")
 
 
 def split_modules(packets: DataFrame, per_module: int = PACKETS[1]) -> DataFrame:
@@ -110,12 +134,13 @@ def packets_to_frames(packets: DataFrame, expected: int = PACKETS[1], dialect: i
         F.sum("_n").alias("n_recv_packets"),
         F.count("*").alias("n_distinct_packets"),
         F.min("_first").alias("seq"),
-        F.max_by("packetnum", "_last").alias("_end"),
+        F.max(F.struct("_last", "packetnum")).alias("_end"),
     )
-    newest = frames.groupBy(*keys).agg(F.max("frame_no").alias("_newest"))
     out = frames.where(F.col("pulse_id") > 0)
     if not emit_open:
-        out = out.join(newest, list(keys)).where((F.col("frame_no") < F.col("_newest")) | (F.col("_end") == expected - 1)).drop("_newest")
+        # the open frame is that of a module's last packet; one row for each module, from a scan of two columns
+        newest = found.groupBy(*keys).agg(F.max("seq").alias("_newest"))
+        out = out.join(newest, list(keys)).where((F.col("_end._last") < F.col("_newest")) | (F.col("_end.packetnum") == expected - 1)).drop("_newest")
     return out.drop("_end")
 
 

@@ -9,23 +9,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import PACKETS, SYNC_OFFSET, SYNC_ROUNDS
-from .frames import complete
 
 
 def assemble_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1], check_daq_rec: bool = True, keys: tuple[str, ...] = ("pulse_id",), trust_source: bool = False) -> DataFrame:
-    """(keys, frame_index, daq_rec, is_good_image, n_good_modules): frames folded by pulse. Metadata is that of the lowest
-    complete module, zeros without one; an image is good if all n_modules are complete and agree. trust_source takes every image for good, as the second
-    dialect's receiver does. One shuffle."""
-    ok = complete(expected)
-    index, rec, module = (F.when(ok, F.col(c)) for c in ("frame_index", "daq_rec", "module_id"))
-    agreed = F.min(index) == F.max(index)
-    if check_daq_rec:
-        agreed = agreed & (F.min(rec) == F.max(rec))
-    good = F.count_if(ok)
+    """(keys, frame_index, daq_rec, is_good_image, n_good_modules): frames folded by pulse. A module has one slot: of
+    several frames the last written (seq, where there is one) counts. Metadata is that of the lowest complete module, zeros
+    without one; an image is good if all of the modules 0 .. n_modules-1 are complete and agree. trust_source takes every
+    image for good, as the second dialect's receiver does.
+
+    Slots are filled before the shuffle as far as one task sees a pulse, and images are folded from at most n_modules slots
+    on the same partitioning: one shuffle."""
+    order = F.struct(*[F.col(c) for c in ("seq",) if c in frames.columns], "n_recv_packets", "frame_index", "daq_rec")
+    slot = F.when(F.col("module_id").between(0, n_modules - 1), F.col("module_id"))
+    held = [F.max(F.when(slot == m, order)).alias(f"_m{m}") for m in range(n_modules)]
+    slots = frames.groupBy(*keys).agg(*held)
+    ok = [F.coalesce(F.col(f"_m{m}.n_recv_packets") == expected, F.lit(False)) for m in range(n_modules)]
+    # null where a module is not complete
+    index, rec = ([F.when(o, F.col(f"_m{m}.{c}")) for m, o in enumerate(ok)] for c in ("frame_index", "daq_rec"))
+    same = lambda xs: F.array_min(F.array(*xs)) == F.array_max(F.array(*xs))
+    agreed = same(index) & same(rec) if check_daq_rec else same(index)
     zero = F.lit(0).cast("bigint")
-    return frames.groupBy(*keys).agg(
-        F.coalesce(F.min_by(index, module), zero).cast("bigint").alias("frame_index"),
-        F.coalesce(F.min_by(rec, module), zero).cast("bigint").alias("daq_rec"),
+    good = sum((o.cast("bigint") for o in ok[1:]), ok[0].cast("bigint"))
+    return slots.select(
+        *keys,
+        F.coalesce(*index, zero).cast("bigint").alias("frame_index"),
+        F.coalesce(*rec, zero).cast("bigint").alias("daq_rec"),
         (F.lit(True) if trust_source else F.coalesce((good == n_modules) & agreed, F.lit(False))).alias("is_good_image"),
         good.alias("n_good_modules"),
     )

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import file_base
-from ..operators.frames import accepted, pulse_step
+from ..operators.frames import accepted_in_range, pulse_step
 from ..operators.images import assemble_images, attach_pixels, reconcile
 from ..operators.ordering import running_index
-from ..schemas import BLOCK_PULSES, PACKETS
+from ..schemas import BLOCK_PULSES, MAX_PULSE_GAP, PACKETS
 from ..sources.archive import scan_pulse_range
 
 
@@ -37,9 +37,16 @@ def images_in_range(frames: DataFrame, n_modules: int, start: int, stop: int, st
     return assemble_images(pulse_step(scan_pulse_range(frames, start, stop), step), n_modules, expected, check_daq_rec)
 
 
-def guarded_images(frames: DataFrame, n_modules: int, start: int, stop: int, step: int = 1, expected: int = PACKETS[1]) -> DataFrame:
-    """As images_in_range, for frames straight from the receivers: those out of sequence are dropped first."""
-    return images_in_range(accepted(frames), n_modules, start, stop, step, expected)
+def guarded_images(frames: DataFrame, n_modules: int, start: int, stop: int, step: int = 1, expected: int = PACKETS[1], max_gap: int = MAX_PULSE_GAP) -> DataFrame:
+    """As images_in_range, for frames straight from the receivers: those out of sequence are dropped first. The guard sees
+    what arrived around the range only."""
+    start, stop = aligned(start, stop, step)
+    return images_in_range(accepted_in_range(frames, start, stop, max_gap), n_modules, start, stop, step, expected)
+
+
+def newest(frames: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, newest): the last pulse, combined before the shuffle."""
+    return frames.groupBy(*keys).agg(F.max("pulse_id").alias("newest"))
 
 
 def ordered(images: DataFrame) -> DataFrame:

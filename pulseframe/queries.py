@@ -18,10 +18,16 @@ from .plans import runs as ru
 from .sources import archive as ar
 
 M, E, P = fx.N_MODULES, fx.EXPECTED, fx.PACKETS
-START, STOP, STEP = 101, 2477, 5
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+#: Images from frames: the last frame of each module's slot, then the fold by pulse.
+FOLD = """select pulse_id, coalesce(arg_min(frame_index, module_id) filter (ok), 0) as frame_index, coalesce(arg_min(daq_rec, module_id) filter (ok), 0) as daq_rec,
+                 coalesce(count(distinct module_id) filter (ok) = 4 and min(frame_index) filter (ok) = max(frame_index) filter (ok)
+                   and min(daq_rec) filter (ok) = max(daq_rec) filter (ok), false) as is_good_image,
+                 count(distinct module_id) filter (ok) as n_good_modules
+                 from (select pulse_id, module_id, arg_max(frame_index, seq) as frame_index, arg_max(daq_rec, seq) as daq_rec, arg_max(n_recv_packets, seq) = 128 as ok from {frames} group by pulse_id, module_id) group by pulse_id"""
+
 #: SQL of the fixture views and of the operators that others build on.
 VIEWS = {
     "frames": fx.FRAMES.format(events="events"),
@@ -33,12 +39,8 @@ VIEWS = {
                   from (select *, lag(framenum) over w as n, lag(packetnum) over w as l from packets window w as (partition by module_id order by seq))""",
     "assembled": """select module_id, frame_no, arg_min(pulse_id, seq) as pulse_id, arg_min(framenum, seq) as frame_index, arg_min(debug, seq) as daq_rec,
                     count(*) as n_recv_packets, count(distinct packetnum) as n_distinct_packets, min(seq) as seq, arg_max(packetnum, seq) as last_packet from bounded group by module_id, frame_no""",
-    "images": """select pulse_id, coalesce(arg_min(frame_index, module_id) filter (n_recv_packets = 128), 0) as frame_index,
-                 coalesce(arg_min(daq_rec, module_id) filter (n_recv_packets = 128), 0) as daq_rec,
-                 coalesce(count(*) filter (n_recv_packets = 128) = 4
-                   and min(frame_index) filter (n_recv_packets = 128) = max(frame_index) filter (n_recv_packets = 128)
-                   and min(daq_rec) filter (n_recv_packets = 128) = max(daq_rec) filter (n_recv_packets = 128), false) as is_good_image,
-                 count(*) filter (n_recv_packets = 128) as n_good_modules from frames group by pulse_id""",
+    "images": FOLD.format(frames="frames"),
+    "repeated": fx.REPEATED.format(frames="frames"),
     "aligned": "select pulse_id from accepted group by pulse_id having count(distinct module_id) = 4",
     "lost": """select goal as pulse_id, max(n) as n_lost_pulses from
                (select goal, module_id, count(distinct pulse_id) filter (pulse_id < goal) as n from
@@ -49,7 +51,7 @@ VIEWS = {
     "export": """select pulse_id, case when pulse_id % 97 = 0 then frame_index + 1 else frame_index end as frame_index, daq_rec,
                  case when pulse_id % 89 = 0 then not is_good_image else is_good_image end as is_good_image from images where pulse_id % 101 <> 0""",
 }
-NEEDS = {"flagged": ["frames"], "accepted": ["flagged"], "packets": ["frames"], "bounded": ["packets"], "assembled": ["bounded"], "images": ["frames"], "aligned": ["accepted"], "lost": ["accepted", "aligned"], "export": ["images"]}
+NEEDS = {"repeated": ["frames"], "flagged": ["frames"], "accepted": ["flagged"], "packets": ["frames"], "bounded": ["packets"], "assembled": ["bounded"], "images": ["frames"], "aligned": ["accepted"], "lost": ["accepted", "aligned"], "export": ["images"]}
 
 
 def _with(*views: str) -> str:
@@ -84,21 +86,28 @@ def _accepted(spark: SparkSession, d: str) -> DataFrame:
     return fr.accepted(fx.frames(spark, d))
 
 
-RANGE = f"pulse_id between {-(-START // STEP) * STEP} and {STOP // STEP * STEP} and pulse_id % {STEP} = 0"
+#: A range that leaves out the first twentieth of the pulses and goes beyond the last, on a step grid: of the table's own
+#: pulses, so that it grows with the table.
+def _range(spark: SparkSession, d: str, step: int) -> tuple[int, int]:
+    low, high = fx.frames(spark, d).agg(F.coalesce(F.min("pulse_id"), F.lit(0)), F.coalesce(F.max("pulse_id"), F.lit(0))).first()
+    low = low + (high - low) // 20
+    return -(-low // step) * step, high // step * step + step
 
 
-@query(
-    f"""select pulse_id, coalesce(arg_min(frame_index, module_id) filter (n_recv_packets = 128), 0) as frame_index,
-        coalesce(arg_min(daq_rec, module_id) filter (n_recv_packets = 128), 0) as daq_rec,
-        coalesce(count(*) filter (n_recv_packets = 128) = 4
-          and min(frame_index) filter (n_recv_packets = 128) = max(frame_index) filter (n_recv_packets = 128)
-          and min(daq_rec) filter (n_recv_packets = 128) = max(daq_rec) filter (n_recv_packets = 128), false) as is_good_image,
-        count(*) filter (n_recv_packets = 128) as n_good_modules from accepted where {RANGE} group by pulse_id""",
-    "accepted",
-)
+def _bounds(step: int, source: str = "frames") -> str:
+    low = f"(select coalesce(min(pulse_id) + (max(pulse_id) - min(pulse_id)) // 20, 0) from {source})"
+    high = f"(select coalesce(max(pulse_id), 0) from {source})"
+    return f"({low} + {step - 1}) // {step} * {step} as low, {high} // {step} * {step} + {step} as high"
+
+
+def _in_range(step: int) -> str:
+    return f"pulse_id between (select low from (select {_bounds(step)})) and (select high from (select {_bounds(step)})) and pulse_id % {step} = 0"
+
+
+@query(FOLD.format(frames=f"(select * from accepted where {_in_range(5)})"), "accepted")
 def image_range(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: the images of a pulse range at a step, from guarded frames."""
-    return hi.guarded_images(fx.frames(spark, d), M, START, STOP, STEP, E)
+    return hi.guarded_images(fx.frames(spark, d), M, *_range(spark, d, 5), 5, E)
 
 
 # --- sources ---------------------------------------------------------------------------------------------------------
@@ -109,11 +118,6 @@ def src1_packets(spark: SparkSession, d: str) -> DataFrame:
     return fx.packets(spark, d)
 
 
-@query("select module_id, pulse_id, frame_index from frames where pulse_id between 500 and 1700", "frames")
-def src6_scan_range(spark: SparkSession, d: str) -> DataFrame:
-    return ar.scan_pulse_range(ar.with_partitions(fx.frames(spark, d)), 500, 1700).select("module_id", "pulse_id", "frame_index")
-
-
 @query(
     """select s.pulse_id, s.module_id, f.frame_index, f.n_recv_packets, coalesce(f.n_recv_packets = 128, false) as is_complete
        from (select (select min(pulse_id) from frames where pulse_id >= 100) as pulse_id, unnest(range(0, 4))::int as module_id) s left join frames f on s.pulse_id = f.pulse_id and s.module_id = f.module_id""",
@@ -212,13 +216,13 @@ def prj17_18_line_protocol(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     """select module_id, frame_no::bigint as frame_no, i as pos, coalesce(max(v), 0)::int as value from
-       (select module_id, frame_no, unnest(range(0, 16)) as i, packetnum, seq from bounded where seq % 5 < 3) b
+       (select module_id, frame_no, unnest(range(0, 16)) as i, packetnum, seq from bounded) b
        left join lateral (select case when i // 2 = packetnum then seq % 1000 + i % 2 end as v) on true group by module_id, frame_no, i""",
     "bounded",
 )
 def prj19_payload(spark: SparkSession, d: str) -> DataFrame:
     """Payloads of two elements a packet; a packet comes once in a frame here, so the last duplicate is the only one."""
-    packets = fr.frame_boundaries(fx.packets(spark, d), P).where("seq % 5 < 3")
+    packets = fr.frame_boundaries(fx.packets(spark, d), P)
     data = F.array((F.col("seq") % 1000).cast("int"), (F.col("seq") % 1000 + 1).cast("int"))
     held = packets.groupBy("module_id", "frame_no").agg(F.array_sort(F.collect_list(F.struct("seq", "packetnum", data.alias("data")))).alias("p"))
     return held.select("module_id", "frame_no", F.posexplode(px.payload_array("p", P, 2)).alias("pos", "value")).withColumn("pos", F.col("pos").cast("bigint"))
@@ -232,8 +236,8 @@ def prj19_payload(spark: SparkSession, d: str) -> DataFrame:
 )
 def prj20_stack_modules(spark: SparkSession, d: str) -> DataFrame:
     p = fx.payload(spark, d)
-    size = p.select(F.size("pixels")).first()[0]
-    return px.stack_modules(p, M, size).select("pulse_id", F.posexplode("image").alias("pos", "value")).select("pulse_id", F.col("pos").cast("bigint").alias("pos"), F.col("value").cast("float").alias("value"))
+    one = p.select(F.size("pixels")).first()
+    return px.stack_modules(p, M, one[0] if one else 0).select("pulse_id", F.posexplode("image").alias("pos", "value")).select("pulse_id", F.col("pos").cast("bigint").alias("pos"), F.col("value").cast("float").alias("value"))
 
 
 # --- filters ---------------------------------------------------------------------------------------------------------
@@ -249,9 +253,9 @@ def flt3_sequence_ok(spark: SparkSession, d: str) -> DataFrame:
     return _accepted(spark, d).select("seq", "module_id", "pulse_id")
 
 
-@query("select pulse_id, frame_index, is_good_image from images where pulse_id between 200 and 2000 and pulse_id % 20 = 0", "images")
+@query(f"select pulse_id, frame_index, is_good_image from images where {_in_range(20)}", "images")
 def flt6_7_range_step(spark: SparkSession, d: str) -> DataFrame:
-    return hi.images_in_range(fx.frames(spark, d), M, 200, 2000, 20, E).select("pulse_id", "frame_index", "is_good_image")
+    return hi.images_in_range(fx.frames(spark, d), M, *_range(spark, d, 20), 20, E).select("pulse_id", "frame_index", "is_good_image")
 
 
 @query("select run_id, i_image from runs where i_image % 3 = 1", "runs")
@@ -344,6 +348,12 @@ def agg2_images(spark: SparkSession, d: str) -> DataFrame:
     return _images(spark, d)
 
 
+@query(FOLD.format(frames="repeated"), "repeated")
+def agg2_repeated(spark: SparkSession, d: str) -> DataFrame:
+    """Frames that came twice, some of them in the place of a module that is missing."""
+    return im.assemble_images(fx.repeated_frames(spark, d), M, E)
+
+
 @query(
     """select module_id, date_trunc('day', recv_ts)::timestamp as window_start, count(*) as n_frames, sum(greatest(128 - n_recv_packets, 0))::bigint as n_missed_packets,
        count(*) filter (n_recv_packets < 128) as n_corrupted_frames, count(*) filter (bad) as n_bad_frames, (count(*) * 1000 + 250) // 86400000 as repetition_rate from flagged group by all""",
@@ -460,17 +470,17 @@ def srt1_ordered(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select max(pulse_id) as newest from frames", "frames")
 def srt2_newest(spark: SparkSession, d: str) -> DataFrame:
-    return fx.frames(spark, d).agg(F.max("pulse_id").alias("newest"))
+    return hi.newest(fx.frames(spark, d))
 
 
 @query(
-    """select p as requested_pulse_id, coalesce(pulse_id, 0) as pulse_id, coalesce(frame_index, 0) as frame_index, coalesce(daq_rec, 0) as daq_rec, coalesce(is_good_image::int, 0) as is_good_frame, (p - 100) // 4 as write_index
-       from (select unnest(range(100, 3001, 4)) as p) left join images on p = pulse_id""",
+    f"""select p as requested_pulse_id, coalesce(pulse_id, 0) as pulse_id, coalesce(frame_index, 0) as frame_index, coalesce(daq_rec, 0) as daq_rec, coalesce(is_good_image::int, 0) as is_good_frame, (p - low) // 4 as write_index
+       from (select unnest(range(low, high + 1, 4)) as p, low from (select {_bounds(4)})) left join images on p = pulse_id""",
     "images",
 )
 def snk3_export_range(spark: SparkSession, d: str) -> DataFrame:
     """A range that goes on beyond the last pulse."""
-    return hi.export_rows(fx.frames(spark, d), M, 100, 3000, 4, E)
+    return hi.export_rows(fx.frames(spark, d), M, *_range(spark, d, 4), 4, E)
 
 
 @query(

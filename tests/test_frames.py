@@ -90,3 +90,38 @@ def test_shards_and_run_guard(spark) -> None:
 def test_modules_of_the_second_dialect(spark) -> None:
     df = spark.createDataFrame([(0, 0), (0, 127), (0, 128), (0, 4095)], "module_id int, packetnum int")
     assert sorted(tuple(r) for r in fr.split_modules(df).collect()) == [(0, 0), (0, 127), (1, 0), (31, 127)]
+
+
+@pytest.mark.parametrize("share", [3, 50, 10**9])
+def test_shares_of_the_arrival_order_change_nothing(spark, share) -> None:
+    rng = random.Random(share)
+    rows, index, pulse = [], [0, 0], [0, 0]
+    for seq in rng.sample(range(0, 2000, 2), 600):
+        rows.append([rng.randrange(2), seq])
+    rows.sort(key=lambda r: r[1])
+    for r in rows:
+        m = r[0]
+        index[m] += 1 if rng.random() < 0.9 else 2
+        pulse[m] += rng.choice([1, 1, 1, 1, 2, 0, -1, 1200])
+        r += [pulse[m], index[m], rng.randrange(4), index[m] // 4]
+    want = {}
+    for m in (0, 1):
+        before = (0, 0, None, None)
+        no = 0
+        for _, seq, p, i, n, num in (r for r in rows if r[0] == m):
+            no += before[3] is None or before[3] != num or before[2] == 3
+            want[m, seq] = (i != before[1] + 1 or p - before[0] <= 0 or p - before[0] > 1000, no)
+            before = (p, i, n, num)
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "module_id int, seq long, pulse_id long, frame_index long, packetnum int, framenum long")
+    got = {(r.module_id, r.seq): r for r in fr.frame_boundaries(fr.flag_sequence(df, share=share), 4, share=share).collect()}
+    assert {k: (r.bad, r.frame_no) for k, r in got.items()} == want
+    for start, stop in ((1, 400), (5000, 9000), (20_000, 30_000), (10**6, 10**7)):
+        part = fr.accepted_in_range(df, start, stop, share=share)
+        assert sorted((r.module_id, r.seq) for r in part.collect()) == sorted(k for k, r in got.items() if not r.bad and start <= r.pulse_id <= stop)
+
+
+def test_raw_sizes_and_markers(spark) -> None:
+    df = spark.createDataFrame([(1, bytearray(8240), 0xBE), (2, bytearray(8239), 0), (3, None, None)], "seq long, raw binary, marker int")
+    assert [r.seq for r in fr.valid_datagram(df).collect()] == [1]
+    assert [r.seq for r in fr.present(df).collect()] == [1]

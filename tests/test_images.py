@@ -35,6 +35,14 @@ def test_fold_faults(spark, rows, want) -> None:
     assert (r.frame_index, r.daq_rec, r.is_good_image) == want
 
 
+def test_a_repeated_frame_does_not_stand_for_another_module(spark) -> None:
+    rows = [(0, 0, 1, 5, 7, 128), (1, 0, 1, 5, 7, 128), (2, 1, 1, 5, 7, 128), (3, 2, 1, 5, 7, 128)]
+    rows += [(4, m, 2, 5, 7, 128) for m in range(4)] + [(5, 2, 2, 6, 7, 128)]  # the last write of a slot counts
+    rows += [(6, m, 3, 5, 7, 128) for m in range(4)] + [(7, 3, 3, 5, 7, 127), (8, 9, 3, 5, 7, 128)]  # a module beyond the last
+    got = {r.pulse_id: r for r in im.assemble_images(spark.createDataFrame(rows, "seq long, " + SCHEMA), 4).collect()}
+    assert [(got[p].is_good_image, got[p].n_good_modules, got[p].frame_index) for p in (1, 2, 3)] == [(False, 3, 5), (False, 4, 5), (False, 3, 5)]
+
+
 def test_daq_rec_is_optional(spark) -> None:
     rows = [(0, 1, 5, 7, 128), (1, 1, 5, 6, 128)]
     assert im.assemble_images(spark.createDataFrame(rows, SCHEMA), 2, check_daq_rec=False).first().is_good_image
