@@ -7,8 +7,8 @@ a tree of its own and compares what is left bit by bit, so all pairs within the
 returns links to the smallest member of each of its clusters, not all pairs; connected components join the shards.
 
 Edited copies differ in more bits than a vantage-point tree can prune by (at a Jaccard similarity of 0.8 about ten of 64).
-Where a similarity is asked for, texts that agree in a band of MinHash values are candidates too, each with the text of the
-band that agrees with the most others, and the exact similarity of their shingle sets decides.
+Where a similarity is asked for, texts that agree in a band of MinHash values are candidates too, each with three texts
+of the band, and the exact similarity of their shingle sets decides.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ SHINGLE = 3
 SHARD, VISITORS = 32_768, 262_144
 #: Levels of the shared tree at most (larger inputs get larger shards), and sample rows per shard that fit it.
 LEVELS, SAMPLE_PER_SHARD = 12, 16
-#: MinHash bands and the values of each: two texts of similarity 0.8 agree in a band with probability 0.998.
-BANDS, VALUES = 20, 6
+#: MinHash bands and the values of each: two texts of similarity 0.8 agree in a band with probability 0.9999.
+BANDS, VALUES = 24, 5
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -258,13 +258,16 @@ def _prints_and_keys(rows: DataFrame, shingle: int) -> DataFrame:
 
 def similar_links(rows: DataFrame, prints: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """(a bigint, b bigint): fingerprints whose texts have a Jaccard similarity of `similarity` or more. Candidates are, band
-    by band, a fingerprint and the one of those with the same key that agrees with the most others in all bands."""
+    by band, a fingerprint and three of those with the same key: the one that agrees with the most others in all bands, and
+    two others, drawn anew in each band. So a group's pairs are not all made, and its links are found over many bands."""
     each = prints.select("fp", F.explode("keys").alias("key")).distinct()
     sizes = each.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     each = staged(each.join(sizes, "key"), "bands")
     liked = each.groupBy("fp").agg(F.sum("size").alias("liked"))
-    middle = each.join(liked, "fp").groupBy("key").agg(F.max_by("fp", F.struct("liked", "fp")).alias("middle"))
-    pairs = staged(each.join(middle, "key").where("fp <> middle").select(F.col("fp").alias("a"), F.col("middle").alias("b")).distinct(), "pairs")
+    by = F.struct(F.xxhash64("fp", "key"), "fp")
+    met = each.join(liked, "fp").groupBy("key").agg(F.max_by("fp", F.struct("liked", "fp")).alias("most"), F.min_by("fp", by).alias("one"), F.max_by("fp", by).alias("other"))
+    met = each.join(met, "key").select("fp", F.explode(F.array("most", "one", "other")).alias("b")).where("fp <> b")
+    pairs = staged(met.select(F.least("fp", "b").alias("a"), F.greatest("fp", "b").alias("b")).distinct(), "pairs")
     # of several texts with one fingerprint the first stands for all: they are linked anyway
     first = prints.groupBy("fp").agg(F.min("_row").alias("_row"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
