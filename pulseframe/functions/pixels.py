@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import DATAGRAM_BYTES, PACKET_BYTES, PACKETS
+from ..operators.frames import valid_datagram
+from ..schemas import PACKET_BYTES, PACKETS
 
 # Little-endian layout of a datagram.
 _HEADER = [("framenum", "<u8"), ("exptime", "<u4"), ("packetnum", "<u4"), ("bunchid", "<f8"), ("timestamp", "<u8"), ("module_id", "<u2"), ("x_coord", "<u2"), ("y_coord", "<u2"), ("z_coord", "<u2"), ("debug", "<u4"), ("round_robin", "<u2"), ("detector_type", "u1"), ("header_version", "u1")]
@@ -38,7 +39,7 @@ def decode_packets(df: DataFrame, raw_col: str = "raw", dialect: int = 1, keep:
 
     kept = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keep)
     schema = ", ".join(x for x in (kept, ", ".join(f"{n} {_SQL[t]}" for n, t in fields), "data binary") if x)
-    return df.where(F.length(raw_col) == DATAGRAM_BYTES).select(*keep, raw_col).mapInArrow(run, schema)
+    return valid_datagram(df, raw_col).select(*keep, raw_col).mapInArrow(run, schema)
 
 
 def payload_array(packets: Column | str, expected: int, size: int, packetnum: str = "packetnum", data: str = "data") -> Column:

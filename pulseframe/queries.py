@@ -15,7 +15,6 @@ from .operators import images as im
 from .operators import stats as st
 from .plans import historical as hi
 from .plans import runs as ru
-from .sources import archive as ar
 
 M, E, P = fx.N_MODULES, fx.EXPECTED, fx.PACKETS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +77,25 @@ def query(sql: str | None = None, *views: str) -> Callable:
     return add
 
 
+def _sync(limit: int, rounds: int) -> str:
+    """The synchroniser pulse by pulse, as a recursion: first and number of the notices that each module holds, and after a
+    pulse that all have a fresh start."""
+    ms = range(4)
+    each = lambda f: ", ".join(f(m) for m in ms)
+    all_ = lambda f: " and ".join(f(m) for m in ms)
+    return f"""(with recursive p as (select row_number() over (order by pulse_id) as n, pulse_id as p, {each(lambda m: f"bool_or(module_id = {m}) as b{m}")} from accepted group by pulse_id),
+        w as (select 0::bigint as n, {each(lambda m: f"null::bigint as f{m}, 0::bigint as s{m}")}, 0::bigint as lost, 0 as tries, null::varchar as wrong, null::bigint as pulse_id, false as met
+          union all
+          select n, {each(lambda m: f"case when moved and not b{m} then null when moved then p else g{m} end, case when moved then b{m}::bigint else t{m} end")},
+            lost + case when moved then greatest({each(lambda m: f"t{m} - b{m}::bigint")}) else 0 end, tries + moved::int,
+            case when moved and p - oldest > {limit} then 'offset' when moved and tries + 1 > {rounds} then coalesce(wrong, 'rounds') else wrong end, p, {all_(lambda m: f"b{m}")}
+          from (select *, {all_(lambda m: f"g{m} is not null")} and oldest < p as moved from
+            (select *, least({each(lambda m: f"g{m}")}) as oldest from
+              (select p.*, {each(lambda m: f"case when b{m} then coalesce(case when not met then f{m} end, p) when not met then f{m} end as g{m}, case when met then 0 else s{m} end + b{m}::bigint as t{m}")},
+                 case when met then 0 else lost end as lost, case when met then 0 else tries end as tries, case when met then null else wrong end as wrong from w join p on p.n = w.n + 1))))
+        select 'JF01' as detector_name, pulse_id, lost as n_lost_pulses, wrong as violation from w where met)"""
+
+
 def _images(spark: SparkSession, d: str) -> DataFrame:
     return im.assemble_images(fx.frames(spark, d), M, E)
 
@@ -110,31 +128,6 @@ def image_range(spark: SparkSession, d: str) -> DataFrame:
     return hi.guarded_images(fx.frames(spark, d), M, *_range(spark, d, 5), 5, E)
 
 
-# --- sources ---------------------------------------------------------------------------------------------------------
-
-
-@query("select module_id, pulse_id, framenum, debug, packetnum, seq from packets", "packets")
-def src1_packets(spark: SparkSession, d: str) -> DataFrame:
-    return fx.packets(spark, d)
-
-
-@query(
-    """select s.pulse_id, s.module_id, f.frame_index, f.n_recv_packets, coalesce(f.n_recv_packets = 128, false) as is_complete
-       from (select (select min(pulse_id) from frames where pulse_id >= 100) as pulse_id, unnest(range(0, 4))::int as module_id) s left join frames f on s.pulse_id = f.pulse_id and s.module_id = f.module_id""",
-    "frames",
-)
-def src7_point_lookup(spark: SparkSession, d: str) -> DataFrame:
-    frames = fx.frames(spark, d)
-    pulse = frames.where("pulse_id >= 100").agg(F.min("pulse_id")).first()[0]
-    each = ar.point_lookup(frames, pulse, M, E)[1]
-    return each.select("pulse_id", "module_id", "frame_index", "n_recv_packets", F.coalesce(fr.complete(E), F.lit(False)).alias("is_complete"))
-
-
-@query("select max(b) as latest_file from (select distinct pulse_id // 1000 * 1000 as b from frames where module_id = 0) where b < (select max(pulse_id // 1000 * 1000) from frames where module_id = 0)", "frames")
-def src8_latest_pulse(spark: SparkSession, d: str) -> DataFrame:
-    return ar.latest_pulse(fx.frames(spark, d))
-
-
 # --- scalar functions ------------------------------------------------------------------------------------------------
 
 
@@ -404,12 +397,12 @@ def agg8_sync_loss(spark: SparkSession, d: str) -> DataFrame:
     return im.sync_loss(_accepted(spark, d), M)
 
 
-@query()
+@query(f"select * from {_sync(100, 3)}", "accepted")
 def agg8_sync_exact(spark: SparkSession, d: str) -> DataFrame:
     return im.sync_pulses(_accepted(spark, d).withColumn("detector_name", F.lit("JF01")), M)
 
 
-@query()
+@query(f"select * from {_sync(1, 1)} where violation is not null", "accepted")
 def agg9_sync_violations(spark: SparkSession, d: str) -> DataFrame:
     return im.sync_violations(im.sync_pulses(_accepted(spark, d).withColumn("detector_name", F.lit("JF01")), M, limit=1, rounds=1))
 

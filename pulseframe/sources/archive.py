@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..functions.scalars import file_base, folder_base
 from ..operators.frames import latest_per_key
 from ..operators.images import assemble_images, module_spine
 from ..schemas import FILE_PULSES, FOLDER_PULSES, PACKETS
+from .staging import removed
 
 PARTITIONS = ["module_id", "folder_base", "file_base"]
 
@@ -29,12 +32,13 @@ def write_archive(frames: DataFrame, path: str) -> None:
         old = old.join(touched, PARTITIONS, "left_semi").select(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in new.columns])
         new = old.unionByName(new)
     merged = latest_per_key(new)
-    held = path.rstrip("/") + "._merged"
-    merged.write.mode("overwrite").parquet(held)
+    held = f"{path.rstrip('/')}._merged-{uuid.uuid4().hex}"
+    merged.write.parquet(held)
     merged = spark.read.parquet(held)
     # one task for each partition's file, sorted so that row groups have narrow pulse ranges
     merged = merged.repartition(*PARTITIONS).sortWithinPartitions(*PARTITIONS, "pulse_id")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
+    removed(spark, held)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -1,6 +1,6 @@
 """Packets to guarded frames in one stateful pass, and count windows (ST-1, ST-2, ST-7).
 
-State per module is the open frame and the frame before it. A micro-batch is sorted by arrival, so any split of the input
+State per module is the open frame, with the packets it has and their bytes if asked for, and the frame before it. A micro-batch is sorted by arrival, so any split of the input
 gives the same frames as the batch form.
 """
 
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..schemas import MAX_PULSE_GAP, PACKETS, STATS_COUNT
 
-_OPEN = "framenum bigint, last int, pulse bigint, rec bigint, n bigint, first bigint, frame_no bigint"
+_OPEN = "framenum bigint, last int, pulse bigint, rec bigint, n bigint, first bigint, frame_no bigint, seen binary, data binary"
 _LAST = "pulse bigint, frame bigint"
 
 
@@ -27,12 +28,23 @@ def _sorted(rows: Iterator[pd.DataFrame], by: str) -> pd.DataFrame:
 class _Frames(StatefulProcessor):
     """Puts packets together and flags frames out of sequence."""
 
-    def __init__(self, expected: int, dialect: int, max_gap: int, allow_repeat: bool):
-        self.expected, self.dialect, self.max_gap, self.allow_repeat = expected, dialect, max_gap, allow_repeat
+    def __init__(self, expected: int, dialect: int, max_gap: int, allow_repeat: bool, packet_bytes: int):
+        self.expected, self.dialect, self.max_gap, self.allow_repeat, self.packet_bytes = expected, dialect, max_gap, allow_repeat, packet_bytes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.open, self.last = handle.getValueState("open", _OPEN), handle.getValueState("last", _LAST)
 
+    def _packets(self, own: pd.DataFrame, seen: bytes = b"", data: bytes = b"") -> tuple[bytes, bytes]:
+        """Which packets a frame has, a byte for each, and their bytes in place, with what it had before."""
+        at = np.frombuffer(seen or bytes(self.expected), np.uint8).copy()
+        at[own.packetnum.to_numpy(np.int64)] = 1
+        if not self.packet_bytes:
+            return at.tobytes(), b""
+        out = bytearray(data or bytes(self.expected * self.packet_bytes))
+        for n, x in zip(own.packetnum, own.data, strict=True):
+            out[n * self.packet_bytes : n * self.packet_bytes + len(x)] = x
+        return at.tobytes(), bytes(out)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
         pdf = _sorted(rows, "seq")
         pdf = pdf[(pdf.packetnum >= 0) & (pdf.packetnum < self.expected)] if len(pdf) else pdf
@@ -49,19 +61,27 @@ class _Frames(StatefulProcessor):
         pdf["frame_no"] = no + new.cumsum()
         by = pdf.groupby("frame_no", sort=True)
         meta = by.first() if self.dialect == 1 else by.last()
-        frames = pd.DataFrame({"framenum": meta.framenum, "last": by.packetnum.last(), "pulse": meta.pulse_id, "rec": meta.debug, "n": by.size(), "first": by.seq.first()})
-        if held and frames.index[0] == no:  # the open frame goes on
+        frames = pd.DataFrame({"framenum": meta.framenum, "last": by.packetnum.last(), "pulse": meta.pulse_id, "rec": meta.debug, "n": by.size(), "first": by.seq.first(), "distinct": by.packetnum.nunique()})
+        goes_on = held is not None and frames.index[0] == no
+        seen, data = self._packets(by.get_group(frames.index[-1]), *(held[7:9] if goes_on and len(frames) == 1 else ()))
+        if self.packet_bytes:
+            frames["payload"] = [*(self._packets(by.get_group(i), *(held[7:9] if goes_on and i == no else ()))[1] for i in frames.index[:-1]), data]
+        else:
+            frames["payload"] = None
+        if goes_on:
             i = frames.index[0]
+            frames.loc[i, "distinct"] = sum(self._packets(by.get_group(i), held[7])[0]) if not self.packet_bytes or len(frames) > 1 else sum(seen)
             frames.loc[i, "n"] += held[4]
             frames.loc[i, "first"] = held[5]
             if self.dialect == 1:
                 frames.loc[i, ["framenum", "pulse", "rec"]] = [held[0], held[2], held[3]]
         elif held:
-            frames = pd.concat([pd.DataFrame([held[:6]], index=[no], columns=["framenum", "last", "pulse", "rec", "n", "first"]), frames])
+            before = [*held[:6], sum(held[7]), bytes(held[8]) if self.packet_bytes else None]
+            frames = pd.concat([pd.DataFrame([before], index=[no], columns=["framenum", "last", "pulse", "rec", "n", "first", "distinct", "payload"]), frames])
             if held[1] == self.expected - 1:  # it was closed, and given, before
                 frames = frames.iloc[1:]
         tail = frames.iloc[-1]
-        self.open.update((int(pdf.framenum.iloc[-1]) if self.dialect == 2 else int(tail.framenum), int(tail["last"]), int(tail.pulse), int(tail.rec), int(tail.n), int(tail["first"]), int(frames.index[-1])))
+        self.open.update((int(pdf.framenum.iloc[-1]) if self.dialect == 2 else int(tail.framenum), int(tail["last"]), int(tail.pulse), int(tail.rec), int(tail.n), int(tail["first"]), int(frames.index[-1]), seen, data))
         done = frames if tail["last"] == self.expected - 1 else frames.iloc[:-1]
         done = done[done.pulse > 0]
         if not len(done):
@@ -71,7 +91,9 @@ class _Frames(StatefulProcessor):
         low = step < 0 if self.allow_repeat else step <= 0
         bad = (done.framenum != done.framenum.shift(1, fill_value=frame) + 1) | low | (step > self.max_gap)
         self.last.update((int(done.pulse.iloc[-1]), int(done.framenum.iloc[-1])))
-        yield pd.DataFrame({"module_id": key[0], "seq": done["first"], "pulse_id": done.pulse, "frame_index": done.framenum, "daq_rec": done.rec, "n_recv_packets": done.n, "bad": bad}).astype({"module_id": "int32", "seq": "int64", "pulse_id": "int64", "frame_index": "int64", "daq_rec": "int64", "n_recv_packets": "int64"})
+        out = pd.DataFrame({"module_id": key[0], "seq": done["first"], "pulse_id": done.pulse, "frame_index": done.framenum, "daq_rec": done.rec, "n_recv_packets": done.n, "n_distinct_packets": done.distinct, "bad": bad})
+        out = out.astype({"module_id": "int32", "seq": "int64", "pulse_id": "int64", "frame_index": "int64", "daq_rec": "int64", "n_recv_packets": "int64", "n_distinct_packets": "int64"})
+        yield out.assign(payload=done.payload) if self.packet_bytes else out
 
     def close(self) -> None:
         pass
@@ -80,11 +102,18 @@ class _Frames(StatefulProcessor):
 FRAMES = "module_id int, seq bigint, pulse_id bigint, frame_index bigint, daq_rec bigint, n_recv_packets bigint, bad boolean"
 
 
-def stream_frames(packets: DataFrame, expected: int = PACKETS[1], dialect: int = 1, max_gap: int = MAX_PULSE_GAP, allow_repeat: bool = False) -> DataFrame:
+#: As FRAMES, with the number of different packets.
+ASSEMBLED = FRAMES.replace("bad boolean", "n_distinct_packets bigint, bad boolean")
+
+
+def stream_frames(packets: DataFrame, expected: int = PACKETS[1], dialect: int = 1, max_gap: int = MAX_PULSE_GAP, allow_repeat: bool = False, packet_bytes: int = 0) -> DataFrame:
     """Frames with `bad` from a stream of packets (module_id, seq, pulse_id, framenum, debug, packetnum). A frame comes out
-    once something closes it; the open one stays in state. Both steps share the key, so there is one shuffle."""
-    rows = packets.select(F.col("module_id").cast("int"), F.col("seq").cast("bigint"), F.col("pulse_id").cast("bigint"), F.col("framenum").cast("bigint"), F.col("debug").cast("bigint"), F.col("packetnum").cast("int"))
-    return rows.groupBy("module_id").transformWithStateInPandas(_Frames(expected, dialect, max_gap, allow_repeat), FRAMES, "Append", "None")
+    once something closes it; the open one stays in state. Both steps share the key, so there is one shuffle. With
+    packet_bytes the packets' `data` travels along, and frames have a `payload`: each packet's bytes in its slot of a zeroed
+    buffer, the last of duplicates."""
+    rows = packets.select(F.col("module_id").cast("int"), F.col("seq").cast("bigint"), F.col("pulse_id").cast("bigint"), F.col("framenum").cast("bigint"), F.col("debug").cast("bigint"), F.col("packetnum").cast("int"), *(["data"] if packet_bytes else []))
+    schema = ASSEMBLED + (", payload binary" if packet_bytes else "")
+    return rows.groupBy("module_id").transformWithStateInPandas(_Frames(expected, dialect, max_gap, allow_repeat, packet_bytes), schema, "Append", "None")
 
 
 class _Guard(StatefulProcessor):

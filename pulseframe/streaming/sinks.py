@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -9,7 +11,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..functions.scalars import live_header_json
 from ..operators.frames import thin
 from ..plans.runs import run_rows, write_runs
-from ..sources.archive import write_archive
+from ..sources.archive import exists, write_archive
+from ..sources.staging import removed
 
 
 def archive_sink(frames: DataFrame, path: str) -> DataStreamWriter:
@@ -47,8 +50,6 @@ def live_sink(images: DataFrame, out: str, live_factor: int = 1, reduced_factor:
 
 def run_sink(instructions: DataFrame, out: str, n_writers: int = 8) -> DataStreamWriter:
     """Runs as they come: rows of runs already begun are read, merged by image index, and replaced run by run."""
-    from ..sources.archive import exists
-
     def write(df: DataFrame, _: int) -> None:
         spark, rows = df.sparkSession, run_rows(df)
         if exists(spark, out):
@@ -56,10 +57,12 @@ def run_sink(instructions: DataFrame, out: str, n_writers: int = 8) -> DataStrea
             old = spark.read.parquet(out).join(runs, "run_id", "left_semi").select(*[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
             fresh = rows.select("run_id", "i_image")
             rows = old.join(fresh, ["run_id", "i_image"], "left_anti").unionByName(rows)
-            held = out.rstrip("/") + "._merged"
-            rows.write.mode("overwrite").parquet(held)
-            rows = spark.read.parquet(held)
-        write_runs(rows, out, n_writers)
+            held = f"{out.rstrip('/')}._merged-{uuid.uuid4().hex}"
+            rows.write.parquet(held)
+            write_runs(spark.read.parquet(held), out, n_writers)
+            removed(spark, held)
+        else:
+            write_runs(rows, out, n_writers)
 
     return instructions.writeStream.foreachBatch(write)
 
