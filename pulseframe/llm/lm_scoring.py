@@ -4,15 +4,19 @@ A window network predicts every token from the tokens on both sides of it; the s
 the text's score. Words are counted over the whole corpus; frequent ones are tokens of their own, all others are told apart
 by their ending. Tokens are dealt to classes by frequency and spelling, the network predicts the class, and a word has its
 own share of the class's count: frequent words by a table that tasks hold, all others by a join with the counts of all
-words, so that only the network's input has a fixed size. The network is trained in numpy: each task starts from the same weights, descends along all its texts,
-and the weights are averaged by the number of tokens seen.
+words, so that only the network's input has a fixed size. The conditional probabilities of a place add up to one over all
+words of the corpus and what endings without a word keep for unseen ones.
+
+The network is trained in numpy on every place of every text. Texts are dealt to shards by a hash, so that the files they
+came from play no part; a round takes a share of every shard's texts, each shard goes down from the same weights, and the
+weights are averaged by the number of tokens seen before the next round.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -20,38 +24,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, staged
+from .common import staged
+from .words import counted, groups, words_of
 
 #: Words with a token of their own, tokens for all other words by their ending, classes, sizes of the network.
 VOCABULARY, ENDINGS, SIDE, WIDTH = 8000, 512, 2, 24
 #: Classes: one for each of the most frequent words, for the other frequent words, for endings.
 OWN, SPELT, RARE = 64, 48, 16
 CLASSES = OWN + SPELT + RARE
-#: One token in so many is masked in training, in every text; all are in scoring.
-MASKED = 6
-#: Tokens of a descent step, its size, and words a task counts before it hands them out.
-BATCH, RATE, COUNTED = 512, 0.1, 400_000
+#: Tokens of a descent step (fewer in small groups), its size, tokens of a shard, and rounds of averaging.
+BATCH, RATE, SHARD, ROUNDS = 2048, 0.1, 4_000_000, 3
+#: Bytes of text whose words are counted together.
+COUNT_BYTES = 12 << 20
 
 
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, n): every word of the corpus, lower-cased (A-Z)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
-
-        def out() -> Iterator[pa.RecordBatch]:
-            words = list(n)
-            for at in range(0, len(words), 20_000):
-                part = words[at : at + 20_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()).cast(pa.string()), pa.array([n[w] for w in part], pa.int64())], ["word", "n"])
-
-        for b in batches:
-            for text in b.column(0).cast(pa.binary()).to_pylist():
-                n.update((text or b"").translate(LOWER).split())
-                if len(n) > COUNTED:
-                    yield from out()
-                    n.clear()
-        yield from out()
+        for batch in batches:
+            for b in groups(batch, 0, COUNT_BYTES):
+                yield pa.RecordBatch.from_arrays(list(counted(b.column(0))), ["word", "n"])
 
     return docs.select(text_col).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -67,9 +60,11 @@ class Tokens:
     log_class: np.ndarray
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        get, rest = self.token.get, len(self.token)
-        found = [get(w, -1) for w in words]
-        return np.array([t if t >= 0 else rest + crc32(w[-3:]) % ENDINGS for t, w in zip(found, words, strict=True)], np.int64)
+        rest = len(self.token)
+        found = np.fromiter(map(self.token.get, words, repeat(-1)), np.int64, len(words))
+        new = np.nonzero(found < 0)[0]
+        found[new] = [rest + crc32(words[i][-3:]) % ENDINGS for i in new.tolist()]
+        return found
 
 
 def tokens(counts: DataFrame) -> Tokens:
@@ -133,54 +128,48 @@ def forward(net: list[np.ndarray], near: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def step(net: list[np.ndarray], sums: list[np.ndarray], near: np.ndarray, want: np.ndarray) -> None:
     """One descent step on the classes `want`, in place. Each weight's step shrinks with its past gradients (`sums`)."""
-    x, h, logp = forward(net, near)
-    e = np.exp(logp)
+    x = net[0][near].reshape(len(near), -1)
+    h = np.tanh(x @ net[1])
+    e = h @ net[2] + net[3]
+    e -= e.max(axis=1, keepdims=True)
+    np.exp(e, out=e)
+    e /= e.sum(axis=1, keepdims=True)
     e[np.arange(len(want)), want] -= 1
     e /= len(want)
     dh = (e @ net[2].T) * (1 - h * h)
     dx = (dh @ net[1].T).reshape(-1, WIDTH)
-    flat = near.ravel()
+    flat = near.ravel().astype(np.uint16 if len(net[0]) < 1 << 16 else np.int64)
     order = np.argsort(flat, kind="stable")
-    first = np.nonzero(np.diff(flat[order], prepend=-1))[0]
-    for i, rows, g in ((0, flat[order][first], np.add.reduceat(dx[order], first)), (1, slice(None), x.T @ dh), (2, slice(None), h.T @ e), (3, slice(None), e.sum(axis=0))):
+    flat = flat[order]
+    first = np.nonzero(np.diff(flat.astype(np.int64), prepend=-1))[0]
+    for i, rows, g in ((0, flat[first], np.add.reduceat(dx[order], first)), (1, slice(None), x.T @ dh), (2, slice(None), h.T @ e), (3, slice(None), e.sum(axis=0))):
         sums[i][rows] += g * g
         net[i][rows] -= RATE * g / np.sqrt(sums[i][rows] + 1e-8)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: int, vocabulary: Tokens, size: int) -> Iterator[tuple[pa.RecordBatch, list[int], list[bytes], np.ndarray, np.ndarray]]:
-    """Runs of rows with their numbers of tokens, their words, their tokens and, for each token, where its text ends."""
-    for b in batches:
-        texts, at = b.column(column).cast(pa.binary()).to_pylist(), 0
-        while at < len(texts):
-            to, words, lens = at, [], []
-            while to < len(texts) and (to == at or len(words) < size):
-                own = (texts[to] or b"").translate(LOWER).split()
-                words += own
-                lens.append(len(own))
-                to += 1
-            n = np.array(lens, np.int64)
-            yield b.slice(at, to - at), lens, words, vocabulary.ids(words), np.repeat(np.cumsum(n), n)
-            at = to
+def descend(net: list[np.ndarray], sums: list[np.ndarray], ids: np.ndarray, ends: np.ndarray, vocabulary: Tokens) -> None:
+    """Steps over every place of some texts, in a fixed random order."""
+    near, order = windows(ids, ends, len(vocabulary.of_class)), np.random.default_rng(len(ids)).permutation(len(ids))
+    size = min(BATCH, max(128, len(ids) // 32))
+    for at in range(0, len(ids), size):
+        some = order[at : at + size]
+        step(net, sums, near[some], vocabulary.of_class[ids[some]])
 
 
-def train(docs: DataFrame, text_col: str, vocabulary: Tokens) -> list[np.ndarray]:
-    """The average of the networks that the tasks arrive at, weighted by the tokens they saw. All texts are read."""
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    shapes = [w.shape for w in start(vocabulary)]
+def _texts(batch: pa.RecordBatch, column: int, vocabulary: Tokens) -> Iterator[tuple[pa.RecordBatch, list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of a batch with their distinct words, each word's number among them, the numbers of words and the tokens."""
+    for b in groups(batch, column, 1 << 20):
+        names, number, n = words_of(b.column(column))
+        yield b, names, number, n, vocabulary.ids(names)[number] if names else number
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = sent.value
-        net, seen = start(v), 0
-        sums = [np.zeros_like(w) for w in net]
-        for _, _, _, ids, ends in _texts(batches, 0, v, 1 << 17):
-            near = windows(ids, ends, len(v.of_class))
-            masked = np.random.default_rng(len(ids)).permutation(len(ids))[: -(-len(ids) // MASKED)]
-            for at in range(0, len(masked), BATCH):
-                some = masked[at : at + BATCH]
-                step(net, sums, near[some], v.of_class[ids[some]])
-            seen += len(ids)
-        if seen:
-            yield _row(net, seen)
+
+def train(docs: DataFrame, id_col: str, text_col: str, vocabulary: Tokens, n_words: int) -> list[np.ndarray]:
+    """The network after ROUNDS rounds. Every text is read in one of them. Copies of a text are dealt by their ids too."""
+    net, spark = start(vocabulary), docs.sparkSession
+    shapes = [w.shape for w in net]
+    shards = max(1, -(-n_words // (SHARD * ROUNDS)))
+    dealt = docs.select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"))
+    dealt = dealt.select(F.pmod("h", F.lit(ROUNDS)).alias("round"), F.pmod(F.shiftright("h", 8), F.lit(shards)).alias("shard"), "h", "text")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = None, 0
@@ -191,26 +180,46 @@ def train(docs: DataFrame, text_col: str, vocabulary: Tokens) -> list[np.ndarray
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([(total / seen).astype("<f4").tobytes()], pa.binary())], ["seen", "net"])
 
-    def _row(net: list[np.ndarray], seen: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([np.concatenate([w.ravel() for w in net]).astype("<f4").tobytes()], pa.binary())], ["seen", "net"])
-
     kind = "seen bigint, net binary"
-    each = staged(docs.select(text_col).mapInArrow(run, kind), "networks")
-    n = each.count()
-    while n > 16:  # in a tree, so that no task and not the driver reads more than a few networks
-        n = -(-n // 16)
-        each = staged(each.repartition(n).mapInArrow(merge, kind), "networks")
-        n = min(n, each.count())
-    rows = each.collect()
-    if not rows:
-        return start(vocabulary)
-    seen = sum(r["seen"] for r in rows)
-    flat = sum(np.frombuffer(r["net"], "<f4").astype(np.float64) * (r["seen"] / seen) for r in rows).astype(np.float32)
-    out, at = [], 0
-    for shape in shapes:
-        out.append(flat[at : at + int(np.prod(shape))].reshape(shape))
-        at += int(np.prod(shape))
-    return out
+    for i in range(ROUNDS):
+        sent = spark.sparkContext.broadcast((vocabulary, net))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            (v, begun), shard, own, sums, seen = sent.value, None, [], [], 0
+
+            def out() -> Iterator[pa.RecordBatch]:
+                if seen:
+                    yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([np.concatenate([w.ravel() for w in own]).astype("<f4").tobytes()], pa.binary())], ["seen", "net"])
+
+            for batch in batches:
+                # a batch may hold the end of one shard and the beginning of others
+                at = batch.column(0).to_numpy()
+                for a, b in zip(cuts := [0, *(np.nonzero(np.diff(at))[0] + 1).tolist()], [*cuts[1:], len(at)], strict=True):
+                    if at[a] != shard:
+                        yield from out()
+                        shard, own, sums, seen = at[a], [w.copy() for w in begun], [np.zeros_like(w) for w in begun], 0
+                    for _, _, _, n, ids in _texts(batch.slice(a, b - a), 1, v):
+                        descend(own, sums, ids, np.repeat(np.cumsum(n), n), v)
+                        seen += len(ids)
+            yield from out()
+
+        part = dealt.where(F.col("round") == i).repartition("shard").sortWithinPartitions("shard", "h", "text").select("shard", "text")
+        each = staged(part.mapInArrow(run, kind), "networks")
+        n = each.count()
+        while n > 16:  # in a tree, so that no task and not the driver reads more than a few networks
+            n = -(-n // 16)
+            each = staged(each.repartition(n).mapInArrow(merge, kind), "networks")
+            n = min(n, each.count())
+        rows = sorted(each.collect(), key=lambda r: (r["seen"], bytes(r["net"])))
+        sent.unpersist()
+        seen = sum(r["seen"] for r in rows)
+        if seen:
+            flat = sum(np.frombuffer(r["net"], "<f4").astype(np.float64) * (r["seen"] / seen) for r in rows).astype(np.float32)
+            net, at = [], 0
+            for shape in shapes:
+                net.append(flat[at : at + int(np.prod(shape))].reshape(shape))
+                at += int(np.prod(shape))
+    return net
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,31 +230,26 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     scored whole; an empty table gives no rows; other columns are not looked at."""
     counts = staged(word_counts(docs, text_col), "words")
     vocabulary = tokens(counts)
-    net = train(docs, text_col, vocabulary)
+    n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    net = train(docs, id_col, text_col, vocabulary, n_words)
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, net = sent.value
-        for b, lens, words, ids, ends in _texts(batches, 2, v, 1 << 15):
-            near, got = windows(ids, ends, len(v.of_class)), np.zeros(len(ids))
-            for at in range(0, len(ids), 1 << 14):
-                own = ids[at : at + (1 << 14)]
-                got[at : at + (1 << 14)] = forward(net, near[at : at + (1 << 14)])[2][np.arange(len(own)), v.of_class[own]] + v.log_share[own]
-            stops = np.unique(ends)
-            n, sums = np.array(lens, np.int64), np.zeros(len(lens))
-            sums[n > 0] = np.bincount(np.searchsorted(stops, ends), got)
-            rest = np.nonzero(ids >= len(v.token))[0]
-            cuts = np.searchsorted(rest, np.concatenate(([0], np.cumsum(n))))
-            rare: list[bytes] = []
-            times: list[int] = []
-            upto = [0]
-            for k in range(len(n)):
-                held = Counter([words[i] for i in rest[cuts[k] : cuts[k + 1]].tolist()])
-                rare += held.keys()
-                times += held.values()
-                upto.append(len(rare))
-            pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())], ["word", "times"])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(sums), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pairs)], ["_row", "id", "n_tokens", "log_prob", "rare"])
+        for batch in batches:
+            for b, names, number, n, ids in _texts(batch, 2, v):
+                near, got = windows(ids, np.repeat(np.cumsum(n), n), len(v.of_class)), np.zeros(len(ids))
+                for at in range(0, len(ids), 1 << 13):
+                    own = ids[at : at + (1 << 13)]
+                    got[at : at + (1 << 13)] = forward(net, near[at : at + (1 << 13)])[2][np.arange(len(own)), v.of_class[own]] + v.log_share[own]
+                text = np.repeat(np.arange(len(n)), n)
+                sums = np.bincount(text, got, len(n))
+                rest = np.nonzero(ids >= len(v.token))[0]
+                held, times = np.unique(text[rest] * max(1, len(names)) + number[rest], return_counts=True)
+                upto = np.searchsorted(held, np.arange(len(n) + 1) * max(1, len(names)))
+                words = pa.array(names, pa.binary()).cast(pa.string()).take(pa.array(held % max(1, len(names))))
+                pairs = pa.StructArray.from_arrays([words, pa.array(times, pa.int64())], ["word", "times"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(sums), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pairs)], ["_row", "id", "n_tokens", "log_prob", "rare"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))

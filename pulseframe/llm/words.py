@@ -49,3 +49,11 @@ def words_of(texts: pa.Array, keep_special: bool = False) -> tuple[list[bytes],
         number -= number > none
         del names[none]
     return names, number, n
+
+
+def counted(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """(distinct words of the texts, how often each stands there)."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), ""))).flatten()
+    found = pc.value_counts(split)
+    real = pc.not_equal(found.field("values"), "")
+    return found.field("values").filter(real), found.field("counts").filter(real)

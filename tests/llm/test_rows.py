@@ -226,3 +226,59 @@ def test_score_is_the_sum_of_conditionals() -> None:
         for i in range(len(t)):
             assert near[at + i].tolist() == pad[i : i + 2] + pad[i + 3 : i + 5]
         at += len(t)
+
+
+def test_scores_do_not_depend_on_the_files(spark, tmp_path) -> None:
+    """The same rows in one file and in eight, in another order."""
+    rng = random.Random(3)
+    bag = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choices(bag, range(300, 0, -1), k=40))) for i in range(500)]
+    scores = []
+    for n in (1, 8):
+        rng.shuffle(rows)
+        path = str(tmp_path / f"files{n}")
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(n).write.parquet(path)
+        scores.append({r.doc_id: r.mean_log_prob for r in lm_scoring.score(spark.read.parquet(path)).collect()})
+    assert all(abs(scores[0][i] - scores[1][i]) < 1e-3 for i in range(500))
+
+
+def test_log_prob_against_brute_force(spark, monkeypatch) -> None:
+    """Each text's score is the sum over its words of the log of the class's probability, given the two words on either side,
+    times the word's share of its class; at any place the probabilities of all words add up to one, but for what endings that
+    no word has keep for unseen words."""
+    kept = []
+    monkeypatch.setattr(lm_scoring, "VOCABULARY", 20)
+    train = lm_scoring.train
+    monkeypatch.setattr(lm_scoring, "train", lambda *a: kept.append((a[3], train(*a))) or kept[-1][1])
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"a{i}" for i in range(12)] + [f"rare{i}x" for i in range(60)], [30] * 12 + [1] * 60, k=rng.randrange(0, 30))) for _ in range(200)]
+    got = {r.doc_id: r for r in lm_scoring.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    (v, net), counts = kept[0], {}
+    for t in texts:
+        for w in t.split():
+            counts[w] = counts.get(w, 0) + 1
+    of = {w: int(v.ids([w.encode()])[0]) for w in counts}
+    mass = np.zeros(lm_scoring.CLASSES)
+    for w, n in counts.items():
+        mass[v.of_class[of[w]]] += n
+    # an ending that no word has keeps half a word's mass
+    for t in range(len(v.token), len(v.of_class)):
+        mass[v.of_class[t]] += 0.0 if t in of.values() else 0.5
+    beyond = len(v.of_class)
+
+    def given(ids: list[int], i: int) -> np.ndarray:
+        x = np.concatenate([net[0][ids[k] if 0 <= k < len(ids) else beyond] for k in (i - 2, i - 1, i + 1, i + 2)]).astype(float)
+        z = np.tanh(x @ net[1]) @ net[2] + net[3]
+        return np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+    for d, t in enumerate(texts):
+        words, want = t.split(), 0.0
+        ids = [of[w] for w in words]
+        for i, w in enumerate(words):
+            want += np.log(given(ids, i)[v.of_class[of[w]]] * counts[w] / mass[v.of_class[of[w]]])
+        assert abs(got[d].log_prob - want) < 1e-3 * max(1, len(words)), d
+    p = given([of[w] for w in texts[1].split()], 0)
+    kept_back = sum(p[v.of_class[t]] * 0.5 / mass[v.of_class[t]] for t in range(len(v.token), len(v.of_class)) if t not in of.values())
+    no_words = p[[c for c in range(lm_scoring.CLASSES) if c not in set(v.of_class.tolist())]].sum()
+    said = sum(p[v.of_class[of[w]]] * n / mass[v.of_class[of[w]]] for w, n in counts.items())
+    assert abs(said + kept_back + no_words - 1) < 1e-6 and kept_back < 0.2
