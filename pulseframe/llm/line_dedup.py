@@ -18,7 +18,7 @@ from .common import staged, with_row_id
 MIN_SITES, MIN_WORDS = 5, 3
 #: log2 of a sketch's registers (3 % error); estimates within these factors of the threshold are counted exactly.
 SKETCH, NEAR = 10, (0.5, 2.0)
-#: Lines to drop up to which their list is broadcast (some 60 bytes each); beyond it the join is shuffled.
+#: Lines up to which their list is broadcast (some 60 bytes each); beyond it the joins are shuffled.
 BROADCAST_LINES = 50_000
 
 
@@ -53,11 +53,13 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, min_pages: int | N
     for c, n in need.items():
         guess = guess.where(F.col(f"{c}s") >= int(n * NEAR[0]))
     found = staged(guess, "spread")
+    # a common line's pairs then stay where they are until they are counted
+    small = F.broadcast if found.count() <= BROADCAST_LINES else (lambda df: df)
     for c, n in need.items():
         sure = found.where(F.col(f"{c}s") > n * NEAR[1])
         near = found.where(F.col(f"{c}s") <= n * NEAR[1])
         # pairs are made distinct before they meet, so that a line of many pages on few sites is a few rows
-        pairs = spots.select("key", c).distinct().join(near.select("key"), "key", "left_semi")
+        pairs = spots.select("key", c).distinct().join(small(near.select("key")), "key", "left_semi")
         exact = pairs.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= n)
         found = sure.unionByName(near.join(exact.select("key"), "key", "left_semi"))
     return found.select("key", "first")
