@@ -11,6 +11,7 @@ import re
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -18,12 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, with_row_id
+from .common import with_row_id
 from .tokens import load, tokenizer_path
+from .words import groups, words_of
 
 #: Postings that a task gathers before it hands them out; bits of a posting for its row in the run, the rest for its count.
 RUN_POSTINGS, ROW_BITS = 3_000_000, 15
 MOST_TIMES = (1 << (31 - ROW_BITS)) - 1
+#: Bytes of text whose words are told apart together.
+SLICE_BYTES = 2 << 20
 #: A pre-token with so many postings in a run is dealt by run over so many keys.
 HOT, SALTS = 256, 512
 
@@ -32,11 +36,22 @@ _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 _PLAIN = re.compile(rb"(?:[\x21-\x7e]|\xc3[\x80-\xbf])+")
 
 
-def pre_tokens(word: bytes) -> list[bytes]:
-    """The pre-tokens of a white-space-delimited word, lower-cased. A word that holds a special string's opening or a
-    character beyond Latin-1 stays whole: the tokenizer then splits it when it counts its pieces."""
-    if b"<|" in word or not _PLAIN.fullmatch(word):
+@lru_cache(maxsize=1)
+def _library(path: str) -> tuple:
+    """The library's normalizer and the first of its pre-tokenizers, which splits; the other one spells bytes."""
+    tok = load(path)
+    return tok.normalizer, tok.pre_tokenizer[0]
+
+
+def pre_tokens(word: bytes, path: str | None = None) -> list[bytes]:
+    """The pre-tokens of a white-space-delimited word, lower-cased. Words with a character beyond Latin-1 are split by the
+    library itself. A word that holds a special string's opening stays whole: the tokenizer then splits it when it counts
+    its pieces."""
+    if b"<|" in word:
         return [word]
+    if not _PLAIN.fullmatch(word):
+        normalizer, split = _library(path or tokenizer_path())
+        return [x.encode() for x, _ in split.pre_tokenize_str(normalizer.normalize_str(word.decode()))]
     return [x.encode() for x in _SPLIT.findall(word.decode().lower())]
 
 
@@ -46,23 +61,26 @@ class _Run:
     def __init__(self) -> None:
         self.names: defaultdict = defaultdict()
         self.names.default_factory = self.names.__len__
-        self.rows: list[int] = []
+        self.base: int | None = None
+        self.rows: list[np.ndarray] = []
         self.word: list[np.ndarray] = []
         self.times: list[np.ndarray] = []
         self.size = 0
 
     def takes(self, row: int) -> bool:
-        return not self.rows or (self.size < RUN_POSTINGS and 0 <= row - self.rows[0] < 1 << ROW_BITS)
-
-    def add(self, row: int, text: bytes) -> None:
-        # upper and lower case share pre-tokens, but a special string counts only as it is written
-        words = text.split() if b"<|" in text else text.translate(LOWER).split()
-        if words:
-            word, times = np.unique(np.fromiter(map(self.names.__getitem__, words), np.int32, len(words)), return_counts=True)
-            self.rows.append(row)
-            self.word.append(word)
-            self.times.append(times.astype(np.int32))
-            self.size += len(word)
+        if self.base is None:
+            self.base = row
+        return self.size < RUN_POSTINGS and 0 <= row - self.base < 1 << ROW_BITS
+
+    def add(self, rows: list[int], names: list[bytes], number: np.ndarray, n: np.ndarray) -> None:
+        """The words of some rows: distinct ones, each word's number among them, and how many each row has."""
+        size = max(1, len(names))
+        held, times = np.unique(np.repeat(np.arange(len(n)), n) * size + number, return_counts=True)
+        known = np.fromiter(map(self.names.__getitem__, names), np.int32, len(names))
+        self.rows.append(np.array(rows)[held // size])
+        self.word.append(known[held % size] if names else np.zeros(0, np.int32))
+        self.times.append(times.astype(np.int32))
+        self.size += len(held)
 
     def units(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """Distinct pre-tokens; for each word, where its pre-tokens stand in the second array."""
@@ -76,13 +94,13 @@ class _Run:
         return list(names), np.frombuffer(ends, np.int32), np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32)
 
     def postings(self) -> Iterator[pa.RecordBatch]:
-        if not self.rows:
+        if not self.size:
             return
         units, ends, flat = self.units()
-        base = self.rows[0]
-        row = np.repeat((np.array(self.rows) - base).astype(np.int32), [len(w) for w in self.word])
+        base = self.base
+        row = (np.concatenate(self.rows) - base).astype(np.int32)
         word, times = np.concatenate(self.word), np.concatenate(self.times)
-        self.word, self.times = [], []
+        self.rows, self.word, self.times = [], [], []
         n = np.diff(ends)[word]
         spot = np.arange(int(n.sum()), dtype=np.int32)
         spot += np.repeat(ends[word] - (np.cumsum(n, dtype=np.int32) - n), n)
@@ -113,12 +131,22 @@ class _Run:
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     run = _Run()
-    for b in batches:
-        for row, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
-            if not run.takes(row):
-                yield from run.postings()
-                run = _Run()
-            run.add(row, text or b"")
+    for batch in batches:
+        for b in groups(batch, 1, SLICE_BYTES):
+            # upper and lower case share pre-tokens, but a special string counts only as it is written
+            rows, (names, number, n) = b.column(0).to_pylist(), words_of(b.column(1), keep_special=True)
+            at = to = 0
+            while to < len(rows):
+                if not run.takes(rows[at]) or not run.takes(rows[to]):
+                    yield from run.postings()
+                    run = _Run()
+                    run.takes(rows[at])
+                while to < len(rows) and run.takes(rows[to]):
+                    to += 1
+                first = int(n[:at].sum())
+                some = number[first : first + int(n[at:to].sum())]
+                run.add(rows[at:to], names, some, n[at:to])
+                at = to
     yield from run.postings()
 
 
