@@ -33,7 +33,7 @@ VOCABULARY, ENDINGS, SIDE, WIDTH = 8000, 512, 2, 24
 OWN, SPELT, RARE = 64, 48, 16
 CLASSES = OWN + SPELT + RARE
 #: Tokens of a descent step (fewer in small groups), its size, tokens of a shard, and rounds of averaging.
-BATCH, RATE, SHARD, ROUNDS = 2048, 0.1, 4_000_000, 3
+BATCH, RATE, SHARD, ROUNDS = 2048, 0.1, 1_000_000, 2
 #: Bytes of text whose words are counted together.
 COUNT_BYTES = 12 << 20
 
@@ -117,13 +117,12 @@ def windows(ids: np.ndarray, ends: np.ndarray, beyond: int) -> np.ndarray:
     return np.stack(near, axis=1)
 
 
-def forward(net: list[np.ndarray], near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(input, hidden, log-probabilities of the classes)."""
-    x = net[0][near].reshape(len(near), -1)
-    h = np.tanh(x @ net[1])
-    z = h @ net[2] + net[3]
+def log_probs(net: list[np.ndarray], near: np.ndarray, want: np.ndarray) -> np.ndarray:
+    """The log-probability of each class wanted, given its neighbours."""
+    z = np.tanh(net[0][near].reshape(len(near), -1) @ net[1]) @ net[2] + net[3]
     z -= z.max(axis=1, keepdims=True)
-    return x, h, z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    own = z[np.arange(len(want)), want]
+    return own - np.log(np.exp(z, out=z).sum(axis=1))
 
 
 def step(net: list[np.ndarray], sums: list[np.ndarray], near: np.ndarray, want: np.ndarray) -> None:
@@ -203,7 +202,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, vocabulary: Tokens, n_wor
                         seen += len(ids)
             yield from out()
 
-        part = dealt.where(F.col("round") == i).repartition("shard").sortWithinPartitions("shard", "h", "text").select("shard", "text")
+        part = dealt.where(F.col("round") == i).repartition(shards, "shard").sortWithinPartitions("shard", "h", "text").select("shard", "text")
         each = staged(part.mapInArrow(run, kind), "networks")
         n = each.count()
         while n > 16:  # in a tree, so that no task and not the driver reads more than a few networks
@@ -241,7 +240,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 near, got = windows(ids, np.repeat(np.cumsum(n), n), len(v.of_class)), np.zeros(len(ids))
                 for at in range(0, len(ids), 1 << 13):
                     own = ids[at : at + (1 << 13)]
-                    got[at : at + (1 << 13)] = forward(net, near[at : at + (1 << 13)])[2][np.arange(len(own)), v.of_class[own]] + v.log_share[own]
+                    got[at : at + (1 << 13)] = log_probs(net, near[at : at + (1 << 13)], v.of_class[own]) + v.log_share[own]
                 text = np.repeat(np.arange(len(n)), n)
                 sums = np.bincount(text, got, len(n))
                 rest = np.nonzero(ids >= len(v.token))[0]
