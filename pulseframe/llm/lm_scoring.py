@@ -117,33 +117,49 @@ def windows(ids: np.ndarray, ends: np.ndarray, beyond: int) -> np.ndarray:
     return np.stack(near, axis=1)
 
 
+def hidden(net: list[np.ndarray], near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The input and the hidden layer of each place."""
+    x = net[0].take(near, axis=0).reshape(len(near), -1)
+    h = x @ net[1]
+    return x, np.tanh(h, out=h)
+
+
+def logits(net: list[np.ndarray], h: np.ndarray) -> np.ndarray:
+    """What each class has at each place. A row's largest is taken off where exp() might leave the range of floats: no
+    hidden value is beyond 1, which bounds them."""
+    z = h @ net[2]
+    z += net[3]
+    if (np.abs(net[2]).sum(axis=0) + np.abs(net[3])).max() > 60:
+        z -= z.max(axis=1, keepdims=True)
+    return z
+
+
 def log_probs(net: list[np.ndarray], near: np.ndarray, want: np.ndarray) -> np.ndarray:
     """The log-probability of each class wanted, given its neighbours."""
-    z = np.tanh(net[0][near].reshape(len(near), -1) @ net[1]) @ net[2] + net[3]
-    z -= z.max(axis=1, keepdims=True)
+    z = logits(net, hidden(net, near)[1])
     own = z[np.arange(len(want)), want]
-    return own - np.log(np.exp(z, out=z).sum(axis=1))
+    return own - np.log(np.exp(z, out=z) @ np.ones(CLASSES, z.dtype))
 
 
 def step(net: list[np.ndarray], sums: list[np.ndarray], near: np.ndarray, want: np.ndarray) -> None:
     """One descent step on the classes `want`, in place. Each weight's step shrinks with its past gradients (`sums`)."""
-    x = net[0][near].reshape(len(near), -1)
-    h = np.tanh(x @ net[1])
-    e = h @ net[2] + net[3]
-    e -= e.max(axis=1, keepdims=True)
+    x, h = hidden(net, near)
+    e = logits(net, h)
     np.exp(e, out=e)
-    e /= e.sum(axis=1, keepdims=True)
-    e[np.arange(len(want)), want] -= 1
-    e /= len(want)
-    dh = (e @ net[2].T) * (1 - h * h)
+    e *= (1 / (len(want) * (e @ np.ones(CLASSES, e.dtype))))[:, None]
+    e[np.arange(len(want)), want] -= 1 / len(want)
+    dh = e @ net[2].T
+    dh *= 1 - h * h
     dx = (dh @ net[1].T).reshape(-1, WIDTH)
     flat = near.ravel().astype(np.uint16 if len(net[0]) < 1 << 16 else np.int64)
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
     first = np.nonzero(np.diff(flat.astype(np.int64), prepend=-1))[0]
-    for i, rows, g in ((0, flat[first], np.add.reduceat(dx[order], first)), (1, slice(None), x.T @ dh), (2, slice(None), h.T @ e), (3, slice(None), e.sum(axis=0))):
-        sums[i][rows] += g * g
-        net[i][rows] -= RATE * g / np.sqrt(sums[i][rows] + 1e-8)
+    given = np.add.reduceat(dx.take(order, axis=0), first)
+    for i, rows, g in ((0, flat[first], given), (1, slice(None), x.T @ dh), (2, slice(None), h.T @ e), (3, slice(None), np.ones(len(e), e.dtype) @ e)):
+        past = sums[i][rows] + g * g
+        sums[i][rows] = past
+        net[i][rows] -= RATE * g / np.sqrt(past + 1e-8)
 
 
 def descend(net: list[np.ndarray], sums: list[np.ndarray], ids: np.ndarray, ends: np.ndarray, vocabulary: Tokens) -> None:
@@ -238,9 +254,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for batch in batches:
             for b, names, number, n, ids in _texts(batch, 2, v):
                 near, got = windows(ids, np.repeat(np.cumsum(n), n), len(v.of_class)), np.zeros(len(ids))
-                for at in range(0, len(ids), 1 << 13):
-                    own = ids[at : at + (1 << 13)]
-                    got[at : at + (1 << 13)] = log_probs(net, near[at : at + (1 << 13)], v.of_class[own]) + v.log_share[own]
+                for at in range(0, len(ids), BATCH):
+                    own = ids[at : at + BATCH]
+                    got[at : at + BATCH] = log_probs(net, near[at : at + BATCH], v.of_class[own]) + v.log_share[own]
                 text = np.repeat(np.arange(len(n)), n)
                 sums = np.bincount(text, got, len(n))
                 rest = np.nonzero(ids >= len(v.token))[0]
