@@ -184,7 +184,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, vocabulary: Tokens, n_wor
     shapes = [w.shape for w in net]
     shards = max(1, -(-n_words // (SHARD * ROUNDS)))
     dealt = docs.select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"))
-    dealt = dealt.select(F.pmod("h", F.lit(ROUNDS)).alias("round"), F.pmod(F.shiftright("h", 8), F.lit(shards)).alias("shard"), "h", "text")
+    dealt = dealt.select(F.pmod("h", F.lit(ROUNDS)).alias("round"), F.pmod(F.shiftright("h", 8), F.lit(shards)).cast("int").alias("shard"), "h", "text")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = None, 0
@@ -218,7 +218,8 @@ def train(docs: DataFrame, id_col: str, text_col: str, vocabulary: Tokens, n_wor
                         seen += len(ids)
             yield from out()
 
-        part = dealt.where(F.col("round") == i).repartition(shards, "shard").sortWithinPartitions("shard", "h", "text").select("shard", "text")
+        # a task for each shard: a hash of the few numbers would put several into one task
+        part = dealt.where(F.col("round") == i).repartitionById(shards, "shard").sortWithinPartitions("shard", "h", "text").select("shard", "text")
         each = staged(part.mapInArrow(run, kind), "networks")
         n = each.count()
         while n > 16:  # in a tree, so that no task and not the driver reads more than a few networks
