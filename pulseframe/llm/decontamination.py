@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from .common import ALNUM, staged, with_row_id
 
 WINDOW, SHINGLE = 10, 3
-#: The bit table that thins shingles before they leave a task has a fixed size; a full one lets all through to the join.
-TABLE_BITS = 24
+#: The bit table that thins shingles before they leave a task has 2 ** 24 bits (2 MB), or, for more shingles, 64 bits for
+#: each up to 2 ** 28 bits (32 MB); a fuller one lets more through to the join, which decides in any case.
+TABLE_BITS, MOST_TABLE_BITS, BITS_EACH = 24, 28, 64
 #: Windows up to which the index is broadcast (some 300 bytes each); beyond it the join is shuffled.
 BROADCAST_WINDOWS = 50_000
 #: Bytes of text that a task handles at once.
@@ -62,7 +63,8 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 
 def _hits(words: list[list[bytes]], sizes: list[int], table: np.ndarray, kept: _WordHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, position, hash) of the shingles whose bit is set."""
+    """(text, position, hash) of the shingles whose bit is set in `table`, bytes whose number is a power of two: a
+    shingle's bit is given by its highest bits, as many as number the table's."""
     n = np.fromiter(map(len, words), np.int64, len(words))
     h = np.fromiter(map(kept.__getitem__, chain.from_iterable(words)), np.uint64, int(n.sum()))
     ends = np.repeat(np.cumsum(n), n)
@@ -70,7 +72,7 @@ def _hits(words: list[list[bytes]], sizes: list[int], table: np.ndarray, kept: _
     for k in sizes:
         if len(h) >= k:
             g = _mixed(h, k)
-            bit = g >> np.uint64(64 - TABLE_BITS)
+            bit = g >> np.uint64(62 - len(table).bit_length())
             at = np.nonzero((table[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1)[0]
             at = at[at + k <= ends[at]]
             out.append((at, g[at]))
@@ -104,11 +106,17 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return items.mapInArrow(run, "item_id string, words string, n int, shingles array<struct<off:int,k:int,h:bigint>>")
 
 
+def _table_bits(n: int) -> int:
+    """Bits that number those of a table for n hashes."""
+    return min(MOST_TABLE_BITS, max(TABLE_BITS, (max(1, n) * BITS_EACH - 1).bit_length()))
+
+
 def _bit_table(hashes: DataFrame) -> np.ndarray:
-    """A set of hashes as a bit table of fixed size."""
-    bit = F.shiftrightunsigned("h", 64 - TABLE_BITS)
-    rows = hashes.groupBy(F.shiftright(bit, 5).alias("i")).agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(h, {64 - TABLE_BITS}) & 31 as int)))").alias("bits")).toArrow()
-    table = np.zeros(1 << (TABLE_BITS - 5), np.uint32)
+    """A set of hashes as a bit table; the driver sees a row at most for each 32 of its bits."""
+    bits = _table_bits(hashes.count())
+    bit = F.shiftrightunsigned("h", 64 - bits)
+    rows = hashes.groupBy(F.shiftright(bit, 5).alias("i")).agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) & 31 as int)))").alias("bits")).toArrow()
+    table = np.zeros(1 << (bits - 5), np.uint32)
     table[rows["i"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint32)
     return table.astype("<u4").view(np.uint8)
 

@@ -4,7 +4,7 @@ A window network predicts every token from the tokens on both sides of it; the s
 the text's score. Words are counted over the whole corpus; frequent ones are tokens of their own, all others are told apart
 by their ending. Tokens are dealt to classes by frequency and spelling, the network predicts the class, and a word has its
 own share of the class's count: frequent words by a table that tasks hold, all others by a join with the counts of all
-words, so that only the network's input has a fixed size. The conditional probabilities of a place add up to one over all
+words. The vocabulary grows as the cube root of the corpus; endings, classes and hidden layer have fixed sizes. The conditional probabilities of a place add up to one over all
 words of the corpus and what endings without a word keep for unseen ones.
 
 The network is trained in numpy on every place of every text. Texts are dealt to shards by a hash, so that the files they
@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from .common import staged
 from .words import counted, groups, words_of
 
-#: Words with a token of their own, tokens for all other words by their ending, classes, sizes of the network.
-VOCABULARY, ENDINGS, SIDE, WIDTH = 8000, 512, 2, 24
+#: Words with a token of their own (at least; and for the cube root of the corpus's words), tokens for all other words by
+#: their ending, sizes of the network.
+VOCABULARY, GROWTH, ENDINGS, SIDE, WIDTH = 8000, 31, 512, 2, 24
 #: Classes: one for each of the most frequent words, for the other frequent words, for endings.
 OWN, SPELT, RARE = 64, 48, 16
 CLASSES = OWN + SPELT + RARE
@@ -67,9 +68,15 @@ class Tokens:
         return found
 
 
-def tokens(counts: DataFrame) -> Tokens:
-    """The vocabulary from the counts of all words. The driver sees VOCABULARY words and ENDINGS sums."""
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+def vocabulary_size(n_words: int) -> int:
+    """How many words have tokens of their own in a corpus of n_words: 8,000 up to 17 million words, 13,500 at 85 million,
+    some 800,000, a network of 77 MB, at 17 million millions (100 TB)."""
+    return max(VOCABULARY, round(GROWTH * n_words ** (1 / 3)))
+
+
+def tokens(counts: DataFrame, n_words: int) -> Tokens:
+    """The vocabulary from the counts of all words. The driver sees vocabulary_size() words and ENDINGS sums."""
+    top = counts.orderBy(F.desc("n"), "word").limit(vocabulary_size(n_words)).collect()
     token = {r["word"].encode(): i for i, r in enumerate(top)}
     # the mass of all other words by their ending
     ending = F.crc32(F.substring(F.encode("word", "UTF-8"), -3, 3)) % ENDINGS
@@ -245,8 +252,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Null and wordless texts have no tokens, log_prob 0 and mean_log_prob null. Repeated rows and null ids stay; texts are
     scored whole; an empty table gives no rows; other columns are not looked at."""
     counts = staged(word_counts(docs, text_col), "words")
-    vocabulary = tokens(counts)
     n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    vocabulary = tokens(counts, n_words)
     net = train(docs, id_col, text_col, vocabulary, n_words)
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, net))
 

@@ -93,6 +93,8 @@ def test_decontamination(spark, stored, odd, few, monkeypatch) -> None:
 
     if not few:
         monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+        monkeypatch.setattr(decontamination, "TABLE_BITS", 8)  # smaller tables, in part full
+        monkeypatch.setattr(decontamination, "BITS_EACH", 2)
     rng = np.random.default_rng(5)
     bag = ["a", "b", "c", "dé", "e1"]
     say = lambda n: " ".join(rng.choice(bag, n))
@@ -110,6 +112,12 @@ def test_decontamination(spark, stored, odd, few, monkeypatch) -> None:
     assert decontaminate(stored(df.limit(0)), bench).count() == 0
 
 
+def test_bit_table_grows_with_the_benchmark() -> None:
+    from pulseframe.llm.decontamination import _table_bits
+
+    assert [_table_bits(n) for n in (0, 1 << 18, (1 << 18) + 1, 1 << 21, 1 << 30)] == [24, 24, 25, 27, 28]
+
+
 def test_line_dedup(spark, stored) -> None:
     menu, passage = "Home About Contact us", "This passage stands on many sites and is long."
     rows = [(i, f"{menu}\nOwn text of page {i}.\n{passage}\nok", f"s{i % 7}") for i in range(14)]

@@ -206,6 +206,7 @@ def test_language_model(spark, odd) -> None:
 def test_words_beyond_the_vocabulary_have_their_own_share(spark, monkeypatch) -> None:
     """Of two such words with one ending, in the same place, the more common one scores above the other by the log of its count."""
     monkeypatch.setattr(lm_scoring, "VOCABULARY", 3)
+    monkeypatch.setattr(lm_scoring, "GROWTH", 0)
     texts = ["aa bb cc"] * 40 + ["firstxyz"] * 20 + ["secondxyz", "firstxyz secondxyz firstxyz", ""]
     got = {r.doc_id: r for r in lm_scoring.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)).collect()}
     assert len(got) == len(texts) and got[61].n_tokens == 3 and got[62].log_prob == 0
@@ -228,6 +229,15 @@ def test_score_is_the_sum_of_conditionals() -> None:
         at += len(t)
 
 
+def test_vocabulary_grows_with_the_corpus(spark, monkeypatch) -> None:
+    assert [lm_scoring.vocabulary_size(n) for n in (0, 17_000_000, 136_000_000)] == [8000, 8000, 15942]
+    monkeypatch.setattr(lm_scoring, "VOCABULARY", 2)
+    counts = spark.createDataFrame([(f"w{i}", 1 + i) for i in range(2000)], "word string, n long")
+    held = [lm_scoring.tokens(counts.where(f"n <= {k}"), n) for k, n in ((1000, 8000), (2000, 27_000))]
+    assert [len(t.token) for t in held] == [620, 930]
+    assert all(len(t.of_class) == len(t.token) + lm_scoring.ENDINGS and t.of_class.max() < lm_scoring.CLASSES for t in held)
+
+
 def test_scores_do_not_depend_on_the_files(spark, tmp_path) -> None:
     """The same rows in one file and in eight, in another order."""
     rng = random.Random(3)
@@ -248,6 +258,7 @@ def test_log_prob_against_brute_force(spark, monkeypatch) -> None:
     no word has keep for unseen words."""
     kept = []
     monkeypatch.setattr(lm_scoring, "VOCABULARY", 20)
+    monkeypatch.setattr(lm_scoring, "GROWTH", 0)
     train = lm_scoring.train
     monkeypatch.setattr(lm_scoring, "train", lambda *a: kept.append((a[3], train(*a))) or kept[-1][1])
     rng = random.Random(8)
