@@ -64,6 +64,16 @@ def repeated_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(REPEATED, frames=frames(spark, sf_dir))
 
 
+#: Frames of which module 3's last quarter comes from a counter that has jumped ahead.
+DRIFTED = """
+    select seq, module_id, case when module_id = 3 and pulse_id > (select max(pulse_id) - floor((max(pulse_id) - min(pulse_id)) / 4) from {frames})
+                                then pulse_id + 1000000 else pulse_id end as pulse_id from {frames}"""
+
+
+def drifted(frames: DataFrame) -> DataFrame:
+    return frames.sparkSession.sql(DRIFTED, frames=frames)
+
+
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cross join with eight constants is an explode here."""
     f = frames(spark, sf_dir).withColumn("packetnum", F.explode(F.sequence(F.lit(0), F.lit(PACKETS - 1))))

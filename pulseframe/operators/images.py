@@ -1,14 +1,12 @@
-"""Images from module frames: fold, alignment, spines, losses, reconciliation (AGG-2, AGG-8, AGG-9, JN-1 .. JN-8)."""
+"""Images from module frames: fold, alignment, spines, losses in their set form,
+reconciliation (AGG-2, AGG-8, JN-1 .. JN-8); for the exact form see sync.py."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import PACKETS, SYNC_OFFSET, SYNC_ROUNDS
+from ..schemas import PACKETS
 
 
 def assemble_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1], check_daq_rec: bool = True, keys: tuple[str, ...] = ("pulse_id",), trust_source: bool = False) -> DataFrame:
@@ -108,77 +106,3 @@ def sync_loss(frames: DataFrame, n_modules: int, share: int = 1000) -> DataFrame
     goal = marked.withColumn("_in", F.min("_sync").over(inside)).join(firsts, "_share").select("pulse_id", F.coalesce("_in", "_after").alias("_goal"))
     lost = each.join(goal.where("_goal is not null"), "pulse_id").groupBy("_goal", "module_id").agg(F.count_if(F.col("pulse_id") < F.col("_goal")).alias("_n"))
     return lost.groupBy(F.col("_goal").alias("pulse_id")).agg(F.max("_n").alias("n_lost_pulses"))
-
-
-class _Aligner:
-    """Brings the modules' notices to a common pulse, round by round, and counts what is discarded. It is given a segment's
-    pulses in ascending order and keeps two numbers for each module."""
-
-    def __init__(self, n_modules: int, limit: int, rounds: int):
-        self.n_modules, self.limit, self.rounds = n_modules, limit, rounds
-        self.first: dict[int, int] = {}
-        self.seen: dict[int, int] = {}
-        self.lost, self.wrong, self.tries = 0, None, 0
-
-    def take(self, pulse: int, modules: list[int]) -> bool:
-        """Whether all modules stand at this pulse now."""
-        for m in modules:
-            self.first.setdefault(m, pulse)
-            self.seen[m] = self.seen.get(m, 0) + 1
-        if len(self.first) < self.n_modules:
-            return False
-        oldest = min(self.first.values())
-        if oldest < pulse:  # every module has a notice, this is the newest, and all before it are discarded
-            self.tries += 1
-            if pulse - oldest > self.limit:
-                self.wrong = "offset"
-            if self.tries > self.rounds:
-                self.wrong = self.wrong or "rounds"
-            self.lost += max(n - (m in modules) for m, n in self.seen.items())
-            self.first, self.seen = dict.fromkeys(modules, pulse), dict.fromkeys(modules, 1)
-        return len(self.first) == self.n_modules
-
-
-def sync_pulses(frames: DataFrame, n_modules: int, detector: str = "detector_name", limit: int = SYNC_OFFSET, rounds: int = SYNC_ROUNDS, share: int = 1000) -> DataFrame:
-    """(detector, pulse_id, n_lost_pulses, violation), exact form: what the synchroniser gives for each detector's notices.
-    violation is 'offset' where modules were further apart than `limit` pulses, 'rounds' where it took more than `rounds`.
-
-    A pulse that all modules have is never discarded, and after it the synchroniser starts anew: so the notices after one
-    such pulse up to the next are a segment of their own. Segments are dealt out, sorted, and read pulse by pulse."""
-    from pyspark.sql import Window
-
-    held = frames.where(F.col("module_id").between(0, n_modules - 1) & F.col("pulse_id").isNotNull())
-    each = held.groupBy(detector, "pulse_id").agg(F.collect_set("module_id").alias("_modules"))
-    cell = F.floor(F.col("pulse_id") / share).alias("_share")
-    marked = each.select(detector, "pulse_id", "_modules", cell, F.when(F.size("_modules") == n_modules, F.col("pulse_id")).alias("_sync"))
-    # the next pulse of all modules: inside a share, and in the shares after it
-    firsts = marked.groupBy(detector, "_share").agg(F.min("_sync").alias("_first"))
-    after = Window.partitionBy(detector).orderBy(F.desc("_share")).rowsBetween(Window.unboundedPreceding, -1)
-    firsts = firsts.select(F.col(detector).alias("_name"), F.col("_share").alias("_at"), F.min("_first").over(after).alias("_after"))
-    inside = Window.partitionBy(detector, "_share").orderBy(F.desc("pulse_id")).rowsBetween(Window.unboundedPreceding, 0)
-    goal = marked.withColumn("_in", F.min("_sync").over(inside)).join(firsts, F.col(detector).eqNullSafe(F.col("_name")) & (F.col("_share") == F.col("_at")))
-    goal = goal.select(detector, F.coalesce("_in", "_after").alias("_goal"), "pulse_id", "_modules").where("_goal is not null")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, a = None, _Aligner(n_modules, limit, rounds)
-        for b in batches:
-            got = []
-            for name, goal, pulse, modules in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if segment != (name, goal):
-                    segment, a = (name, goal), _Aligner(n_modules, limit, rounds)
-                if a.take(pulse, modules):
-                    got.append((name, pulse, a.lost, a.wrong))
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in got], kind) for i, kind in enumerate(kinds)], [detector, "pulse_id", "n_lost_pulses", "violation"])
-
-    segments = goal.repartition(detector, "_goal").sortWithinPartitions(detector, "_goal", "pulse_id")
-    return segments.mapInArrow(run, f"{detector} string, pulse_id bigint, n_lost_pulses bigint, violation string")
-
-
-def sync_violations(synced: DataFrame, strict: bool = False) -> DataFrame:
-    """The rows of sync_pulses that went wrong; in strict mode the first is an error."""
-    bad = synced.where("violation is not null")
-    if not strict:
-        return bad
-    said = F.concat(F.lit("modules out of sync at pulse "), F.col("pulse_id").cast("string"))
-    return bad.withColumn("violation", F.raise_error(said).cast("string"))

@@ -13,6 +13,7 @@ from .functions import scalars as sc
 from .operators import frames as fr
 from .operators import images as im
 from .operators import stats as st
+from .operators import sync as sy
 from .plans import historical as hi
 from .plans import runs as ru
 
@@ -38,6 +39,7 @@ VIEWS = {
                   from (select *, lag(framenum) over w as n, lag(packetnum) over w as l from packets window w as (partition by module_id order by seq))""",
     "assembled": """select module_id, frame_no, arg_min(pulse_id, seq) as pulse_id, arg_min(framenum, seq) as frame_index, arg_min(debug, seq) as daq_rec,
                     count(*) as n_recv_packets, count(distinct packetnum) as n_distinct_packets, min(seq) as seq, arg_max(packetnum, seq) as last_packet from bounded group by module_id, frame_no""",
+    "drifted": fx.DRIFTED.format(frames="accepted"),
     "images": FOLD.format(frames="frames"),
     "repeated": fx.REPEATED.format(frames="frames"),
     "aligned": "select pulse_id from accepted group by pulse_id having count(distinct module_id) = 4",
@@ -50,7 +52,7 @@ VIEWS = {
     "export": """select pulse_id, case when pulse_id % 97 = 0 then frame_index + 1 else frame_index end as frame_index, daq_rec,
                  case when pulse_id % 89 = 0 then not is_good_image else is_good_image end as is_good_image from images where pulse_id % 101 <> 0""",
 }
-NEEDS = {"repeated": ["frames"], "flagged": ["frames"], "accepted": ["flagged"], "packets": ["frames"], "bounded": ["packets"], "assembled": ["bounded"], "images": ["frames"], "aligned": ["accepted"], "lost": ["accepted", "aligned"], "export": ["images"]}
+NEEDS = {"repeated": ["frames"], "flagged": ["frames"], "accepted": ["flagged"], "packets": ["frames"], "bounded": ["packets"], "assembled": ["bounded"], "images": ["frames"], "aligned": ["accepted"], "drifted": ["accepted"], "lost": ["accepted", "aligned"], "export": ["images"]}
 
 
 def _with(*views: str) -> str:
@@ -77,23 +79,23 @@ def query(sql: str | None = None, *views: str) -> Callable:
     return add
 
 
-def _sync(limit: int, rounds: int) -> str:
+def _sync(limit: int, rounds: int, view: str = "accepted") -> str:
     """The synchroniser pulse by pulse, as a recursion: first and number of the notices that each module holds, and after a
-    pulse that all have a fresh start."""
+    pulse that all have a fresh start. began: what goes wrong at this pulse, if nothing did since that start."""
     ms = range(4)
     each = lambda f: ", ".join(f(m) for m in ms)
     all_ = lambda f: " and ".join(f(m) for m in ms)
-    return f"""(with recursive p as (select row_number() over (order by pulse_id) as n, pulse_id as p, {each(lambda m: f"bool_or(module_id = {m}) as b{m}")} from accepted group by pulse_id),
-        w as (select 0::bigint as n, {each(lambda m: f"null::bigint as f{m}, 0::bigint as s{m}")}, 0::bigint as lost, 0 as tries, null::varchar as wrong, null::bigint as pulse_id, false as met
+    return f"""(with recursive p as (select row_number() over (order by pulse_id) as n, pulse_id as p, {each(lambda m: f"bool_or(module_id = {m}) as b{m}")} from {view} group by pulse_id),
+        w as (select 0::bigint as n, {each(lambda m: f"null::bigint as f{m}, 0::bigint as s{m}")}, 0::bigint as lost, 0 as tries, null::varchar as wrong, null::varchar as began, null::bigint as pulse_id, false as met
           union all
           select n, {each(lambda m: f"case when moved and not b{m} then null when moved then p else g{m} end, case when moved then b{m}::bigint else t{m} end")},
-            lost + case when moved then greatest({each(lambda m: f"t{m} - b{m}::bigint")}) else 0 end, tries + moved::int,
-            case when moved and p - oldest > {limit} then 'offset' when moved and tries + 1 > {rounds} then coalesce(wrong, 'rounds') else wrong end, p, {all_(lambda m: f"b{m}")}
-          from (select *, {all_(lambda m: f"g{m} is not null")} and oldest < p as moved from
-            (select *, least({each(lambda m: f"g{m}")}) as oldest from
-              (select p.*, {each(lambda m: f"case when b{m} then coalesce(case when not met then f{m} end, p) when not met then f{m} end as g{m}, case when met then 0 else s{m} end + b{m}::bigint as t{m}")},
-                 case when met then 0 else lost end as lost, case when met then 0 else tries end as tries, case when met then null else wrong end as wrong from w join p on p.n = w.n + 1))))
-        select 'JF01' as detector_name, pulse_id, lost as n_lost_pulses, wrong as violation from w where met)"""
+            lost + case when moved then greatest({each(lambda m: f"t{m} - b{m}::bigint")}) else 0 end, tries + moved::int, coalesce(wrong, new), case when wrong is null then new end, p, {all_(lambda m: f"b{m}")}
+          from (select *, case when moved and tries + 1 > {rounds} then 'rounds' when moved and p - oldest > {limit} then 'offset' end as new from
+            (select *, {all_(lambda m: f"g{m} is not null")} and oldest < p as moved from
+              (select *, least({each(lambda m: f"g{m}")}) as oldest from
+                (select p.*, {each(lambda m: f"case when b{m} then coalesce(case when not met then f{m} end, p) when not met then f{m} end as g{m}, case when met then 0 else s{m} end + b{m}::bigint as t{m}")},
+                   case when met then 0 else lost end as lost, case when met then 0 else tries end as tries, case when met then null else wrong end as wrong from w join p on p.n = w.n + 1)))))
+        select 'JF01' as detector_name, pulse_id, lost as n_lost_pulses, wrong as violation, began, met from w)"""
 
 
 def _images(spark: SparkSession, d: str) -> DataFrame:
@@ -397,14 +399,20 @@ def agg8_sync_loss(spark: SparkSession, d: str) -> DataFrame:
     return im.sync_loss(_accepted(spark, d), M)
 
 
-@query(f"select * from {_sync(100, 3)}", "accepted")
+@query(f"select detector_name, pulse_id, n_lost_pulses, violation from {_sync(100, 3)} where met", "accepted")
 def agg8_sync_exact(spark: SparkSession, d: str) -> DataFrame:
-    return im.sync_pulses(_accepted(spark, d).withColumn("detector_name", F.lit("JF01")), M)
+    return sy.sync_pulses(_accepted(spark, d).withColumn("detector_name", F.lit("JF01")), M)
 
 
-@query(f"select * from {_sync(1, 1)} where violation is not null", "accepted")
+@query(f"select detector_name, pulse_id, began as violation from {_sync(1, 1)} where began is not null", "accepted")
 def agg9_sync_violations(spark: SparkSession, d: str) -> DataFrame:
-    return im.sync_violations(im.sync_pulses(_accepted(spark, d).withColumn("detector_name", F.lit("JF01")), M, limit=1, rounds=1))
+    return sy.sync_violations(_accepted(spark, d).withColumn("detector_name", F.lit("JF01")), M, limit=1, rounds=1)
+
+
+@query(f"select detector_name, pulse_id, began as violation from {_sync(100, 3, 'drifted')} where began is not null", "drifted")
+def agg9_open_tail(spark: SparkSession, d: str) -> DataFrame:
+    """A module whose counter jumps ahead for good: the modules never align again."""
+    return sy.sync_violations(fx.drifted(_accepted(spark, d)).withColumn("detector_name", F.lit("JF01")), M)
 
 
 @query("select run_id, i_image // 4 as bucket, count(*) as n_writes, avg(write_us) as avg_write_us, min(write_us)::bigint as min_write_us, max(write_us)::bigint as max_write_us from runs group by all", "runs")

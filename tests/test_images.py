@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.operators import images as im
+from pulseframe.operators import sync as sy
 from pulseframe.operators import stats as st
 
 SCHEMA = "module_id int, pulse_id long, frame_index long, daq_rec long, n_recv_packets long"
@@ -48,18 +49,24 @@ def test_daq_rec_is_optional(spark) -> None:
     assert im.assemble_images(spark.createDataFrame(rows, SCHEMA), 2, check_daq_rec=False).first().is_good_image
 
 
-def simulated(notices: dict[int, list[int]]) -> list[tuple[int, int]]:
+def simulated(notices: dict[int, list[int]], limit: int = 100, rounds: int = 3) -> tuple[list[tuple], list[tuple]]:
     """The synchroniser as its description has it: take one notice of each; while they differ, each discards up to the
-    newest; the most discarded by one module count, round by round."""
+    newest; the most discarded by one module count, round by round. (aligned pulses with lost and what went wrong, the first
+    thing that goes wrong after each aligned pulse)."""
     at = dict.fromkeys(notices, 0)
-    out = []
+    out, bad = [], []
     while all(at[m] < len(notices[m]) for m in notices):
-        lost = 0
+        lost, n_rounds, wrong = 0, 0, None
         while True:
             heads = {m: notices[m][at[m]] for m in notices}
             goal = max(heads.values())
             if min(heads.values()) == goal:
                 break
+            n_rounds += 1
+            kind = "rounds" if n_rounds > rounds else "offset" if goal - min(heads.values()) > limit else None
+            if kind and not wrong:
+                wrong = kind
+                bad.append((goal, kind))
             gone = 0
             for m in notices:
                 n = 0
@@ -69,61 +76,111 @@ def simulated(notices: dict[int, list[int]]) -> list[tuple[int, int]]:
                 gone = max(gone, n)
             lost += gone
             if any(at[m] >= len(notices[m]) for m in notices):
-                return out
-        out.append((goal, lost))
+                return out, bad
+        out.append((goal, lost, wrong))
         for m in notices:
             at[m] += 1
-    return out
+    return out, bad
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_sync_exact_equals_simulation(spark, seed) -> None:
-    rng = random.Random(seed)
-    notices = {m: [p for p in range(1, 120) if rng.random() > (0.02, 0.3)[seed % 2]] for m in range(4)}
-    rows = [("JF", m, p) for m in notices for p in notices[m]]
-    rng.shuffle(rows)
-    df = spark.createDataFrame(rows, "detector_name string, module_id int, pulse_id long")
-    got = [(r.pulse_id, r.n_lost_pulses) for r in im.sync_pulses(df, 4).orderBy("pulse_id").collect()]
-    assert got == simulated(notices)
-    assert [p for p, _ in got] == sorted(r.pulse_id for r in im.align_modules(df, 4).collect())
-    sets = {r.pulse_id: r.n_lost_pulses for r in im.sync_loss(df, 4, share=10).collect()}
-    assert sets.keys() == {p for p, _ in got}
-    assert all(n >= sets[p] for p, n in got)
-
-
-@pytest.mark.parametrize("share", [7, 1000])
-def test_sync_exact_is_dealt_by_segment(spark, share) -> None:
-    """One detector's segments go to several tasks; detectors, null and unknown modules and long gaps do not mix."""
-    rng = random.Random(share)
-    notices = {d: {m: [p for p in range(1, 3000) if rng.random() > lost and not (m == 2 and 500 < p < 1700)] for m in range(4)} for d, lost in (("JF", 0.05), (None, 0.5))}
+def events(df, n_modules: int, **rules: int) -> dict:  # noqa: ANN001
+    """By detector, as simulated() has it."""
+    out: dict = {}
+    for r in sy.sync_events(df, n_modules, **rules).collect():
+        aligned, bad = out.setdefault(r.detector_name, ([], []))
+        (aligned.append((r.pulse_id, r.n_lost_pulses, r.violation)) if r.event == "aligned" else bad.append((r.pulse_id, r.event)))
+    return {d: (sorted(a), sorted(b)) for d, (a, b) in out.items()}
+
+
+def rows_of(notices: dict, rng: random.Random) -> list[tuple]:
     rows = [(d, m, p) for d in notices for m in notices[d] for p in notices[d][m]]
-    rows += [("JF", 4, p) for p in range(1, 3000)] + [("JF", None, 5), *rows[:50]]
     rng.shuffle(rows)
-    df = spark.createDataFrame(rows, "detector_name string, module_id int, pulse_id long")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        synced = im.sync_pulses(df, 4, share=share).withColumn("task", F.spark_partition_id()).collect()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    for d in notices:
-        assert sorted((r.pulse_id, r.n_lost_pulses) for r in synced if r.detector_name == d) == simulated(notices[d])
-        assert len({r.task for r in synced if r.detector_name == d}) > 1
+    return rows
+
+
+SYNC = "detector_name string, module_id int, pulse_id long"
+
+
+@pytest.mark.parametrize("share", [3, 17, 50_000])
+def test_sync_exact_equals_simulation(spark, share) -> None:
+    """Detectors that lose little and much, never align, lose a module for good or for long, or stop in a stretch, under
+    narrow and wide limits, in shares of any size."""
+    rng = random.Random(share)
+    some = lambda lost, last=400: {m: [p for p in range(1, last) if rng.random() > lost] for m in range(4)}
+    notices = {"few": some(0.02), "many": some(0.4), "most": some(0.8), None: some(0.3)}
+    notices["apart"] = {m: [p for p in range(1, 400) if p < 50 or p % 4 == m] for m in range(4)}
+    notices["gone"] = {m: [p for p in range(1, 400) if m != 2 or p < 100] for m in range(4)}
+    notices["away"] = {m: [p for p in range(1, 400) if (m != 1 or not 100 < p < 350) and rng.random() > 0.1] for m in range(4)}
+    notices["ahead"] = {m: [p + 1900 * (m == 0 and p > 10) for p in range(1, 60)] for m in range(4)}
+    notices["never"] = {m: [4 * p + m for p in range(60)] for m in range(4)}
+    rows = rows_of(notices, rng)
+    rows += [("few", 4, p) for p in range(1, 300)] + [("few", None, 5), ("few", 1, None), *rows[:50]]
+    df = spark.createDataFrame(rows, SYNC).repartition(3)
+    for limit, rounds in ((100, 3), (1, 1), (20, 2), (1000, 10)):
+        got = events(df, 4, limit=limit, rounds=rounds, share=share)
+        for d in notices:
+            assert got.get(d, ([], [])) == simulated(notices[d], limit, rounds), (d, limit, rounds)
+    sets = {(r.detector_name, r.pulse_id): r.n_lost_pulses for r in im.sync_loss(df.where("detector_name = 'many' and module_id < 4"), 4, share=10).withColumn("detector_name", F.lit("many")).collect()}
+    exact = {("many", p): n for p, n, _ in simulated(notices["many"])[0]}
+    assert sets.keys() == exact.keys() and all(n >= sets[k] for k, n in exact.items())
+
+
+def test_a_stretch_without_a_common_pulse_is_read_by_several_tasks(spark) -> None:
+    """Summaries of shares stand in for the shares: one long stretch, whose violation is far from its start."""
+    rng = random.Random(8)
+    notices = {"JF": {m: [p for p in range(1, 4000) if p % 4 == m or p in (1, 3900)] for m in range(4)}}
+    df = spark.createDataFrame(rows_of(notices, rng), SYNC)
+    assert events(df, 4, limit=3, rounds=700, share=100)["JF"] == simulated(notices["JF"], 3, 700)
+    made = []
+    for n in (100, 50_000):
+        plan = sy.sync_events(df, 4, share=n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            made.append(plan.withColumn("task", F.spark_partition_id()).groupBy("task").count().count())
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = df.where("pulse_id > 1 and pulse_id < 3900")
+    assert sy.sync_pulses(rows, 4, share=100).count() == 0 and sy.sync_violations(rows, 4, share=100).count() == 1
+    with pytest.raises(ValueError, match="at most 62"):
+        sy.sync_events(df, 63)
+    assert made[0] >= made[1]
+
+
+def test_summaries_carry_any_state(spark) -> None:
+    """A state carried over summaries of shares is the state that reading their pulses gives."""
+    rng = random.Random(2)
+    for _ in range(300):
+        n, lost = rng.choice([2, 3, 5]), rng.choice([0.2, 0.6, 0.9])
+        rules = sy.Rules(n, rng.choice([1, 4, 50]), rng.choice([1, 3, 20]))
+        pulses = [p for p in range(1, 60) if rng.random() > 0.1]
+        held = [sum(1 << m for m in range(n) if rng.random() > lost) or 1 for _ in pulses]
+        read, carried = sy.State(), sy.State()
+        for a in range(0, len(pulses), 7):
+            for p, h in zip(pulses[a : a + 7], held[a : a + 7], strict=True):
+                if len(read.first) == n and len(set(read.first.values())) == 1:
+                    read = sy.State()
+                rules.take(read, p, rules.modules(h))
+            carried = sy.carry(rules, carried, sy.summarise(rules, pulses[a : a + 7], held[a : a + 7]))
+            assert rules.fresh(carried) == rules.fresh(read)
 
 
 def test_forms_differ_where_rounds_add_up(spark) -> None:
     """Two rounds that each discard one notice of another module: the exact form counts both."""
     rows = [("JF", 0, p) for p in (1, 4)] + [("JF", 1, p) for p in (2, 4)] + [("JF", 2, p) for p in (2, 3, 4)]
-    df = spark.createDataFrame(rows, "detector_name string, module_id int, pulse_id long")
-    assert [(r.pulse_id, r.n_lost_pulses) for r in im.sync_pulses(df, 3).collect()] == simulated({0: [1, 4], 1: [2, 4], 2: [2, 3, 4]})
+    df = spark.createDataFrame(rows, SYNC)
+    assert [tuple(r)[1:] for r in sy.sync_pulses(df, 3).collect()] == simulated({0: [1, 4], 1: [2, 4], 2: [2, 3, 4]})[0]
     assert im.sync_loss(df, 3).first().n_lost_pulses == 2
 
 
 def test_violations(spark) -> None:
+    """Of modules that align again, and of two that stay 1,900 pulses apart for good."""
     rows = [("JF", 0, p) for p in (1, 500)] + [("JF", 1, 500)]
-    synced = im.sync_pulses(spark.createDataFrame(rows, "detector_name string, module_id int, pulse_id long"), 2)
-    assert [r.violation for r in im.sync_violations(synced).collect()] == ["offset"]
-    with pytest.raises(Exception, match="out of sync"):
-        im.sync_violations(synced, strict=True).collect()
+    tail = [("T", m, p + 1900 * (m == 1 and p > 10)) for m in range(2) for p in range(1, 100)]
+    df = spark.createDataFrame(rows + tail, SYNC)
+    assert sorted(map(tuple, sy.sync_violations(df, 2).collect())) == [("JF", 500, "offset"), ("T", 1911, "offset")]
+    assert sy.sync_pulses(df, 2).where("detector_name = 'T'").count() == 10
+    with pytest.raises(Exception, match="out of sync at pulse 1911"):
+        sy.sync_violations(df.where("detector_name = 'T'"), 2, strict=True).collect()
 
 
 def test_reconcile_reports_missing_and_payloads(spark) -> None:
