@@ -9,18 +9,16 @@ from pyspark.sql import functions as F
 from ..schemas import PACKETS
 
 
-def assemble_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1], check_daq_rec: bool = True, keys: tuple[str, ...] = ("pulse_id",), trust_source: bool = False) -> DataFrame:
-    """(keys, frame_index, daq_rec, is_good_image, n_good_modules): frames folded by pulse. A module has one slot: of
-    several frames the last written (seq, where there is one) counts. Metadata is that of the lowest complete module, zeros
-    without one; an image is good if all of the modules 0 .. n_modules-1 are complete and agree. trust_source takes every
-    image for good, as the second dialect's receiver does.
-
-    Slots are filled before the shuffle as far as one task sees a pulse, and images are folded from at most n_modules slots
-    on the same partitioning: one shuffle."""
+def slots(frames: DataFrame, n_modules: int, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, _m0, _m1, ...): the slot of each of the modules 0 .. n_modules-1, null if it has sent nothing. Of several
+    frames of a module the last written (seq, where there is one) counts, whatever the order they come in."""
     order = F.struct(*[F.col(c) for c in ("seq",) if c in frames.columns], "n_recv_packets", "frame_index", "daq_rec")
     slot = F.when(F.col("module_id").between(0, n_modules - 1), F.col("module_id"))
-    held = [F.max(F.when(slot == m, order)).alias(f"_m{m}") for m in range(n_modules)]
-    slots = frames.groupBy(*keys).agg(*held)
+    return frames.groupBy(*keys).agg(*[F.max(F.when(slot == m, order)).alias(f"_m{m}") for m in range(n_modules)])
+
+
+def fold(slotted: DataFrame, n_modules: int, keys: tuple[str, ...], expected: int = PACKETS[1], check_daq_rec: bool = True, trust_source: bool = False) -> DataFrame:
+    """Images from slots, see assemble_images()."""
     ok = [F.coalesce(F.col(f"_m{m}.n_recv_packets") == expected, F.lit(False)) for m in range(n_modules)]
     # null where a module is not complete
     index, rec = ([F.when(o, F.col(f"_m{m}.{c}")) for m, o in enumerate(ok)] for c in ("frame_index", "daq_rec"))
@@ -28,7 +26,7 @@ def assemble_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1
     agreed = same(index) & same(rec) if check_daq_rec else same(index)
     zero = F.lit(0).cast("bigint")
     good = sum((o.cast("bigint") for o in ok[1:]), ok[0].cast("bigint"))
-    return slots.select(
+    return slotted.select(
         *keys,
         F.coalesce(*index, zero).cast("bigint").alias("frame_index"),
         F.coalesce(*rec, zero).cast("bigint").alias("daq_rec"),
@@ -37,6 +35,17 @@ def assemble_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1
     )
 
 
+def assemble_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1], check_daq_rec: bool = True, keys: tuple[str, ...] = ("pulse_id",), trust_source: bool = False) -> DataFrame:
+    """(keys, frame_index, daq_rec, is_good_image, n_good_modules): frames folded by pulse. A module has one slot: of
+    several frames the last written (seq, where there is one) counts. Metadata is that of the lowest complete module, zeros
+    without one; an image is good if all of the modules 0 .. n_modules-1 are complete and agree. trust_source takes every
+    image for good, as the second dialect's receiver does.
+
+    Slots are filled before the shuffle as far as one task sees a pulse, and images are folded from at most n_modules slots
+    on the same partitioning: one shuffle."""
+    return fold(slots(frames, n_modules, keys), n_modules, keys, expected, check_daq_rec, trust_source)
+
+
 def align_modules(frames: DataFrame, n_modules: int, keys: tuple[str, ...] = ("pulse_id",)) -> DataFrame:
     """The pulses that all modules have. One row for each module first, so the count needs no expansion."""
     return frames.select(*keys, "module_id").distinct().groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") == n_modules).drop("_n")

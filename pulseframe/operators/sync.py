@@ -214,10 +214,10 @@ def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def read_share(rules: Rules, s: State, pulses: np.ndarray, held: np.ndarray) -> list[tuple[int, str, int | None, str | None]]:
-    """(pulse, event, lost, what went wrong) of a share from the state before it: 'aligned' for each pulse of all modules,
-    'offset' or 'rounds' where something goes wrong first after one. Pulses of all modules that follow one another, nearly
-    all of them as a rule, are not looked at one by one."""
+def read_share(rules: Rules, s: State, pulses: np.ndarray, held: np.ndarray) -> tuple[list[tuple[int, str, int | None, str | None]], State]:
+    """(pulse, event, lost, what went wrong) of a share from the state before it, and the state after: 'aligned' for each
+    pulse of all modules, 'offset' or 'rounds' where something goes wrong first after one. Pulses of all modules that follow
+    one another, nearly all of them as a rule, are not looked at one by one."""
     every = (1 << rules.n_modules) - 1
     full = held == every
     plain = full.copy()
@@ -227,13 +227,13 @@ def read_share(rules: Rules, s: State, pulses: np.ndarray, held: np.ndarray) ->
     out = [(p, "aligned", 0, None) for p in pulses[plain].tolist()]
     at = -1
     for i in np.nonzero(~plain)[0].tolist():
-        s = State() if at >= 0 and i != at + 1 else rules.fresh(s)
+        s = rules.fresh(s) if i == at + 1 else State()
         p, modules, at = int(pulses[i]), rules.modules(int(held[i])), i
         if (kind := rules.take(s, p, modules)) is not None:
             out.append((p, kind, None, kind))
         if full[i]:
             out.append((p, "aligned", s.lost, s.wrong))
-    return out
+    return out, State() if len(full) and plain[-1] else rules.fresh(s)
 
 
 def sync_events(frames: DataFrame, n_modules: int, detector: str = "detector_name", limit: int = SYNC_OFFSET, rounds: int = SYNC_ROUNDS, share: int = SHARE) -> DataFrame:
@@ -274,7 +274,7 @@ def sync_events(frames: DataFrame, n_modules: int, detector: str = "detector_nam
         for t in _shares(batches):
             name, s = t.column(0)[0].as_py(), _state(t.column(4)[0].as_py()) or State()
             rows = t.slice(1)  # the state's own row comes first
-            got = read_share(rules, s, rows.column(2).to_numpy(), rows.column(3).to_numpy())
+            got, _ = read_share(rules, s, rows.column(2).to_numpy(), rows.column(3).to_numpy())
             columns = [pa.array([name] * len(got), pa.string()), *[pa.array([r[i] for r in got], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.int64(), pa.string()))]]
             yield pa.RecordBatch.from_arrays(columns, ["_name", "pulse_id", "event", "n_lost_pulses", "violation"])
 

@@ -15,11 +15,12 @@ from .functions import pixels as px
 from .functions import scalars as sc
 from .operators import frames as fr
 from .plans import runs as ru
-from .queries import E, FOLD, M, P, _accepted, _images, query
+from .queries import E, FOLD, M, P, _accepted, _images, _sync, query
 from .schemas import DETECTOR, FRAME, PACKET, RUN_INSTRUCTION
 from .sources import archive as ar
 from .sources import tables as tb
 from .sources.staging import fresh_path
+from .streaming import assembler as sa
 from .streaming import frames as sf
 from .streaming import images as si
 from .streaming import runs as sr
@@ -27,7 +28,7 @@ from .streaming import sinks as sk
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Far beyond all pulses and times of the fixtures: what moves a watermark past them.
-END_PULSE, END_TIME = 10**12, "2200-01-01 00:00:00"
+END_PULSE, END_TIME = 10**11, "2200-01-01 00:00:00"
 
 
 def _stored(spark: SparkSession, *parts: DataFrame) -> str:
@@ -271,11 +272,38 @@ def _end(spark: SparkSession, like: DataFrame, **values: object) -> DataFrame:
 _ALIGNED = "select i.pulse_id, i.frame_index, i.daq_rec, i.is_good_image from (" + FOLD.format(frames="accepted") + ") i join aligned a on i.pulse_id = a.pulse_id"
 
 
-@query(_ALIGNED, "accepted", "aligned")
+@query(
+    f"""select detector_name, i.pulse_id, i.frame_index + shift as frame_index, i.daq_rec, i.is_good_image from ({FOLD.format(frames="repeated")}) i
+       cross join (values ('JF01', 0), ('JF02', 1)) as n(detector_name, shift) where (select count(distinct module_id) from repeated r where r.pulse_id = i.pulse_id) = 4""",
+    "repeated",
+)
 def st3_stream_images(spark: SparkSession, d: str) -> DataFrame:
-    frames = _accepted(spark, d).select(*FRAME.names)
-    got = _drained(si.stream_images(_source(spark, frames, _end(spark, frames, pulse_id=END_PULSE)), M, E))
-    return got.select("pulse_id", "frame_index", "daq_rec", "is_good_image")
+    """Two detectors in one stream, frames that came again with other contents, and a module that is none of theirs."""
+    r = fx.repeated_frames(spark, d)
+    foreign = r.where("module_id = 2").withColumns({"module_id": F.lit(9), "daq_rec": F.lit(7).cast("bigint")})
+    each = [r.unionByName(foreign).withColumns({"detector_name": F.lit(n), "frame_index": F.col("frame_index") + i}) for i, n in enumerate(("JF01", "JF02"))]
+    rows = each[0].unionByName(each[1])
+    got = _drained(si.stream_images(_source(spark, rows, _end(spark, rows, pulse_id=END_PULSE)), M, E, keys=("detector_name", "pulse_id")))
+    return got.drop("event_time")
+
+
+def _assembled(spark: SparkSession, d: str, **options: int) -> DataFrame:
+    """Accepted frames as a stream in three batches, a module behind the others in each, to the synchroniser's events."""
+    frames = _accepted(spark, d).select(F.lit("JF01").alias("detector_name"), *FRAME.names)
+    low, high = frames.agg(F.coalesce(F.min("pulse_id"), F.lit(0)), F.coalesce(F.max("pulse_id"), F.lit(0))).first()
+    batch = F.floor((F.col("pulse_id") - low + F.when(F.col("module_id") == 1, 40).otherwise(0)) * 3 / (high - low + 41))
+    parts = [frames.where(batch == i).coalesce(1) for i in range(3)]
+    return sa.stream_sync(_source(spark, *parts, _end(spark, frames, pulse_id=END_PULSE).coalesce(1), files=1), M, E, **options)
+
+
+@query(f"select s.pulse_id, n_lost_pulses, violation, frame_index, daq_rec, is_good_image from {_sync(100, 3)} s join ({FOLD.format(frames='accepted')}) i using (pulse_id) where met", "accepted")
+def agg8_stream_sync(spark: SparkSession, d: str) -> DataFrame:
+    return _drained(_assembled(spark, d)).where("event = 'aligned'").select("pulse_id", "n_lost_pulses", "violation", "frame_index", "daq_rec", "is_good_image")
+
+
+@query(f"select detector_name, pulse_id, began as violation from {_sync(1, 1)} where began is not null", "accepted")
+def agg9_stream_violations(spark: SparkSession, d: str) -> DataFrame:
+    return _drained(_assembled(spark, d, limit=1, rounds=1)).where("event <> 'aligned'").select("detector_name", "pulse_id", "violation")
 
 
 @query(_ALIGNED, "accepted", "aligned")
@@ -305,10 +333,16 @@ def st6_stream_stats(spark: SparkSession, d: str) -> DataFrame:
     return got.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("select bucket, count(*) as n_images, count(*) filter (not is_good_image) as n_corrupted_images, sum(pulse_id % 3)::bigint as n_lost_pulses from (select *, (row_number() over (order by pulse_id) - 1) // 100 as bucket from images) group by bucket having count(*) = 100", "images")
+@query(
+    f"""select bucket, count(*) as n_images, count(*) filter (not is_good_image) as n_corrupted_images, sum(n_lost_pulses)::bigint as n_lost_pulses
+       from (select is_good_image, n_lost_pulses, (row_number() over (order by s.pulse_id) - 1) // 100 as bucket from {_sync(100, 3)} s join ({FOLD.format(frames='accepted')}) i using (pulse_id) where met)
+       group by bucket having count(*) = 100""",
+    "accepted",
+)
 def st7_stream_counts(spark: SparkSession, d: str) -> DataFrame:
-    images = _images(spark, d).select(F.lit("JF01").alias("detector_name"), "pulse_id", "is_good_image", (F.col("pulse_id") % 3).alias("n_lost_pulses"))
-    return _drained(sf.stream_count_stats(_source(spark, images), 100)).drop("detector_name")
+    """Of the assembler's images, each with what was lost before it: two stateful steps in one stream."""
+    images = _assembled(spark, d).where("event = 'aligned'")
+    return _drained(sf.stream_count_stats(images, 100)).drop("detector_name")
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import pulse_event_time, repetition_rate
-from ..operators.frames import complete
+from ..operators.images import fold, slots
 from ..schemas import PACKETS, PULSE_MS, RING_PULSES, STATS_WINDOW, SYNC_OFFSET
 
 SKEW = f"{SYNC_OFFSET * PULSE_MS} milliseconds"
@@ -18,24 +18,19 @@ def with_event_time(df: DataFrame, delay: str = RING) -> DataFrame:
     return df.withColumn("event_time", pulse_event_time("pulse_id")).withWatermark("event_time", delay)
 
 
-def stream_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1], check_daq_rec: bool = True, aligned_only: bool = True, delay: str = SKEW) -> DataFrame:
-    """Images from a stream of accepted frames. A pulse is final once the watermark, the skew that modules may have, has
-    passed it; with aligned_only pulses that lack a module are left out. A frame delivered twice counts once."""
-    ok = complete(expected)
-    index, rec, module = (F.when(ok, F.col(c)) for c in ("frame_index", "daq_rec", "module_id"))
-    agreed = F.min(index) == F.max(index)
-    if check_daq_rec:
-        agreed = agreed & (F.min(rec) == F.max(rec))
-    zero = F.lit(0).cast("bigint")
-    # one row for each module of a pulse makes the folding below exact
-    once = with_event_time(frames, delay).dropDuplicates(["event_time", "pulse_id", "module_id"])
-    out = once.groupBy("event_time", "pulse_id").agg(
-        F.coalesce(F.min_by(index, module), zero).cast("bigint").alias("frame_index"),
-        F.coalesce(F.min_by(rec, module), zero).cast("bigint").alias("daq_rec"),
-        F.coalesce((F.count_if(ok) == n_modules) & agreed, F.lit(False)).alias("is_good_image"),
-        F.count("*").alias("n_modules"),
-    )
-    return (out.where(F.col("n_modules") == n_modules) if aligned_only else out).drop("n_modules")
+def stream_images(frames: DataFrame, n_modules: int, expected: int = PACKETS[1], check_daq_rec: bool = True, aligned_only: bool = True, delay: str = SKEW, keys: tuple[str, ...] = ("pulse_id",)) -> DataFrame:
+    """(event_time, keys, frame_index, daq_rec, is_good_image) from a stream of accepted frames; keys holds pulse_id and
+    whatever else tells images apart, as in the batch form. State is a pulse's slots, one for each of the modules
+    0 .. n_modules-1: a frame fills its module's slot unless one written later (seq) is there, and other modules have none.
+    A pulse is final once the watermark, the skew that modules may have, has passed it; with aligned_only pulses that lack a
+    module are left out."""
+    by = ("event_time", *keys)
+    held = slots(with_event_time(frames, delay), n_modules, by)
+    each = [F.col(f"_m{m}").isNotNull() for m in range(n_modules)]
+    there = each[0]
+    for x in each[1:]:
+        there = there & x if aligned_only else there | x
+    return fold(held.where(there), n_modules, by, expected, check_daq_rec).drop("n_good_modules")
 
 
 def stream_attach_pixels(images: DataFrame, payload: DataFrame, delay: str = RING) -> DataFrame:

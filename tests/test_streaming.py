@@ -11,8 +11,10 @@ from pulseframe import fixtures as fx
 from pulseframe.operators import frames as fr
 from pulseframe.operators import images as im
 from pulseframe.operators import stats as st
+from pulseframe.operators import sync as sy
 from pulseframe.plans.runs import run_rows
 from pulseframe.sources.archive import read_archive
+from pulseframe.streaming import assembler as sa
 from pulseframe.streaming import frames as sf
 from pulseframe.streaming import images as si
 from pulseframe.streaming import runs as sr
@@ -73,6 +75,55 @@ def test_images_and_late_rows(spark, tmp_path) -> None:
     assert {r.pulse_id: (r.frame_index, r.daq_rec, r.is_good_image) for r in got} == want
 
 
+def test_images_by_slots(spark, tmp_path) -> None:
+    """The last write of a slot counts, whichever batch it comes in; modules that are not there, and another detector with
+    the same pulses, change nothing."""
+    schema = "detector_name string, seq long, module_id int, pulse_id long, frame_index long, daq_rec long, n_recv_packets long"
+    rows = [("A", s, m, 1, 5, 7, 128) for s, m in enumerate((0, 1, 2, 9))] + [("B", 10 + m, m, 1, 6, 7, 128) for m in range(4)]
+    rows += [("A", 20 + m, m, 2, 5, 7, 128) for m in range(4)] + [("A", 30, 3, 2, 5, 7, 100)] + [("A", 40 + m, m, 3, 5, 7, 128) for m in (0, 1, 2)] + [("A", 29, 3, 3, 5, 7, 128)]
+    df = spark.createDataFrame(rows, schema)
+    keys = ("detector_name", "pulse_id")
+    want = sorted(tuple(r)[:5] for r in im.assemble_images(df, 4, keys=keys).collect())
+    end = spark.createDataFrame([("A", 10**6, 0, 10**6, 1, 1, 128)], schema)
+    got = drained(si.stream_images(fed(spark, df.unionByName(end), tmp_path / "all", "seq", [3, 9, 13]), 4, aligned_only=False, keys=keys), "slots")
+    assert sorted(tuple(r)[1:] for r in got) == want
+    assert {r[:2]: r[4] for r in want} == {("A", 1): False, ("B", 1): True, ("A", 2): False, ("A", 3): True}
+    got = drained(si.stream_images(fed(spark, df.unionByName(end), tmp_path / "aligned", "seq", [5]), 4, keys=keys), "aligned")
+    assert sorted((r.detector_name, r.pulse_id) for r in got) == [("A", 2), ("A", 3), ("B", 1)]
+
+
+@pytest.mark.parametrize("n_cuts", [0, 5])
+def test_assembler(spark, tmp_path, n_cuts) -> None:
+    """Events and images are those of the batch forms, for any split, whatever the order within the skew."""
+    rng = random.Random(n_cuts)
+    rows = [(d, 1000 * p + m + 10 * again, m, p + 700 * (d == "C" and m == 1 and p > 200), p - (m == 1 and p % 50 == 0), 7, rng.choice([128, 128, 127])) for d, lost in (("A", 0.02), ("B", 0.4), ("C", 0.1)) for p in range(1, 300) for m in (0, 1, 2, 7) for again in range(1 + (rng.random() < 0.05)) if rng.random() > lost]
+    rng.shuffle(rows)
+    schema = "detector_name string, seq long, module_id int, pulse_id long, frame_index long, daq_rec long, n_recv_packets long"
+    # delivered out of order by up to 60 pulses
+    df = spark.createDataFrame([(*r, r[3] + rng.randrange(60)) for r in rows], schema + ", sent long")
+    frames = df.where("module_id < 3")
+    end = spark.createDataFrame([("A", 10**9, 0, 10**6, 1, 1, 128, 10**6)], df.schema)
+    cuts = sorted(rng.sample(range(1, len(rows)), n_cuts))
+    got = drained(sa.stream_sync(fed(spark, df.unionByName(end), tmp_path, "sent", cuts), 3, limit=20, rounds=2), f"sync{n_cuts}")
+    want = sorted(map(tuple, sy.sync_events(frames, 3, limit=20, rounds=2).collect()), key=repr)
+    assert sorted(((r.detector_name, r.pulse_id, r.event, r.n_lost_pulses, r.violation) for r in got), key=repr) == want
+    assert {r[2] for r in want} == {"aligned", "offset", "rounds"}
+    images = {(r.detector_name, r.pulse_id): tuple(r)[2:5] for r in im.assemble_images(frames, 3, keys=("detector_name", "pulse_id")).collect()}
+    assert all((r.frame_index, r.daq_rec, r.is_good_image) == images[r.detector_name, r.pulse_id] for r in got if r.event == "aligned")
+    assert {r.is_good_image for r in got if r.event == "aligned"} == {True, False}
+    for d in "ABC":
+        pulses = [r.pulse_id for r in got if r.detector_name == d]
+        assert n_cuts or pulses == sorted(pulses)
+
+
+def test_assembler_stops_where_it_should(spark, tmp_path) -> None:
+    rows = [("A", 2 * p + m, m, p + 300 * (m == 1 and p > 10), 1, 1, 128) for p in range(1, 30) for m in range(2)] + [("A", 10**6, 0, 10**6, 1, 1, 128)]
+    df = spark.createDataFrame(rows, "detector_name string, seq long, module_id int, pulse_id long, frame_index long, daq_rec long, n_recv_packets long")
+    assert len(drained(sa.stream_assembler(fed(spark, df, tmp_path / "a", "seq", []), 2), "lenient")) == 10
+    with pytest.raises(Exception, match="out of sync at pulse 311"):
+        drained(sa.stream_assembler(fed(spark, df, tmp_path / "b", "seq", []), 2, strict=True), "strict_sync")
+
+
 def test_pixels_join(spark, tmp_path) -> None:
     images = spark.createDataFrame([(p, p) for p in range(1, 20)], "pulse_id long, frame_index long")
     payload = spark.createDataFrame([(p, f"d{p}") for p in range(5, 30)], "pulse_id long, data string")
