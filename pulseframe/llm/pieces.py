@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .words import groups
 
@@ -300,7 +301,7 @@ def decode(rows: DataFrame, ids_col: str = "ids", out: str = "text", model: str
             texts = [None if null else x.removeprefix(b" ").decode("utf-8", "replace") for x, null in zip(parts, pc.is_null(held).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, out])
 
-    return rows.mapInArrow(run, rows.schema.add(out, "string"))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, StringType())]))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
