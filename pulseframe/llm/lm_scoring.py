@@ -124,58 +124,84 @@ def windows(ids: np.ndarray, ends: np.ndarray, beyond: int) -> np.ndarray:
     return np.stack(near, axis=1)
 
 
-def hidden(net: list[np.ndarray], near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Work:
+    """Arrays that steps and scores write into, made once for all batches of up to `size` places."""
+
+    def __init__(self, size: int):
+        self.x, self.h, self.z = np.empty((size, 2 * SIDE * WIDTH), np.float32), np.empty((size, WIDTH), np.float32), np.empty((size, CLASSES), np.float32)
+        self.dh, self.dx = np.empty((size, WIDTH), np.float32), np.empty((2 * SIDE * WIDTH, size), np.float32)
+        self.one = np.ones(size, np.float32)
+
+
+def hidden(net: list[np.ndarray], near: np.ndarray, work: Work) -> tuple[np.ndarray, np.ndarray]:
     """The input and the hidden layer of each place."""
-    x = net[0].take(near, axis=0).reshape(len(near), -1)
-    h = x @ net[1]
+    n = len(near)
+    x, h = work.x[:n], work.h[:n]
+    net[0].take(near, axis=0, out=x.reshape(n, -1, WIDTH), mode="clip")
+    np.matmul(x, net[1], out=h)
     return x, np.tanh(h, out=h)
 
 
-def logits(net: list[np.ndarray], h: np.ndarray) -> np.ndarray:
+def logits(net: list[np.ndarray], h: np.ndarray, work: Work) -> np.ndarray:
     """What each class has at each place. A row's largest is taken off where exp() might leave the range of floats: no
     hidden value is beyond 1, which bounds them."""
-    z = h @ net[2]
+    z = np.matmul(h, net[2], out=work.z[: len(h)])
     z += net[3]
     if (np.abs(net[2]).sum(axis=0) + np.abs(net[3])).max() > 60:
         z -= z.max(axis=1, keepdims=True)
     return z
 
 
-def log_probs(net: list[np.ndarray], near: np.ndarray, want: np.ndarray) -> np.ndarray:
+def log_probs(net: list[np.ndarray], near: np.ndarray, want: np.ndarray, work: Work | None = None) -> np.ndarray:
     """The log-probability of each class wanted, given its neighbours."""
-    z = logits(net, hidden(net, near)[1])
+    work = work or Work(len(near))
+    z = logits(net, hidden(net, near, work)[1], work)
     own = z[np.arange(len(want)), want]
     return own - np.log(np.exp(z, out=z) @ np.ones(CLASSES, z.dtype))
 
 
-def step(net: list[np.ndarray], sums: list[np.ndarray], near: np.ndarray, want: np.ndarray) -> None:
+def step(net: list[np.ndarray], sums: list[np.ndarray], near: np.ndarray, want: np.ndarray, work: Work | None = None) -> None:
     """One descent step on the classes `want`, in place. Each weight's step shrinks with its past gradients (`sums`)."""
-    x, h = hidden(net, near)
-    e = logits(net, h)
+    n = len(want)
+    work = work or Work(n)
+    x, h = hidden(net, near, work)
+    e = logits(net, h, work)
     np.exp(e, out=e)
-    e *= (1 / (len(want) * (e @ np.ones(CLASSES, e.dtype))))[:, None]
-    e[np.arange(len(want)), want] -= 1 / len(want)
-    dh = e @ net[2].T
+    e *= (1 / (n * (e @ np.ones(CLASSES, e.dtype))))[:, None]
+    e[np.arange(n), want] -= 1 / n
+    dh = np.matmul(e, net[2].T, out=work.dh[:n])
     dh *= 1 - h * h
-    dx = (dh @ net[1].T).reshape(-1, WIDTH)
-    flat = near.ravel().astype(np.uint16 if len(net[0]) < 1 << 16 else np.int64)
-    order = np.argsort(flat, kind="stable")
-    flat = flat[order]
-    first = np.nonzero(np.diff(flat.astype(np.int64), prepend=-1))[0]
-    given = np.add.reduceat(dx.take(order, axis=0), first)
-    for i, rows, g in ((0, flat[first], given), (1, slice(None), x.T @ dh), (2, slice(None), h.T @ e), (3, slice(None), np.ones(len(e), e.dtype) @ e)):
-        past = sums[i][rows] + g * g
-        sums[i][rows] = past
-        net[i][rows] -= RATE * g / np.sqrt(past + 1e-8)
+    dx = np.matmul(net[1], dh.T, out=work.dx[:, :n])
+    # the sum of each input vector's gradients over the places that it stands at
+    at = near.T.ravel()
+    met = np.zeros(len(net[0]), bool)
+    met[at] = True
+    rows = np.nonzero(met)[0]
+    place = np.empty(len(net[0]), np.int64)
+    place[rows] = np.arange(len(rows))
+    at = place[at]
+    each = dx.reshape(-1, WIDTH, n).transpose(1, 0, 2).reshape(WIDTH, -1).astype(np.float64)
+    given = np.empty((len(rows), WIDTH), np.float32)
+    for k in range(WIDTH):
+        given[:, k] = np.bincount(at, each[k], len(rows))
+    for i, of, g in ((0, rows, given), (1, slice(None), x.T @ dh), (2, slice(None), h.T @ e), (3, slice(None), work.one[:n] @ e)):
+        past = sums[i][of] + g * g
+        sums[i][of] = past
+        past += 1e-8
+        np.sqrt(past, out=past)
+        np.divide(g, past, out=past)
+        past *= RATE
+        net[i][of] -= past
 
 
 def descend(net: list[np.ndarray], sums: list[np.ndarray], ids: np.ndarray, ends: np.ndarray, vocabulary: Tokens) -> None:
     """Steps over every place of some texts, in a fixed random order."""
     near, order = windows(ids, ends, len(vocabulary.of_class)), np.random.default_rng(len(ids)).permutation(len(ids))
     size = min(BATCH, max(128, len(ids) // 32))
+    work = Work(size)
     for at in range(0, len(ids), size):
         some = order[at : at + size]
-        step(net, sums, near[some], vocabulary.of_class[ids[some]])
+        step(net, sums, near[some], vocabulary.of_class[ids[some]], work)
 
 
 def _texts(batch: pa.RecordBatch, column: int, vocabulary: Tokens) -> Iterator[tuple[pa.RecordBatch, list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
@@ -258,13 +284,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, net = sent.value
+        (v, net), work = sent.value, Work(BATCH)
         for batch in batches:
             for b, names, number, n, ids in _texts(batch, 2, v):
                 near, got = windows(ids, np.repeat(np.cumsum(n), n), len(v.of_class)), np.zeros(len(ids))
                 for at in range(0, len(ids), BATCH):
                     own = ids[at : at + BATCH]
-                    got[at : at + BATCH] = log_probs(net, near[at : at + BATCH], v.of_class[own]) + v.log_share[own]
+                    got[at : at + BATCH] = log_probs(net, near[at : at + BATCH], v.of_class[own], work) + v.log_share[own]
                 text = np.repeat(np.arange(len(n)), n)
                 sums = np.bincount(text, got, len(n))
                 rest = np.nonzero(ids >= len(v.token))[0]
