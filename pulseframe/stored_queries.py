@@ -6,6 +6,8 @@ what the operator gave or wrote. Streams run until their input is used up.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -54,10 +56,33 @@ def _run(writer: DataStreamWriter, spark: SparkSession) -> None:
             spark.conf.set(key, before)
 
 
-def _drained(stream: DataFrame) -> DataFrame:
+def _run_timed(writer: DataStreamWriter, spark: SparkSession, seconds: int = 300) -> None:
+    """As _run, for a stream with processing-time timers, which has another batch to run for ever: until a batch has had no
+    input after others had some."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
+    q = writer.option("checkpointLocation", fresh_path(spark, "stream")).trigger(processingTime="50 milliseconds").start()
+    try:
+        end = time.time() + seconds
+        while time.time() < end and q.isActive:
+            rows = [p["numInputRows"] for p in q.recentProgress]
+            if any(rows) and len(rows) > 2 and not any(rows[-2:]):
+                return
+            time.sleep(0.2)
+        raise q.exception() or TimeoutError(f"the stream did not end within {seconds} s")
+    finally:
+        q.stop()
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def _drained(stream: DataFrame, run=_run) -> DataFrame:  # noqa: ANN001
     """What a stream gives in append mode, as a table."""
     spark, path = stream.sparkSession, fresh_path(stream.sparkSession, "drained")
-    _run(stream.writeStream.format("parquet").option("path", path), spark)
+    run(stream.writeStream.format("parquet").option("path", path), spark)
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -231,13 +256,13 @@ _STREAM_FRAMES = """select module_id, seq, pulse_id, frame_index, daq_rec, n_rec
     from (select * from assembled a where last_packet = 7 or frame_no < (select max(frame_no) from assembled b where b.module_id = a.module_id)) window w as (partition by module_id order by seq)"""
 
 
-def _packet_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Packets in their order of arrival, in about four batches."""
+def _packet_stream(spark: SparkSession, d: str, *last: DataFrame) -> DataFrame:
+    """Packets in their order of arrival, in about four batches, and what comes last."""
     p = _packet_table(spark, d).withColumn("pulse_id", F.col("bunchid").cast("bigint"))
     high = p.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
     cuts = [high * i // 4 for i in range(5)]
     parts = [p.where((F.col("seq") > a if a else F.lit(True)) & (F.col("seq") <= b)).coalesce(1) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return _source(spark, *parts, files=1)
+    return _source(spark, *parts, *last, files=1)
 
 
 @query(_STREAM_FRAMES, "assembled")
@@ -259,9 +284,20 @@ def st1_stream_payload(spark: SparkSession, d: str) -> DataFrame:
     return got.select("module_id", "seq", F.hex("payload").alias("payload"))
 
 
-@query("select seq, module_id, bad from flagged", "flagged")
+@query(_STREAM_FRAMES[: _STREAM_FRAMES.index("from (select * from assembled a")] + "from assembled window w as (partition by module_id order by seq)", "assembled")
+def st1_stream_silent(spark: SparkSession, d: str) -> DataFrame:
+    """Modules that fall silent give their open frames: a last batch of another module lets their timers fire."""
+    last = _packet_table(spark, d).limit(1).withColumns({"module_id": F.lit(99), "packetnum": F.lit(0), "pulse_id": F.lit(0).cast("bigint")})
+    got = _drained(sf.stream_frames(_packet_stream(spark, d, last), P, silent_ms=1, emit_open=True), _run_timed)
+    return got.where("module_id < 99").select("module_id", "seq", "pulse_id", "frame_index", "daq_rec", "n_recv_packets", "n_distinct_packets", "bad")
+
+
+@query("select detector_name, seq + shift as seq, module_id, bad from flagged cross join (values ('JF01', 0), ('JF02', 500)) as n(detector_name, shift)", "flagged")
 def st2_stream_guard(spark: SparkSession, d: str) -> DataFrame:
-    return _drained(sf.stream_guard(_source(spark, fx.frames(spark, d).select(*FRAME.names)))).select("seq", "module_id", "bad")
+    """Two detectors whose frames come between one another's."""
+    frames = fx.frames(spark, d).select(*FRAME.names)
+    both = [frames.withColumns({"detector_name": F.lit(n), "seq": F.col("seq") + shift}) for n, shift in (("JF01", 0), ("JF02", 500))]
+    return _drained(sf.stream_guard(_source(spark, both[0].unionByName(both[1])), keys=("detector_name", "module_id"))).select("detector_name", "seq", "module_id", "bad")
 
 
 def _end(spark: SparkSession, like: DataFrame, **values: object) -> DataFrame:

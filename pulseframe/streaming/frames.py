@@ -1,7 +1,8 @@
 """Packets to guarded frames in one stateful pass, and count windows (ST-1, ST-2, ST-7).
 
-State per module is the open frame, with the packets it has and their bytes if asked for, and the frame before it. A micro-batch is sorted by arrival, so any split of the input
-gives the same frames as the batch form.
+State per module is what is known of the open frame, the frame before it, and, if bytes are asked for, a map from packet
+number to bytes for the open frame alone: a batch writes the packets that it leaves open, not the frame that they belong to.
+A micro-batch is sorted by arrival, so any split of the input gives the same frames as the batch form.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..schemas import MAX_PULSE_GAP, PACKETS, STATS_COUNT
 
-_OPEN = "framenum bigint, last int, pulse bigint, rec bigint, n bigint, first bigint, frame_no bigint, seen binary, data binary"
+_OPEN = "framenum bigint, last int, pulse bigint, rec bigint, n bigint, first bigint, frame_no bigint, seen binary"
 _LAST = "pulse bigint, frame bigint"
 
 
@@ -25,25 +26,42 @@ def _sorted(rows: Iterator[pd.DataFrame], by: str) -> pd.DataFrame:
     return (pd.concat(parts) if len(parts) > 1 else parts[0]).sort_values(by, kind="stable") if parts else pd.DataFrame()
 
 
+def _flagged(frames: pd.DataFrame, last, max_gap: int, allow_repeat: bool) -> pd.Series:  # noqa: ANN001
+    """Which of a module's frames (pulse, framenum) are out of sequence; last: the state of the frame before, which is set."""
+    pulse, frame = last.get() if last.exists() else (0, 0)
+    step = frames.pulse - frames.pulse.shift(1, fill_value=pulse)
+    low = step < 0 if allow_repeat else step <= 0
+    last.update((int(frames.pulse.iloc[-1]), int(frames.framenum.iloc[-1])))
+    return (frames.framenum != frames.framenum.shift(1, fill_value=frame) + 1) | low | (step > max_gap)
+
+
 class _Frames(StatefulProcessor):
     """Puts packets together and flags frames out of sequence."""
 
-    def __init__(self, expected: int, dialect: int, max_gap: int, allow_repeat: bool, packet_bytes: int):
-        self.expected, self.dialect, self.max_gap, self.allow_repeat, self.packet_bytes = expected, dialect, max_gap, allow_repeat, packet_bytes
+    def __init__(self, keys: tuple[str, ...], expected: int, dialect: int, max_gap: int, allow_repeat: bool, packet_bytes: int, silent_ms: int, emit_open: bool):
+        self.keys, self.expected, self.dialect, self.max_gap, self.allow_repeat, self.packet_bytes = keys, expected, dialect, max_gap, allow_repeat, packet_bytes
+        self.silent_ms, self.emit_open = silent_ms, emit_open
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.open, self.last = handle.getValueState("open", _OPEN), handle.getValueState("last", _LAST)
+        self.parts = handle.getMapState("parts", "packetnum int", "data binary") if self.packet_bytes else None
 
-    def _packets(self, own: pd.DataFrame, seen: bytes = b"", data: bytes = b"") -> tuple[bytes, bytes]:
-        """Which packets a frame has, a byte for each, and their bytes in place, with what it had before."""
-        at = np.frombuffer(seen or bytes(self.expected), np.uint8).copy()
-        at[own.packetnum.to_numpy(np.int64)] = 1
+    def _bytes(self, own: pd.DataFrame | None, with_held: bool) -> bytes | None:
+        """A frame's packets, each in its place of a zeroed buffer: those in state, and over them a batch's."""
         if not self.packet_bytes:
-            return at.tobytes(), b""
-        out = bytearray(data or bytes(self.expected * self.packet_bytes))
-        for n, x in zip(own.packetnum, own.data, strict=True):
+            return None
+        out = bytearray(self.expected * self.packet_bytes)
+        held = [(k[0], v[0]) for k, v in self.parts.iterator()] if with_held else []
+        for n, x in [*held, *(zip(own.packetnum, own.data, strict=True) if own is not None else ())]:
             out[n * self.packet_bytes : n * self.packet_bytes + len(x)] = x
-        return at.tobytes(), bytes(out)
+        return bytes(out)
+
+    def _seen(self, own: pd.DataFrame, before: bytes | None) -> bytes:
+        """Which packet numbers a frame has, a byte for each."""
+        at = np.frombuffer(before or bytes(self.expected), np.uint8).copy()
+        at[own.packetnum.to_numpy(np.int64)] = 1
+        return at.tobytes()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
         pdf = _sorted(rows, "seq")
@@ -63,62 +81,89 @@ class _Frames(StatefulProcessor):
         meta = by.first() if self.dialect == 1 else by.last()
         frames = pd.DataFrame({"framenum": meta.framenum, "last": by.packetnum.last(), "pulse": meta.pulse_id, "rec": meta.debug, "n": by.size(), "first": by.seq.first(), "distinct": by.packetnum.nunique()})
         goes_on = held is not None and frames.index[0] == no
-        seen, data = self._packets(by.get_group(frames.index[-1]), *(held[7:9] if goes_on and len(frames) == 1 else ()))
+        tail_no, is_open = frames.index[-1], frames["last"].iloc[-1] != self.expected - 1
+        tail = by.get_group(tail_no)
         if self.packet_bytes:
-            frames["payload"] = [*(self._packets(by.get_group(i), *(held[7:9] if goes_on and i == no else ()))[1] for i in frames.index[:-1]), data]
+            # the open one's bytes are not put together before it is closed
+            frames["payload"] = [None if is_open and i == tail_no else self._bytes(by.get_group(i), goes_on and i == no) for i in frames.index]
         else:
             frames["payload"] = None
         if goes_on:
-            i = frames.index[0]
-            frames.loc[i, "distinct"] = sum(self._packets(by.get_group(i), held[7])[0]) if not self.packet_bytes or len(frames) > 1 else sum(seen)
-            frames.loc[i, "n"] += held[4]
-            frames.loc[i, "first"] = held[5]
+            frames.loc[no, "distinct"] = sum(self._seen(by.get_group(no), held[7]))
+            frames.loc[no, "n"] += held[4]
+            frames.loc[no, "first"] = held[5]
             if self.dialect == 1:
-                frames.loc[i, ["framenum", "pulse", "rec"]] = [held[0], held[2], held[3]]
-        elif held:
-            before = [*held[:6], sum(held[7]), bytes(held[8]) if self.packet_bytes else None]
+                frames.loc[no, ["framenum", "pulse", "rec"]] = [held[0], held[2], held[3]]
+        elif held and held[1] != self.expected - 1:  # else it was closed, and given, before
+            before = [*held[:6], sum(held[7]), self._bytes(None, True)]
             frames = pd.concat([pd.DataFrame([before], index=[no], columns=["framenum", "last", "pulse", "rec", "n", "first", "distinct", "payload"]), frames])
-            if held[1] == self.expected - 1:  # it was closed, and given, before
-                frames = frames.iloc[1:]
-        tail = frames.iloc[-1]
-        self.open.update((int(pdf.framenum.iloc[-1]) if self.dialect == 2 else int(tail.framenum), int(tail["last"]), int(tail.pulse), int(tail.rec), int(tail.n), int(tail["first"]), int(frames.index[-1]), seen, data))
-        done = frames if tail["last"] == self.expected - 1 else frames.iloc[:-1]
-        done = done[done.pulse > 0]
+        if self.packet_bytes:
+            if not (goes_on and tail_no == no and is_open):
+                self.parts.clear()
+            if is_open:
+                for n, x in zip(tail.packetnum, tail.data, strict=True):
+                    self.parts.updateValue((int(n),), (bytes(x),))
+        t = frames.loc[tail_no]
+        seen = self._seen(tail, held[7] if goes_on and tail_no == no else None)
+        self.open.update((int(pdf.framenum.iloc[-1]) if self.dialect == 2 else int(t.framenum), int(t["last"]), int(t.pulse), int(t.rec), int(t.n), int(t["first"]), int(tail_no), seen))
+        if self.silent_ms:
+            for at in self.handle.listTimers():
+                self.handle.deleteTimer(at)
+            if is_open:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.silent_ms)
+        yield from self._given(key, frames.iloc[:-1] if is_open else frames)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
+        """The module has been silent: its open frame is given as it is, or dropped; a packet that still comes starts another."""
+        held = self.open.get()
+        frame = pd.DataFrame([[*held[:6], sum(held[7]), self._bytes(None, True)]], columns=["framenum", "last", "pulse", "rec", "n", "first", "distinct", "payload"])
+        self.open.update((held[0], self.expected - 1, *held[2:]))
+        if self.packet_bytes:
+            self.parts.clear()
+        if self.emit_open:
+            yield from self._given(key, frame)
+
+    def _given(self, key: tuple, frames: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        done = frames[frames.pulse > 0]
         if not len(done):
             return
-        pulse, frame = self.last.get() if self.last.exists() else (0, 0)
-        step = done.pulse - done.pulse.shift(1, fill_value=pulse)
-        low = step < 0 if self.allow_repeat else step <= 0
-        bad = (done.framenum != done.framenum.shift(1, fill_value=frame) + 1) | low | (step > self.max_gap)
-        self.last.update((int(done.pulse.iloc[-1]), int(done.framenum.iloc[-1])))
-        out = pd.DataFrame({"module_id": key[0], "seq": done["first"], "pulse_id": done.pulse, "frame_index": done.framenum, "daq_rec": done.rec, "n_recv_packets": done.n, "n_distinct_packets": done.distinct, "bad": bad})
-        out = out.astype({"module_id": "int32", "seq": "int64", "pulse_id": "int64", "frame_index": "int64", "daq_rec": "int64", "n_recv_packets": "int64", "n_distinct_packets": "int64"})
+        bad = _flagged(done, self.last, self.max_gap, self.allow_repeat)
+        out = pd.DataFrame({**dict(zip(self.keys, key, strict=True)), "seq": done["first"], "pulse_id": done.pulse, "frame_index": done.framenum, "daq_rec": done.rec, "n_recv_packets": done.n, "n_distinct_packets": done.distinct, "bad": bad})
+        out = out.astype({c: "int64" for c in ("seq", "pulse_id", "frame_index", "daq_rec", "n_recv_packets", "n_distinct_packets")})
         yield out.assign(payload=done.payload) if self.packet_bytes else out
 
     def close(self) -> None:
         pass
 
 
-FRAMES = "module_id int, seq bigint, pulse_id bigint, frame_index bigint, daq_rec bigint, n_recv_packets bigint, bad boolean"
+_FRAME = "seq bigint, pulse_id bigint, frame_index bigint, daq_rec bigint, n_recv_packets bigint"
+
 
+def _keyed(df: DataFrame, keys: tuple[str, ...]) -> tuple[list, str]:
+    """The key columns, module numbers as int, and their part of a schema."""
+    columns = [F.col(k).cast("int") if k == "module_id" else F.col(k) for k in keys]
+    return columns, "".join(f"{f.name} {f.dataType.simpleString()}, " for f in df.select(*columns).schema.fields)
 
-#: As FRAMES, with the number of different packets.
-ASSEMBLED = FRAMES.replace("bad boolean", "n_distinct_packets bigint, bad boolean")
 
+def stream_frames(packets: DataFrame, expected: int = PACKETS[1], dialect: int = 1, max_gap: int = MAX_PULSE_GAP, allow_repeat: bool = False, packet_bytes: int = 0, keys: tuple[str, ...] = ("module_id",), silent_ms: int = 0, emit_open: bool = False) -> DataFrame:
+    """Frames with `bad` from a stream of packets (keys, seq, pulse_id, framenum, debug, packetnum). A frame comes out once
+    something closes it; the open one stays in state. Both steps share the key, so there is one shuffle. With packet_bytes
+    the packets' `data` travels along, and frames have a `payload`: each packet's bytes in its slot of a zeroed buffer, the
+    last of duplicates.
 
-def stream_frames(packets: DataFrame, expected: int = PACKETS[1], dialect: int = 1, max_gap: int = MAX_PULSE_GAP, allow_repeat: bool = False, packet_bytes: int = 0) -> DataFrame:
-    """Frames with `bad` from a stream of packets (module_id, seq, pulse_id, framenum, debug, packetnum). A frame comes out
-    once something closes it; the open one stays in state. Both steps share the key, so there is one shuffle. With
-    packet_bytes the packets' `data` travels along, and frames have a `payload`: each packet's bytes in its slot of a zeroed
-    buffer, the last of duplicates."""
-    rows = packets.select(F.col("module_id").cast("int"), F.col("seq").cast("bigint"), F.col("pulse_id").cast("bigint"), F.col("framenum").cast("bigint"), F.col("debug").cast("bigint"), F.col("packetnum").cast("int"), *(["data"] if packet_bytes else []))
-    schema = ASSEMBLED + (", payload binary" if packet_bytes else "")
-    return rows.groupBy("module_id").transformWithStateInPandas(_Frames(expected, dialect, max_gap, allow_repeat, packet_bytes), schema, "Append", "None")
+    keys: what a module is told by, with a detector's name where a stream has several. silent_ms: a module that has sent
+    nothing for so long (processing time, looked at when a batch runs) loses its open frame, or with emit_open gives it as
+    it is."""
+    key, kind = _keyed(packets, keys)
+    rows = packets.select(*key, *[F.col(c).cast("bigint") for c in ("seq", "pulse_id", "framenum", "debug")], F.col("packetnum").cast("int"), *(["data"] if packet_bytes else []))
+    schema = kind + _FRAME + ", n_distinct_packets bigint, bad boolean" + (", payload binary" if packet_bytes else "")
+    made = _Frames(keys, expected, dialect, max_gap, allow_repeat, packet_bytes, silent_ms, emit_open)
+    return rows.groupBy(*keys).transformWithStateInPandas(made, schema, "Append", "ProcessingTime" if silent_ms else "None")
 
 
 class _Guard(StatefulProcessor):
-    def __init__(self, max_gap: int, allow_repeat: bool):
-        self.max_gap, self.allow_repeat = max_gap, allow_repeat
+    def __init__(self, keys: tuple[str, ...], max_gap: int, allow_repeat: bool):
+        self.keys, self.max_gap, self.allow_repeat = keys, max_gap, allow_repeat
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", _LAST)
@@ -127,21 +172,18 @@ class _Guard(StatefulProcessor):
         pdf = _sorted(rows, "seq")
         if not len(pdf):
             return
-        pulse, frame = self.last.get() if self.last.exists() else (0, 0)
-        step = pdf.pulse_id - pdf.pulse_id.shift(1, fill_value=pulse)
-        low = step < 0 if self.allow_repeat else step <= 0
-        pdf["bad"] = (pdf.frame_index != pdf.frame_index.shift(1, fill_value=frame) + 1) | low | (step > self.max_gap)
-        self.last.update((int(pdf.pulse_id.iloc[-1]), int(pdf.frame_index.iloc[-1])))
-        yield pdf[["module_id", "seq", "pulse_id", "frame_index", "daq_rec", "n_recv_packets", "bad"]]
+        pdf["bad"] = _flagged(pdf.rename(columns={"pulse_id": "pulse", "frame_index": "framenum"}), self.last, self.max_gap, self.allow_repeat)
+        yield pdf[[*self.keys, "seq", "pulse_id", "frame_index", "daq_rec", "n_recv_packets", "bad"]]
 
     def close(self) -> None:
         pass
 
 
-def stream_guard(frames: DataFrame, max_gap: int = MAX_PULSE_GAP, allow_repeat: bool = False) -> DataFrame:
+def stream_guard(frames: DataFrame, max_gap: int = MAX_PULSE_GAP, allow_repeat: bool = False, keys: tuple[str, ...] = ("module_id",)) -> DataFrame:
     """The sequence guard alone, for a stream of frames."""
-    rows = frames.select(F.col("module_id").cast("int"), *[F.col(c).cast("bigint") for c in ("seq", "pulse_id", "frame_index", "daq_rec", "n_recv_packets")])
-    return rows.groupBy("module_id").transformWithStateInPandas(_Guard(max_gap, allow_repeat), FRAMES, "Append", "None")
+    key, kind = _keyed(frames, keys)
+    rows = frames.select(*key, *[F.col(c).cast("bigint") for c in ("seq", "pulse_id", "frame_index", "daq_rec", "n_recv_packets")])
+    return rows.groupBy(*keys).transformWithStateInPandas(_Guard(keys, max_gap, allow_repeat), kind + _FRAME + ", bad boolean", "Append", "None")
 
 
 class _Counter(StatefulProcessor):

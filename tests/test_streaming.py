@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from pulseframe.operators import stats as st
 from pulseframe.operators import sync as sy
 from pulseframe.plans.runs import run_rows
 from pulseframe.sources.archive import read_archive
+from pulseframe.stored_queries import _run_timed
 from pulseframe.streaming import assembler as sa
 from pulseframe.streaming import frames as sf
 from pulseframe.streaming import images as si
@@ -56,6 +58,92 @@ def test_frames(spark, packets, tmp_path, n_cuts) -> None:
     assert sorted(tuple(r[k] for k in key) for r in got) == want
 
 
+class Held:
+    """A state variable that notes what is written to it."""
+
+    def __init__(self) -> None:
+        self.value, self.map, self.written = None, {}, 0
+
+    def exists(self) -> bool:
+        return self.value is not None
+
+    def get(self):  # noqa: ANN201
+        return self.value
+
+    def update(self, value: tuple) -> None:
+        self.value = value
+        self.written += sum(len(v) if isinstance(v, bytes) else 8 for v in value)
+
+    def updateValue(self, key: tuple, value: tuple) -> None:  # noqa: N802
+        self.map[key] = value
+        self.written += len(value[0])
+
+    def iterator(self):  # noqa: ANN201
+        return iter(self.map.items())
+
+    def clear(self) -> None:
+        self.map = {}
+
+
+class Handle:
+    def __init__(self) -> None:
+        self.held: dict[str, Held] = {}
+
+    def getValueState(self, name: str, *_: str) -> Held:  # noqa: N802
+        return self.held.setdefault(name, Held())
+
+    getMapState = getValueState  # noqa: N815
+
+
+def test_a_batch_writes_the_packets_that_it_leaves_open() -> None:
+    """Payloads are whole for any split, and state written follows the batch, not the frame."""
+    size, expected, rng = 1000, 64, random.Random(1)
+    rows = [(f * expected + n, 10 + f, 10 + f, 1, n, bytes([f, n]) * (size // 2)) for f in range(3) for n in range(expected)]
+    table = pd.DataFrame(rows, columns=["seq", "pulse_id", "framenum", "debug", "packetnum", "data"])
+    want = [b"".join(r[5] for r in rows[f * expected : (f + 1) * expected]) for f in range(3)]
+    for n_cuts in (0, 3, 60):
+        p, handle = sf._Frames(("module_id",), expected, 1, 1000, False, size, 0, False), Handle()
+        p.init(handle)
+        got, cuts = [], [0, *sorted(rng.sample(range(1, len(rows)), n_cuts)), len(rows)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            before = handle.held["parts"].written
+            for out in p.handleInputRows((0,), iter([table.iloc[a:b]]), None):
+                got += list(zip(out.pulse_id, out.payload, out.n_distinct_packets, strict=True))
+            assert handle.held["parts"].written - before <= (b - a) * size
+        assert [(x, d) for x, _, d in got] == [(10, 64), (11, 64), (12, 64)] and [y for _, y, _ in got] == want
+        assert handle.held["open"].written <= (n_cuts + 1) * (expected + 7 * 8) and not handle.held["parts"].map
+
+
+@pytest.mark.parametrize("cuts", [[], [3, 4, 30, 31, 77]])
+def test_frames_of_detectors_with_payloads(spark, packets, tmp_path, cuts) -> None:
+    """Modules of two detectors with one number are two modules."""
+    rows = packets.where("pulse_id <= 12").withColumn("data", F.expr("unhex(lpad(hex(packetnum), 2, '0'))"))
+    both = rows.withColumn("detector_name", F.lit("A")).unionByName(rows.withColumns({"detector_name": F.lit("B"), "seq": F.col("seq") + 5}))
+    got = drained(sf.stream_frames(fed(spark, both, tmp_path, "seq", cuts), fx.PACKETS, packet_bytes=1, keys=("detector_name", "module_id")), f"detectors{len(cuts)}")
+    key = ["module_id", "pulse_id", "frame_index", "daq_rec", "n_recv_packets", "n_distinct_packets", "bad"]
+    want = sorted(tuple(r[k] for k in key) for r in fr.flag_sequence(fr.packets_to_frames(rows, fx.PACKETS)).collect())
+    for d in "AB":
+        assert sorted(tuple(r[k] for k in key) for r in got if r.detector_name == d) == want
+    held = {(r.module_id, r.framenum): set() for r in rows.collect()}
+    for r in rows.collect():
+        held[r.module_id, r.framenum].add(r.packetnum)
+    assert all(r.payload == bytes(n if n in held[r.module_id, r.frame_index] else 0 for n in range(fx.PACKETS)) for r in got)
+
+
+@pytest.mark.parametrize("emit", [False, True])
+def test_a_silent_module(spark, tmp_path, emit) -> None:
+    """Its open frame is given or dropped; what still comes of it is a frame of its own."""
+    cols = "module_id int, seq long, pulse_id long, framenum long, debug long, packetnum int, data binary"
+    rows = [(0, n, 5, 5, 1, n, b"a") for n in range(3)] + [(1, 10 + n, 5, 5, 1, n, b"b") for n in range(8)] + [(0, 30 + n, 5, 5, 1, n, b"c") for n in (3, 7)]
+    stream = sf.stream_frames(fed(spark, spark.createDataFrame(rows, cols), tmp_path, "seq", [3, 11]), 8, packet_bytes=1, silent_ms=1, emit_open=emit)
+    # a stream with such timers always has another batch to run
+    _run_timed(stream.writeStream.format("memory").queryName(f"silent{emit}"), spark, 100)
+    got = sorted((r.module_id, r.seq, r.n_recv_packets, r.payload) for r in spark.table(f"silent{emit}").collect())
+    zero = b"\0"
+    late, whole = (0, 33, 2, zero * 3 + b"c" + zero * 3 + b"c"), (1, 10, 8, b"b" * 8)
+    assert got == ([(0, 0, 3, b"aaa" + zero * 5)] if emit else []) + [late, whole]
+
+
 def test_guard_alone(spark, tmp_path) -> None:
     frames = fx.frames(spark, SF).where("pulse_id <= 60").drop("recv_ts")
     want = sorted((r.module_id, r.seq, r.bad) for r in fr.flag_sequence(frames).collect())
