@@ -20,6 +20,7 @@ from .plans import runs as ru
 from .queries import E, FOLD, M, P, _accepted, _images, _sync, query
 from .schemas import DETECTOR, FRAME, PACKET, RUN_INSTRUCTION
 from .sources import archive as ar
+from .sources import buffer_files as bf
 from .sources import tables as tb
 from .sources.staging import fresh_path
 from .streaming import assembler as sa
@@ -105,6 +106,9 @@ def _bytes(*values: F.Column) -> F.Column:
 
 _DATA = "lpad(to_hex(seq % 256), 2, '0') || lpad(to_hex(packetnum), 2, '0')"
 
+#: Half of the pulses, about their middle.
+_LOW, _HIGH = "(select min(pulse_id) + (max(pulse_id) - min(pulse_id)) // 4 from frames)", "(select max(pulse_id) - (max(pulse_id) - min(pulse_id)) // 4 from frames)"
+
 # --- sources ---------------------------------------------------------------------------------------------------------
 
 
@@ -163,6 +167,16 @@ def src9_resolve(spark: SparkSession, d: str) -> DataFrame:
     return tb.resolve_detector(_detector_files(spark, d), "JF07")
 
 
+@query(f"select module_id, pulse_id, frame_index, daq_rec, n_recv_packets, lpad(to_hex(seq % 256), 2, '0') || '00' as payload from frames where pulse_id between {_LOW} and {_HIGH}", "frames")
+def src3_buffer_files(spark: SparkSession, d: str) -> DataFrame:
+    """All frames written as files by tasks, and a range of them loaded."""
+    root, frames = fresh_path(spark, "buffer"), fx.frames(spark, d).withColumn("payload", _bytes(F.col("seq") % 256))
+    bf.write_buffer_files(frames, root, 2)
+    low, high = frames.agg(F.coalesce(F.min("pulse_id"), F.lit(0)), F.coalesce(F.max("pulse_id"), F.lit(0))).first()
+    got = bf.import_buffer_files(spark, root, M, low + (high - low) // 4, high - (high - low) // 4, 2)
+    return got.withColumn("payload", F.hex("payload"))
+
+
 @query("select run_id, i_image, n_images, pulse_id, bits_per_pixel from runs", "runs")
 def src5_instructions(spark: SparkSession, d: str) -> DataFrame:
     r = fx.runs(spark, d)
@@ -181,7 +195,6 @@ def _archive(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ARCHIVED = "(select arg_max(a, a.seq) as a from (select seq, module_id, pulse_id, frame_index, daq_rec, n_recv_packets from frames union all select * from repeated) a group by a.module_id, a.pulse_id)"
-_LOW, _HIGH = "(select min(pulse_id) + (max(pulse_id) - min(pulse_id)) // 4 from frames)", "(select max(pulse_id) - (max(pulse_id) - min(pulse_id)) // 4 from frames)"
 
 
 @query(f"select a.seq, a.module_id, a.pulse_id, a.frame_index, a.daq_rec, a.n_recv_packets from {_ARCHIVED}", "repeated")

@@ -66,9 +66,27 @@ def test_buffer_files(spark, tmp_path) -> None:
     assert got.keys() == {(0, 1005), (0, 1250), (0, 1999), (1, 1005)}
     r = got[0, 1005]
     assert (r.frame_index, r.daq_rec, r.n_recv_packets, list(np.frombuffer(r.payload, "<u2"))) == (6, 7, 128, [1, 2, 3, 4])
-    part = df.where("pulse_id >= 1200 and pulse_id < 1300")
-    assert [r.pulse_id for r in part.collect()] == [1250] and part.rdd.getNumPartitions() == 2
+    part = bf.import_buffer_files(spark, f"file://{tmp_path}", 2, 1200, 1299, payload=8)
+    assert [r.pulse_id for r in part.collect()] == [1250]
     assert bf.import_buffer_files(spark, str(tmp_path), 2, 5000, 5099, payload=8).count() == 0
+    assert bf.import_buffer_files(spark, str(tmp_path), 2, 5, 4, payload=8).count() == 0
+
+
+def test_partitions_follow_the_files(spark, tmp_path) -> None:
+    """Not the range: a year of pulses in which three files stand is three files' partitions."""
+    frames = spark.createDataFrame([(m, p, p + 1, 7, 128, bytearray(b"abcdefghij"[: 3 + p % 4])) for m in range(2) for p in (5, 120, 999, 3_000_000, 3_000_001, 40_000_000) if m == 0 or p > 1000], "module_id int, pulse_id long, frame_index long, daq_rec long, n_recv_packets long, payload binary")
+    assert bf.write_buffer_files(frames, str(tmp_path), 6) == 5
+    assert bf.write_buffer_files(frames, str(tmp_path), 6) == 5 and len(list(tmp_path.rglob("*"))) == 2 + 5 + 5
+    listed = bf.list_buffer_files(spark, str(tmp_path), 3, 0, 3_100_000_000)
+    assert sorted(map(tuple, listed.collect())) == [(m, b, 1000 * 47 + 1) for m, b in ((0, 0), (0, 3_000_000), (0, 40_000_000), (1, 3_000_000), (1, 40_000_000))]
+    got = bf.import_buffer_files(spark, str(tmp_path), 3, 0, 3_100_000_000, 6, part_bytes=47 * 400)
+    assert got.rdd.getNumPartitions() == 5 * 1000 // 400 + 1
+    fixed = lambda r: (*r[:5], bytes(r[5]).ljust(6, b"\0")[:6])
+    assert sorted((*r[:5], bytes(r[5])) for r in got.collect()) == sorted(fixed(r) for r in frames.collect())
+    some = bf.import_buffer_files(spark, str(tmp_path), 3, 6, 3_000_000, 6)
+    assert sorted((r.module_id, r.pulse_id) for r in some.collect()) == [(0, 120), (0, 999), (0, 3_000_000), (1, 3_000_000)] and some.rdd.getNumPartitions() == 1
+    (tmp_path / "M00/0/0.bin").write_bytes((tmp_path / "M00/0/0.bin").read_bytes()[: 47 * 120 + 46])  # a record cut short
+    assert sorted(r.pulse_id for r in bf.import_buffer_files(spark, str(tmp_path), 1, 0, 999, 6).collect()) == [5]
 
 
 def test_archive_upsert_and_lookup(spark, tmp_path) -> None:
