@@ -16,6 +16,7 @@ from . import fixtures as fx
 from .functions import pixels as px
 from .functions import scalars as sc
 from .operators import frames as fr
+from .plans import pixels as xp
 from .plans import runs as ru
 from .queries import E, FOLD, M, P, _accepted, _images, _sync, query
 from .schemas import DETECTOR, FRAME, PACKET, RUN_INSTRUCTION
@@ -508,6 +509,60 @@ def snk5_stats_sink(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).text(path).withColumnRenamed("value", "line")
 
 
+def _pixel_archive(spark: SparkSession, d: str) -> str:
+    """The fixture's frames with two bytes of pixels, and those that came again over them, as an archive."""
+    path = fresh_path(spark, "pixels")
+    pixels = lambda df: df.select(*FRAME.names).withColumn("payload", _bytes(F.col("seq") % 251, F.col("module_id")))
+    xp.write_pixel_archive(pixels(fx.frames(spark, d)), path)
+    xp.write_pixel_archive(pixels(fx.repeated_frames(spark, d)), path)
+    return path
+
+
+def _ends(spark: SparkSession, d: str) -> tuple[int, int]:
+    """A range without the first pulse, and beyond the last."""
+    low, high = fx.frames(spark, d).agg(F.coalesce(F.min("pulse_id"), F.lit(0)), F.coalesce(F.max("pulse_id"), F.lit(0))).first()
+    return low + 1, high + 5
+
+
+_IMAGES = f"""select requested_pulse_id, coalesce(i.pulse_id, 0) as pulse_id, coalesce(frame_index, 0)::bigint as frame_index, coalesce(daq_rec, 0)::bigint as daq_rec,
+    coalesce(is_good_image, false)::int as is_good_frame, requested_pulse_id - (select min(pulse_id) + 1 from frames) as write_index,
+    coalesce({" || ".join(f"coalesce(x{m}, '0000')" for m in range(4))}, '00000000' || '00000000') as image
+    from (select unnest(range((select min(pulse_id) + 1 from frames), (select max(pulse_id) + 6 from frames))) as requested_pulse_id) g
+    left join ({FOLD.format(frames="(select a.seq, a.module_id, a.pulse_id, a.frame_index, a.daq_rec, a.n_recv_packets from " + _ARCHIVED + ")")}) i on i.pulse_id = requested_pulse_id
+    left join (select a.pulse_id as p, {", ".join(f"max(lpad(to_hex(a.seq % 251), 2, '0') || '0{m}') filter (a.module_id = {m}) as x{m}" for m in range(4))} from {_ARCHIVED} group by a.pulse_id) z on p = requested_pulse_id"""
+
+
+@query(_IMAGES, "repeated")
+def snk3_export_pixels(spark: SparkSession, d: str) -> DataFrame:
+    """What stands in the written images: metadata and pixels of every pulse of the range."""
+    out, (low, high) = fresh_path(spark, "export"), _ends(spark, d)
+    xp.export_pixels(spark, _pixel_archive(spark, d), M, low, high, out, 1, E, "JF01", payload=2)
+    return spark.read.parquet(f"{out}/images").drop("digest").withColumn("image", F.hex("image"))
+
+
+@query("select 'JF01' as detector_name, 4 as n_modules, (select min(pulse_id) + 1 from frames) as start, (select max(pulse_id) + 5 from frames) as stop, 1::bigint as step, count(*) as n_images from (select unnest(range((select min(pulse_id) + 1 from frames), (select max(pulse_id) + 6 from frames))))", "frames")
+def snk3_export_general(spark: SparkSession, d: str) -> DataFrame:
+    out, (low, high) = fresh_path(spark, "export"), _ends(spark, d)
+    xp.export_pixels(spark, _pixel_archive(spark, d), M, low, high, out, 1, E, "JF01", payload=2)
+    return spark.read.parquet(f"{out}/general").withColumn("n_images", F.lit(spark.read.parquet(f"{out}/images").count()))
+
+
+@query(
+    f"""select requested_pulse_id as pulse_id, unnest(case when requested_pulse_id % 97 = 0 then ['module 1'] when requested_pulse_id % 89 = 0 then ['frame_index', 'module 0', 'module 1', 'module 2', 'module 3'] end) as field
+       from ({_IMAGES}) where requested_pulse_id % 97 = 0 or requested_pulse_id % 89 = 0""",
+    "repeated",
+)
+def jn6_verify_pixels(spark: SparkSession, d: str) -> DataFrame:
+    """An export that was damaged and signed anew: a module's pixels here, a whole image and its frame index there."""
+    path, out, (low, high) = _pixel_archive(spark, d), fresh_path(spark, "export"), _ends(spark, d)
+    xp.export_pixels(spark, path, M, low, high, out, 1, E, "JF01", payload=2)
+    e, p = spark.read.parquet(f"{out}/images"), F.col("requested_pulse_id")
+    one = F.concat(F.substring("image", 1, 2), F.lit(b"\xff\xff"), F.substring("image", 5, 4))
+    image = F.when(p % 97 == 0, one).when(p % 89 == 0, F.lit(b"\xff" * 8)).otherwise(F.col("image"))
+    bad = e.withColumns({"image": image, "frame_index": F.col("frame_index") + F.when((p % 97 != 0) & (p % 89 == 0), 1).otherwise(0), "digest": F.when((p % 97 == 0) | (p % 89 == 0), F.sha2(image, 256)).otherwise(F.col("digest"))})
+    return xp.verify_pixels(bad, spark, path, M, E, payload=2).select("pulse_id", "field")
+
+
 @query("select pulse_id, frame_index, daq_rec, is_good_image from images", "images")
 def snk6_publish_images(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "published")
