@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import DATAGRAM_BYTES, MARKER, MAX_PULSE_GAP, PACKETS, RING_PULSES
-from .ordering import row_before, running_sum
+from .ordering import row_before, running_index, running_sum
 
 
 def valid_datagram(df: DataFrame, raw_col: str = "raw", size: int = DATAGRAM_BYTES) -> DataFrame:
@@ -50,13 +50,16 @@ def run_id_guard(df: DataFrame, run_id: int, strict: bool = False) -> DataFrame:
 
 
 def thin(df: DataFrame, factor: int, data_cols: list[str], seed: int | None = None, flag: str = "has_data") -> DataFrame:
-    """Metadata stays for all rows; data stays for one in `factor`: those on the pulse grid, or with a seed a random share."""
+    """Metadata stays for all rows; data stays for one in `factor`: those on the pulse grid, or with a seed a random share of
+    the pulses. Which pulses these are is told by a hash of pulse and seed, so a replay, or another partitioning, keeps the
+    same ones, and all modules of a pulse go the same way."""
     if factor <= 1:
         kept = F.lit(True)
     elif seed is None:
         kept = F.pmod("pulse_id", F.lit(factor)) == 0
     else:
-        kept = F.floor(F.rand(seed) * factor) == 0
+        digest = F.md5(F.concat_ws(":", F.col("pulse_id").cast("string"), F.lit(str(seed))))
+        kept = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % factor == 0
     df = df.withColumn(flag, kept)
     return df.withColumns({c: F.when(F.col(flag), F.col(c)) for c in data_cols})
 
@@ -115,33 +118,65 @@ def split_modules(packets: DataFrame, per_module: int = PACKETS[1]) -> DataFrame
     return packets.withColumns({"module_id": F.floor(n / per_module).cast("int"), "packetnum": n % per_module})
 
 
-def packets_to_frames(packets: DataFrame, expected: int = PACKETS[1], dialect: int = 1, emit_open: bool = False, keys: tuple[str, ...] = ("module_id",)) -> DataFrame:
-    """(keys, frame_no, pulse_id, frame_index, daq_rec, n_recv_packets, n_distinct_packets, seq): packets with pulse_id,
-    framenum, debug, packetnum and seq, put together frame by frame. Metadata is that of the first packet seen, in the
-    second dialect of the last. A frame that nothing closes is given only with emit_open; pulse 0 means no frame. seq is
-    the arrival of its first packet."""
+def packets_to_frames(packets: DataFrame, expected: int = PACKETS[1], dialect: int = 1, emit_open: bool = False, keys: tuple[str, ...] = ("module_id",), share: int = SHARE_ROWS, numbered: bool = False) -> DataFrame:
+    """(keys, pulse_id, frame_index, daq_rec, n_recv_packets, n_distinct_packets, seq): packets with pulse_id, framenum,
+    debug, packetnum and seq, put together frame by frame. Metadata is that of the first packet seen, in the second dialect
+    of the last. A frame that nothing closes is given only with emit_open; pulse 0 means no frame. seq is the arrival of its
+    first packet; with numbered there is frame_no, its number in the module's arrival order from 1, too.
+
+    Packets are shuffled once, by share of the arrival order, and put together there. A share's first and last frame, one row
+    for each share, tell which frames go on over its ends, and which is a module's open one."""
     found = packets.where((F.col("packetnum") >= 0) & (F.col("packetnum") < expected))
+    by = [*keys, "_share"]
+    inside = Window.partitionBy(*by).orderBy("seq")
+    df = found.select(*by[:-1], _share(share).alias("_share"), "seq", "pulse_id", "framenum", "debug", "packetnum")
+    df = df.withColumn("_before", F.lag(F.struct("framenum", "packetnum")).over(inside))
+    new = F.col("_before").isNotNull() & ((F.col("_before.framenum") != F.col("framenum")) | (F.col("_before.packetnum") == expected - 1))
+    df = df.withColumn("_part", F.sum(new.cast("int")).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # packet numbers that a frame has, 62 to a word
+    words = [f"_w{i}" for i in range(-(-expected // 62))]
     pick = F.min_by if dialect == 1 else F.max_by
-    # one row for each packet number first, so that the distinct count needs no expansion of the rows
-    each = frame_boundaries(found, expected, keys).groupBy(*keys, "frame_no", "packetnum").agg(
-        F.count("*").alias("_n"), F.min("seq").alias("_first"), F.max("seq").alias("_last"), *[pick(c, "seq").alias(c) for c in ("pulse_id", "framenum", "debug")]
+    bits = [F.bit_or(F.when(F.floor(F.col("packetnum") / 62) == i, F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("packetnum") % 62).cast("int"))).otherwise(F.lit(0).cast("bigint"))).alias(w) for i, w in enumerate(words)]
+    # numbers only, which are aggregated without a sort
+    parts = df.groupBy(*by, "_part").agg(
+        F.count("*").alias("_n"),
+        F.min("seq").alias("_first"),
+        F.max("seq").alias("_last"),
+        F.min_by("framenum", "seq").alias("_first_num"),
+        F.max_by("framenum", "seq").alias("_last_num"),
+        F.max_by("packetnum", "seq").alias("_last_packet"),
+        *[pick(c, "seq").alias(c) for c in ("pulse_id", "framenum", "debug")],
+        *bits,
     )
-    by = "_first" if dialect == 1 else "_last"
-    frames = each.groupBy(*keys, "frame_no").agg(
-        pick("pulse_id", by).alias("pulse_id"),
-        pick("framenum", by).alias("frame_index"),
-        pick("debug", by).alias("daq_rec"),
+    edge = F.struct("_part", "_first", "_first_num", "_last_num", "_last_packet")
+    ends = parts.groupBy(*by).agg(F.min_by(edge, "_part").alias("_a"), F.max_by(edge, "_part").alias("_z"))
+    along = Window.partitionBy(*keys).orderBy("_share")
+    before = F.lag("_z").over(along)
+    ends = ends.withColumn("_on", F.coalesce((before["_last_num"] == F.col("_a._first_num")) & (before["_last_packet"] != expected - 1), F.lit(False)))
+    # where the frame that a share ends with begins
+    root = F.last(F.when(~F.col("_on") | (F.col("_z._part") > 0), F.col("_z._first")), ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ends = ends.withColumns({"_root": root, "_open": F.lead("_share").over(along).isNull()})
+    ends = ends.withColumn("_root_before", F.lag("_root").over(along))
+    first = F.struct(F.col("_a._part").alias("_part"), F.when(F.col("_on"), F.col("_root_before")).otherwise(F.col("_a._first")).alias("_root"), ((F.col("_z._part") == 0) & F.col("_open")).alias("_open"))
+    last = F.struct(F.col("_z._part").alias("_part"), "_root", "_open")
+    edges = ends.select(*by, F.explode(F.when(F.col("_z._part") > 0, F.array(first, last)).otherwise(F.array(first))).alias("_e")).select(*by, "_e.*")
+    each = parts.join(edges, [*by, "_part"], "left").withColumn("_root", F.coalesce("_root", "_first"))
+    by_arrival = "_first" if dialect == 1 else "_last"
+    frames = each.groupBy(*keys, "_root").agg(
+        *[pick(c, by_arrival).alias(c) for c in ("pulse_id", "framenum", "debug")],
         F.sum("_n").alias("n_recv_packets"),
-        F.count("*").alias("n_distinct_packets"),
-        F.min("_first").alias("seq"),
-        F.max(F.struct("_last", "packetnum")).alias("_end"),
+        F.max_by("_last_packet", "_last").alias("_last_packet"),
+        F.bool_or(F.coalesce("_open", F.lit(False))).alias("_open"),
+        *[F.bit_or(w).alias(w) for w in words],
     )
-    out = frames.where(F.col("pulse_id") > 0)
-    if not emit_open:
-        # the open frame is that of a module's last packet; one row for each module, from a scan of two columns
-        newest = found.groupBy(*keys).agg(F.max("seq").alias("_newest"))
-        out = out.join(newest, list(keys)).where((F.col("_end._last") < F.col("_newest")) | (F.col("_end.packetnum") == expected - 1)).drop("_newest")
-    return out.drop("_end")
+    distinct = F.bit_count(words[0])
+    for w in words[1:]:
+        distinct = distinct + F.bit_count(w)
+    out = frames.select(*keys, "pulse_id", F.col("framenum").alias("frame_index"), F.col("debug").alias("daq_rec"), "n_recv_packets", distinct.cast("bigint").alias("n_distinct_packets"), F.col("_root").alias("seq"), "_open", (F.col("_last_packet") == expected - 1).alias("_whole"))
+    if numbered:
+        out = running_index(out, ["seq"], "frame_no", _share(share), list(keys)).withColumn("frame_no", F.col("frame_no") + 1)
+    out = out.where(F.col("pulse_id") > 0)
+    return (out if emit_open else out.where(F.col("_whole") | ~F.col("_open"))).drop("_open", "_whole")
 
 
 def recent_frames(frames: DataFrame, n_pulses: int = RING_PULSES, keys: tuple[str, ...] = ("module_id",)) -> DataFrame:

@@ -325,7 +325,7 @@ def jn8_missing(spark: SparkSession, d: str) -> DataFrame:
 
 # --- aggregations ----------------------------------------------------------------------------------------------------
 
-_ASSEMBLED = """select module_id, frame_no::bigint as frame_no, pulse_id, frame_index, daq_rec, n_recv_packets, n_distinct_packets, seq from assembled a"""
+_ASSEMBLED = """select module_id, pulse_id, frame_index, daq_rec, n_recv_packets, n_distinct_packets, seq from assembled a"""
 
 
 @query(_ASSEMBLED + " where last_packet = 7 or frame_no < (select max(frame_no) from assembled b where b.module_id = a.module_id)", "assembled")
@@ -333,9 +333,9 @@ def agg1_frames(spark: SparkSession, d: str) -> DataFrame:
     return fr.packets_to_frames(fx.packets(spark, d), P)
 
 
-@query(_ASSEMBLED, "assembled")
+@query(_ASSEMBLED.replace("select module_id,", "select module_id, frame_no::bigint as frame_no,"), "assembled")
 def agg1_frames_open(spark: SparkSession, d: str) -> DataFrame:
-    return fr.packets_to_frames(fx.packets(spark, d), P, emit_open=True)
+    return fr.packets_to_frames(fx.packets(spark, d), P, emit_open=True, numbered=True)
 
 
 @query("select * from images", "images")

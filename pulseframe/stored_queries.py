@@ -465,26 +465,56 @@ def _read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(F.col("run_id").cast("bigint").alias("run_id"), "i_image", "pulse_id", "pixel_type", "image_bytes")
 
 
-@query(_RUN_ROWS, "runs")
+@query(_RUN_ROWS.replace("select run_id,", "select run_id // 50 as run_id,"), "runs")
 def snk4_write_runs(spark: SparkSession, d: str) -> DataFrame:
-    """Written twice: runs are replaced."""
+    """Written twice, first with other pulses: runs are replaced. Fifty conversations are a run here."""
     path, rows = fresh_path(spark, "runs"), ru.run_rows(fx.runs(spark, d).withColumn("run_id", F.floor(F.col("run_id") / 50)))
     ru.write_runs(rows.withColumn("pulse_id", F.lit(0).cast("bigint")), path, 2)
     ru.write_runs(rows, path, 2)
-    back = fx.runs(spark, d).select("pulse_id", F.col("run_id").alias("run"))
-    return _read_runs(spark, path).join(back, "pulse_id").withColumn("run_id", F.col("run")).drop("run")
+    return _read_runs(spark, path)
 
 
-@query(_RUN_ROWS.replace("select run_id,", "select run_id // 50 as run_id,"), "runs")
+_AGAIN = f"""select detector_name, seq * 4 as seq, run_id, i_image, n_images, pulse_id, bits_per_pixel from ({_SHUFFLED}) union all
+             select detector_name, seq * 4 + 1, run_id, i_image, n_images, pulse_id, 32 from ({_SHUFFLED}) where pulse_id % 7 = 0"""
+_EVENTS_OF = lambda source: f"""(with s as ({source}),
+       o as (select *, sum((i_image = 0)::int) over (partition by detector_name order by seq rows unbounded preceding) as seg from s),
+       r as (select *, first_value(run_id) over (partition by detector_name, seg order by seq) as current from o),
+       c as (select *, seg > 0 and run_id = current as own from r),
+       e as (select *, coalesce(bool_or(own and i_image + 1 = n_images) over (partition by detector_name, seg order by seq rows between unbounded preceding and 1 preceding), false) as ended from c)
+       select *, case when i_image = 0 then case when n_images = 1 then 'open+close' else 'open' end
+         when not own or ended then 'rejected' when i_image + 1 = n_images then 'close' else 'write' end as event from e)"""
+
+
+def _run_output(spark: SparkSession, d: str) -> str:
+    """Instructions of four detectors, some late and so rejected, some that came again with other sizes, in two batches."""
+    rows = _instructions(spark, d).withColumn("seq", F.col("seq") * 4)
+    again = rows.where("pulse_id % 7 = 0").withColumns({"seq": F.col("seq") + 1, "bits_per_pixel": F.lit(32)})
+    rows, path = rows.unionByName(again), fresh_path(spark, "runs")
+    half = rows.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] // 2
+    parts = [rows.where(F.col("seq") <= half).coalesce(1), rows.where(F.col("seq") > half).coalesce(1)]
+    _run(sk.run_sink(_source(spark, *parts, files=1), path, 1), spark)
+    return path
+
+
+@query(
+    f"""select run_id, i_image, arg_max(pulse_id, seq) as pulse_id, 'uint' || arg_max(bits_per_pixel, seq)::varchar as pixel_type, ((512 * 1024 * arg_max(bits_per_pixel, seq)) // 8)::bigint as image_bytes
+       from {_EVENTS_OF(_AGAIN)} where event <> 'rejected' group by run_id, i_image""",
+    "runs",
+)
 def snk4_run_sink(spark: SparkSession, d: str) -> DataFrame:
-    """In two batches of the same runs. Fifty conversations are a run here, so that a batch writes few folders."""
-    rows = fx.runs(spark, d)
-    rows = rows.withColumns({"i_image": F.col("pulse_id"), "run_id": F.floor(F.col("run_id") / 50)})
-    path = fresh_path(spark, "runs")
-    halves = [rows.where(F.col("pulse_id") % 2 == i).coalesce(1) for i in range(2)]
-    _run(sk.run_sink(_source(spark, *halves, files=1), path, 2), spark)
-    back = fx.runs(spark, d).select("pulse_id", F.col("i_image").alias("i"))
-    return _read_runs(spark, path).join(back, "pulse_id").withColumn("i_image", F.col("i")).drop("i")
+    """What stands in the runs' files, as it was written."""
+    return _read_runs(spark, f"{_run_output(spark, d)}/runs")
+
+
+@query(f"select run_id, max(n_images) as n_images from {_EVENTS_OF(_AGAIN)} where event in ('close', 'open+close') group by run_id", "runs")
+def snk4_closed_runs(spark: SparkSession, d: str) -> DataFrame:
+    return sk.closed_runs(spark, _run_output(spark, d))
+
+
+@query("select pulse_id, ('0x' || substr(md5(pulse_id::varchar || ':7'), 1, 8))::bigint % 10 = 0 as has_data from images", "images")
+def flt10_hashed(spark: SparkSession, d: str) -> DataFrame:
+    """A random share of the images, the same one over any number of partitions."""
+    return fr.thin(_images(spark, d).repartition(5), 10, [], seed=7).select("pulse_id", "has_data")
 
 
 _LINES = """select 'jf_frames,module=M' || module_id::varchar || ' n_frames=' || count(*)::varchar || 'i ' || (max(seq) * 1000)::varchar as line from frames group by module_id, pulse_id // 1000"""

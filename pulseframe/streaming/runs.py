@@ -14,8 +14,8 @@ START, WRITE, STOP = 1, 0, 2
 
 
 class _Run(StatefulProcessor):
-    def __init__(self, mode: str, strict: bool):
-        self.mode, self.strict = mode, strict
+    def __init__(self, mode: str, strict: bool, carried: tuple[str, ...]):
+        self.mode, self.strict, self.carried = mode, strict, carried
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.run = handle.getValueState("run", "run_id bigint")
@@ -36,7 +36,7 @@ class _Run(StatefulProcessor):
         else:
             self.run.update((current,))
         pdf["event"] = events
-        yield pdf[["detector_name", "seq", "run_id", "i_image", "n_images", "pulse_id", "event"]]
+        yield pdf[["detector_name", "seq", "run_id", "i_image", "n_images", "pulse_id", *self.carried, "event"]]
 
     def _index(self, current: int | None, r) -> tuple[int | None, str]:  # noqa: ANN001
         if r.i_image == 0:
@@ -63,13 +63,15 @@ class _Run(StatefulProcessor):
         pass
 
 
-def run_lifecycle(instructions: DataFrame, mode: str = "index", strict: bool = False) -> DataFrame:
+def run_lifecycle(instructions: DataFrame, mode: str = "index", strict: bool = False, carried: tuple[str, ...] = ()) -> DataFrame:
     """Instructions (detector_name, seq, run_id, i_image, n_images, pulse_id; op_code in that mode) with `event`: open,
     write, close, open+close, or rejected for an image of a run that is not open (an error in strict mode). With op_code:
-    1 opens, 0 writes, 2 closes and always resets; what is out of sequence is ignored."""
+    1 opens, 0 writes, 2 closes and always resets; what is out of sequence is ignored. carried: other columns that stay."""
     op = F.col("op_code").cast("int") if mode == "op_code" else F.lit(-1)
-    rows = instructions.select("detector_name", *[F.col(c).cast("bigint") for c in ("seq", "run_id", "i_image", "n_images", "pulse_id")], op.alias("op_code"))
-    return rows.groupBy("detector_name").transformWithStateInPandas(_Run(mode, strict), "detector_name string, seq bigint, run_id bigint, i_image bigint, n_images bigint, pulse_id bigint, event string", "Append", "None")
+    rows = instructions.select("detector_name", *[F.col(c).cast("bigint") for c in ("seq", "run_id", "i_image", "n_images", "pulse_id")], *carried, op.alias("op_code"))
+    extra = "".join(f", {c} {instructions.schema[c].dataType.simpleString()}" for c in carried)
+    schema = f"detector_name string, seq bigint, run_id bigint, i_image bigint, n_images bigint, pulse_id bigint{extra}, event string"
+    return rows.groupBy("detector_name").transformWithStateInPandas(_Run(mode, strict, carried), schema, "Append", "None")
 
 
 def written(events: DataFrame) -> DataFrame:

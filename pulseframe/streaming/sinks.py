@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.scalars import live_header_json
-from ..operators.frames import thin
+from ..operators.frames import latest_per_key, thin
 from ..plans.runs import run_rows, write_runs
 from ..sources.archive import exists, write_archive
 from ..sources.staging import removed
+from .runs import run_lifecycle, written
 
 
 def archive_sink(frames: DataFrame, path: str) -> DataStreamWriter:
@@ -48,23 +49,44 @@ def live_sink(images: DataFrame, out: str, live_factor: int = 1, reduced_factor:
     return images.writeStream.foreachBatch(write)
 
 
-def run_sink(instructions: DataFrame, out: str, n_writers: int = 8) -> DataStreamWriter:
-    """Runs as they come: rows of runs already begun are read, merged by image index, and replaced run by run."""
-    def write(df: DataFrame, _: int) -> None:
-        spark, rows = df.sparkSession, run_rows(df)
-        if exists(spark, out):
-            runs = rows.select("run_id").distinct()
-            old = spark.read.parquet(out).join(runs, "run_id", "left_semi").select(*[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
-            fresh = rows.select("run_id", "i_image")
-            rows = old.join(fresh, ["run_id", "i_image"], "left_anti").unionByName(rows)
+#: What a run's file says of the size of its images.
+_SIZES = ("image_y_size", "image_x_size", "bits_per_pixel")
+
+
+def run_sink(instructions: DataFrame, out: str, n_writers: int = 8, mode: str = "index", strict: bool = False) -> DataStreamWriter:
+    """Runs as they come, from instructions as run_lifecycle() takes them, with the sizes of their images. The lifecycle is a
+    stateful step of the same stream: images of a run that is not open are not written. Of instructions for one image of a
+    run the latest by seq counts, in a batch and over batches, so a replayed batch changes nothing. Rows of runs already
+    begun are read, merged and replaced run by run; when a run closes, a row in `out`/_closed says so, see closed_runs()."""
+    events = written(run_lifecycle(instructions, mode, strict, _SIZES))
+
+    def write(df: DataFrame, batch: int) -> None:
+        spark = df.sparkSession
+        df.persist()
+        try:
+            rows = run_rows(df.drop("event"))
+            if exists(spark, f"{out}/runs"):
+                runs = rows.select("run_id").distinct()
+                old = spark.read.parquet(f"{out}/runs").join(runs, "run_id", "left_semi")
+                rows = old.select(*[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in rows.columns]).unionByName(rows)
             held = f"{out.rstrip('/')}._merged-{uuid.uuid4().hex}"
-            rows.write.parquet(held)
-            write_runs(spark.read.parquet(held), out, n_writers)
+            latest_per_key(rows, ("run_id", "i_image")).write.parquet(held)
+            write_runs(spark.read.parquet(held), f"{out}/runs", n_writers)
             removed(spark, held)
-        else:
-            write_runs(rows, out, n_writers)
+            # after the rows, so that a run that is said to be closed is whole
+            closed = df.where(F.col("event").isin("close", "open+close")).groupBy("run_id").agg(F.max("n_images").alias("n_images"), F.max("seq").alias("seq"))
+            closed.write.mode("overwrite").parquet(f"{out}/_closed/batch={batch}")
+        finally:
+            df.unpersist()
+
+    return events.writeStream.foreachBatch(write)
+
 
-    return instructions.writeStream.foreachBatch(write)
+def closed_runs(spark: SparkSession, out: str) -> DataFrame:
+    """(run_id, n_images): the runs that run_sink() has written to their end, one row each."""
+    held = [p for p in (f"{out}/_closed",) if exists(spark, p)]
+    rows = spark.read.parquet(f"{held[0]}/batch=*") if held else spark.createDataFrame([], "run_id bigint, n_images bigint, seq bigint")
+    return rows.groupBy("run_id").agg(F.max_by("n_images", "seq").alias("n_images"))
 
 
 def stats_sink(lines: DataFrame, out: str) -> DataStreamWriter:

@@ -76,6 +76,8 @@ def test_thin_keeps_rows(spark) -> None:
     assert fr.thin(df, 1, ["data"]).where("data is not null").count() == 100
     some = fr.thin(df, 2, ["data"], seed=3)
     assert some.count() == 100 and 20 < some.where("has_data").count() < 80
+    kept = lambda n, seed: sorted(r.pulse_id for r in fr.thin(df.repartition(n), 2, ["data"], seed=seed).where("has_data").collect())
+    assert kept(1, 3) == kept(8, 3) != kept(1, 4)
 
 
 def test_shards_and_run_guard(spark) -> None:
@@ -121,6 +123,42 @@ def test_shares_of_the_arrival_order_change_nothing(spark, share) -> None:
         assert sorted((r.module_id, r.seq) for r in part.collect()) == sorted(k for k, r in got.items() if not r.bad and start <= r.pulse_id <= stop)
 
 
+@pytest.mark.parametrize("share", [1, 5, 40, 10**9])
+@pytest.mark.parametrize("dialect", [1, 2])
+def test_frames_over_the_ends_of_shares(spark, share, dialect) -> None:
+    """Frames that begin and end in other shares, repeats, holes, frames of pulse 0, and the open one of each module."""
+    rng, rows, seq = random.Random(share), [], 0
+    for f in range(60):
+        for m in (0, 1):
+            for n in range(70):
+                for _ in range(1 + (rng.random() < 0.05)):
+                    if rng.random() > (0.9 if f % 7 == 3 else 0.1) and (f < 59 or n < 30):
+                        rows.append((m, seq, 0 if f == 20 else 100 + f + (n > 60), 100 + f // (2 if f % 11 == 0 else 1), f, n))
+                    seq += 1
+    rows.sort(key=lambda r: r[1])
+    want = []
+    for m in (0, 1):
+        held, number = [], 0
+        own = [r for r in rows if r[0] == m]
+        for i, r in enumerate(own):
+            if held and (held[-1][3] != r[3] or held[-1][5] == 69):
+                held = []
+            number += not held
+            held.append(r)
+            end = i + 1 == len(own)
+            if end or own[i + 1][3] != r[3] or r[5] == 69:
+                meta = held[0] if dialect == 1 else held[-1]
+                if meta[2] > 0:
+                    want.append((m, meta[2], meta[3], meta[4], len(held), len({x[5] for x in held}), held[0][1], number, not end or r[5] == 69))
+    df = spark.createDataFrame(rows, "module_id int, seq long, pulse_id long, framenum long, debug long, packetnum int").repartition(3)
+    names = ["module_id", "pulse_id", "frame_index", "daq_rec", "n_recv_packets", "n_distinct_packets", "seq", "frame_no"]
+    got = fr.packets_to_frames(df, 70, dialect, emit_open=True, share=share, numbered=True).select(*names)
+    assert sorted(map(tuple, got.collect())) == sorted(r[:8] for r in want)
+    closed = fr.packets_to_frames(df, 70, dialect, share=share).select(*names[:-1])
+    assert sorted(map(tuple, closed.collect())) == sorted(r[:7] for r in want if r[8])
+    assert len(want) > sum(r[8] for r in want)
+
+
 def test_raw_sizes_and_markers(spark) -> None:
     df = spark.createDataFrame([(1, bytearray(8240), 0xBE), (2, bytearray(8239), 0), (3, None, None)], "seq long, raw binary, marker int")
     assert [r.seq for r in fr.valid_datagram(df).collect()] == [1]

@@ -13,7 +13,6 @@ from pulseframe.operators import frames as fr
 from pulseframe.operators import images as im
 from pulseframe.operators import stats as st
 from pulseframe.operators import sync as sy
-from pulseframe.plans.runs import run_rows
 from pulseframe.sources.archive import read_archive
 from pulseframe.stored_queries import _run_timed
 from pulseframe.streaming import assembler as sa
@@ -282,8 +281,15 @@ def test_sinks(spark, packets, tmp_path) -> None:
 
 
 def test_run_sink_merges_batches(spark, tmp_path) -> None:
-    rows = fx.runs(spark, SF).where("run_id < 4")
-    (tmp_path / "in").mkdir()
-    run(sk.run_sink(fed(spark, rows, tmp_path / "in", "pulse_id", [5, 9]), str(tmp_path / "runs"), 2), tmp_path, "runs")
-    want = sorted((r.run_id, r.i_image, r.pixel_type) for r in run_rows(rows).collect())
-    assert sorted((r.run_id, r.i_image, r.pixel_type) for r in spark.read.parquet(str(tmp_path / "runs")).collect()) == want
+    """Images of runs that are not open are left out, of repeats the latest counts, in a batch and over batches; closed runs
+    are said to be."""
+    base = [(1, 0), (1, 1), (9, 1), (1, 2), (1, 2), (2, 0), (2, 1), (2, 1), (3, 0), (2, 2), (3, 1)]
+    rows = [("JF", s, r, i, 3, 10 + s, 512, 1024, 8 if s % 2 else 16) for s, (r, i) in enumerate(base)]
+    df = spark.createDataFrame(rows, RUN + ", image_y_size int, image_x_size int, bits_per_pixel int")
+    for name, cuts in (("one", []), ("three", [2, 7])):
+        out = str(tmp_path / name)
+        run(sk.run_sink(fed(spark, df, tmp_path / f"in-{name}", "seq", cuts), out, 2), tmp_path, name)
+        got = sorted((r.run_id, r.i_image, r.seq, r.pixel_type) for r in spark.read.parquet(f"{out}/runs").collect())
+        assert got == [(1, 0, 0, "uint16"), (1, 1, 1, "uint8"), (1, 2, 3, "uint8"), (2, 0, 5, "uint8"), (2, 1, 7, "uint8"), (3, 0, 8, "uint16"), (3, 1, 10, "uint16")]
+        assert [tuple(r) for r in sk.closed_runs(spark, out).collect()] == [(1, 3)]
+    assert sk.closed_runs(spark, str(tmp_path / "none")).count() == 0
