@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import fresh_path, removed
+
 #: Bytes of A-Z become a-z; all others stay. For bytes.translate().
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -17,50 +20,37 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ALNUM = bytes((LOWER[c] if c >= 128 or chr(c).isalnum() else 32) for c in range(256))
 
 
-#: Folders made for local sessions without spark.checkpoint.dir, by application.
-_LOCAL: dict[str, str] = {}
-#: Tables staged and not removed yet.
-_STAGED: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset, a local folder for
-    a local master, whose driver and executor are one process, and the warehouse for any other."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL:
-            _LOCAL[app] = tempfile.mkdtemp(prefix="pulseframe-")
-        return _LOCAL[app]
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
+#: The tables staged in this thread since noted() began, if it did.
+_NOTED: ContextVar[list[str] | None] = ContextVar("noted", default=None)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it again. Cuts the lineage; lost executors cost nothing. The
-    result's staged_at says where, for clear()."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    result's staged_at says where."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    _STAGED.append(path)
+    if (held := _NOTED.get()) is not None:
+        held.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
 
 
-def staged_now() -> list[str]:
-    """The tables staged so far and still there."""
-    return list(_STAGED)
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """A list that takes the paths of what is staged inside, by this thread alone, for clear()."""
+    held: list[str] = []
+    before = _NOTED.set(held)
+    try:
+        yield held
+    finally:
+        _NOTED.reset(before)
 
 
 def clear(spark: SparkSession, paths: list[str]) -> None:
     """Removes staged tables that nothing reads any more."""
     for path in paths:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        if path in _STAGED:
-            _STAGED.remove(path)
+        removed(spark, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pytest
 import xxhash
 
 import corpus_pipeline as cp
 from pulseframe.llm import simhash, tokens, toxicity
-from pulseframe.llm.common import staged
+from pulseframe.llm.common import clear, noted, staged
 
 from .test_groups import brute, hits, lower
 from .test_tokens import check_packed
@@ -135,3 +137,19 @@ def test_near_copies_are_found(spark) -> None:
     pairs = lambda of: {(i, j) for i in range(len(texts)) for j in range(i) if of[i] == of[j]}
     got, want = pairs(got), pairs(want)
     assert got <= want and len(got) > 0.99 * len(want) > 2500
+
+
+def test_two_pipelines_at_once(spark) -> None:
+    """Each removes the tables that its own stages staged, and none of another thread's."""
+    mine = staged(odd_documents(spark), "t")
+    with ThreadPoolExecutor(2) as pool:
+        a, b = (f.result(600) for f in [pool.submit(cp.run, spark, SF) for _ in range(2)])
+    got = [sorted(map(str, df.select("doc_id", "start", "length").collect())) for df in (a, b)]
+    assert got[0] == got[1] and len(got[0]) > 100
+    assert mine.count() == odd_documents(spark).count()
+    with noted() as own, noted() as inner:
+        kept = staged(mine, "t")
+    assert inner == [kept.staged_at] and own == []
+    clear(spark, inner)
+    with pytest.raises(Exception, match="(?i)not exist"):
+        spark.read.parquet(kept.staged_at)

@@ -5,10 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from pulseframe.llm import chat, licenses, lm_scoring, quality, toxicity
+from pulseframe.llm.common import LOWER
 
 
 def test_licences(spark, odd) -> None:
@@ -135,6 +139,68 @@ def test_toxicity(spark, odd) -> None:
     assert toxicity.score(odd.limit(0), model).count() == 0
 
 
+def buckets_of(text: str | None) -> set[int]:
+    """The buckets of a text's n-grams, character by character."""
+    out, mask = set(), (1 << 64) - 1
+    for w in (text or "").encode().translate(LOWER).decode().split():
+        marked = f" {w.lower()} "
+        for n in range(3, 7):
+            for i in range(len(marked) - n + 1):
+                h = n
+                for c in marked[i : i + n]:
+                    h = (h * 0x9E3779B97F4A7C15 + ord(c)) & mask
+                h ^= h >> 31
+                out.add(((h * 0xBF58476D1CE4E5B9) & mask) >> 44)
+    return out
+
+
+@pytest.mark.parametrize(("sample", "features"), [(10_000, 4096), (60, 50)])
+def test_toxicity_against_brute_force(spark, monkeypatch, sample, features) -> None:
+    """Counts, the choice by chi-square, log-count ratios, every step of the fit and the scores, made anew from a dense
+    table; a sample takes the ids that hash lowest."""
+    monkeypatch.setattr(toxicity, "FEATURES", features)
+    rows = corpus(150, 5) + [(900, "Ünï VEQUXan thAnen", 1), (901, "", 0), (902, None, 1), (3, "another text of id three", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    hashes = {r.doc_id: (r.h, r.t) for r in df.selectExpr("doc_id", "xxhash64(doc_id) as h", "xxhash64(text) as t").collect()}
+    texts: dict[int, list] = {}
+    for i, t, y in rows:
+        texts.setdefault(i, []).append((t, y))
+    by_text = {(r.doc_id, r.text): r.t for r in df.selectExpr("doc_id", "text", "xxhash64(text) as t").collect()}
+    ids = sorted((i for i in texts if zlib.crc32(str(i).encode()) % 4 != 2), key=lambda i: (hashes[i][0], i))[:sample]
+    known = [(buckets_of(min((by_text[i, t], t or "", t) for t, _ in texts[i])[2]), max(y for _, y in texts[i])) for i in ids]
+    n1, n0 = sum(y for _, y in known), sum(1 - y for _, y in known)
+    toxic, clean = Counter(b for x, y in known if y for b in x), Counter(b for x, y in known if not y for b in x)
+    chi = {}
+    for b in toxic | clean:
+        total = toxic[b] + clean[b]
+        if total > 1:
+            share = n1 / (n1 + n0)
+            chi[b] = (toxic[b] - total * share) ** 2 / max(total * share * (1 - share) * (1 - total / (n1 + n0) + 1e-9), 1e-9)
+    best = sorted(chi, key=lambda b: (-chi[b], b))[:features]
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"), sample=sample)
+    place = {int(b): int(model.index[b]) for b in np.nonzero(model.index >= 0)[0]}
+    # equal values may come out in another order by rounding; what is chosen must be as good
+    assert len(place) == len(best) and np.allclose(sorted(chi[b] for b in place), sorted(chi[b] for b in best))
+    order = sorted(place, key=place.get)
+    p, q = np.array([toxic[b] + 1.0 for b in order]), np.array([clean[b] + 1.0 for b in order])
+    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
+    table = np.array([[float(b in x) for b in order] for x, _ in known]) * ratio
+    y, w, bias = np.array([float(y) for _, y in known]), np.zeros(len(order)), float(np.log((n1 + 1) / (n0 + 1)))
+    m, v = np.zeros(len(order) + 1), np.zeros(len(order) + 1)
+    for step in range(1, toxicity.STEPS + 1):
+        e = (1 / (1 + np.exp(-(table @ w + bias))) - y) / len(y)
+        g = np.append(table.T @ e + toxicity.DECAY * w, e.sum())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        d = 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        w, bias = w - d[:-1], bias - d[-1]
+    assert np.allclose(model.weight, w * ratio, atol=1e-6) and abs(model.bias - bias) < 1e-6
+    want = {i: 1 / (1 + np.exp(-(sum((w * ratio)[place[b]] for b in buckets_of(t) if b in place) + bias))) for i, t, _ in rows if len(texts[i]) == 1}
+    got = toxicity.score(df.select("doc_id", "text"), model).collect()
+    assert all(abs(r.score - want[r.doc_id]) < 1e-6 for r in got if r.doc_id in want) and len(got) == len(rows)
+    with pytest.raises(ValueError, match="cannot be replaced"):
+        toxicity.score(df.withColumnRenamed("text", "score"), model, text_col="score")
+
+
 def test_toxicity_without_labels(spark) -> None:
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
