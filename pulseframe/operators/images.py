@@ -3,7 +3,7 @@ reconciliation (AGG-2, AGG-8, JN-1 .. JN-8); for the exact form see sync.py."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import PACKETS
@@ -100,18 +100,19 @@ def sync_loss(frames: DataFrame, n_modules: int, share: int = 1000) -> DataFrame
     """(pulse_id, n_lost_pulses), set form: for each pulse that all modules have, the most pulses that one module has
     strictly between it and the aligned pulse before. Equal to the exact form where one round brings all together.
 
-    The aligned pulse at or after each frame is found by a backward fill over shares of the pulse axis: inside a share by a
-    window, across shares from a table with one row for each share."""
-    from pyspark.sql import Window
-
-    each = frames.select("pulse_id", "module_id").distinct()
-    aligned = each.groupBy("pulse_id").agg((F.count("*") == n_modules).alias("_all"))
-    cell = F.floor(F.col("pulse_id") / share).alias("_share")
-    marked = aligned.select("pulse_id", cell, F.when(F.col("_all"), F.col("pulse_id")).alias("_sync"))
+    One aggregation gives each pulse's modules. The aligned pulse at or after it is found by a backward fill over shares of
+    the pulse axis: inside a share by a window, across shares from a table with one row for each share."""
+    has = [F.bool_or(F.col("module_id") == m) for m in range(n_modules)]
+    each = frames.where(F.col("module_id").between(0, n_modules - 1)).groupBy("pulse_id").agg(*[h.alias(f"_h{m}") for m, h in enumerate(has)])
+    names = [f"_h{m}" for m in range(n_modules)]
+    full = F.col(names[0])
+    for h in names[1:]:
+        full = full & F.col(h)
+    marked = each.select("pulse_id", *names, F.floor(F.col("pulse_id") / share).alias("_share"), F.when(full, F.col("pulse_id")).alias("_sync"))
     firsts = marked.groupBy("_share").agg(F.min("_sync").alias("_first"))
     after = Window.orderBy("_share").rowsBetween(1, Window.unboundedFollowing)
     firsts = firsts.select("_share", F.min("_first").over(after).alias("_after"))
-    inside = Window.partitionBy("_share").orderBy("pulse_id").rowsBetween(0, Window.unboundedFollowing)
-    goal = marked.withColumn("_in", F.min("_sync").over(inside)).join(firsts, "_share").select("pulse_id", F.coalesce("_in", "_after").alias("_goal"))
-    lost = each.join(goal.where("_goal is not null"), "pulse_id").groupBy("_goal", "module_id").agg(F.count_if(F.col("pulse_id") < F.col("_goal")).alias("_n"))
-    return lost.groupBy(F.col("_goal").alias("pulse_id")).agg(F.max("_n").alias("n_lost_pulses"))
+    inside = Window.partitionBy("_share").orderBy(F.desc("pulse_id")).rowsBetween(Window.unboundedPreceding, 0)
+    goal = marked.withColumn("_in", F.min("_sync").over(inside)).join(firsts, "_share").withColumn("_goal", F.coalesce("_in", "_after"))
+    before = goal.where("_goal is not null").groupBy(F.col("_goal").alias("pulse_id")).agg(*[F.count_if(F.col(h) & (F.col("pulse_id") < F.col("_goal"))).alias(h) for h in names])
+    return before.select("pulse_id", F.array_max(F.array(*names)).alias("n_lost_pulses"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import file_base, folder_base
@@ -71,16 +71,29 @@ def point_lookup(archive: DataFrame, pulse_id: int, n_modules: int, expected: in
     return assemble_images(each, n_modules, expected), each
 
 
-def latest_pulse(archive: DataFrame, module_id: int = 0, closed_only: bool = True, offset: int = 0) -> DataFrame:
+def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The values of a partition column that have a folder in `path`, newest first."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory()]
+    found = [n.removeprefix(f"{name}=") for n in names if n.startswith(f"{name}=")]
+    return sorted((int(n) for n in found if n.lstrip("-").isdigit()), reverse=True)
+
+
+def latest_pulse(spark: SparkSession, path: str, module_id: int = 0, closed_only: bool = True, offset: int = 0) -> DataFrame:
     """(latest_file): the newest file's first pulse of a module, the open one aside; offset 0 is that file, -1000 the one
-    before. The archive's columns tell; no pointer file is kept."""
-    base = F.col("file_base") if "file_base" in archive.columns else file_base("pulse_id")
-    files = archive.where(F.col("module_id") == module_id).select(base.alias("file")).distinct()
-    if closed_only:
-        # few rows: one for each file
-        files = files.withColumn("_r", F.row_number().over(Window.orderBy(F.desc("file")))).where("_r = 2")
-    return files.agg((F.max("file") + F.lit(offset)).alias("latest_file"))
+    before; null without one. The archive's folders tell: names alone are read, of the newest folder and, where it has but
+    one file, of the one before. No pointer file is kept."""
+    found: list[int] = []
+    folder = f"{path}/module_id={module_id}"
+    for base in _numbers(spark, folder, "folder_base"):
+        found += _numbers(spark, f"{folder}/folder_base={base}", "file_base")
+        if len(found) > closed_only:
+            break
+    latest = found[int(closed_only)] + offset if len(found) > closed_only else None
+    return spark.createDataFrame([(latest,)], "latest_file bigint")
 
 
 publish_latest = latest_pulse
-

@@ -187,12 +187,16 @@ def src5_instructions(spark: SparkSession, d: str) -> DataFrame:
     return got.select("run_id", "i_image", "n_images", "image_metadata.pulse_id", "bits_per_pixel")
 
 
-def _archive(spark: SparkSession, d: str) -> DataFrame:
+def _archive_path(spark: SparkSession, d: str) -> str:
     """The fixture's frames written into an archive, and then those that came again over them."""
     path = fresh_path(spark, "archive")
     ar.write_archive(fx.frames(spark, d).select(*FRAME.names), path)
     ar.write_archive(fx.repeated_frames(spark, d), path)
-    return ar.read_archive(spark, path)
+    return path
+
+
+def _archive(spark: SparkSession, d: str) -> DataFrame:
+    return ar.read_archive(spark, _archive_path(spark, d))
 
 
 _ARCHIVED = "(select arg_max(a, a.seq) as a from (select seq, module_id, pulse_id, frame_index, daq_rec, n_recv_packets from frames union all select * from repeated) a group by a.module_id, a.pulse_id)"
@@ -223,9 +227,21 @@ def src7_point_lookup(spark: SparkSession, d: str) -> DataFrame:
     return each.select("pulse_id", "module_id", "frame_index", "n_recv_packets", F.coalesce(fr.complete(E), F.lit(False)).alias("is_complete"))
 
 
-@query("select max(b) as latest_file from (select distinct pulse_id // 1000 * 1000 as b from frames where module_id = 0) where b < (select max(pulse_id // 1000 * 1000) from frames where module_id = 0)", "frames")
+_FILES = "(select distinct pulse_id // 1000 * 1000 as b from frames where module_id = {})"
+
+
+@query(
+    f"""select 0 as module_id, true as closed_only, (select max(b) from {_FILES.format(0)} where b < (select max(b) from {_FILES.format(0)})) as latest_file
+       union all select 1, false, (select max(b) from {_FILES.format(1)}) union all select 2, true, (select max(b) - 1000 from {_FILES.format(2)} where b < (select max(b) from {_FILES.format(2)}))
+       union all select 3, false, (select max(b) - 2000 from {_FILES.format(3)})""",
+    "frames",
+)
 def src8_latest_pulse(spark: SparkSession, d: str) -> DataFrame:
-    return ar.latest_pulse(_archive(spark, d))
+    """The newest closed or open file, and ones before it, of each module."""
+    path = _archive_path(spark, d)
+    asked = [(0, True, 0), (1, False, 0), (2, True, -1000), (3, False, -2000)]
+    rows = [ar.latest_pulse(spark, path, m, closed, offset).select(F.lit(m).alias("module_id"), F.lit(closed).alias("closed_only"), "latest_file") for m, closed, offset in asked]
+    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])
 
 
 # --- bytes and pixels, filters ---------------------------------------------------------------------------------------

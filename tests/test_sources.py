@@ -103,9 +103,13 @@ def test_archive_upsert_and_lookup(spark, tmp_path) -> None:
     assert scan.count() == 12 and "PartitionFilters: [isnotnull(folder_base" in scan._jdf.queryExecution().toString()
     image, each = ar.point_lookup(a, 1002, 3)
     assert not image.first().is_good_image and each.count() == 3
-    assert ar.latest_pulse(a).first().latest_file == 0
-    assert ar.latest_pulse(a, closed_only=False).first().latest_file == 1000
-    assert ar.latest_pulse(a, closed_only=False, offset=-1000).first().latest_file == 0
+    assert ar.latest_pulse(spark, path).first().latest_file == 0
+    assert ar.latest_pulse(spark, path, closed_only=False).first().latest_file == 1000
+    assert ar.latest_pulse(spark, path, closed_only=False, offset=-1000).first().latest_file == 0
+    later = spark.createDataFrame([(1, 0, 250_000, 1, 1, 128)], FRAME)
+    ar.write_archive(later, path)
+    assert ar.latest_pulse(spark, path).first().latest_file == 1000  # in the folder before
+    assert ar.latest_pulse(spark, path, 7).first().latest_file is None and ar.latest_pulse(spark, f"{path}-none").first().latest_file is None
     spine = module_spine(spark.range(1009, 1012).withColumnRenamed("id", "pulse_id"), 2)
     assert sorted((r.pulse_id, r.module_id) for r in missing_frames(spine, a).collect()) == [(1010, 0), (1010, 1), (1011, 0), (1011, 1)]
 
