@@ -50,6 +50,10 @@ def test_stacking_and_pixels(spark) -> None:
     assert px.pixels(top, bits=32).first().pixels == [2**32 - 1]
     with pytest.raises(ValueError):
         px.pixels(top, bits=12)
+    mixed = spark.createDataFrame([(i, None if i % 3 == 0 else bytearray(np.arange(i % 5, dtype="<u2").tobytes())) for i in range(50)], "i int, payload binary")
+    assert {r.i: r.pixels for r in px.pixels(mixed).where("i > 1").collect()} == {i: None if i % 3 == 0 else list(range(i % 5)) for i in range(2, 50)}
+    with pytest.raises(Exception, match="no whole number"):
+        px.pixels(spark.createDataFrame([(bytearray(3),)], "payload binary")).collect()
 
 
 def test_buffer_files(spark, tmp_path) -> None:
