@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import LOWER, clear, staged, with_row_id
@@ -183,10 +183,14 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> Data
 
 def components(edges: DataFrame) -> DataFrame:
     """(a, b): each linked node with the smallest node of its component, by large and small stars in turn."""
-    edges = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    def held(e: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+        # how many edges there are and a digest of them, taken while they are written
+        seen = Observation()
+        out = staged(e.observe(seen, F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("digest")), "edges")
+        return out, (seen.get["n"], seen.get["digest"])
+
+    edges, last = held(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     at = edges.staged_at
-    mark = lambda e: e.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
-    last = mark(edges)
     while last[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -194,10 +198,9 @@ def components(edges: DataFrame) -> DataFrame:
         low = edges.groupBy("a").agg(F.min("b").alias("m"))
         joined = edges.join(low, "a")
         edges = joined.select("a", F.col("m").alias("b")).unionByName(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
-        before, edges = at, staged(edges, "edges")
+        before, (edges, now) = at, held(edges)
         at = edges.staged_at
         clear(edges.sparkSession, [before])
-        now = mark(edges)
         if now == last:
             break
         last = now
@@ -238,48 +241,55 @@ def band_keys(g: np.ndarray) -> np.ndarray:
 
 
 def _prints_and_keys(rows: DataFrame, shingle: int) -> DataFrame:
-    """(_row, fp, keys) of (_row, text): the SimHash fingerprint and the band keys of a text's word shingles."""
+    """(_row, fp, held, keys) of (_row, text): the SimHash fingerprint of a text's word shingles, a hash of the set of them,
+    and the set's band keys."""
+    from xxhash import xxh64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in groups(batch, 1):
-                fps, keys, upto = [], [], [0]
+                fps, sets, keys, upto = [], [], [], [0]
                 for h in _word_hashes(b.column(1)):
                     g = shingle_hashes(h, shingle)
                     fps.append(_from_counts(sum(_bits(g[at : at + 65536]) for at in range(0, len(g), 65536)), len(g)) if len(g) else 0)
+                    sets.append(xxh64_intdigest(np.unique(g).tobytes(), 5))
                     if len(g):
                         keys.append(band_keys(g))
                     upto.append(upto[-1] + BANDS * (len(g) > 0))
                 flat = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(flat))], ["_row", "fp", "keys"])
+                two = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, sets)]
+                yield pa.RecordBatch.from_arrays([b.column(0), *two, pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(flat))], ["_row", "fp", "held", "keys"])
 
-    return rows.select("_row", "text").mapInArrow(run, "_row bigint, fp bigint, keys array<bigint>")
+    return rows.select("_row", "text").mapInArrow(run, "_row bigint, fp bigint, held bigint, keys array<bigint>")
 
 
 def similar_links(rows: DataFrame, prints: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """(a bigint, b bigint): fingerprints whose texts have a Jaccard similarity of `similarity` or more. Candidates are, band
-    by band, a fingerprint and three of those with the same key: the one that agrees with the most others in all bands, and
-    two others, drawn anew in each band. So a group's pairs are not all made, and its links are found over many bands."""
-    each = prints.select("fp", F.explode("keys").alias("key")).distinct()
+    """(a bigint, b bigint): fingerprints whose texts have a Jaccard similarity of `similarity` or more. Texts with one set
+    of shingles are one, whatever their fingerprints; texts with one fingerprint and other sets are compared each for
+    itself. Candidates are, band by band, a set and three of those with the same key: the one that agrees with the most
+    others in all bands, and two others, drawn anew in each band. So a group's pairs are not all made, and its links are
+    found over many bands."""
+    # of several texts with one set the first stands for all; their fingerprints are linked here
+    first = staged(prints.groupBy("held").agg(F.min("_row").alias("_row"), F.min("fp").alias("fp")), "sets")
+    same = prints.select("held", F.col("fp").alias("a")).distinct().join(first.select("held", F.col("fp").alias("b")), "held").where("a <> b").select("a", "b")
+    each = prints.join(first.select("_row"), "_row", "left_semi").select("held", F.explode("keys").alias("key"))
     sizes = each.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     each = staged(each.join(sizes, "key"), "bands")
-    liked = each.groupBy("fp").agg(F.sum("size").alias("liked"))
-    by = F.struct(F.xxhash64("fp", "key"), "fp")
-    met = each.join(liked, "fp").groupBy("key").agg(F.max_by("fp", F.struct("liked", "fp")).alias("most"), F.min_by("fp", by).alias("one"), F.max_by("fp", by).alias("other"))
-    met = each.join(met, "key").select("fp", F.explode(F.array("most", "one", "other")).alias("b")).where("fp <> b")
-    pairs = staged(met.select(F.least("fp", "b").alias("a"), F.greatest("fp", "b").alias("b")).distinct(), "pairs")
-    # of several texts with one fingerprint the first stands for all: they are linked anyway
-    first = prints.groupBy("fp").agg(F.min("_row").alias("_row"))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    liked = each.groupBy("held").agg(F.sum("size").alias("liked"))
+    by = F.struct(F.xxhash64("held", "key"), "held")
+    met = each.join(liked, "held").groupBy("key").agg(F.max_by("held", F.struct("liked", "held")).alias("most"), F.min_by("held", by).alias("one"), F.max_by("held", by).alias("other"))
+    met = each.join(met, "key").select("held", F.explode(F.array("most", "one", "other")).alias("b")).where("held <> b")
+    pairs = staged(met.select(F.least("held", "b").alias("a"), F.greatest("held", "b").alias("b")).distinct(), "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("held")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in groups(batch, 1):
-                held = [np.unique(shingle_hashes(h, shingle)).tobytes() for h in _word_hashes(b.column(1))]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(held, pa.binary())], ["fp", "held"])
+            for b in groups(batch, 2):
+                own = [np.unique(shingle_hashes(h, shingle)).tobytes() for h in _word_hashes(b.column(2))]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.binary())], ["held", "fp", "set"])
 
-    texts = rows.join(first.join(wanted, "fp"), "_row").select("fp", "text")
-    held = staged(texts.mapInArrow(sets, "fp bigint, held binary"), "sets")
+    texts = rows.join(first.join(wanted, "held"), "_row").select("held", "fp", "text")
+    held = staged(texts.mapInArrow(sets, "held bigint, fp bigint, set binary"), "sets")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -290,8 +300,10 @@ def similar_links(rows: DataFrame, prints: DataFrame, similarity: float, shingle
                 kept.append(both >= similarity * (len(x) + len(y) - both))
             yield b.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
-    both = pairs.join(held.select(F.col("fp").alias("a"), F.col("held").alias("x")), "a").join(held.select(F.col("fp").alias("b"), F.col("held").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(close, "a bigint, b bigint")
+    one, other = (held.select(F.col("held").alias(c), F.col("fp").alias(f"fp_{c}"), F.col("set").alias(f"set_{c}")) for c in ("a", "b"))
+    # sets of one fingerprint need no comparing: they are linked anyway
+    both = pairs.join(one, "a").join(other, "b").where("fp_a <> fp_b")
+    return both.select("fp_a", "fp_b", "set_a", "set_b").mapInArrow(close, "a bigint, b bigint").unionByName(same)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:

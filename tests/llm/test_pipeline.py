@@ -139,6 +139,41 @@ def test_near_copies_are_found(spark) -> None:
     assert got <= want and len(got) > 0.99 * len(want) > 2500
 
 
+def test_texts_with_one_fingerprint_are_compared_each(spark) -> None:
+    """The first two texts share a fingerprint and little else; the third has the second's shingles, fewer times, so another
+    fingerprint, and so has the fourth, which is near to these."""
+    a, b = " ".join(f"a{i}" for i in range(12)), " ".join(f"b{i}" for i in range(12))
+    texts = ["w " * 60 + a, "w " * 60 + b, "w " * 5 + b, "w " * 5 + b + " c", "something else of more than five words"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in simhash.near_duplicates(staged(rows, "t"), shingle=5, similarity=0.8).collect()}
+    assert got[0].fp == got[1].fp and len({got[i].fp for i in (1, 2, 3)}) == 3
+    assert [got[i].component_id for i in range(5)] == [0, 0, 0, 0, 4] == near_groups(texts)
+
+
+def test_near_copies_of_the_documents_are_found(spark) -> None:
+    """All documents of the next larger table, against brute force over their shingle sets."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted(docs.where("text is not null").collect(), key=lambda r: r.doc_id)
+    sets, by = [], defaultdict(list)
+    for i, r in enumerate(rows):
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(r.text))
+        sets.append({tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set())
+        for x in sets[i]:
+            by[x].append(i)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, shingle=5, similarity=0.8).collect()}
+    near = 0
+    for i, s in enumerate(sets):
+        common = defaultdict(int)
+        for x in s:
+            for j in by[x]:
+                common[j] += j < i
+        for j, n in common.items():
+            if n and n >= 0.8 * (len(s) + len(sets[j]) - n):
+                near += 1
+                assert got[rows[i].doc_id] == got[rows[j].doc_id], (rows[i].doc_id, rows[j].doc_id)
+    assert near > 50
+
+
 def test_two_pipelines_at_once(spark) -> None:
     """Each removes the tables that its own stages staged, and none of another thread's."""
     mine = staged(odd_documents(spark), "t")
