@@ -116,23 +116,28 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """For each bucket the toxic and the clean texts that hold it, and how many texts there are of each kind."""
+def bucket_counts(rows: DataFrame) -> DataFrame:
+    """(bucket, toxic, clean): for each bucket the toxic and the clean texts that hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, n = _Grams(), np.zeros((2, BUCKETS + 1), np.int64)
+        grams, n = _Grams(), np.zeros((2, BUCKETS), np.int64)
         for b in batches:
             for found, y in zip(features(b.column(0).cast(pa.binary()).to_pylist(), grams), b.column(1).to_pylist(), strict=True):
                 n[y, found] += 1
-                n[y, BUCKETS] += 1
         at = np.nonzero(n.any(axis=0))[0]
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[1, at]), pa.array(n[0, at])], ["bucket", "toxic", "clean"])
 
-    sums = rows.mapInArrow(run, "bucket int, toxic bigint, clean bigint").groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow()
-    n = np.zeros((2, BUCKETS + 1), np.int64)
-    at = sums["bucket"].to_numpy()
-    n[1, at], n[0, at] = sums["toxic"].to_numpy(), sums["clean"].to_numpy()
-    return n[1, :-1], n[0, :-1], int(n[1, -1]), int(n[0, -1])
+    return rows.mapInArrow(run, "bucket int, toxic bigint, clean bigint").groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def best_buckets(counts: DataFrame, n1: int, n0: int, most: int) -> DataFrame:
+    """The `most` rows of counts, of n1 toxic and n0 clean texts, whose share differs the most between the kinds, by
+    chi-square; ties by bucket. Buckets of one text are none of them."""
+    n, total = float(n1 + n0), F.col("toxic") + F.col("clean")
+    off = F.col("toxic") - total * F.lit(n1 / n)
+    spread = total * F.lit(n1 / n) * F.lit(n0 / n) * (1 - total / F.lit(n) + F.lit(1e-9))
+    chi = off * off / F.greatest(spread, F.lit(1e-9))
+    return counts.where(total > 1).orderBy(chi.desc(), "bucket").limit(most)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
@@ -143,19 +148,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     id count once; ids without a text, and an empty table, give no rows to learn from; the order of the rows plays no part;
     other columns are not looked at."""
     rows = staged(training_rows(docs, labels, id_col, text_col, label_col, sample), "training")
-    toxic, clean, n1, n0 = bucket_counts(rows)
+    n1, n0 = (int(x) for x in rows.agg(F.coalesce(F.sum("y"), F.lit(0)), F.coalesce(F.sum(1 - F.col("y")), F.lit(0))).first())
     bias = float(np.log((n1 + 1.0) / (n0 + 1.0)))
     if not n1 or not n0:
         return Model(np.full(BUCKETS, -1, np.int32), np.zeros(0), bias)
-    # the features whose share differs the most between the kinds, by chi-square; ties by bucket
-    total, n = toxic + clean, n1 + n0
-    off = toxic - total * (n1 / n)
-    chi = off**2 / np.maximum(total * (n1 / n) * (n0 / n) * (1 - total / n + 1e-9), 1e-9)
-    best = np.lexsort((np.arange(BUCKETS), -np.where(total > 1, chi, -1)))[:FEATURES]
-    best = best[total[best] > 1]
+    best = best_buckets(bucket_counts(rows), n1, n0, FEATURES).collect()
     index = np.full(BUCKETS, -1, np.int32)
-    index[best] = np.arange(len(best))
-    p, q = toxic[best] + SMOOTHING, clean[best] + SMOOTHING
+    index[[r.bucket for r in best]] = np.arange(len(best))
+    p, q = np.array([r.toxic for r in best]) + SMOOTHING, np.array([r.clean for r in best]) + SMOOTHING
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
