@@ -294,8 +294,9 @@ def similar_links(rows: DataFrame, prints: DataFrame, similarity: float, shingle
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                # views of the batch, which may hold many long sets
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 kept.append(both >= similarity * (len(x) + len(y) - both))
             yield b.select([0, 1]).filter(pa.array(kept, pa.bool_()))
