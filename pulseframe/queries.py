@@ -210,13 +210,14 @@ def prj17_18_line_protocol(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """select module_id, frame_no::bigint as frame_no, i as pos, coalesce(max(v), 0)::int as value from
+    """select module_id, frame_no::bigint as frame_no, i as pos, coalesce(arg_max(v, seq), 0)::int as value from
        (select module_id, frame_no, unnest(range(0, 16)) as i, packetnum, seq from bounded) b
        left join lateral (select case when i // 2 = packetnum then seq % 1000 + i % 2 end as v) on true group by module_id, frame_no, i""",
     "bounded",
 )
 def prj19_payload(spark: SparkSession, d: str) -> DataFrame:
-    """Payloads of two elements a packet; a packet comes once in a frame here, so the last duplicate is the only one."""
+    """Payloads of two elements a packet. Two frames of one number, the first without its last packet, are one; of a packet
+    that comes twice in it the last counts."""
     packets = fr.frame_boundaries(fx.packets(spark, d), P)
     data = F.array((F.col("seq") % 1000).cast("int"), (F.col("seq") % 1000 + 1).cast("int"))
     held = packets.groupBy("module_id", "frame_no").agg(F.array_sort(F.collect_list(F.struct("seq", "packetnum", data.alias("data")))).alias("p"))
@@ -326,15 +327,16 @@ def jn8_missing(spark: SparkSession, d: str) -> DataFrame:
 
 # --- aggregations ----------------------------------------------------------------------------------------------------
 
-_ASSEMBLED = """select module_id, pulse_id, frame_index, daq_rec, n_recv_packets, n_distinct_packets, seq from assembled a"""
+_ASSEMBLED = """select module_id, frame_no::bigint as frame_no, pulse_id, frame_index, daq_rec, n_recv_packets, n_distinct_packets, seq from assembled a"""
 
 
 @query(_ASSEMBLED + " where last_packet = 7 or frame_no < (select max(frame_no) from assembled b where b.module_id = a.module_id)", "assembled")
 def agg1_frames(spark: SparkSession, d: str) -> DataFrame:
-    return fr.packets_to_frames(fx.packets(spark, d), P)
+    got = fr.packets_to_frames(fx.packets(spark, d), P, numbered=True)
+    return got.select("module_id", "frame_no", *[c for c in got.columns if c not in ("module_id", "frame_no")])
 
 
-@query(_ASSEMBLED.replace("select module_id,", "select module_id, frame_no::bigint as frame_no,"), "assembled")
+@query(_ASSEMBLED, "assembled")
 def agg1_frames_open(spark: SparkSession, d: str) -> DataFrame:
     return fr.packets_to_frames(fx.packets(spark, d), P, emit_open=True, numbered=True)
 
