@@ -339,7 +339,7 @@ _ALIGNED = "select i.pulse_id, i.frame_index, i.daq_rec, i.is_good_image from ("
 
 
 @query(
-    f"""select detector_name, i.pulse_id, i.frame_index + shift as frame_index, i.daq_rec, i.is_good_image from ({FOLD.format(frames="repeated")}) i
+    f"""select detector_name, i.pulse_id, case when n_good_modules > 0 then i.frame_index + shift else 0 end as frame_index, i.daq_rec, i.is_good_image from ({FOLD.format(frames="repeated")}) i
        cross join (values ('JF01', 0), ('JF02', 1)) as n(detector_name, shift) where (select count(distinct module_id) from repeated r where r.pulse_id = i.pulse_id) = 4""",
     "repeated",
 )
