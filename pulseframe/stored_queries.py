@@ -88,10 +88,24 @@ def _drained(stream: DataFrame, run=_run) -> DataFrame:  # noqa: ANN001
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def _source(spark: SparkSession, df: DataFrame, *later: DataFrame, files: int = 1000) -> DataFrame:
-    """df, and what comes after it, as a stream."""
-    path = _stored(spark, df, *later)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+def _source(spark: SparkSession, df: DataFrame, *later: DataFrame, files: int | None = None) -> DataFrame:
+    """df, and what comes after it, as a stream: so many files a batch, or all in one, however many they are."""
+    path, rows = _stored(spark, df, *later), spark.readStream.schema(df.schema)
+    return (rows.option("maxFilesPerTrigger", files) if files else rows).parquet(path)
+
+
+#: Rows of a batch of a stream, about: batches get more with the input, not larger.
+BATCH_ROWS = 2_000_000
+
+
+def _batches(rows: DataFrame, column: str, least: int, most: int = BATCH_ROWS) -> tuple[list[DataFrame], int, int]:
+    """The rows, written once and read again, in batches by even steps of a column, its first and last value; a batch is one
+    file. At least `least` batches, so that few rows are cut, too."""
+    rows = rows.sparkSession.read.schema(rows.schema).parquet(_stored(rows.sparkSession, rows))
+    low, high, n = rows.agg(F.coalesce(F.min(column), F.lit(0)), F.coalesce(F.max(column), F.lit(0)), F.count("*")).first()
+    parts = max(least, -(-n // most))
+    at = F.least(F.floor((F.col(column) - low) * parts / (high - low + 1)), F.lit(parts - 1))
+    return [rows.where(at == i).repartition(1) for i in range(parts)], low, high
 
 
 def _packet_table(spark: SparkSession, d: str) -> DataFrame:
@@ -354,11 +368,10 @@ def st3_stream_images(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _assembled(spark: SparkSession, d: str, **options: int) -> DataFrame:
-    """Accepted frames as a stream in three batches, a module behind the others in each, to the synchroniser's events."""
+    """Accepted frames as a stream in three batches or more, a module behind the others in each, to the synchroniser's events."""
     frames = _accepted(spark, d).select(F.lit("JF01").alias("detector_name"), *FRAME.names)
-    low, high = frames.agg(F.coalesce(F.min("pulse_id"), F.lit(0)), F.coalesce(F.max("pulse_id"), F.lit(0))).first()
-    batch = F.floor((F.col("pulse_id") - low + F.when(F.col("module_id") == 1, 40).otherwise(0)) * 3 / (high - low + 41))
-    parts = [frames.where(batch == i).coalesce(1) for i in range(3)]
+    sent = frames.withColumn("sent", F.col("pulse_id") + F.when(F.col("module_id") == 1, 40).otherwise(0))
+    parts = [p.drop("sent") for p in _batches(sent, "sent", 3)[0]]
     return sa.stream_sync(_source(spark, *parts, _end(spark, frames, pulse_id=END_PULSE).coalesce(1), files=1), M, E, **options)
 
 

@@ -1,9 +1,9 @@
 """The assembler on a stream of frames: aligned images in order, each with what was lost on the way to it (AGG-8, AGG-9, JN-1).
 
-State by detector: the slots of pulses that the watermark has not passed yet, in a map by block of pulses, and what the
-synchroniser holds. An event-time timer stands at the end of each block; when it fires, all blocks up to the watermark are
-read in order, images are folded from their slots, and the synchroniser goes on from where it was. So frames may come in any
-order and any split within the skew; frames behind the watermark are dropped before they get here.
+Two stateful steps. The first holds the slots of pulses that the watermark has not passed yet and folds images from them, as
+stream_images() does, spread over all tasks by pulse; frames may come in any order and any split within the skew, those behind
+the watermark are dropped. What it gives, one row a pulse, is final and comes in ascending batches. The second is the
+synchroniser: a detector's pulses in their order, slice by slice, from the few numbers that it holds.
 """
 
 from __future__ import annotations
@@ -17,83 +17,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.images import fold, slots
 from ..operators.sync import MOST_MODULES, Rules, State, read_share
 from ..schemas import PACKETS, PULSE_MS, SYNC_OFFSET, SYNC_ROUNDS
 from .images import SKEW, with_event_time
 
-#: Pulses of a block; the first pulse whose time has no place in a column of nanoseconds.
-BLOCK, NO_TIME = 64, 900_000_000_000
-_SLOT = np.dtype([(c, "<i8") for c in ("pulse_id", "module_id", "seq", "n_recv_packets", "frame_index", "daq_rec")])
+#: Pulses that are read at a time; the first pulse whose time has no place in a column of nanoseconds.
+SLICE, NO_TIME = 50_000, 900_000_000_000
+_SLOT = ("pulse_id", "module_id", "seq", "n_recv_packets", "frame_index", "daq_rec")
+_PULSE = np.dtype([(c, "<i8") for c in ("pulse_id", "held", "frame_index", "daq_rec", "is_good_image")])
 
 
-class _Assembler(StatefulProcessor):
-    def __init__(self, rules: Rules, expected: int, check_daq_rec: bool):
-        self.rules, self.expected, self.check_daq_rec = rules, expected, check_daq_rec
+class _Sync(StatefulProcessor):
+    def __init__(self, rules: Rules):
+        self.rules = rules
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.slots = handle.getMapState("slots", "block bigint", "slots binary")
         self.sync = handle.getValueState("sync", "state string")
 
-    def _last(self, rows: np.ndarray) -> np.ndarray:
-        """One row for each slot, the last written, by pulse and module."""
-        rows = np.sort(rows, order=_SLOT.names)
-        last = np.ones(len(rows), bool)
-        last[:-1] = (rows["pulse_id"][1:] != rows["pulse_id"][:-1]) | (rows["module_id"][1:] != rows["module_id"][:-1])
-        return rows[last]
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
         parts = []
         for pdf in rows:
-            part = np.zeros(len(pdf), _SLOT)
-            for c in _SLOT.names:
+            part = np.zeros(len(pdf), _PULSE)
+            for c in _PULSE.names:
                 part[c] = pdf[c].to_numpy()
             parts.append(part)
-        got = self._last(np.concatenate(parts)) if parts else np.zeros(0, _SLOT)
-        for block in np.unique(got["pulse_id"] // BLOCK).tolist():
-            own = got[got["pulse_id"] // BLOCK == block]
-            if self.slots.containsKey((block,)):
-                own = self._last(np.concatenate([np.frombuffer(self.slots.getValue((block,))[0], _SLOT), own]))
-            self.slots.updateValue((block,), (own.tobytes(),))
-            self.handle.registerTimer(self._end(block))
-        return iter(())
-
-    def _end(self, block: int) -> int:
-        return ((block + 1) * BLOCK - 1) * PULSE_MS
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
-        passed = timerValues.getCurrentWatermarkInMs()
-        done = sorted(k[0] for k in self.slots.keys() if self._end(k[0]) <= passed)  # noqa: SIM118
-        if not done:  # an earlier timer has taken them
-            return
-        rows = np.concatenate([np.frombuffer(self.slots.getValue((k,))[0], _SLOT) for k in done])
-        for k in done:
-            self.slots.removeKey((k,))
-        yield self._events(key[0], rows)
-
-    def _events(self, name: str, rows: np.ndarray) -> pd.DataFrame:
-        first = np.nonzero(np.diff(rows["pulse_id"], prepend=rows["pulse_id"][0] - 1))[0]
-        pulses, n = rows["pulse_id"][first], self.rules.n_modules
-        held = np.bitwise_or.reduceat(np.int64(1) << rows["module_id"], first)
+        got = np.concatenate(parts) if parts else np.zeros(0, _PULSE)
+        del parts
+        order = np.argsort(got["pulse_id"])
         s = _loaded(self.sync.get()[0]) if self.sync.exists() else State()
-        events, s = read_share(self.rules, s, pulses, held)
+        for at in range(0, len(got), SLICE):
+            out, s = self._events(key[0], s, got[order[at : at + SLICE]])
+            if len(out):
+                yield out
         self.sync.update((_dumped(s),))
+
+    def _events(self, name: str | None, s: State, rows: np.ndarray) -> tuple[pd.DataFrame, State]:
+        events, s = read_share(self.rules, s, rows["pulse_id"], rows["held"])
         out = pd.DataFrame(sorted(events, key=lambda e: (e[0], e[1] == "aligned")), columns=["pulse_id", "event", "n_lost_pulses", "violation"])
-        # images of the pulses that all modules have: n rows each, by module
-        whole = np.nonzero(held == (1 << n) - 1)[0]
-        image = rows[first[whole][:, None] + np.arange(n)]
-        ok = image["n_recv_packets"] == self.expected
-        meta = {"pulse_id": pulses[whole], "is_good_image": ok.all(axis=1)}
-        for c in ("frame_index", "daq_rec"):
-            meta[c] = np.where(ok.any(axis=1), image[c][np.arange(len(whole)), ok.argmax(axis=1)], 0)
-            if c == "frame_index" or self.check_daq_rec:
-                meta["is_good_image"] &= (image[c] == image[c][:, :1]).all(axis=1)
-        out = out.merge(pd.DataFrame(meta), "left", "pulse_id")
-        out = out.astype({c: "Int64" for c in ("n_lost_pulses", "frame_index", "daq_rec")} | {"is_good_image": "boolean"})
-        out.loc[out.event != "aligned", ["frame_index", "daq_rec", "is_good_image"]] = pd.NA
+        image = rows[np.searchsorted(rows["pulse_id"], out.pulse_id.to_numpy(np.int64))]
+        kinds = {"frame_index": "Int64", "daq_rec": "Int64", "is_good_image": "boolean"}
+        for c, kind in kinds.items():
+            out[c] = pd.array(image[c].astype(bool) if kind == "boolean" else image[c], kind)
+        out.loc[out.event != "aligned", list(kinds)] = pd.NA
+        out["n_lost_pulses"] = out.n_lost_pulses.astype("Int64")
         out.insert(0, "detector_name", name)
         out["event_time"] = pd.to_datetime(out.pulse_id * PULSE_MS, unit="ms")
-        return out[["detector_name", "pulse_id", "event_time", "event", "n_lost_pulses", "violation", "frame_index", "daq_rec", "is_good_image"]]
+        return out[["detector_name", "pulse_id", "event_time", "event", "n_lost_pulses", "violation", "frame_index", "daq_rec", "is_good_image"]], s
 
     def close(self) -> None:
         pass
@@ -119,8 +89,14 @@ def stream_sync(frames: DataFrame, n_modules: int, expected: int = PACKETS[1], c
     if n_modules > MOST_MODULES:
         raise ValueError(f"at most {MOST_MODULES} modules, not {n_modules}")
     rows = frames.where(F.col("module_id").between(0, n_modules - 1) & (F.col("pulse_id") < NO_TIME))
-    rows = with_event_time(rows.select("detector_name", *[F.col(c).cast("bigint").alias(c) for c in _SLOT.names]), delay)
-    return rows.groupBy("detector_name").transformWithStateInPandas(_Assembler(Rules(n_modules, limit, rounds), expected, check_daq_rec), _EVENTS, "Append", "EventTime")
+    rows = with_event_time(rows.select("detector_name", *[F.col(c).cast("bigint").alias(c) for c in _SLOT]), delay)
+    keys = ("event_time", "detector_name", "pulse_id")
+    held = F.lit(0).cast("bigint")
+    for m in range(n_modules):
+        held = held + F.when(F.col(f"_m{m}").isNotNull(), F.lit(1 << m).cast("bigint")).otherwise(0)
+    pulses = fold(slots(rows, n_modules, keys).withColumn("held", held), n_modules, (*keys, "held"), expected, check_daq_rec)
+    pulses = pulses.select("detector_name", "pulse_id", "held", "frame_index", "daq_rec", F.col("is_good_image").cast("bigint").alias("is_good_image"))
+    return pulses.groupBy("detector_name").transformWithStateInPandas(_Sync(Rules(n_modules, limit, rounds)), _EVENTS, "Append", "None")
 
 
 def stream_assembler(frames: DataFrame, n_modules: int, strict: bool = False, **options: object) -> DataFrame:

@@ -203,6 +203,28 @@ def test_assembler(spark, tmp_path, n_cuts) -> None:
         assert n_cuts or pulses == sorted(pulses)
 
 
+def test_the_synchroniser_gets_one_row_a_pulse(spark, tmp_path) -> None:
+    """Frames are put together before one task has all of a detector; it has no timer, and nothing to look through, for each
+    block of pulses. Slices go on from one another."""
+    rows = [("A", 4 * p + m, m, p, 1, 1, 128) for p in range(1, 40) for m in range(2) if (p + m) % 5] + [("A", 10**6, 0, 10**6, 1, 1, 128)]
+    df = spark.createDataFrame(rows, "detector_name string, seq long, module_id int, pulse_id long, frame_index long, daq_rec long, n_recv_packets long")
+    plan = sa.stream_sync(fed(spark, df, tmp_path, "seq", []), 2)._jdf.queryExecution().analyzed().toString()
+    assert plan.index("TransformWithState") < plan.index("Aggregate") and "NoTime" in plan
+    p, handle, whole = sa._Sync(sa.Rules(2, 100, 3)), Handle(), pd.DataFrame({"pulse_id": range(1, 60), "held": [(1, 3, 2, 3, 3)[i % 5] for i in range(59)], "frame_index": 1, "daq_rec": 1, "is_good_image": 1})
+    p.init(handle)
+    want = pd.concat(p.handleInputRows(("A",), iter([whole]), None))
+    before, sa.SLICE = sa.SLICE, 7
+    try:
+        q, parts = sa._Sync(sa.Rules(2, 100, 3)), []
+        q.init(Handle())
+        for a, b in ((0, 20), (20, 59)):
+            parts += list(q.handleInputRows(("A",), iter([whole.iloc[a:b]]), None))
+    finally:
+        sa.SLICE = before
+    pd.testing.assert_frame_equal(pd.concat(parts).reset_index(drop=True), want.reset_index(drop=True))
+    assert len(parts) == 9 and len(want) == 35
+
+
 def test_assembler_stops_where_it_should(spark, tmp_path) -> None:
     rows = [("A", 2 * p + m, m, p + 300 * (m == 1 and p > 10), 1, 1, 128) for p in range(1, 30) for m in range(2)] + [("A", 10**6, 0, 10**6, 1, 1, 128)]
     df = spark.createDataFrame(rows, "detector_name string, seq long, module_id int, pulse_id long, frame_index long, daq_rec long, n_recv_packets long")
