@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from ..schemas import PACKET_BYTES, PACKETS
 # Little-endian layout of a datagram.
 _HEADER = [("framenum", "<u8"), ("exptime", "<u4"), ("packetnum", "<u4"), ("bunchid", "<f8"), ("timestamp", "<u8"), ("module_id", "<u2"), ("x_coord", "<u2"), ("y_coord", "<u2"), ("z_coord", "<u2"), ("debug", "<u4"), ("round_robin", "<u2"), ("detector_type", "u1"), ("header_version", "u1")]
 _TO = {"<u8": "int64", "<u4": "int64", "<f8": "float64", "<i8": "int64", "<u2": "int32", "u1": "int16"}
+#: Bytes of payloads that a task puts together at a time.
+BUFFER_BYTES = 32 << 20
 _SQL = {"int64": "bigint", "int32": "int", "int16": "smallint", "float64": "double"}
 
 
@@ -23,6 +26,19 @@ def datagram_dtype(dialect: int = 1) -> np.dtype:
     return np.dtype([*header, ("data", f"V{PACKET_BYTES}")])
 
 
+def flat_bytes(data: pa.Array) -> tuple[memoryview | pa.Buffer, np.ndarray]:
+    """The bytes of a binary column one after the other, and where each value begins and the last ends: no copies."""
+    data = data.cast(pa.large_binary())
+    ends = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1] if len(data) else np.zeros(1, np.int64)
+    return data.buffers()[2] or pa.py_buffer(b""), ends
+
+
+def _binary(flat: np.ndarray, n: int, size: int) -> pa.Array:
+    """n values of `size` bytes each, which lie one after the other."""
+    ends = pa.array(np.arange(n + 1, dtype=np.int64) * size)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, ends.buffers()[1], pa.py_buffer(flat)]).cast(pa.binary())
+
+
 def decode_packets(df: DataFrame, raw_col: str = "raw", dialect: int = 1, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     """One row for each datagram of the right size, its header fields and payload; others are dropped before Python."""
     dtype = datagram_dtype(dialect)
@@ -31,11 +47,10 @@ def decode_packets(df: DataFrame, raw_col: str = "raw", dialect: int = 1, keep:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = b"".join(b.column(b.num_columns - 1).to_pylist())
-            rows = np.frombuffer(raw, dtype)
+            flat, ends = flat_bytes(b.column(b.num_columns - 1))
+            rows = np.frombuffer(flat[int(ends[0]) : int(ends[-1])], dtype)
             columns = [pa.array(np.ascontiguousarray(rows[n]).astype(t)) for n, t in fields]
-            data = pa.array([x.tobytes() for x in rows["data"]], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *columns, data], [*keep, *[n for n, _ in fields], "data"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *columns, _binary(np.ascontiguousarray(rows["data"]).view(np.uint8), len(rows), PACKET_BYTES)], [*keep, *[n for n, _ in fields], "data"])
 
     kept = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keep)
     schema = ", ".join(x for x in (kept, ", ".join(f"{n} {_SQL[t]}" for n, t in fields), "data binary") if x)
@@ -51,18 +66,60 @@ def payload_array(packets: Column | str, expected: int, size: int, packetnum: st
 
 def assemble_payload(packets: DataFrame, keys: list[str], expected: int = PACKETS[1], packet_bytes: int = PACKET_BYTES) -> DataFrame:
     """(keys, payload binary) from packets with seq, packetnum and data: each packet's bytes in its slot of a zeroed
-    buffer. A frame is one group, at most a few megabytes."""
+    buffer, the last of duplicates over those before. Packets are dealt by key and sorted, and a task puts its frames together
+    as they come, batch by batch; it holds the buffers of BUFFER_BYTES of frames at a time, and the open one."""
 
-    def place(frame: pa.Table) -> pa.Table:
-        frame = frame.sort_by("seq")
-        out = bytearray(expected * packet_bytes)
-        for n, data in zip(frame["packetnum"].to_pylist(), frame["data"].to_pylist(), strict=True):
-            if 0 <= n < expected:
-                out[n * packet_bytes : n * packet_bytes + len(data)] = data
-        return pa.table({**{k: frame[k].slice(0, 1) for k in keys}, "payload": pa.array([bytes(out)], pa.binary())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None  # the packets of the frame that the last batch ended in
+        for b in batches:
+            b = b if held is None else pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            if not b.num_rows:
+                continue
+            new = np.zeros(b.num_rows, bool)
+            new[0] = True
+            for i in range(len(keys)):
+                x, y = b.column(i).slice(1), b.column(i).slice(0, b.num_rows - 1)
+                same = pc.fill_null(pc.equal(x, y), False)
+                new[1:] |= ~pc.or_(same, pc.and_(pc.is_null(x), pc.is_null(y))).to_numpy(zero_copy_only=False)
+            first = np.nonzero(new)[0]
+            held = b.slice(int(first[-1]))
+            yield from made(b, first)
+        if held is not None:
+            yield from made(held, np.array([0, held.num_rows]))
+
+    def made(b: pa.RecordBatch, first: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The frames that start at first[:-1]; the last ends before first[-1]."""
+        step = max(1, BUFFER_BYTES // (expected * packet_bytes))
+        for at in range(0, len(first) - 1, step):
+            cuts = first[at : at + step + 1]
+            part = b.slice(int(cuts[0]), int(cuts[-1] - cuts[0]))
+            flat = placed(np.repeat(np.arange(len(cuts) - 1), np.diff(cuts)), part.column(len(keys)).to_numpy(zero_copy_only=False), part.column(len(keys) + 1), len(cuts) - 1, expected, packet_bytes)
+            starts = pa.array(cuts[:-1] - cuts[0])
+            yield pa.RecordBatch.from_arrays([*[part.column(i).take(starts) for i in range(len(keys))], _binary(flat, len(cuts) - 1, expected * packet_bytes)], [*keys, "payload"])
 
     kept = ", ".join(f"{k} {packets.schema[k].dataType.simpleString()}" for k in keys)
-    return packets.select(*keys, "seq", "packetnum", "data").groupBy(*keys).applyInArrow(place, f"{kept}, payload binary")
+    dealt = packets.select(*keys, F.coalesce(F.col("packetnum").cast("bigint"), F.lit(-1)).alias("packetnum"), F.coalesce("data", F.lit(b"")).alias("data"), "seq")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "seq").drop("seq").mapInArrow(run, f"{kept}, payload binary")
+
+
+def placed(frame: np.ndarray, packetnum: np.ndarray, data: pa.Array, n_frames: int, expected: int, packet_bytes: int) -> np.ndarray:
+    """The bytes of n_frames zeroed buffers, one after the other, with packets' data in their slots: frame says which frame a
+    packet is of. Packets come in order, so that the last of duplicates is written last; other packet numbers have no slot,
+    and no data goes beyond its slot."""
+    out = np.zeros((n_frames * expected, packet_bytes), np.uint8)
+    flat, ends = flat_bytes(data)
+    flat, sizes = np.frombuffer(flat, np.uint8), np.diff(ends)
+    own = (packetnum >= 0) & (packetnum < expected)
+    at = frame * expected + packetnum
+    if (sizes == packet_bytes).all():
+        # of places that come again the last counts
+        rows = flat[int(ends[0]) : int(ends[-1])].reshape(len(frame), packet_bytes)
+        out[at[own]] = rows if own.all() else rows[own]
+    else:
+        for i in np.nonzero(own)[0].tolist():
+            n = min(int(sizes[i]), packet_bytes)
+            out[at[i], :n] = flat[ends[i] : ends[i] + n]
+    return out.reshape(-1)
 
 
 def stack_modules(frames: DataFrame, n_modules: int, size: int, key: str = "pulse_id", data: str = "pixels", zero: Column | None = None) -> DataFrame:

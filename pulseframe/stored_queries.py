@@ -145,7 +145,7 @@ def _datagrams(spark: SparkSession, d: str) -> DataFrame:
     zero = lambda n: F.lit("00" * n)
     head = [little(F.col("frame_index"), 8), zero(4), little(F.col("seq") % 8, 4), little(F.col("pulse_id"), 8), zero(8), little(F.col("module_id"), 2), zero(6), little(F.col("daq_rec"), 4), zero(4)]
     size = F.when(F.col("n_recv_packets") == E, 8192).otherwise(8191)
-    return f.select("seq", F.unhex(F.concat(*head, F.repeat(F.lpad(F.hex(F.col("seq") % 256), 2, "0"), size))).alias("raw"))
+    return f.select("seq", F.rpad(F.unhex(F.concat(*head)), 48 + size, _bytes(F.col("seq") % 256)).alias("raw"))
 
 
 @query("select seq, frame_index as framenum, (seq % 8)::int as packetnum, pulse_id as bunchid, module_id, daq_rec as debug, lpad(to_hex(seq % 256), 2, '0') as last_byte, 8192 as n_bytes from frames where n_recv_packets = 128", "frames")

@@ -81,3 +81,25 @@ def test_verification(spark, archive, tmp_path) -> None:
     assert (1005, "n_bytes") in check(others, deep=True)
     plan = xp.verify_pixels(e, spark, path, 3, payload=P)
     assert plan.count() == 0 and check(e.limit(0)) == []
+
+
+@pytest.mark.parametrize("rows", [3, 10_000])
+def test_payload_of_many_frames(spark, rows) -> None:
+    """No group of its own for each frame; frames go on over batches, null keys are a key, the last of duplicates counts."""
+    packets = [(m, f, 10 * f + n, n % 5, bytearray([f, n])) for m in (0, 1, None) for f in range(9) for n in range(7) if (f + n) % 4]
+    df = spark.createDataFrame(packets, "module_id int, frame_no long, seq long, packetnum int, data binary")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        made = px.assemble_payload(df, ["module_id", "frame_no"], 4, 2)
+        got = {(r.module_id, r.frame_no): bytes(r.payload) for r in made.collect()}
+    finally:
+        spark.conf.set(key, before)
+    want = {}
+    for m, f, _, n, x in packets:
+        own = want.setdefault((m, f), bytearray(8))
+        if n < 4:
+            own[2 * n : 2 * n + 2] = x
+    assert got == {k: bytes(v) for k, v in want.items()} and len(got) == 27
+    assert "FlatMapGroups" not in made._jdf.queryExecution().executedPlan().toString()
