@@ -60,19 +60,21 @@ def _run(writer: DataStreamWriter, spark: SparkSession) -> None:
 
 def _run_timed(writer: DataStreamWriter, spark: SparkSession, seconds: int = 300) -> None:
     """As _run, for a stream with processing-time timers, which has another batch to run for ever: until a batch has had no
-    input after others had some."""
+    input after others had some. An error if no batch ends for so many seconds."""
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key, None)
     spark.conf.set(key, ROCKSDB)
     q = writer.option("checkpointLocation", fresh_path(spark, "stream")).trigger(processingTime="50 milliseconds").start()
     try:
-        end = time.time() + seconds
+        end, last = time.time() + seconds, None
         while time.time() < end and q.isActive:
-            rows = [p["numInputRows"] for p in q.recentProgress]
+            rows, batch = [p["numInputRows"] for p in q.recentProgress], (q.lastProgress or {}).get("batchId")
+            if batch != last:
+                end, last = time.time() + seconds, batch
             if any(rows) and len(rows) > 2 and not any(rows[-2:]):
                 return
             time.sleep(0.2)
-        raise q.exception() or TimeoutError(f"the stream did not end within {seconds} s")
+        raise q.exception() or TimeoutError(f"no batch of the stream ended within {seconds} s")
     finally:
         q.stop()
         if before is None:
@@ -301,12 +303,9 @@ _STREAM_FRAMES = """select module_id, seq, pulse_id, frame_index, daq_rec, n_rec
 
 
 def _packet_stream(spark: SparkSession, d: str, *last: DataFrame) -> DataFrame:
-    """Packets in their order of arrival, in about four batches, and what comes last."""
+    """Packets in their order of arrival, in four batches or more, and what comes last."""
     p = _packet_table(spark, d).withColumn("pulse_id", F.col("bunchid").cast("bigint"))
-    high = p.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
-    cuts = [high * i // 4 for i in range(5)]
-    parts = [p.where((F.col("seq") > a if a else F.lit(True)) & (F.col("seq") <= b)).coalesce(1) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return _source(spark, *parts, *last, files=1)
+    return _source(spark, *_batches(p, "seq", 4, 4 * BATCH_ROWS)[0], *last, files=1)
 
 
 @query(_STREAM_FRAMES, "assembled")
@@ -341,7 +340,8 @@ def st2_stream_guard(spark: SparkSession, d: str) -> DataFrame:
     """Two detectors whose frames come between one another's."""
     frames = fx.frames(spark, d).select(*FRAME.names)
     both = [frames.withColumns({"detector_name": F.lit(n), "seq": F.col("seq") + shift}) for n, shift in (("JF01", 0), ("JF02", 500))]
-    return _drained(sf.stream_guard(_source(spark, both[0].unionByName(both[1])), keys=("detector_name", "module_id"))).select("detector_name", "seq", "module_id", "bad")
+    parts = _batches(both[0].unionByName(both[1]), "seq", 1, 4 * BATCH_ROWS)[0]
+    return _drained(sf.stream_guard(_source(spark, *parts, files=1), keys=("detector_name", "module_id"))).select("detector_name", "seq", "module_id", "bad")
 
 
 def _end(spark: SparkSession, like: DataFrame, **values: object) -> DataFrame:

@@ -2,7 +2,8 @@
 
 State per module is what is known of the open frame, the frame before it, and, if bytes are asked for, a map from packet
 number to bytes for the open frame alone: a batch writes the packets that it leaves open, not the frame that they belong to.
-A micro-batch is sorted by arrival, so any split of the input gives the same frames as the batch form.
+A micro-batch is sorted by arrival and gone through in slices, so any split of the input gives the same frames as the batch
+form, and what is held beside a module's rows of the batch, which are numbers in arrays, does not grow with them.
 """
 
 from __future__ import annotations
@@ -11,19 +12,40 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions.pixels import placed
 from ..schemas import MAX_PULSE_GAP, PACKETS, STATS_COUNT
 
 _OPEN = "framenum bigint, last int, pulse bigint, rec bigint, n bigint, first bigint, frame_no bigint, seen binary"
 _LAST = "pulse bigint, frame bigint"
 
 
-def _sorted(rows: Iterator[pd.DataFrame], by: str) -> pd.DataFrame:
-    parts = list(rows)
-    return (pd.concat(parts) if len(parts) > 1 else parts[0]).sort_values(by, kind="stable") if parts else pd.DataFrame()
+#: Rows of a key's batch that are looked at together.
+SLICE = 100_000
+
+
+def _sorted(rows: Iterator[pd.DataFrame], by: str) -> Iterator[pd.DataFrame]:
+    """A key's rows of a batch along `by`, in slices. They are held as arrays, bytes in Arrow's form."""
+    parts: dict[str, list] = {}
+    for pdf in rows:
+        for c in pdf.columns:
+            x = pdf[c]
+            parts.setdefault(c, []).append(pa.array(x) if x.dtype == object else x.to_numpy(copy=True))
+    held = {}
+    for c in list(parts):
+        own = parts.pop(c)
+        held[c] = pa.chunked_array(own).combine_chunks() if isinstance(own[0], pa.Array) else np.concatenate(own)
+        del own
+    if not held:
+        return
+    order = np.argsort(held[by], kind="stable")
+    for at in range(0, len(order), SLICE):
+        own = order[at : at + SLICE]
+        yield pd.DataFrame({c: x.take(pa.array(own)).to_pandas() if isinstance(x, pa.Array | pa.ChunkedArray) else x[own] for c, x in held.items()})
 
 
 def _flagged(frames: pd.DataFrame, last, max_gap: int, allow_repeat: bool) -> pd.Series:  # noqa: ANN001
@@ -64,8 +86,10 @@ class _Frames(StatefulProcessor):
         return at.tobytes()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
-        pdf = _sorted(rows, "seq")
-        pdf = pdf[(pdf.packetnum >= 0) & (pdf.packetnum < self.expected)] if len(pdf) else pdf
+        for pdf in _sorted(rows, "seq"):
+            yield from self._slice(key, pdf[(pdf.packetnum >= 0) & (pdf.packetnum < self.expected)], timerValues)
+
+    def _slice(self, key, pdf: pd.DataFrame, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N803
         if not len(pdf):
             return
         pdf = pdf.reset_index(drop=True)
@@ -85,7 +109,13 @@ class _Frames(StatefulProcessor):
         tail = by.get_group(tail_no)
         if self.packet_bytes:
             # the open one's bytes are not put together before it is closed
-            frames["payload"] = [None if is_open and i == tail_no else self._bytes(by.get_group(i), goes_on and i == no) for i in frames.index]
+            whole = pdf[pdf.frame_no < tail_no] if is_open else pdf
+            made = frames.index[:-1] if is_open else frames.index
+            flat = placed(np.searchsorted(made, whole.frame_no), whole.packetnum.to_numpy(np.int64), pa.array(whole.data, pa.binary()), len(made), self.expected, self.packet_bytes)
+            each = [x.tobytes() for x in flat.reshape(len(made), self.expected * self.packet_bytes)]
+            if made.size and goes_on:  # it has packets in state
+                each[0] = self._bytes(by.get_group(no), True)
+            frames["payload"] = [*each, None] if is_open else each
         else:
             frames["payload"] = None
         if goes_on:
@@ -169,11 +199,9 @@ class _Guard(StatefulProcessor):
         self.last = handle.getValueState("last", _LAST)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
-        pdf = _sorted(rows, "seq")
-        if not len(pdf):
-            return
-        pdf["bad"] = _flagged(pdf.rename(columns={"pulse_id": "pulse", "frame_index": "framenum"}), self.last, self.max_gap, self.allow_repeat)
-        yield pdf[[*self.keys, "seq", "pulse_id", "frame_index", "daq_rec", "n_recv_packets", "bad"]]
+        for pdf in _sorted(rows, "seq"):
+            pdf["bad"] = _flagged(pdf.rename(columns={"pulse_id": "pulse", "frame_index": "framenum"}), self.last, self.max_gap, self.allow_repeat)
+            yield pdf[[*self.keys, "seq", "pulse_id", "frame_index", "daq_rec", "n_recv_packets", "bad"]]
 
     def close(self) -> None:
         pass
@@ -194,9 +222,10 @@ class _Counter(StatefulProcessor):
         self.held = handle.getValueState("held", "bucket bigint, n bigint, bad bigint, lost bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
-        pdf = _sorted(rows, "pulse_id").reset_index(drop=True)
-        if not len(pdf):
-            return
+        for pdf in _sorted(rows, "pulse_id"):
+            yield from self._slice(key, pdf)
+
+    def _slice(self, key, pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:  # noqa: ANN001
         bucket, n, bad, lost = self.held.get() if self.held.exists() else (0, 0, 0, 0)
         at = (n + pdf.index) // self.modulo + bucket
         sums = pd.DataFrame({"n": 1, "bad": (~pdf.is_good_image).astype("int64"), "lost": pdf.n_lost_pulses}).groupby(at).sum()

@@ -14,7 +14,7 @@ from pulseframe.operators import images as im
 from pulseframe.operators import stats as st
 from pulseframe.operators import sync as sy
 from pulseframe.sources.archive import read_archive
-from pulseframe.stored_queries import _run_timed
+from pulseframe.stored_queries import _batches, _run_timed
 from pulseframe.streaming import assembler as sa
 from pulseframe.streaming import frames as sf
 from pulseframe.streaming import images as si
@@ -113,6 +113,31 @@ def test_a_batch_writes_the_packets_that_it_leaves_open() -> None:
         assert handle.held["open"].written <= (n_cuts + 1) * (expected + 7 * 8) and not handle.held["parts"].map
 
 
+def test_a_batch_is_gone_through_in_slices(monkeypatch) -> None:  # noqa: ANN001
+    """What is grouped and given at once does not grow with a key's rows of a batch, and nothing else changes."""
+    rows = [(f * 8 + n, 10 + f, 10 + f, 1, n, bytes([f, n])) for f in range(50) for n in range(8) if (f * 3 + n) % 11]
+    table = pd.DataFrame(rows, columns=["seq", "pulse_id", "framenum", "debug", "packetnum", "data"])
+    found = []
+    for size in (10_000, 37):
+        monkeypatch.setattr(sf, "SLICE", size)
+        p = sf._Frames(("module_id",), 8, 1, 1000, False, 2, 0, False)
+        p.init(Handle())
+        shuffled = table.sample(frac=1, random_state=3)
+        found.append(list(p.handleInputRows((0,), iter([shuffled.iloc[:99], shuffled.iloc[99:]]), None)))
+    one, many = (pd.concat(x).reset_index(drop=True) for x in found)
+    pd.testing.assert_frame_equal(one, many)
+    assert len(found[0]) == 1 and len(found[1]) >= 9 and max(map(len, found[1])) <= 8
+    assert [x for x in one.payload] == [bytes(b for n in range(8) for b in ((f, n) if (f * 3 + n) % 11 else (0, 0))) for f in range(len(one))]
+
+
+def test_batches_grow_in_number(spark) -> None:
+    rows = spark.range(1, 1001).withColumnRenamed("id", "seq")
+    for most, n in ((1000, 4), (100, 10)):
+        parts, low, high = _batches(rows, "seq", 4, most)
+        assert (len(parts), low, high) == (n, 1, 1000) and sum(p.count() for p in parts) == 1000
+        assert max(p.count() for p in parts) <= max(most, 250) and all(p.rdd.getNumPartitions() == 1 for p in parts)
+
+
 @pytest.mark.parametrize("cuts", [[], [3, 4, 30, 31, 77]])
 def test_frames_of_detectors_with_payloads(spark, packets, tmp_path, cuts) -> None:
     """Modules of two detectors with one number are two modules."""
