@@ -26,6 +26,21 @@ def write_runs(rows: DataFrame, out: str, n_writers: int = 8) -> None:
     dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(out)
 
 
+#: Run numbers whose rows are kept together by write_run_blocks().
+BLOCK_RUNS = 1000
+
+
+def with_block(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("run_block", F.floor(F.col("run_id") / BLOCK_RUNS))
+
+
+def write_run_blocks(rows: DataFrame, out: str, n_writers: int = 8) -> None:
+    """Writes rows by blocks of BLOCK_RUNS run numbers, for many small runs: blocks already there are replaced, so rows must
+    be all of their blocks', others stay. Images are dealt to writers by index; in a file runs and images stand in order."""
+    dealt = with_block(rows).repartition("run_block", F.pmod("i_image", F.lit(n_writers))).sortWithinPartitions("run_block", "run_id", "i_image")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_block").parquet(out)
+
+
 def write_stats(lines: DataFrame, out: str, mode: str = "append") -> None:
     """Lines of statistics (column `line`) as text."""
     lines.select(F.col("line").alias("value")).write.mode(mode).text(out)

@@ -519,8 +519,7 @@ def _run_output(spark: SparkSession, d: str) -> str:
     rows = _instructions(spark, d).withColumn("seq", F.col("seq") * 4)
     again = rows.where("pulse_id % 7 = 0").withColumns({"seq": F.col("seq") + 1, "bits_per_pixel": F.lit(32)})
     rows, path = rows.unionByName(again), fresh_path(spark, "runs")
-    half = rows.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] // 2
-    parts = [rows.where(F.col("seq") <= half).coalesce(1), rows.where(F.col("seq") > half).coalesce(1)]
+    parts = _batches(rows, "seq", 2)[0]
     _run(sk.run_sink(_source(spark, *parts, files=1), path, 1), spark)
     return path
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.scalars import live_header_json
 from ..operators.frames import latest_per_key, thin
-from ..plans.runs import run_rows, write_runs
+from ..plans.runs import run_rows, with_block, write_run_blocks
 from ..sources.archive import exists, write_archive
 from ..sources.staging import removed
 from .runs import run_lifecycle, written
@@ -56,8 +56,9 @@ _SIZES = ("image_y_size", "image_x_size", "bits_per_pixel")
 def run_sink(instructions: DataFrame, out: str, n_writers: int = 8, mode: str = "index", strict: bool = False) -> DataStreamWriter:
     """Runs as they come, from instructions as run_lifecycle() takes them, with the sizes of their images. The lifecycle is a
     stateful step of the same stream: images of a run that is not open are not written. Of instructions for one image of a
-    run the latest by seq counts, in a batch and over batches, so a replayed batch changes nothing. Rows of runs already
-    begun are read, merged and replaced run by run; when a run closes, a row in `out`/_closed says so, see closed_runs()."""
+    run the latest by seq counts, in a batch and over batches, so a replayed batch changes nothing. Rows are kept
+    in files by blocks of run numbers, not in a folder for each run; blocks that a batch adds to are read, merged and replaced.
+    When a run closes, a row in `out`/_closed says so, see closed_runs()."""
     events = written(run_lifecycle(instructions, mode, strict, _SIZES))
 
     def write(df: DataFrame, batch: int) -> None:
@@ -66,12 +67,12 @@ def run_sink(instructions: DataFrame, out: str, n_writers: int = 8, mode: str =
         try:
             rows = run_rows(df.drop("event"))
             if exists(spark, f"{out}/runs"):
-                runs = rows.select("run_id").distinct()
-                old = spark.read.parquet(f"{out}/runs").join(runs, "run_id", "left_semi")
+                blocks = with_block(rows).select("run_block").distinct()
+                old = spark.read.parquet(f"{out}/runs").join(blocks, "run_block", "left_semi")
                 rows = old.select(*[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in rows.columns]).unionByName(rows)
             held = f"{out.rstrip('/')}._merged-{uuid.uuid4().hex}"
             latest_per_key(rows, ("run_id", "i_image")).write.parquet(held)
-            write_runs(spark.read.parquet(held), f"{out}/runs", n_writers)
+            write_run_blocks(spark.read.parquet(held), f"{out}/runs", n_writers)
             removed(spark, held)
             # after the rows, so that a run that is said to be closed is whole
             closed = df.where(F.col("event").isin("close", "open+close")).groupBy("run_id").agg(F.max("n_images").alias("n_images"), F.max("seq").alias("seq"))

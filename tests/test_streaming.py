@@ -340,3 +340,14 @@ def test_run_sink_merges_batches(spark, tmp_path) -> None:
         assert got == [(1, 0, 0, "uint16"), (1, 1, 1, "uint8"), (1, 2, 3, "uint8"), (2, 0, 5, "uint8"), (2, 1, 7, "uint8"), (3, 0, 8, "uint16"), (3, 1, 10, "uint16")]
         assert [tuple(r) for r in sk.closed_runs(spark, out).collect()] == [(1, 3)]
     assert sk.closed_runs(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_runs_share_folders(spark, tmp_path) -> None:
+    """Many short runs are not as many folders and files."""
+    rows = [("JF", 3 * r + i, r, i, 2, 10 * r + i, 512, 1024, 8) for r in range(300) for i in range(2)]
+    df = spark.createDataFrame(rows, RUN + ", image_y_size int, image_x_size int, bits_per_pixel int")
+    out = tmp_path / "out"
+    run(sk.run_sink(fed(spark, df, tmp_path / "in", "seq", [201]), str(out), 2), tmp_path, "many")
+    got = sorted((r.run_id, r.i_image, r.pulse_id) for r in spark.read.parquet(f"{out}/runs").collect())
+    assert got == [(r, i, 10 * r + i) for r in range(300) for i in range(2)]
+    assert len(list((out / "runs").rglob("*.parquet"))) <= 2 and sk.closed_runs(spark, str(out)).count() == 300
