@@ -7,8 +7,8 @@ a tree of its own and compares what is left bit by bit, so all pairs within the
 returns links to the smallest member of each of its clusters, not all pairs; connected components join the shards.
 
 Edited copies differ in more bits than a vantage-point tree can prune by (at a Jaccard similarity of 0.8 about ten of 64).
-Where a similarity is asked for, texts that agree in a band of MinHash values are candidates too, each with three texts
-of the band, and the exact similarity of their shingle sets decides.
+Where a similarity is asked for, texts that agree in a band of MinHash values are candidates too, first each with three
+texts of the band, then all that these have not joined, and the exact similarity of their shingle sets decides.
 """
 
 from __future__ import annotations
@@ -267,8 +267,8 @@ def similar_links(rows: DataFrame, prints: DataFrame, similarity: float, shingle
     """(a bigint, b bigint): fingerprints whose texts have a Jaccard similarity of `similarity` or more. Texts with one set
     of shingles are one, whatever their fingerprints; texts with one fingerprint and other sets are compared each for
     itself. Candidates are, band by band, a set and three of those with the same key: the one that agrees with the most
-    others in all bands, and two others, drawn anew in each band. So a group's pairs are not all made, and its links are
-    found over many bands."""
+    others in all bands, and two others, drawn anew in each band. These join nearly all of a group of near copies; then all
+    other pairs of a band whose two sides they have not joined are compared, so that the components are those of all pairs."""
     # of several texts with one set the first stands for all; their fingerprints are linked here
     first = staged(prints.groupBy("held").agg(F.min("_row").alias("_row"), F.min("fp").alias("fp")), "sets")
     same = prints.select("held", F.col("fp").alias("a")).distinct().join(first.select("held", F.col("fp").alias("b")), "held").where("a <> b").select("a", "b")
@@ -280,6 +280,25 @@ def similar_links(rows: DataFrame, prints: DataFrame, similarity: float, shingle
     met = each.join(liked, "held").groupBy("key").agg(F.max_by("held", F.struct("liked", "held")).alias("most"), F.min_by("held", by).alias("one"), F.max_by("held", by).alias("other"))
     met = each.join(met, "key").select("held", F.explode(F.array("most", "one", "other")).alias("b")).where("held <> b")
     pairs = staged(met.select(F.least("held", "b").alias("a"), F.greatest("held", "b").alias("b")).distinct(), "pairs")
+    near = staged(_similar_pairs(rows, first, pairs, similarity, shingle), "near")
+    # the rest: members of a band's groups that are not joined yet, group by group, never two of one group
+    roots = components(near.select("a", "b")).withColumnsRenamed({"a": "held", "b": "root"})
+    grouped = each.select("held", "key").join(roots, "held", "left").select("held", "key", F.coalesce("root", "held").alias("group"))
+    several = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
+    grouped = staged(grouped.join(several, "key"), "groups")
+    others = grouped.select("key", F.col("group").alias("other")).distinct()
+    asked = grouped.join(others, "key").where("group < other").select("key", F.col("held").alias("one"), F.col("other").alias("group"))
+    met = asked.join(grouped, ["key", "group"])
+    rest = met.select(F.least("held", "one").alias("a"), F.greatest("held", "one").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    late = _similar_pairs(rows, first, staged(rest, "pairs"), similarity, shingle)
+    # sets of one fingerprint are linked anyway
+    found = near.unionByName(late).where("fp_a <> fp_b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
+    return found.unionByName(same)
+
+
+def _similar_pairs(rows: DataFrame, first: DataFrame, pairs: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """(a, b, fp_a, fp_b): those of the pairs (a, b) of `held` that are similar enough or have one fingerprint; first tells
+    the row and the fingerprint of each set."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("held")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,17 +313,18 @@ def similar_links(rows: DataFrame, prints: DataFrame, similarity: float, shingle
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept = []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
+            for x, y in zip(b.column(4), b.column(5), strict=True):
                 # views of the batch, which may hold many long sets
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 kept.append(both >= similarity * (len(x) + len(y) - both))
-            yield b.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+            yield b.select([0, 1, 2, 3]).filter(pa.array(kept, pa.bool_()))
 
     one, other = (held.select(F.col("held").alias(c), F.col("fp").alias(f"fp_{c}"), F.col("set").alias(f"set_{c}")) for c in ("a", "b"))
-    # sets of one fingerprint need no comparing: they are linked anyway
-    both = pairs.join(one, "a").join(other, "b").where("fp_a <> fp_b")
-    return both.select("fp_a", "fp_b", "set_a", "set_b").mapInArrow(close, "a bigint, b bigint").unionByName(same)
+    both = pairs.join(one, "a").join(other, "b")
+    known = both.where("fp_a = fp_b").select("a", "b", "fp_a", "fp_b")
+    asked = both.where("fp_a <> fp_b").select("a", "b", "fp_a", "fp_b", "set_a", "set_b")
+    return asked.mapInArrow(close, "a bigint, b bigint, fp_a bigint, fp_b bigint").unionByName(known)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:

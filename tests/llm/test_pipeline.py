@@ -188,3 +188,12 @@ def test_two_pipelines_at_once(spark) -> None:
     clear(spark, inner)
     with pytest.raises(Exception, match="(?i)not exist"):
         spark.read.parquet(kept.staged_at)
+
+
+def test_no_pair_of_a_band_is_left_out(spark) -> None:
+    """Twelve texts, two by two near copies, that all share a band: three partners for each would join three pairs at most."""
+    texts = [" ".join(f"w{i // 2}x{n}" for n in range(40)) + (" more" if i % 2 else "") for i in range(12)]
+    rows = staged(spark.createDataFrame(list(enumerate(texts)), "_row bigint, text string"), "t")
+    prints = staged(spark.createDataFrame([(i, i, 1000 + 7 * i % 12, [7]) for i in range(12)], "_row bigint, fp bigint, held bigint, keys array<bigint>"), "t")
+    got = {frozenset((r.a, r.b)) for r in simhash.similar_links(rows, prints, 0.8, 5).collect()}
+    assert got == {frozenset((i, i + 1)) for i in range(0, 12, 2)}
