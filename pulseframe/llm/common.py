@@ -36,6 +36,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: Bytes of an Arrow batch of long rows (texts, sets of shingles).
+ARROW_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = ARROW_BYTES) -> Iterator[None]:
+    """What is run inside hands rows to Python in batches of so many bytes, or of the session's own size if that is smaller.
+    Spark's default is a number of rows, which long rows make batches of tens of MB of, twice for a task: in the executor and
+    in its Python worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    if before is None or not before.isdigit() or int(before) > size:
+        spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 @contextmanager
 def noted() -> Iterator[list[str]]:
     """A list that takes the paths of what is staged inside, by this thread alone, for clear()."""

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import LOWER, clear, staged, with_row_id
+from .common import LOWER, clear, small_batches, staged, with_row_id
 from .words import groups, words_of
 
 RADIUS = 3
@@ -337,15 +337,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives no rows; other columns are not looked at."""
     if similarity is None:
         prints = staged(fingerprints(docs, id_col, text_col, shingle).withColumnRenamed(id_col, "id"), "fingerprints")
+        least = staged(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+        roots = components(links(least, radius))
     else:
         rows = with_row_id(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
-        keyed = staged(_prints_and_keys(rows, shingle), "fingerprints")
-        prints = rows.select("_row", "id").join(keyed.select("_row", "fp"), "_row").select("id", "fp")
-    least = staged(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    found = links(least, radius)
-    if similarity is not None:
-        found = found.unionByName(similar_links(rows, keyed, similarity, shingle))
-    roots = components(found)
+        # rows of these steps are texts and pairs of sets
+        with small_batches(docs.sparkSession):
+            keyed = staged(_prints_and_keys(rows, shingle), "fingerprints")
+            prints = rows.select("_row", "id").join(keyed.select("_row", "fp"), "_row").select("id", "fp")
+            least = staged(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+            roots = components(links(least, radius).unionByName(similar_links(rows, keyed, similarity, shingle)))
     of = least.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = of.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(of.join(names, "root").select("fp", "component_id"), "fp", "left").select(F.col("id").alias(id_col), "fp", "component_id")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import LOWER, staged
+from .words import groups
 
 #: Labelled rows that the fit uses at most; its result does not depend on the size of the corpus beyond it.
 SAMPLE = 20_000
@@ -199,7 +200,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         grams = _Grams(m.index)
-        for b in batches:
+        # in slices, so that neither the worker nor the executor holds a batch of long texts again
+        for b in (part for batch in batches for part in groups(batch, batch.schema.names.index(text_col))):
             texts = b.column(b.schema.names.index(text_col)).cast(pa.binary()).to_pylist()
             z = np.array([m.weight[x].sum() + m.bias for x in features(texts, grams)], float)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], [*b.schema.names, score_col])

@@ -7,12 +7,13 @@ from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 import corpus_pipeline as cp
 from pulseframe.llm import simhash, tokens, toxicity
-from pulseframe.llm.common import clear, noted, staged
+from pulseframe.llm.common import clear, noted, small_batches, staged
 
 from .test_groups import brute, hits, lower
 from .test_tokens import check_packed
@@ -197,3 +198,29 @@ def test_no_pair_of_a_band_is_left_out(spark) -> None:
     prints = staged(spark.createDataFrame([(i, i, 1000 + 7 * i % 12, [7]) for i in range(12)], "_row bigint, fp bigint, held bigint, keys array<bigint>"), "t")
     got = {frozenset((r.a, r.b)) for r in simhash.similar_links(rows, prints, 0.8, 5).collect()}
     assert got == {frozenset((i, i + 1)) for i in range(0, 12, 2)}
+
+
+def test_batches_of_long_rows_are_small(spark, stored, monkeypatch) -> None:
+    """Texts and sets go to Python in batches by bytes, not by 10,000 rows; the session's own size stays and a smaller one holds."""
+    key, seen, real = "spark.sql.execution.arrow.maxBytesPerBatch", [], simhash.staged
+    monkeypatch.setattr(simhash, "staged", lambda df, name: (seen.append(spark.conf.get(key, None)), real(df, name))[1])
+    docs = stored(spark.createDataFrame([(i, f"one two three four five six seven {i // 2}") for i in range(6)], "doc_id long, text string"))
+    before = spark.conf.get(key, None)
+    got = simhash.near_duplicates(docs, shingle=5, similarity=0.8).collect()
+    assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4}
+    assert seen and set(seen) == {str(4 << 20)} and spark.conf.get(key, None) == before
+    sizes = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 10000) as t")
+
+    def count(batches):  # noqa: ANN001, ANN202
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    with small_batches(spark):
+        assert max(r.n for r in sizes.mapInArrow(count, "n bigint").collect()) < 1000
+    spark.conf.set(key, "1000")
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(key) == "1000"
+        assert spark.conf.get(key) == "1000"
+    finally:
+        spark.conf.unset(key)
