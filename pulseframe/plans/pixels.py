@@ -24,8 +24,9 @@ from ..schemas import FILE_PULSES, FOLDER_PULSES, MODULE_BYTES, PACKETS
 from ..sources.archive import read_archive, scan_pulse_range, write_archive
 from .historical import aligned, check_range, images_in_range
 
-#: Pulses that a task takes of a file at a time; bytes of a batch of images.
-TASK_PULSES, BATCH_BYTES = 100, 64 << 20
+#: Bytes of a batch of images; files of pulses, and bytes of their images, that a task takes.
+BATCH_BYTES = 64 << 20
+TASK_FILES, TASK_BYTES = 10, 256 << 20
 #: What stands for a module without a frame in an image's digest.
 ABSENT = "-"
 
@@ -67,13 +68,13 @@ def archive_images(spark: SparkSession, path: str, n_modules: int, start: int, s
     if align:
         start, stop = aligned(start, stop, step)
     check_range(start, stop, step)
-    first, last = start // TASK_PULSES, stop // TASK_PULSES
+    first, last = start // FILE_PULSES, stop // FILE_PULSES
     chunk = max(1, BATCH_BYTES // (n_modules * payload))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block in b.column(0).to_pylist():
-                low, high = max(start, block * TASK_PULSES), min(stop, (block + 1) * TASK_PULSES - 1)
+                low, high = max(start, block * FILE_PULSES), min(stop, (block + 1) * FILE_PULSES - 1)
                 modules = [_frames(path, m, low, high, chunk) for m in range(n_modules)]
                 heads = [next(it, None) for it in modules]
                 rows: list[tuple] = []
@@ -103,8 +104,9 @@ def archive_images(spark: SparkSession, path: str, n_modules: int, start: int, s
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.string())
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], [c.split(" ")[0] for c in IMAGES.split(", ")])
 
-    # a task for each ten blocks, which is a file of pulses: numbers only are dealt out
-    blocks = spark.range(first, last + 1, 1, -(-(last + 1 - first) * TASK_PULSES // FILE_PULSES))
+    # a task takes whole files of pulses, each opened once, and several where images are small: numbers only are dealt out
+    n_files, several = last + 1 - first, max(1, min(TASK_FILES, TASK_BYTES // (n_modules * payload * FILE_PULSES)))
+    blocks = spark.range(first, last + 1, 1, max(min(n_files, 4 * spark.sparkContext.defaultParallelism), -(-n_files // several)))
     return blocks.mapInArrow(run, IMAGES)
 
 
