@@ -14,6 +14,8 @@ from ..schemas import FILE_PULSES, FOLDER_PULSES, PACKETS
 from .staging import removed
 
 PARTITIONS = ["module_id", "folder_base", "file_base"]
+#: Files that a task writes, about.
+TASK_FILES = 100
 
 
 def with_partitions(frames: DataFrame) -> DataFrame:
@@ -27,16 +29,19 @@ def write_archive(frames: DataFrame, path: str) -> None:
     spark = frames.sparkSession
     new = with_partitions(frames)
     if exists(spark, path):
-        old = spark.read.parquet(path)
+        old = read_archive(spark, path)
         touched = new.select(*PARTITIONS).distinct()
         old = old.join(touched, PARTITIONS, "left_semi").select(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in new.columns])
         new = old.unionByName(new)
     merged = latest_per_key(new)
     held = f"{path.rstrip('/')}._merged-{uuid.uuid4().hex}"
     merged.write.parquet(held)
-    merged = spark.read.parquet(held)
-    # one task for each partition's file, sorted so that row groups have narrow pulse ranges
-    merged = merged.repartition(*PARTITIONS).sortWithinPartitions(*PARTITIONS, "pulse_id")
+    merged = spark.read.schema(merged.schema).parquet(held)
+    # one task for each partition's file, sorted so that row groups have narrow pulse ranges. What a file costs is the file,
+    # not its bytes, so tasks are counted by files: told by size, a few tasks would write all of them one after the other
+    n_files = merged.select(*PARTITIONS).distinct().count()
+    tasks = max(1, min(n_files, spark.sparkContext.defaultParallelism), -(-n_files // TASK_FILES))
+    merged = merged.repartition(tasks, *PARTITIONS).sortWithinPartitions(*PARTITIONS, "pulse_id")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
     removed(spark, held)
 
@@ -48,7 +53,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The archive's frames. Its folders are named here, a listing for each module, so that Spark lists their files in one
+    job; from the root it runs a job for each folder of pulses, one after the other."""
+    found = [f"{path}/module_id={m}/folder_base={b}" for m in _numbers(spark, path, "module_id") for b in _numbers(spark, f"{path}/module_id={m}", "folder_base")]
+    return spark.read.option("basePath", path).parquet(*found) if found else spark.read.parquet(path)
 
 
 def scan_pulse_range(archive: DataFrame, start: int, stop: int) -> DataFrame:
