@@ -8,16 +8,19 @@ returns links to the smallest member of each of its clusters, not all pairs; con
 
 Edited copies differ in more bits than a vantage-point tree can prune by (at a Jaccard similarity of 0.8 about ten of 64).
 Where a similarity is asked for, texts that agree in a band of MinHash values are candidates too, first each with three
-texts of the band, then all that these have not joined, and the exact similarity of their shingle sets decides.
+texts of the band, then those that these have not joined and that share enough of their differences from the band's hub;
+the exact similarity of their shingle sets decides.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -267,8 +270,9 @@ def similar_links(rows: DataFrame, prints: DataFrame, similarity: float, shingle
     """(a bigint, b bigint): fingerprints whose texts have a Jaccard similarity of `similarity` or more. Texts with one set
     of shingles are one, whatever their fingerprints; texts with one fingerprint and other sets are compared each for
     itself. Candidates are, band by band, a set and three of those with the same key: the one that agrees with the most
-    others in all bands, and two others, drawn anew in each band. These join nearly all of a group of near copies; then all
-    other pairs of a band whose two sides they have not joined are compared, so that the components are those of all pairs."""
+    others in all bands, the band's hub, and two others, drawn anew in each band. These join nearly all of a group of near
+    copies; then _unlike_pairs gives the other pairs of a hub's bands that can be similar enough and whose sides are not joined
+    yet, so that the components are those of all pairs."""
     # of several texts with one set the first stands for all; their fingerprints are linked here
     first = staged(prints.groupBy("held").agg(F.min("_row").alias("_row"), F.min("fp").alias("fp")), "sets")
     same = prints.select("held", F.col("fp").alias("a")).distinct().join(first.select("held", F.col("fp").alias("b")), "held").where("a <> b").select("a", "b")
@@ -278,28 +282,26 @@ def similar_links(rows: DataFrame, prints: DataFrame, similarity: float, shingle
     liked = each.groupBy("held").agg(F.sum("size").alias("liked"))
     by = F.struct(F.xxhash64("held", "key"), "held")
     met = each.join(liked, "held").groupBy("key").agg(F.max_by("held", F.struct("liked", "held")).alias("most"), F.min_by("held", by).alias("one"), F.max_by("held", by).alias("other"))
-    met = each.join(met, "key").select("held", F.explode(F.array("most", "one", "other")).alias("b")).where("held <> b")
-    pairs = staged(met.select(F.least("held", "b").alias("a"), F.greatest("held", "b").alias("b")).distinct(), "pairs")
-    near = staged(_similar_pairs(rows, first, pairs, similarity, shingle), "near")
-    # the rest: members of a band's groups that are not joined yet, group by group, never two of one group
+    met = staged(met, "met")
+    three = each.join(met, "key").select("held", F.explode(F.array("most", "one", "other")).alias("b")).where("held <> b")
+    pairs = staged(three.select(F.least("held", "b").alias("a"), F.greatest("held", "b").alias("b")).distinct(), "pairs")
+    near = staged(_similar_pairs(_sets(rows, first, pairs.select(F.explode(F.array("a", "b")).alias("held")), shingle), pairs, similarity), "near")
+    # the rest: members of a band's groups that are not joined yet, never two of one group
     roots = components(near.select("a", "b")).withColumnsRenamed({"a": "held", "b": "root"})
     grouped = each.select("held", "key").join(roots, "held", "left").select("held", "key", F.coalesce("root", "held").alias("group"))
     several = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
-    grouped = staged(grouped.join(several, "key"), "groups")
-    others = grouped.select("key", F.col("group").alias("other")).distinct()
-    asked = grouped.join(others, "key").where("group < other").select("key", F.col("held").alias("one"), F.col("other").alias("group"))
-    met = asked.join(grouped, ["key", "group"])
-    rest = met.select(F.least("held", "one").alias("a"), F.greatest("held", "one").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    late = _similar_pairs(rows, first, staged(rest, "pairs"), similarity, shingle)
+    hubs = met.join(several, "key").select("key", F.col("most").alias("hub"))
+    grouped = staged(grouped.join(hubs, "key").select("held", "hub", "group").distinct(), "groups")
+    held = _sets(rows, first, grouped.select(F.explode(F.array("held", "hub")).alias("held")), shingle)
+    rest = _unlike_pairs(grouped, held, similarity).join(pairs, ["a", "b"], "left_anti")
+    late = _similar_pairs(held, staged(rest, "pairs"), similarity)
     # sets of one fingerprint are linked anyway
     found = near.unionByName(late).where("fp_a <> fp_b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
     return found.unionByName(same)
 
 
-def _similar_pairs(rows: DataFrame, first: DataFrame, pairs: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """(a, b, fp_a, fp_b): those of the pairs (a, b) of `held` that are similar enough or have one fingerprint; first tells
-    the row and the fingerprint of each set."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("held")).distinct()
+def _sets(rows: DataFrame, first: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(held, fp, set): the sorted shingle hashes of the sets in wanted.held; first tells the row and the fingerprint of each."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,24 +309,112 @@ def _similar_pairs(rows: DataFrame, first: DataFrame, pairs: DataFrame, similari
                 own = [np.unique(shingle_hashes(h, shingle)).tobytes() for h in _word_hashes(b.column(2))]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.binary())], ["held", "fp", "set"])
 
-    texts = rows.join(first.join(wanted, "held"), "_row").select("held", "fp", "text")
-    held = staged(texts.mapInArrow(sets, "held bigint, fp bigint, set binary"), "sets")
+    texts = rows.join(first.join(wanted.distinct(), "held"), "_row").select("held", "fp", "text")
+    return staged(texts.mapInArrow(sets, "held bigint, fp bigint, set binary"), "sets")
+
+
+def _shingles_of(sets: DataFrame) -> DataFrame:
+    """(held, e): a row for each shingle of each set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            for at in range(0, len(ids), 64):
+                own = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column(1)[at : at + 64]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[at : at + 64], list(map(len, own)))), pa.array(np.concatenate(own))], ["held", "e"])
+
+    return sets.select("held", "set").mapInArrow(run, "held bigint, e bigint")
+
+
+def differences(x: np.ndarray, hub: np.ndarray, n_x: np.ndarray, n_hub: np.ndarray) -> np.ndarray:
+    """The places, in x followed by hub, of the members of one of these sorted sets that the other lacks, what few others of
+    the hub's sets will have in their difference first. n_x and n_hub: in how many sets a member of each is."""
+    of = np.concatenate((x, hub))
+    # what is in many sets is in many differences from a hub without it, and in few from a hub with it
+    often = np.concatenate((n_x, n_hub.max(initial=1) - n_hub))
+    order = np.argsort(of, kind="stable")
+    twice = of[order][1:] == of[order][:-1]
+    own = np.sort(order[~(np.append(twice, False) | np.append(False, twice))])
+    return own[np.lexsort((of[own], often[own]))]
+
+
+def _unlike_pairs(grouped: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), a < b: pairs of sets of one hub; of those that are similar enough all, unless both sets are in one group or
+    similar enough to the hub, in which case their pairs with the hub are given. grouped: (held, hub, group).
+
+    Sets that vary about a hub in their own ways have little in common but the hub, so a set is held as its difference V from
+    its hub, which leaves |V_x ^ V_y| = |x ^ y|. Sets are similar enough if |x ^ y| <= c (|x| + |y|), c = (1 - similarity) /
+    (1 + similarity), that is, with L = |V| - c |x|, if V_x and V_y share o = (L_x + L_y) / 2 members or more. In any order of
+    the members (here the rarest first) the first shared one then has o members or more from it on, in both. Let L_x <= L_y. As
+    one of the two is not similar to the hub, L_y > c |hub|, and o is 1 at least. So x has it among the first |V_x| - o + 1 for
+    the least such o, and y among its first (1 / similarity - 1) |y| + 1. This is exact; sums are in whole numbers."""
+    s = Fraction(str(similarity))
+    top, all_ = s.numerator, s.denominator
+    # c = p / q
+    p, q = all_ - top, all_ + top
+
+    count = _shingles_of(sets).groupBy("e").agg(F.count("*").alias("n")).where("n > 1")
+    common = _shingles_of(sets).join(count, "e").groupBy("held").agg(F.sort_array(F.collect_list(F.struct("e", "n"))).alias("common"))
+    counted = staged(sets.join(common, "held", "left").select("held", "set", F.col("common.e").alias("e"), F.col("common.n").alias("n")), "counted")
+
+    def read(b: pa.RecordBatch, at: int, i: int) -> tuple[np.ndarray, np.ndarray]:
+        x = np.frombuffer(b.column(at)[i].as_buffer(), np.int64)
+        n = np.ones(len(x), np.int64)
+        if (e := b.column(at + 1)[i]).is_valid:
+            by = np.argsort(x)
+            n[by[np.searchsorted(x, e.values.to_numpy(), sorter=by)]] = b.column(at + 2)[i].values.to_numpy()
+        return x, n
+
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[] for _ in range(7)]
+            for i in range(b.num_rows):
+                (x, n_x), (hub, n_hub) = read(b, 3, i), read(b, 6, i)
+                of, places = np.concatenate((x, hub)), differences(x, hub, n_x, n_hub)
+                m, v = len(x), len(places)
+                loose, least = q * v - p * m, p * len(hub)
+                o = -(-loose // q) if loose > least else (loose + least) // (2 * q) + 1
+                low, high = max(0, v - o + 1), min(v, m * p // top + 1) if loose > least else 0
+                # x's members that are in no other set meet nothing
+                at = np.nonzero((np.arange(v) < max(low, high)) & ~((places < m) & (np.concatenate((n_x, n_hub))[places] == 1)))[0]
+                for to, value in zip(out, (m, v, loose, low, high, of[places[at]], at), strict=True):
+                    to.append(value)
+            numbers = [pa.array(x, pa.int64()) for x in out[:5]]
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in out[5:]]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *numbers, *lists], ["held", "hub", "group", "m", "v", "loose", "low", "high", "member", "place"])
+
+    own, of_hub = counted.withColumnsRenamed({c: f"{c}_x" for c in ("set", "e", "n")}), counted.withColumnsRenamed({"held": "hub"} | {c: f"{c}_hub" for c in ("set", "e", "n")})
+    both = grouped.join(own, "held").join(of_hub, "hub").select("held", "hub", "group", "set_x", "e_x", "n_x", "set_hub", "e_hub", "n_hub")
+    kind = "held bigint, hub bigint, group bigint, m bigint, v bigint, loose bigint, low bigint, high bigint, member array<bigint>, place array<bigint>"
+    of = staged(both.mapInArrow(sides, kind), "sides")
+    near_hub = of.where("high = 0 and held <> hub").select(F.least("held", "hub").alias("a"), F.greatest("held", "hub").alias("b"))
+    each = of.selectExpr("held", "hub", "group", "m", "v", "loose", "low", "high", "inline(arrays_zip(member, place))")
+    x, y = (each.where(f"place < {w}").select("hub", "member", *[F.col(c).alias(f"{c}_{k}") for c in ("held", "group", "m", "v", "loose", "place")]) for k, w in (("x", "low"), ("y", "high")))
+    # conditions of the join itself, so that what does not meet them is not given on
+    fit = F.expr(
+        f"x.hub = y.hub and x.member = y.member and group_x <> group_y and loose_x <= loose_y and {2 * q} * least(v_x - place_x, v_y - place_y) >= loose_x + loose_y"
+        f" and {top} * greatest(m_x, m_y) <= {all_} * least(m_x, m_y)"
+    )
+    met = x.alias("x").join(y.alias("y"), fit).select(F.least("held_x", "held_y").alias("a"), F.greatest("held_x", "held_y").alias("b"))
+    return met.unionByName(near_hub).distinct()
+
+
+def _similar_pairs(held: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, fp_a, fp_b): those of the pairs (a, b) of held.held that are similar enough or have one fingerprint."""
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept = []
-            for x, y in zip(b.column(4), b.column(5), strict=True):
+            for one, x, y in zip(pc.equal(b.column(2), b.column(3)).to_pylist(), b.column(4), b.column(5), strict=True):
                 # views of the batch, which may hold many long sets
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                kept.append(both >= similarity * (len(x) + len(y) - both))
+                both = 0 if one else len(np.intersect1d(x, y, assume_unique=True))
+                kept.append(one or both >= similarity * (len(x) + len(y) - both))
             yield b.select([0, 1, 2, 3]).filter(pa.array(kept, pa.bool_()))
 
     one, other = (held.select(F.col("held").alias(c), F.col("fp").alias(f"fp_{c}"), F.col("set").alias(f"set_{c}")) for c in ("a", "b"))
-    both = pairs.join(one, "a").join(other, "b")
-    known = both.where("fp_a = fp_b").select("a", "b", "fp_a", "fp_b")
-    asked = both.where("fp_a <> fp_b").select("a", "b", "fp_a", "fp_b", "set_a", "set_b")
-    return asked.mapInArrow(close, "a bigint, b bigint, fp_a bigint, fp_b bigint").unionByName(known)
+    asked = pairs.join(one, "a").join(other, "b").select("a", "b", "fp_a", "fp_b", "set_a", "set_b")
+    return asked.mapInArrow(close, "a bigint, b bigint, fp_a bigint, fp_b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:

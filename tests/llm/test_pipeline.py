@@ -224,3 +224,32 @@ def test_batches_of_long_rows_are_small(spark, stored, monkeypatch) -> None:
         assert spark.conf.get(key) == "1000"
     finally:
         spark.conf.unset(key)
+
+
+def test_texts_that_vary_about_a_hub_are_not_compared_pair_by_pair(spark, monkeypatch) -> None:
+    """Texts with edits of their own in one text, few and many, now and then with a near copy, of which all share a band:
+    all links of brute force, of far fewer pairs than there are."""
+    rng, words = np.random.default_rng(5), [f"w{i}" for i in range(150)]
+    edited = lambda own, n: [f"e{rng.integers(0, 10**9)}" if i in set(rng.integers(0, len(own), n).tolist()) else x for i, x in enumerate(own)]
+    texts = [words]
+    for i in range(160):
+        texts.append([x for j, x in enumerate(edited(words, int(rng.integers(1, 16)))) if i % 5 or j % 50 < 49 - i % 3])
+        if i % 3 == 0:
+            texts.append(edited(texts[-1], 1 + i % 4) + texts[-1][: i % 7])
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if 10 * (b := len(sets[i] & sets[j])) >= 8 * (len(sets[i]) + len(sets[j]) - b)}
+    rows = staged(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "_row bigint, text string"), "t")
+    prints = staged(spark.createDataFrame([(i, i, i, [7]) for i in range(len(texts))], "_row bigint, fp bigint, held bigint, keys array<bigint>"), "t")
+    compared, real = [], simhash.staged
+    monkeypatch.setattr(simhash, "staged", lambda df, name: (out := real(df, name), compared.append(out.count() if name == "pairs" else 0))[0])
+    got = {(r.a, r.b) for r in simhash.similar_links(rows, prints, 0.8, 5).collect()}
+
+    def root(links):  # noqa: ANN001, ANN202
+        found = simhash.Clusters(len(texts))
+        if links:
+            found.unite(*np.array(sorted(links)).T)
+        return found.root.tolist()
+
+    assert {tuple(sorted(x)) for x in got} <= want and root(got) == root(want)
+    assert 20 < len(set(root(want))) < len(texts) - 40
+    assert sum(compared) < len(texts) ** 2 / 8
